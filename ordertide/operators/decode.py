@@ -59,14 +59,6 @@ def superset_schema(schemas: Iterable[T.StructType]) -> T.StructType:
     return T.StructType(list(fields.values()))
 
 
-def _shape(parsed: Column, schema: T.StructType, target: T.StructType) -> Column:
-    present = set(schema.fieldNames())
-    return F.struct(*[
-        (parsed.getField(f.name) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in target.fields
-    ])
-
-
 def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format: str = "json",
                  mode: str = "FAILFAST", value_col: str = "value",
                  keep: Iterable[str] = ()) -> DataFrame:
@@ -79,38 +71,75 @@ def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format:
     return df.select(*keep, parsed.alias(DECODED)).select(*keep, f"{DECODED}.*")
 
 
+def prune_schema(schema: T.StructType, fields: Iterable[str] | None) -> T.StructType:
+    """Top-level fields of ``schema`` that are in ``fields`` (all when None)."""
+    if fields is None:
+        return schema
+    wanted = set(fields)
+    return T.StructType([f for f in schema.fields if f.name in wanted])
+
+
+def _one_evaluation(fields: list[Column]) -> Column:
+    """Emits the decoded fields through a one-row generator.
+
+    Filters on decoded fields cannot be pushed below a generator, so the
+    bodies are parsed once per record instead of once more per filter
+    reference (a pushed-down filter would inline the parser).
+    """
+    return F.inline(F.array(F.struct(*fields)))
+
+
 def decode_by_schema_id(df: DataFrame, schemas: Mapping[int, T.StructType] | None = None,
                         body_format: str = "json", mode: str = "PERMISSIVE",
                         value_col: str = "value", keep: Iterable[str] = (),
-                        with_schema_id: bool = False) -> DataFrame:
+                        with_schema_id: bool = False,
+                        fields: Iterable[str] | None = None) -> DataFrame:
     """D4 + D6: parse each frame with the schema its header id names.
 
-    The result has the superset of all versions' fields; fields a version
-    lacks are null. A frame with a wrong magic byte, an unknown id or a body
-    that does not parse yields an all-null row (later dropped by the validity
-    filter). Adding a schema version is a change of ``schemas`` plus restart.
+    The result has the superset of all versions' fields (or only ``fields``);
+    fields a version lacks are null. A frame with a wrong magic byte, an
+    unknown id or a body that does not parse yields an all-null row (later
+    dropped by the validity filter). Adding a schema version is a change of
+    ``schemas`` plus restart.
+
+    Each body is parsed once: the parser of every other version gets a null
+    input and does no work, and the parsed structs are not inlined into each
+    field reference (two projections) nor into later filters (generator).
+    With ``fields`` the JSON parse schema keeps only those fields.
     """
     schemas = dict(schemas or {101: ORDER_EVENT, 102: ORDER_EVENT_V2})
+    if fields is not None and body_format == "json":
+        fields = list(fields)
+        schemas = {k: prune_schema(s, fields) for k, s in schemas.items()}
     target = superset_schema(schemas.values())
     v = F.col(value_col)
     sid, payload = frame_schema_id(v), frame_payload(v)
     ok = frame_magic(v) == F.lit("00")
-    case = None
-    for schema_id, schema in schemas.items():
-        shaped = _shape(_parse(payload, schema, body_format, mode), schema, target)
-        cond = ok & (sid == F.lit(schema_id))
-        case = F.when(cond, shaped) if case is None else case.when(cond, shaped)
-    first = [*keep] + ([sid.alias("schema_id")] if with_schema_id else [])
-    then = [*keep] + (["schema_id"] if with_schema_id else [])
-    return df.select(*first, case.alias(DECODED)).select(*then, f"{DECODED}.*")
-
-
-def decode(df: DataFrame, params: PipelineParams, keep: Iterable[str] = ()) -> DataFrame:
+    keep = list(keep)
+    parsed = [
+        _parse(F.when(ok & (sid == F.lit(k)), payload), schema, body_format, mode).alias(f"__v{k}")
+        for k, schema in schemas.items()
+    ]
+    first = df.select(*[F.col(k) for k in keep], sid.alias("schema_id"), *parsed)
+    out = [F.col(k).alias(k) for k in keep]
+    if with_schema_id:
+        out.append(F.col("schema_id"))
+    for f in target.fields:
+        options = [F.col(f"__v{k}").getField(f.name) for k, schema in schemas.items()
+                   if f.name in schema.fieldNames()]
+        out.append((options[0] if len(options) == 1 else F.coalesce(*options)).alias(f.name))
+    return first.select(_one_evaluation(out))
+
+
+def decode(df: DataFrame, params: PipelineParams, keep: Iterable[str] = (),
+           fields: Iterable[str] | None = None) -> DataFrame:
     """Decoder choice by parameter."""
     if params.decode == "fixed":
-        return decode_fixed(df, ORDER_EVENT, params.body_format, params.parse_mode, keep=keep)
+        schema = prune_schema(ORDER_EVENT, fields) if params.body_format == "json" else ORDER_EVENT
+        return decode_fixed(df, schema, params.body_format, params.parse_mode, keep=keep)
     if params.decode == "by_schema_id":
-        return decode_by_schema_id(df, None, params.body_format, params.parse_mode, keep=keep)
+        return decode_by_schema_id(df, None, params.body_format, params.parse_mode, keep=keep,
+                                   fields=fields)
     raise ValueError(f"unknown decoder {params.decode!r}")
 
 

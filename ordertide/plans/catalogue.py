@@ -26,7 +26,7 @@ from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2
 from ordertide.session import fresh_dir
 from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
 from ordertide.sources.tables import read_result, read_table
-from ordertide.streaming.sinks import silver_frame
+from ordertide.streaming.sinks import METRIC_INPUTS, silver_frame
 
 PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet")
 SCHEMAS = {101: ORDER_EVENT, 102: ORDER_EVENT_V2}
@@ -118,7 +118,7 @@ def wait_time(spark, sf_dir):
 # ------------------------------------------------- decode and curation ----
 
 def curate_orders_q(spark, sf_dir):
-    parsed = decode_by_schema_id(log(spark, sf_dir), SCHEMAS)
+    parsed = decode_by_schema_id(log(spark, sf_dir), SCHEMAS, fields=METRIC_INPUTS)
     return curate_orders(parsed).select(
         "order_id", "store_id", wall_clock(PLACED).alias(PLACED), wall_clock(FULFILLED).alias(FULFILLED),
         "transaction_amount", "wait_time_seconds")

@@ -16,6 +16,10 @@ from ordertide.operators.decode import decode
 from ordertide.operators.metrics import store_metrics
 from ordertide.params import PipelineParams
 
+# order fields the metrics read; the decoder parses only these
+METRIC_INPUTS = ("order_id", "store_id", "order_placed_timestamp", "order_fulfilled_timestamp",
+                 "transaction_amount")
+
 
 def configure_trigger(writer: DataStreamWriter, params: PipelineParams) -> DataStreamWriter:
     """Drain what is there and stop, or run every interval."""
@@ -46,7 +50,7 @@ def bronze_stream(raw: DataFrame, params: PipelineParams) -> StreamingQuery:
 
 def silver_frame(raw: DataFrame, params: PipelineParams, stamp: bool = True) -> DataFrame:
     """Raw log -> decoded -> curated -> watermarked -> window metrics."""
-    curated = with_event_watermark(curate_orders(decode(raw, params)), params)
+    curated = with_event_watermark(curate_orders(decode(raw, params, fields=METRIC_INPUTS)), params)
     return store_metrics(curated, params, stamp=stamp)
 
 
