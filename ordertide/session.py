@@ -26,12 +26,12 @@ def session_conf(params: PipelineParams) -> dict[str, str]:
 
 
 def build_session(params: PipelineParams | None = None, master: str | None = None,
-                  app_name: str = "ordertide") -> SparkSession:
+                  app_name: str = "ordertide", conf: dict[str, str] | None = None) -> SparkSession:
     params = params or PipelineParams()
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in session_conf(params).items():
+    for key, value in {**session_conf(params), **(conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     apply_state_store(spark)
