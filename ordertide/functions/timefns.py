@@ -30,7 +30,8 @@ def utc_instant(col: Column | str, source_type: T.DataType | None = None) -> Col
     zone = _session_zone()
     if _is_utc(zone):
         return c.cast("timestamp")
-    return F.to_utc_timestamp(c.cast("timestamp"), zone)
+    # cast reads the wall clock in the session zone; shift it back to UTC
+    return F.from_utc_timestamp(c.cast("timestamp"), zone)
 
 
 def wall_clock(col: Column | str) -> Column:
@@ -39,7 +40,8 @@ def wall_clock(col: Column | str) -> Column:
     zone = _session_zone()
     if _is_utc(zone):
         return c.cast("timestamp_ntz")
-    return F.from_utc_timestamp(c, zone).cast("timestamp_ntz")
+    # cast renders the wall clock in the session zone; pre-shift so it shows UTC
+    return F.to_utc_timestamp(c, zone).cast("timestamp_ntz")
 
 
 def parse_timestamp(col: Column | str) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.functions.framing import build_frame
-from ordertide.functions.timefns import utc_instant
+from ordertide.functions.timefns import utc_instant, wall_clock
 
 # Fixture rules for the derived order stream.
 HOT_STORE = "STORE-0001"
@@ -70,7 +70,9 @@ def _json_str(c: Column) -> Column:
 
 
 def _iso(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    """ISO-8601 UTC text of an instant (formatted from the UTC wall clock, so
+    the session time zone does not matter)."""
+    return F.date_format(wall_clock(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def _money(c: Column) -> Column:

@@ -49,3 +49,21 @@ def test_half_up_ratio_exact(spark):
     assert got == [0.05, 0.01, -0.01, 1.11, None, 1.0]
     tenth = spark.createDataFrame([(5, 4), (1, 4)], "t long, n long").select(half_up_ratio("t", "n", 1)).collect()
     assert [r[0] for r in tenth] == [1.3, 0.3]
+
+
+def test_time_conversions_ignore_session_zone(spark):
+    from ordertide.functions.timefns import parse_timestamp, utc_instant, wall_clock
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Australia/Sydney", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 12, 3, 5),)], "w timestamp_ntz")
+            r = df.select(
+                F.unix_micros(utc_instant("w")).alias("micros"),
+                wall_clock(utc_instant("w")).alias("back"),
+                wall_clock(parse_timestamp(F.lit("2024-01-01T00:12:03.000005Z"))).alias("parsed"),
+            ).first()
+            assert r["micros"] == 1704067923000005, zone
+            assert r["back"] == r["parsed"] == dt.datetime(2024, 1, 1, 0, 12, 3, 5), zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
