@@ -20,13 +20,14 @@ from ordertide.plans import catalogue as C  # noqa: E402
 from ordertide.session import build_session  # noqa: E402
 
 HEADLINE = [
-    "store_metrics_5m",          # flagship: two-stage salted window metrics
-    "store_metrics_5m_direct",   # same result, one stage
+    "store_metrics_5m",          # flagship: per-store 5-minute window metrics (one stage)
+    "store_metrics_5m_salted",   # same result, two-stage salted (shipped production plan)
     "store_metrics_sliding",
     "salting_parity",
     "curate_orders",             # frame split + decode by schema id + curation
     "decode_orders",
     "stream_store_metrics",      # end-to-end streaming silver (decode..sink)
+    "stream_store_metrics_salted",
     "stream_bronze",
     "skew_profile",
     "lateness_profile",

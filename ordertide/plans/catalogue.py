@@ -28,7 +28,10 @@ from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
 from ordertide.sources.tables import read_result, read_table
 from ordertide.streaming.sinks import METRIC_INPUTS, silver_frame
 
-PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet")
+# recommended plan: one-stage aggregate (see PipelineParams.salt_factor)
+PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet", salt_factor=None)
+# the shipped production plan: two-stage, salt factor 16
+SALTED = PARAMS.replace(salt_factor=16)
 SCHEMAS = {101: ORDER_EVENT, 102: ORDER_EVENT_V2}
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +87,10 @@ def store_metrics_5m_direct(spark, sf_dir):
     return store_metrics_5m(spark, sf_dir, PARAMS.replace(salt_factor=None))
 
 
+def store_metrics_5m_salted(spark, sf_dir):
+    return store_metrics_5m(spark, sf_dir, SALTED)
+
+
 def store_metrics_sliding(spark, sf_dir):
     p = PARAMS.replace(window_duration="10 minutes", slide_duration="5 minutes")
     return metrics_out(M.store_metrics(curated(spark, sf_dir), p))
@@ -94,11 +101,11 @@ def store_totals_direct(spark, sf_dir):
 
 
 def salting_parity(spark, sf_dir):
-    return M.salting_parity(curated(spark, sf_dir), PARAMS).select("groups", "mismatches")
+    return M.salting_parity(curated(spark, sf_dir), SALTED).select("groups", "mismatches")
 
 
 def partials_invariants(spark, sf_dir):
-    return M.partials_invariants(curated(spark, sf_dir), PARAMS).withColumn(
+    return M.partials_invariants(curated(spark, sf_dir), SALTED).withColumn(
         "window_start", wall_clock("window_start"))
 
 
@@ -108,7 +115,7 @@ def null_amount_metrics(spark, sf_dir):
 
 
 def salt_spread(spark, sf_dir):
-    return M.salt_spread(curated(spark, sf_dir), PARAMS)
+    return M.salt_spread(curated(spark, sf_dir), SALTED)
 
 
 def wait_time(spark, sf_dir):
@@ -173,12 +180,17 @@ def stream_bronze(spark, sf_dir):
     return bronze_out(drain(bronze_projection(raw), "bronze"))
 
 
-def stream_store_metrics(spark, sf_dir):
+def stream_store_metrics(spark, sf_dir, params: PipelineParams = PARAMS):
     raw = log(spark, sf_dir, streaming=True)
-    silver = drain(silver_frame(raw, PARAMS, stamp=True), "silver", partition_by=("store_id",))
+    silver = drain(silver_frame(raw, params, stamp=True), "silver", partition_by=("store_id",))
     return metrics_out(silver.select(*METRIC_COLUMNS))
 
 
+def stream_store_metrics_salted(spark, sf_dir):
+    """Chained stateful aggregation (stage 1 by window, store, salt; stage 2 by window, store)."""
+    return stream_store_metrics(spark, sf_dir, SALTED)
+
+
 # ---------------------------------------------------- dashboard views ----
 
 def dashboard_silver(spark, sf_dir):
@@ -220,6 +232,7 @@ FLAGSHIP = "store_metrics_5m"
 QUERIES: dict[str, Query] = {
     "store_metrics_5m": store_metrics_5m,
     "store_metrics_5m_direct": store_metrics_5m_direct,
+    "store_metrics_5m_salted": store_metrics_5m_salted,
     "store_metrics_sliding": store_metrics_sliding,
     "store_totals_direct": store_totals_direct,
     "salting_parity": salting_parity,
@@ -235,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "frame_round_trip": frame_round_trip,
     "stream_bronze": stream_bronze,
     "stream_store_metrics": stream_store_metrics,
+    "stream_store_metrics_salted": stream_store_metrics_salted,
     "dashboard_silver": dashboard_silver,
     "bronze_latest": bronze_latest,
     "skew_profile": skew_profile,

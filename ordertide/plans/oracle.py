@@ -124,6 +124,7 @@ LATENESS = "(epoch_us(date_trunc('second', published)) - epoch_us(date_trunc('se
 ORACLE_SQL: dict[str, str] = {
     "store_metrics_5m": FLAGSHIP_SQL,
     "store_metrics_5m_direct": FLAGSHIP_SQL,
+    "store_metrics_5m_salted": FLAGSHIP_SQL,
     "store_metrics_sliding": _with(ORDERS, CURATED) + _metrics("10 minutes", slide="5 minutes"),
     "store_totals_direct": _with(ORDERS, CURATED) + """g AS (
   SELECT store_id, count(*) AS cnt, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS t,
@@ -181,6 +182,7 @@ FROM l""",
 SELECT order_id, TRUE AS ok FROM o WHERE event_id % 1000 NOT IN (3, 4)""",
     "stream_bronze": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE,
     "stream_store_metrics": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
+    "stream_store_metrics_salted": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
     "dashboard_silver": FLAGSHIP_SQL,
     "bronze_latest": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE
         + "\nORDER BY kafka_published_timestamp DESC, partition ASC, \"offset\" ASC LIMIT 20",
