@@ -42,25 +42,40 @@ def _dec(c):
     return c.cast("decimal(18,2)")
 
 
-def order_total_check(nested: DataFrame) -> DataFrame:
-    """Stated amount vs Σ quantity x unit price over the items array."""
-    computed = F.aggregate(
-        "items", F.lit(0).cast("decimal(18,2)"),
+def items_total(items: str = "items"):
+    """Σ quantity x unit price over an items array, exact (decimal)."""
+    return F.aggregate(
+        items, F.lit(0).cast("decimal(18,2)"),
         lambda acc, it: (acc + _dec(it["quantity"]) * _dec(it["unit_price"])).cast("decimal(18,2)"))
-    return nested.select(
+
+
+def order_total_check(orders: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+    """Stated amount vs Σ quantity x unit price of the order's items.
+
+    Items are either inline in ``orders`` (one event per order: a row-wise
+    check) or in ``pages`` (``order_key, page, items``), whose page totals are
+    rolled up per order with an ordinary partial aggregate.
+    """
+    if pages is None:
+        base = orders.withColumn("computed_total", items_total())
+    else:
+        totals = pages.groupBy("order_key").agg(F.sum(items_total()).alias("computed_total"))
+        base = orders.join(totals, "order_key", "left")
+    total = F.coalesce(F.col("computed_total"), F.lit(0).cast("decimal(18,2)"))
+    return base.select(
         "order_key",
         F.col("transaction_amount").alias("stated"),
-        computed.cast("double").alias("computed"),
-        (_dec(F.col("transaction_amount")) == computed).alias("ok"),
+        total.cast("double").alias("computed"),
+        (_dec(F.col("transaction_amount")) == total).alias("ok"),
     )
 
 
-def split_tender_check(nested: DataFrame) -> DataFrame:
+def split_tender_check(orders: DataFrame) -> DataFrame:
     """When split tenders exist, their amounts must sum to the order amount."""
     splits = F.col("payment.split_tender")
     total = F.aggregate(splits, F.lit(0).cast("decimal(18,2)"),
                         lambda acc, s: (acc + _dec(s["amount"])).cast("decimal(18,2)"))
-    return nested.select(
+    return orders.select(
         "order_key",
         F.size(splits).alias("n_splits"),
         total.cast("double").alias("split_total"),
@@ -68,11 +83,11 @@ def split_tender_check(nested: DataFrame) -> DataFrame:
     )
 
 
-def item_lines(nested: DataFrame) -> DataFrame:
-    """One row per item and per syrup modifier (orders without items and
-    items without modifiers are kept, with nulls)."""
-    items = nested.select("order_key", F.explode_outer("items").alias("item"))
-    return items.select(
+def item_lines(pages: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+    """One row per item and per syrup modifier; items without modifiers and
+    (given ``orders`` with ``n_lines``) orders without items are kept, with nulls."""
+    items = pages.select("order_key", F.explode_outer("items").alias("item"))
+    lines = items.select(
         "order_key",
         F.col("item.item_id").alias("item_id"),
         F.col("item.quantity").alias("quantity"),
@@ -80,6 +95,12 @@ def item_lines(nested: DataFrame) -> DataFrame:
     ).select("order_key", "item_id", "quantity",
              F.col("modifier.syrup_name").alias("syrup_name"),
              F.col("modifier.pumps").alias("pumps"))
+    if orders is None:
+        return lines
+    empty = orders.filter(F.col("n_lines") == 0).select(
+        "order_key", F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("int").alias("quantity"),
+        F.lit(None).cast("string").alias("syrup_name"), F.lit(None).cast("int").alias("pumps"))
+    return lines.unionByName(empty)
 
 
 def dashboard(silver: DataFrame, limit: int | None = None) -> DataFrame:

@@ -216,15 +216,18 @@ def lateness_profile(spark, sf_dir):
 
 
 def order_total_check(spark, sf_dir):
-    return P.order_total_check(nested(spark, sf_dir))
+    heads, pages = nested(spark, sf_dir)
+    return P.order_total_check(heads, pages)
 
 
 def split_tender_check(spark, sf_dir):
-    return P.split_tender_check(nested(spark, sf_dir))
+    heads, _ = nested(spark, sf_dir)
+    return P.split_tender_check(heads)
 
 
 def item_lines(spark, sf_dir):
-    return P.item_lines(nested(spark, sf_dir))
+    heads, pages = nested(spark, sf_dir)
+    return P.item_lines(pages, heads)
 
 
 FLAGSHIP = "store_metrics_5m"

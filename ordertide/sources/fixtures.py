@@ -123,21 +123,42 @@ def raw_log(orders: DataFrame) -> DataFrame:
     )
 
 
-def nested_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """F8: one nested order per ``orders`` row.
-
-    items: (l_partkey, p_name, quantity, p_retailprice, modifiers), one modifier
-    on every third line number; amount: Σ quantity x price except every tenth
-    order, which states its total price (so the total check must flag it);
-    two split tenders (60 % / rest, in cents) on orders with key % 10 < 3.
-
-    Lines are grouped per order (a bounded group: the lines of one order);
-    the part lookup is an ordinary equi-join that AQE may broadcast when
-    ``part`` is measured small.
+ITEM = ("struct<item_id:string,item_name:string,quantity:int,unit_price:double,"
+        "seasonal_syrup_modifiers:array<struct<syrup_name:string,pumps:int>>,line_number:int>")
+TENDERS = "array<struct<tender_type:string,amount:double>>"
+PAGE_LINES = 64
+
+
+def nested_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
+                  page_lines: int = PAGE_LINES) -> tuple[DataFrame, DataFrame]:
+    """F8: nested orders from ``orders`` / ``lineitem`` / ``part``.
+
+    Returns ``(heads, pages)``:
+
+    * heads: one row per order — ``order_key, order_id, transaction_amount,
+      payment, n_lines``. Amount = Σ quantity x price, except every tenth order,
+      which states its total price (so the total check must flag it); two split
+      tenders (60 % / rest, in cents) on orders with key % 10 < 3.
+    * pages: the order's items, ``order_key, page, items``; an order's lines are
+      spread over ceil(n_lines / page_lines) pages by a hash of the line, so no
+      item array (and no aggregation buffer) grows with the size of one order.
+      Ordinary orders (up to ``page_lines`` lines) are a single page.
+
+    Per-order figures come from partial aggregates (skew-safe). The part lookup
+    is a plain equi-join that AQE broadcasts only when ``part`` is measured
+    small. Lines are shuffled by (order, page) for the item arrays.
     """
-    lines = (lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    lines = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                             "l_extendedprice", "l_shipdate")
              .join(part.select("p_partkey", "p_name", "p_retailprice"),
                    F.col("l_partkey") == F.col("p_partkey")))
+    item_cents = F.round(F.col("l_quantity") * F.col("p_retailprice") * 100).cast("long")
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(item_cents).alias("items_cents"))
+
+    n_pages = F.ceil(F.col("n_lines") / F.lit(page_lines))
+    line_hash = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                           "l_extendedprice", "l_shipdate")
     mods = F.when(F.col("l_linenumber") % 3 == 0,
                   F.array(F.struct(F.lit("Vanilla").alias("syrup_name"), F.lit(2).alias("pumps"))))
     item = F.struct(
@@ -149,11 +170,12 @@ def nested_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Da
          .alias("seasonal_syrup_modifiers"),
         F.col("l_linenumber").alias("line_number"),
     )
-    item_cents = F.round(F.col("l_quantity") * F.col("p_retailprice") * 100).cast("long")
-    per_order = lines.groupBy("l_orderkey").agg(
-        F.collect_list(item).alias("items"),
-        F.sum(item_cents).alias("items_cents"),
-    )
+    pages = (lines.join(per_order.select("l_orderkey", "n_lines"), "l_orderkey")
+             .withColumn("page", F.pmod(line_hash, n_pages).cast("int"))
+             .repartition("l_orderkey", "page")
+             .groupBy(F.col("l_orderkey").alias("order_key"), "page")
+             .agg(F.collect_list(item).alias("items")))
+
     o = orders.select("o_orderkey", "o_totalprice").join(
         per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     amount_cents = F.when(F.col("o_orderkey") % 10 == 0, F.round(F.col("o_totalprice") * 100).cast("long")) \
@@ -162,14 +184,12 @@ def nested_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame) -> Da
     split = F.when(F.col("o_orderkey") % 10 < 3, F.array(
         F.struct(F.lit("CARD").alias("tender_type"), (first / 100.0).alias("amount")),
         F.struct(F.lit("WALLET").alias("tender_type"), ((amount_cents - first) / 100.0).alias("amount")),
-    )).otherwise(F.array().cast("array<struct<tender_type:string,amount:double>>"))
-    return o.select(
-        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
+    )).otherwise(F.array().cast(TENDERS))
+    heads = o.select(
         F.col("o_orderkey").alias("order_key"),
+        F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
         (amount_cents / 100.0).alias("transaction_amount"),
-        F.coalesce(F.col("items"), F.array().cast(
-            "array<struct<item_id:string,item_name:string,quantity:int,unit_price:double,"
-            "seasonal_syrup_modifiers:array<struct<syrup_name:string,pumps:int>>,line_number:int>>"))
-         .alias("items"),
         F.struct(F.lit("CARD").alias("primary_tender"), split.alias("split_tender")).alias("payment"),
+        F.coalesce(F.col("n_lines"), F.lit(0)).alias("n_lines"),
     )
+    return heads, pages
