@@ -1,5 +1,5 @@
-"""Two-stage salted aggregation equals the direct aggregate (the reference's
-only unit test, F1), plus null, wait and windowing semantics."""
+"""Two-stage salted aggregation equals the direct aggregate (fixture F1: one
+hot store, one small store), plus null, wait and windowing semantics."""
 
 import datetime as dt
 
@@ -30,13 +30,13 @@ def orders_frame(spark, rows):
 def f1(spark):
     """10,000 hot-store rows + 50 rural rows (closed-form values)."""
     hot = (spark.range(10000).select(
-        F.concat(F.lit("TS_"), F.col("id").cast("string")).alias("order_id"),
-        F.lit("STORE-NYC-7381").alias("store_id"),
+        F.concat(F.lit("HOT_"), F.col("id").cast("string")).alias("order_id"),
+        F.lit("STORE-HOT").alias("store_id"),
         (F.lit(5.0) + (F.col("id") % 15) * 0.75).alias("transaction_amount"),
         (F.lit(120) + F.col("id") % 200).alias("w")))
     rural = (spark.range(50).select(
         F.concat(F.lit("RURAL_"), F.col("id").cast("string")).alias("order_id"),
-        F.lit("STORE-RURAL-01").alias("store_id"),
+        F.lit("STORE-RURAL").alias("store_id"),
         (F.lit(4.5) + (F.col("id") % 5) * 1.2).alias("transaction_amount"),
         (F.lit(60) + F.col("id") % 60).alias("w")))
     base = F.lit(T0).cast("timestamp")
@@ -48,20 +48,20 @@ def f1(spark):
     return curate_orders(df).cache()
 
 
-def test_reference_f1_direct_totals(f1):
+def test_f1_direct_totals(f1):
     got = {r["store_id"]: r for r in M.store_totals_direct(f1, P).collect()}
-    assert (got["STORE-NYC-7381"]["order_count"], got["STORE-NYC-7381"]["aov"],
-            got["STORE-NYC-7381"]["avg_wait"]) == (10000, 10.2481, 219.5)
-    assert (got["STORE-RURAL-01"]["order_count"], got["STORE-RURAL-01"]["aov"],
-            got["STORE-RURAL-01"]["avg_wait"]) == (50, 6.9, 84.5)
+    assert (got["STORE-HOT"]["order_count"], got["STORE-HOT"]["aov"],
+            got["STORE-HOT"]["avg_wait"]) == (10000, 10.2481, 219.5)
+    assert (got["STORE-RURAL"]["order_count"], got["STORE-RURAL"]["aov"],
+            got["STORE-RURAL"]["avg_wait"]) == (50, 6.9, 84.5)
 
 
 @pytest.mark.parametrize("exact", [True, False])
-def test_reference_f1_two_stage_equals_one_stage(spark, f1, exact):
+def test_f1_two_stage_equals_one_stage(spark, f1, exact):
     p = P.replace(exact=exact, window_duration="1 day", slide_duration="1 day")
     salted = {r["store_id"]: r for r in M.store_metrics(f1, p).collect()}
     direct = {r["store_id"]: r for r in M.store_metrics(f1, p.replace(salt_factor=None)).collect()}
-    assert salted.keys() == direct.keys() == {"STORE-NYC-7381", "STORE-RURAL-01"}
+    assert salted.keys() == direct.keys() == {"STORE-HOT", "STORE-RURAL"}
     for k in salted:
         assert salted[k]["total_order_count"] == direct[k]["total_order_count"]
         assert salted[k]["avg_order_value"] == pytest.approx(direct[k]["avg_order_value"], abs=1e-4)
@@ -71,7 +71,7 @@ def test_reference_f1_two_stage_equals_one_stage(spark, f1, exact):
 
 
 def test_partials_spread_hot_store_over_salts(f1):
-    parts = M.salted_partials(f1, P).filter(F.col("store_id") == "STORE-NYC-7381").collect()
+    parts = M.salted_partials(f1, P).filter(F.col("store_id") == "STORE-HOT").collect()
     assert len(parts) == 16
     assert sum(r["partial_order_count"] for r in parts) == 10000
     assert max(r["partial_order_count"] for r in parts) < 10000 / 16 * 1.5
