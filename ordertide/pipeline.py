@@ -1,0 +1,50 @@
+"""Job entry: parameters -> session -> log source -> bronze + silver queries -> wait.
+
+usage: python -m ordertide.pipeline [params.json] [log path for file sources]
+"""
+
+from __future__ import annotations
+
+import logging
+import sys
+
+from pyspark.sql import SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ordertide.params import PRODUCTION, PipelineParams
+from ordertide.session import build_session
+from ordertide.sources.log_source import log_source
+from ordertide.streaming.sinks import await_all, run_pipeline
+from ordertide.streaming.tables import provision
+
+log = logging.getLogger("ordertide")
+
+
+def start(spark: SparkSession, params: PipelineParams,
+          log_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
+    """Provisions named tables (if any), then starts both queries on one source."""
+    if params.bronze_table or params.silver_table:
+        provision(spark, params.database, _leaf(params.bronze_table), _leaf(params.silver_table),
+                  fmt=params.sink_format, catalog=params.catalog,
+                  silver_partition_by=params.silver_partition_by)
+    raw = log_source(spark, params, log_path)
+    return run_pipeline(raw, params)
+
+
+def _leaf(name: str | None) -> str | None:
+    return name.split(".")[-1] if name else None
+
+
+def main(argv: list[str] | None = None) -> int:
+    argv = list(sys.argv[1:] if argv is None else argv)
+    params = PipelineParams.from_json(argv[0]) if argv else PRODUCTION
+    log_path = argv[1] if len(argv) > 1 else None
+    spark = build_session(params)
+    bronze, silver = start(spark, params, log_path)
+    log.info("started %s (%s) and %s (%s)", bronze.name, bronze.id, silver.name, silver.id)
+    await_all([bronze, silver], params, spark)
+    return 0
+
+
+if __name__ == "__main__":
+    sys.exit(main())

@@ -91,6 +91,16 @@ def store_metrics_5m_salted(spark, sf_dir):
     return store_metrics_5m(spark, sf_dir, SALTED)
 
 
+def store_metrics_1h(spark, sf_dir):
+    p = PARAMS.replace(window_duration="1 hour", slide_duration="1 hour")
+    return metrics_out(M.store_metrics(curated(spark, sf_dir), p))
+
+
+def store_metrics_1d(spark, sf_dir):
+    p = PARAMS.replace(window_duration="1 day", slide_duration="1 day")
+    return metrics_out(M.store_metrics(curated(spark, sf_dir), p))
+
+
 def store_metrics_sliding(spark, sf_dir):
     p = PARAMS.replace(window_duration="10 minutes", slide_duration="5 minutes")
     return metrics_out(M.store_metrics(curated(spark, sf_dir), p))
@@ -236,6 +246,8 @@ QUERIES: dict[str, Query] = {
     "store_metrics_5m": store_metrics_5m,
     "store_metrics_5m_direct": store_metrics_5m_direct,
     "store_metrics_5m_salted": store_metrics_5m_salted,
+    "store_metrics_1h": store_metrics_1h,
+    "store_metrics_1d": store_metrics_1d,
     "store_metrics_sliding": store_metrics_sliding,
     "store_totals_direct": store_totals_direct,
     "salting_parity": salting_parity,

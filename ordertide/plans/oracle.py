@@ -125,6 +125,8 @@ ORACLE_SQL: dict[str, str] = {
     "store_metrics_5m": FLAGSHIP_SQL,
     "store_metrics_5m_direct": FLAGSHIP_SQL,
     "store_metrics_5m_salted": FLAGSHIP_SQL,
+    "store_metrics_1h": _with(ORDERS, CURATED) + _metrics("1 hour"),
+    "store_metrics_1d": _with(ORDERS, CURATED) + _metrics("1 day"),
     "store_metrics_sliding": _with(ORDERS, CURATED) + _metrics("10 minutes", slide="5 minutes"),
     "store_totals_direct": _with(ORDERS, CURATED) + """g AS (
   SELECT store_id, count(*) AS cnt, CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS t,

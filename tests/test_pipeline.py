@@ -1,0 +1,37 @@
+import json
+import os
+
+from ordertide.params import PRODUCTION, SERVERLESS, SMALL, PipelineParams
+from ordertide.pipeline import main
+from ordertide.sources.fixtures import flat_orders, raw_log
+from ordertide.sources.tables import read_table
+
+from tests.conftest import SF001
+
+CONFIG = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "config")
+
+
+def test_config_files_match_presets():
+    for name, preset in (("production", PRODUCTION), ("serverless", SERVERLESS), ("small", SMALL)):
+        p = PipelineParams.from_json(os.path.join(CONFIG, f"{name}.json"))
+        for key in ("max_offsets_per_trigger", "min_partitions", "salt_factor", "watermark_delay",
+                    "window_duration", "slide_duration", "trigger_available_now", "shuffle_partitions"):
+            assert getattr(p, key) == getattr(preset, key), (name, key)
+
+
+def test_main_runs_both_queries_to_completion(spark, tmp):
+    log_path = f"{tmp}/log"
+    raw_log(flat_orders(read_table(spark, SF001, "events"))).repartition(2).write.parquet(log_path)
+    conf = {
+        "source": {"source_format": "parquet", "max_offsets_per_trigger": 1},
+        "decoder": {"body_format": "json"},
+        "tuning": {"trigger_available_now": True, "salt_factor": None, "shuffle_partitions": 4},
+        "sinks": {"sink_format": "parquet",
+                  "bronze_path": f"{tmp}/bronze", "bronze_checkpoint": f"{tmp}/ckb",
+                  "silver_path": f"{tmp}/silver", "silver_checkpoint": f"{tmp}/cks"},
+    }
+    with open(f"{tmp}/params.json", "w") as fh:
+        json.dump(conf, fh)
+    assert main([f"{tmp}/params.json", log_path]) == 0
+    assert spark.read.parquet(f"{tmp}/bronze").count() == 1000
+    assert spark.read.parquet(f"{tmp}/silver").count() > 0
