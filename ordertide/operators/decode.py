@@ -1,9 +1,9 @@
 """Frame split and body decode.
 
 Bodies are JSON text (locally testable) or Avro (``from_avro``/``to_avro``,
-which need the spark-avro package on the classpath). Decoding is a single
-projection: the schema-id dispatch is a CASE over the header, so each frame is
-parsed once, by the schema its header names.
+which need the spark-avro package on the classpath). Each body is parsed once:
+parsed structs are not inlined into every field reference or into a later
+filter (see ``_one_evaluation``).
 """
 
 from __future__ import annotations
@@ -19,9 +19,6 @@ from ordertide.functions.framing import build_frame, frame_magic, frame_payload,
 from ordertide.params import PipelineParams
 from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2
 
-DECODED = "order_event"
-
-
 def split_frame(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Adds ``magic`` (hex), ``schema_id`` (int) and ``payload`` (binary)."""
     v = F.col(value_col)
@@ -59,6 +56,16 @@ def superset_schema(schemas: Iterable[T.StructType]) -> T.StructType:
     return T.StructType(list(fields.values()))
 
 
+def _one_evaluation(fields: list[Column]) -> Column:
+    """Emits the decoded fields through a one-row generator.
+
+    Filters on decoded fields cannot be pushed below a generator, so the
+    bodies are parsed once per record instead of once more per filter
+    reference (a pushed-down filter would inline the parser).
+    """
+    return F.inline(F.array(F.struct(*fields)))
+
+
 def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format: str = "json",
                  mode: str = "FAILFAST", value_col: str = "value",
                  keep: Iterable[str] = ()) -> DataFrame:
@@ -67,8 +74,11 @@ def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format:
     The header's schema id is not consulted. FAILFAST (the decoder's default)
     raises on a malformed body; PERMISSIVE yields nulls.
     """
-    parsed = _parse(frame_payload(F.col(value_col)), schema, body_format, mode)
-    return df.select(*keep, parsed.alias(DECODED)).select(*keep, f"{DECODED}.*")
+    keep = list(keep)
+    parsed = _parse(frame_payload(F.col(value_col)), schema, body_format, mode).alias("__v")
+    out = [F.col(k).alias(k) for k in keep] + [
+        F.col("__v").getField(f.name).alias(f.name) for f in schema.fields]
+    return df.select(*[F.col(k) for k in keep], parsed).select(_one_evaluation(out))
 
 
 def prune_schema(schema: T.StructType, fields: Iterable[str] | None) -> T.StructType:
@@ -79,16 +89,6 @@ def prune_schema(schema: T.StructType, fields: Iterable[str] | None) -> T.Struct
     return T.StructType([f for f in schema.fields if f.name in wanted])
 
 
-def _one_evaluation(fields: list[Column]) -> Column:
-    """Emits the decoded fields through a one-row generator.
-
-    Filters on decoded fields cannot be pushed below a generator, so the
-    bodies are parsed once per record instead of once more per filter
-    reference (a pushed-down filter would inline the parser).
-    """
-    return F.inline(F.array(F.struct(*fields)))
-
-
 def decode_by_schema_id(df: DataFrame, schemas: Mapping[int, T.StructType] | None = None,
                         body_format: str = "json", mode: str = "PERMISSIVE",
                         value_col: str = "value", keep: Iterable[str] = (),

@@ -202,3 +202,15 @@ def test_listener_records_events():
     log.onQueryTerminated(Ev(id="1", exception=None))
     assert [e["kind"] for e in log.events] == ["started", "progress", "idle", "terminated"]
     assert log.events[1]["rate"] is None and log.events[1]["watermark"] is None
+
+
+def test_one_stage_silver_supports_update_mode(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=1)
+    p = pipeline_params(tmp, salt_factor=None, sink_format="noop", silver_path=None,
+                        silver_partition_by=())
+    q = silver_stream(log_source(spark, p, path), p, output_mode="update")
+    q.awaitTermination()
+    assert q.exception() is None
+    # update mode emits every changed (window, store) row in the data batch
+    assert q.recentProgress[0]["sink"]["numOutputRows"] > 0
