@@ -50,16 +50,12 @@ def work_dir(spark: SparkSession) -> str:
     Uses the cluster's ``spark.checkpoint.dir``. Only a local-mode session
     without one (tests) gets a fresh folder of its own.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not conf_dir:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        conf_dir = tempfile.mkdtemp(prefix="ordertide-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(conf_dir)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ordertide-"))
+        conf_dir = spark.sparkContext.getCheckpointDir()
     return conf_dir.rstrip("/")
 
 
