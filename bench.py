@@ -95,7 +95,7 @@ def main() -> None:
                                 "spark.eventLog.rolling.enabled": "false"})
     spark.sparkContext.setLogLevel("ERROR")
 
-    for name in ("store_metrics_5m", "curate_orders"):          # warm-up (JIT, class loading)
+    for name in ("store_metrics_5m", "curate_orders", "stream_store_metrics", "order_total_check"):  # warm-up
         run(spark, name, "/root/testdata/sf0.001")
     SPANS.clear()
 
