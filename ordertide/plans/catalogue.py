@@ -51,7 +51,7 @@ def log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     return raw_log(orders(spark, sf_dir, streaming))
 
 
-def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return nested_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"),
                          read_table(spark, sf_dir, "part"))
 

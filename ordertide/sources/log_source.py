@@ -12,6 +12,21 @@ from ordertide.params import PipelineParams
 from ordertide.schemas import RAW_LOG
 
 
+PLAIN_LOGIN_MODULE = "org.apache.kafka.common.security.plain.PlainLoginModule"
+
+
+def sasl_plain_options(bootstrap_servers: str, username: str, password: str,
+                       login_module: str = PLAIN_LOGIN_MODULE) -> dict[str, str]:
+    """Options for a SASL_SSL / PLAIN secured log (pass as ``source_options``)."""
+    jaas = f"{login_module} required username='{username}' password='{password}';"
+    return {
+        "kafka.bootstrap.servers": bootstrap_servers,
+        "kafka.security.protocol": "SASL_SSL",
+        "kafka.sasl.mechanism": "PLAIN",
+        "kafka.sasl.jaas.config": jaas,
+    }
+
+
 def log_source_options(params: PipelineParams) -> dict[str, str]:
     if params.source_format == "kafka":
         opts = {

@@ -43,3 +43,14 @@ def test_salted_flag():
     assert PRODUCTION.salted
     assert not PRODUCTION.replace(salt_factor=None).salted
     assert not PRODUCTION.replace(salt_factor=1).salted
+
+
+def test_sasl_plain_options_merge_into_source_options():
+    from ordertide.sources.log_source import sasl_plain_options
+    sec = sasl_plain_options("broker:9093", "key", "secret")
+    assert sec["kafka.sasl.jaas.config"] == (
+        "org.apache.kafka.common.security.plain.PlainLoginModule required "
+        "username='key' password='secret';")
+    o = log_source_options(PipelineParams(source_options=sec))
+    assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
+    assert o["subscribe"] == "live_orders"
