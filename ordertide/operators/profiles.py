@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.operators.curate import PLACED
+from ordertide.schemas import CHANNELS
 
 
 def skew_profile(orders: DataFrame) -> DataFrame:
@@ -26,6 +27,13 @@ def skew_profile(orders: DataFrame) -> DataFrame:
     )
 
 
+def channel_profile(orders: DataFrame) -> DataFrame:
+    """Channel domain check: orders per channel and whether the channel is one
+    of the event schema's enum symbols (decoding reads it as plain text)."""
+    return (orders.groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("valid", F.coalesce(F.col("channel").isin(*CHANNELS), F.lit(False))))
+
+
 def lateness_profile(orders: DataFrame, late_after_seconds: int = 600,
                      delay_seconds: int = 900) -> DataFrame:
     """R2: publish delay (published - placed, whole seconds) per store."""

@@ -221,6 +221,11 @@ def skew_profile(spark, sf_dir):
     return P.skew_profile(orders(spark, sf_dir))
 
 
+def channel_profile(spark, sf_dir):
+    decoded = decode_by_schema_id(log(spark, sf_dir), SCHEMAS, fields=["channel"])
+    return P.channel_profile(decoded)
+
+
 def lateness_profile(spark, sf_dir):
     return P.lateness_profile(orders(spark, sf_dir))
 
@@ -268,6 +273,7 @@ QUERIES: dict[str, Query] = {
     "bronze_latest": bronze_latest,
     "skew_profile": skew_profile,
     "lateness_profile": lateness_profile,
+    "channel_profile": channel_profile,
     "order_total_check": order_total_check,
     "split_tender_check": split_tender_check,
     "item_lines": item_lines,

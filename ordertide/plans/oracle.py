@@ -197,6 +197,12 @@ SELECT store_id, count(*) AS n, count(*) FILTER (WHERE lateness > 600) AS n_late
        count(*) FILTER (WHERE lateness > 900) AS n_beyond_delay,
        max(lateness) AS max_lateness_seconds
 FROM g GROUP BY store_id""",
+    "channel_profile": _with(ORDERS, LOG) + """g AS (
+  SELECT CASE WHEN event_id % 1000 NOT IN (3, 4) THEN channel END AS channel FROM l)
+SELECT channel, count(*) AS n,
+       coalesce(channel IN ('IN_STORE_POS', 'DRIVE_THRU', 'MOBILE_APP_PICKUP', 'MOBILE_APP_DELIVERY'), FALSE)
+         AS valid
+FROM g GROUP BY channel""",
     "order_total_check": _with(NESTED) + """g AS (SELECT 1 AS x)
 SELECT order_key, CAST(amount_cents AS DOUBLE) / 100.0 AS stated,
        CAST(computed AS DOUBLE) AS computed,
