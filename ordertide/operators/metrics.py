@@ -1,8 +1,11 @@
 """Per-store event-time window metrics.
 
-Plan shape (salted): Project(window, salt) -> partial HashAggregate (map side,
-before any shuffle) -> Exchange(window, store, salt) -> final aggregate
-(stage 1) -> partial -> Exchange(window, store) -> final (stage 2) -> Project.
+Plan shape, one stage (default): Project(window) -> partial HashAggregate (map
+side, before the shuffle: a hot store leaves each task as one row per window)
+-> Exchange(window, store) -> final aggregate -> Project.
+Salted (``salt_factor`` > 1): Project(window, salt) -> partial -> Exchange(window,
+store, salt) -> final (stage 1) -> partial -> Exchange(window, store) -> final
+(stage 2) -> Project; in streaming, two chained stateful aggregations.
 
 Averages are ratios of sums (never averages of averages): Σamount / Σcount and
 Σwait / Σcount, with a null amount adding nothing to the numerator but

@@ -4,8 +4,8 @@
   hot store, null amounts, unfulfilled orders, late publication.
 * ``raw_log``      (F7): the same orders framed as log records (magic byte,
   schema id 101/102, JSON body), plus malformed records.
-* ``nested_orders``(F8): one nested order per ``orders`` row with its items
-  from ``lineitem`` x ``part``.
+* ``nested_orders``(F8): order heads (amount, split tenders) per ``orders`` row
+  and their items from ``lineitem`` x ``part`` in bounded item pages.
 
 All are narrow projections (no shuffle) except ``nested_orders``.
 """
