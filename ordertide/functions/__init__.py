@@ -4,10 +4,10 @@ from ordertide.functions.framing import build_frame, frame_magic, frame_payload,
 from ordertide.functions.ordercols import (
     half_up_ratio, salt, wait_seconds, cents,
 )
-from ordertide.functions.timefns import utc_instant, wall_clock, parse_timestamp
+from ordertide.functions.timefns import parse_timestamp, session_zone, utc_instant, wall_clock
 
 __all__ = [
     "build_frame", "frame_magic", "frame_payload", "frame_schema_id",
     "half_up_ratio", "salt", "wait_seconds", "cents",
-    "utc_instant", "wall_clock", "parse_timestamp",
+    "utc_instant", "wall_clock", "parse_timestamp", "session_zone",
 ]

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _session_zone() -> str:
-    spark = SparkSession.getActiveSession()
+def session_zone(spark: SparkSession | None = None) -> str:
+    """The session time zone of ``spark`` (else of the active / only session)."""
+    spark = spark or SparkSession.getActiveSession() or SparkSession._instantiatedSession
     return spark.conf.get("spark.sql.session.timeZone") if spark else "UTC"
 
 
@@ -22,22 +23,26 @@ def _is_utc(zone: str) -> bool:
     return zone.upper() in ("UTC", "Z", "GMT", "+00:00", "ETC/UTC")
 
 
-def utc_instant(col: Column | str, source_type: T.DataType | None = None) -> Column:
-    """Wall-clock ``TIMESTAMP_NTZ`` read as UTC -> ``TIMESTAMP`` instant."""
+def utc_instant(col: Column | str, source_type: T.DataType | None = None,
+                zone: str | None = None) -> Column:
+    """Wall-clock ``TIMESTAMP_NTZ`` read as UTC -> ``TIMESTAMP`` instant.
+
+    ``zone`` is the session time zone of the plan (default: the active session's).
+    """
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(source_type, T.TimestampType):
         return c
-    zone = _session_zone()
+    zone = zone or session_zone()
     if _is_utc(zone):
         return c.cast("timestamp")
     # cast reads the wall clock in the session zone; shift it back to UTC
     return F.from_utc_timestamp(c.cast("timestamp"), zone)
 
 
-def wall_clock(col: Column | str) -> Column:
+def wall_clock(col: Column | str, zone: str | None = None) -> Column:
     """``TIMESTAMP`` instant -> UTC wall clock as ``TIMESTAMP_NTZ``."""
     c = F.col(col) if isinstance(col, str) else col
-    zone = _session_zone()
+    zone = zone or session_zone()
     if _is_utc(zone):
         return c.cast("timestamp_ntz")
     # cast renders the wall clock in the session zone; pre-shift so it shows UTC

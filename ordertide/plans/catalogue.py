@@ -14,7 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordertide.functions.timefns import wall_clock
+from ordertide.functions.timefns import session_zone, wall_clock
 from ordertide.operators import metrics as M
 from ordertide.operators import profiles as P
 from ordertide.operators.curate import FULFILLED, PLACED, bronze_projection, curate_orders
@@ -57,8 +57,9 @@ def nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def metrics_out(df: DataFrame) -> DataFrame:
-    return df.withColumns({"window_start": wall_clock("window_start"),
-                           "window_end": wall_clock("window_end")})
+    zone = session_zone(df.sparkSession)
+    return df.withColumns({"window_start": wall_clock("window_start", zone),
+                           "window_end": wall_clock("window_end", zone)})
 
 
 def drain(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -116,7 +117,7 @@ def salting_parity(spark, sf_dir):
 
 def partials_invariants(spark, sf_dir):
     return M.partials_invariants(curated(spark, sf_dir), SALTED).withColumn(
-        "window_start", wall_clock("window_start"))
+        "window_start", wall_clock("window_start", session_zone(spark)))
 
 
 def null_amount_metrics(spark, sf_dir):
@@ -136,15 +137,17 @@ def wait_time(spark, sf_dir):
 
 def curate_orders_q(spark, sf_dir):
     parsed = decode_by_schema_id(log(spark, sf_dir), SCHEMAS, fields=METRIC_INPUTS)
+    zone = session_zone(spark)
     return curate_orders(parsed).select(
-        "order_id", "store_id", wall_clock(PLACED).alias(PLACED), wall_clock(FULFILLED).alias(FULFILLED),
-        "transaction_amount", "wait_time_seconds")
+        "order_id", "store_id", wall_clock(PLACED, zone).alias(PLACED),
+        wall_clock(FULFILLED, zone).alias(FULFILLED), "transaction_amount", "wait_time_seconds")
 
 
 def bronze_out(bronze: DataFrame) -> DataFrame:
+    zone = session_zone(bronze.sparkSession)
     return bronze.select(
         "kafka_key", F.hex("raw_payload").alias("raw_payload_hex"), "topic", "partition", "offset",
-        wall_clock("kafka_published_timestamp").alias("kafka_published_timestamp"))
+        wall_clock("kafka_published_timestamp", zone).alias("kafka_published_timestamp"))
 
 
 def bronze_projection_q(spark, sf_dir):

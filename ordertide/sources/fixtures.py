@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.functions.framing import build_frame
-from ordertide.functions.timefns import utc_instant, wall_clock
+from ordertide.functions.timefns import session_zone, utc_instant, wall_clock
 
 # Fixture rules for the derived order stream.
 HOT_STORE = "STORE-0001"
@@ -41,7 +41,7 @@ def _seconds(n: Column) -> Column:
 def flat_orders(events: DataFrame) -> DataFrame:
     """events -> flat orders (TIMESTAMP instants, UTC)."""
     eid, uid = F.col("event_id"), F.col("user_id")
-    placed = utc_instant(F.col("ts"))
+    placed = utc_instant(F.col("ts"), zone=session_zone(events.sparkSession))
     channel = F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v))
                            for k, v in CHANNEL_BY_EVENT.items()], F.lit("IN_STORE_POS"))
     return events.select(
@@ -69,10 +69,10 @@ def _json_str(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit('"'), c, F.lit('"')), F.lit("null"))
 
 
-def _iso(ts: Column) -> Column:
+def _iso(ts: Column, zone: str) -> Column:
     """ISO-8601 UTC text of an instant (formatted from the UTC wall clock, so
     the session time zone does not matter)."""
-    return F.date_format(wall_clock(ts), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    return F.date_format(wall_clock(ts, zone), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def _money(c: Column) -> Column:
@@ -82,8 +82,9 @@ def _money(c: Column) -> Column:
 def order_body(o: DataFrame) -> Column:
     """JSON text of one order (fixed field order and number format)."""
     eid = F.col("event_id")
+    zone = session_zone(o.sparkSession)
     schema_id = F.when(eid % 2 == 0, F.lit(SCHEMA_V1)).otherwise(F.lit(SCHEMA_V2))
-    placed = F.when(eid % 1000 == BAD_PLACED, F.lit("junk")).otherwise(_iso(F.col("order_placed_timestamp")))
+    placed = F.when(eid % 1000 == BAD_PLACED, F.lit("junk")).otherwise(_iso(F.col("order_placed_timestamp"), zone))
     store = F.when(eid % 1000 == BAD_STORE, F.lit(None).cast("string")).otherwise(F.col("store_id"))
     modifiers = F.when(eid % 3 == 0, F.lit('[{"syrup_name":"Vanilla","pumps":2}]')).otherwise(F.lit("[]"))
     items = F.when(F.col("transaction_amount").isNull(), F.lit("[]")).otherwise(F.concat(
@@ -98,7 +99,7 @@ def order_body(o: DataFrame) -> Column:
         F.lit(',"customer_id":'), _json_str(F.col("customer_id")),
         F.lit(',"channel":'), _json_str(F.col("channel")),
         F.lit(',"order_placed_timestamp":'), _json_str(placed),
-        F.lit(',"order_fulfilled_timestamp":'), _json_str(_iso(F.col("order_fulfilled_timestamp"))),
+        F.lit(',"order_fulfilled_timestamp":'), _json_str(_iso(F.col("order_fulfilled_timestamp"), zone)),
         F.lit(',"transaction_amount":'), _money(F.col("transaction_amount")),
         F.lit(',"items":'), items,
         F.lit(',"payment":{"primary_tender":"CARD","split_tender":[]}'),
