@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.functions.ordercols import wait_seconds
-from ordertide.functions.timefns import parse_timestamp
+from ordertide.functions.timefns import parse_timestamp, session_zone, wall_clock
 from ordertide.params import PipelineParams
 
 PLACED = "order_placed_timestamp"
 FULFILLED = "order_fulfilled_timestamp"
 
 
-def bronze_projection(raw: DataFrame, stamp: bool = True) -> DataFrame:
-    """C1 (+C6): raw log columns -> bronze columns, payload kept as bytes."""
+def bronze_projection(raw: DataFrame, stamp: bool = True,
+                      partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """C1 (+C6): raw log columns -> bronze columns, payload kept as bytes.
+
+    ``partition_by=("published_date",)`` adds the UTC publication date, the
+    partition column that lets replays prune the audit table by time.
+    """
     cols = [
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").alias("raw_payload"),
@@ -25,6 +30,9 @@ def bronze_projection(raw: DataFrame, stamp: bool = True) -> DataFrame:
     ]
     if stamp:
         cols.append(F.current_timestamp().alias("bronze_ingestion_timestamp"))
+    if "published_date" in partition_by:
+        zone = session_zone(raw.sparkSession)
+        cols.append(F.to_date(wall_clock(F.col("timestamp"), zone)).alias("published_date"))
     return raw.select(*cols)
 
 

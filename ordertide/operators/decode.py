@@ -132,14 +132,15 @@ def decode_by_schema_id(df: DataFrame, schemas: Mapping[int, T.StructType] | Non
 
 
 def decode(df: DataFrame, params: PipelineParams, keep: Iterable[str] = (),
-           fields: Iterable[str] | None = None) -> DataFrame:
-    """Decoder choice by parameter."""
+           fields: Iterable[str] | None = None, value_col: str = "value") -> DataFrame:
+    """Decoder choice by parameter (``value_col``: "raw_payload" on bronze)."""
     if params.decode == "fixed":
         schema = prune_schema(ORDER_EVENT, fields) if params.body_format == "json" else ORDER_EVENT
-        return decode_fixed(df, schema, params.body_format, params.parse_mode, keep=keep)
+        return decode_fixed(df, schema, params.body_format, params.parse_mode, value_col=value_col,
+                            keep=keep)
     if params.decode == "by_schema_id":
-        return decode_by_schema_id(df, None, params.body_format, params.parse_mode, keep=keep,
-                                   fields=fields)
+        return decode_by_schema_id(df, None, params.body_format, params.parse_mode,
+                                   value_col=value_col, keep=keep, fields=fields)
     raise ValueError(f"unknown decoder {params.decode!r}")
 
 

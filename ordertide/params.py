@@ -54,6 +54,9 @@ class PipelineParams:
     silver_checkpoint: str | None = None
     silver_table: str | None = None
     silver_partition_by: tuple[str, ...] = ("store_id",)
+    # () = unpartitioned audit table; ("published_date",) adds the UTC date of
+    # publication as a partition column so replays prune by time
+    bronze_partition_by: tuple[str, ...] = ()
     trigger_available_now: bool = False
     trigger_processing_time: str = "10 seconds"
     bronze_query_name: str = "orders_bronze_ingest"
@@ -81,8 +84,9 @@ class PipelineParams:
                 flat[key] = value
         names = {f.name for f in dataclasses.fields(cls)}
         kwargs = {k: v for k, v in flat.items() if k in names}
-        if "silver_partition_by" in kwargs:
-            kwargs["silver_partition_by"] = tuple(kwargs["silver_partition_by"] or ())
+        for key in ("silver_partition_by", "bronze_partition_by"):
+            if key in kwargs:
+                kwargs[key] = tuple(kwargs[key] or ())
         for key in ("fail_on_data_loss", "trigger_available_now", "exact"):
             if isinstance(kwargs.get(key), str):
                 kwargs[key] = kwargs[key].strip().lower() == "true"

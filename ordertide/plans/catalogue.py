@@ -19,13 +19,13 @@ from ordertide.operators import metrics as M
 from ordertide.operators import profiles as P
 from ordertide.operators.curate import FULFILLED, PLACED, bronze_projection, curate_orders
 from ordertide.operators.decode import (
-    decode_by_schema_id, decode_fixed, encode_frames, split_frame, superset_schema,
+    decode, decode_by_schema_id, decode_fixed, encode_frames, split_frame, superset_schema,
 )
 from ordertide.params import PRODUCTION, PipelineParams
 from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2
 from ordertide.session import fresh_dir
 from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
-from ordertide.sources.tables import read_result, read_table
+from ordertide.sources.tables import read_bronze, read_result, read_table
 from ordertide.streaming.sinks import METRIC_INPUTS, silver_frame
 
 # recommended plan: one-stage aggregate (see PipelineParams.salt_factor)
@@ -214,6 +214,17 @@ def dashboard_silver(spark, sf_dir):
     return P.dashboard(metrics_out(silver))
 
 
+def bronze_replay_metrics(spark, sf_dir):
+    """Silver metrics recomputed in batch from the audit table (written
+    partitioned by publication date, then read back and decoded)."""
+    path = fresh_dir(spark, "bronze-batch")
+    (bronze_projection(log(spark, sf_dir), partition_by=("published_date",))
+     .write.partitionBy("published_date").mode("errorifexists").parquet(path))
+    bronze = read_bronze(spark, path=path)
+    parsed = decode(bronze, PARAMS, fields=METRIC_INPUTS, value_col="raw_payload")
+    return metrics_out(M.store_metrics(curate_orders(parsed), PARAMS))
+
+
 def bronze_latest(spark, sf_dir):
     return bronze_out(P.latest_bronze(bronze_projection(log(spark, sf_dir), stamp=False), 20))
 
@@ -274,6 +285,7 @@ QUERIES: dict[str, Query] = {
     "stream_store_metrics_salted": stream_store_metrics_salted,
     "dashboard_silver": dashboard_silver,
     "bronze_latest": bronze_latest,
+    "bronze_replay_metrics": bronze_replay_metrics,
     "skew_profile": skew_profile,
     "lateness_profile": lateness_profile,
     "channel_profile": channel_profile,

@@ -186,6 +186,7 @@ SELECT order_id, TRUE AS ok FROM o WHERE event_id % 1000 NOT IN (3, 4)""",
     "stream_store_metrics": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
     "stream_store_metrics_salted": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
     "dashboard_silver": FLAGSHIP_SQL,
+    "bronze_replay_metrics": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID),
     "bronze_latest": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE
         + "\nORDER BY kafka_published_timestamp DESC, partition ASC, \"offset\" ASC LIMIT 20",
     "skew_profile": _with(ORDERS) + """g AS (SELECT store_id, count(*) AS n FROM o GROUP BY store_id)

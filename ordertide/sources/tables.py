@@ -39,3 +39,33 @@ def read_result(spark: SparkSession, table: str | None = None, path: str | None
     if not path:
         raise ValueError("need a table name or a path")
     return spark.read.format(fmt).load(path)
+
+
+def read_bronze(spark: SparkSession, table: str | None = None, path: str | None = None,
+                fmt: str = "parquet", since=None, until=None) -> DataFrame:
+    """The audit table for a replay, optionally limited to ``[since, until)``
+    publish time (datetimes in UTC). The bounds become partition filters on
+    ``published_date`` (when the table has it) and pushed-down Parquet filters
+    on ``kafka_published_timestamp``."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    def utc(t):
+        if isinstance(t, dt.datetime) and t.tzinfo is None:
+            return t.replace(tzinfo=dt.timezone.utc)
+        return t
+
+    since, until = utc(since), utc(until)
+    df = read_result(spark, table, path, fmt)
+    has_date = "published_date" in df.columns
+    ts = F.col("kafka_published_timestamp")
+    if since is not None:
+        df = df.filter(ts >= F.lit(since).cast("timestamp"))
+        if has_date:
+            df = df.filter(F.col("published_date") >= F.lit(since.astimezone(dt.timezone.utc).date()))
+    if until is not None:
+        df = df.filter(ts < F.lit(until).cast("timestamp"))
+        if has_date:
+            df = df.filter(F.col("published_date") <= F.lit(until.astimezone(dt.timezone.utc).date()))
+    return df

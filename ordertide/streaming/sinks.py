@@ -39,12 +39,14 @@ def start_writer(writer: DataStreamWriter, table: str | None, path: str | None)
 
 def bronze_stream(raw: DataFrame, params: PipelineParams) -> StreamingQuery:
     """Raw rows appended unchanged (plus ingestion time) to the audit table."""
-    writer = (bronze_projection(raw).writeStream
+    writer = (bronze_projection(raw, partition_by=params.bronze_partition_by).writeStream
               .queryName(params.bronze_query_name)                 # W10
               .format(params.sink_format)
               .outputMode("append")
               .option("checkpointLocation", params.bronze_checkpoint)
               .option("mergeSchema", "true"))                      # S11
+    if params.bronze_partition_by and not params.bronze_table:
+        writer = writer.partitionBy(*params.bronze_partition_by)
     return start_writer(configure_trigger(writer, params), params.bronze_table, params.bronze_path)
 
 

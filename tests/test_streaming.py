@@ -214,3 +214,14 @@ def test_one_stage_silver_supports_update_mode(spark, tmp):
     assert q.exception() is None
     # update mode emits every changed (window, store) row in the data batch
     assert q.recentProgress[0]["sink"]["numOutputRows"] > 0
+
+
+def test_bronze_stream_partitioned_by_publish_date(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=1)
+    p = pipeline_params(tmp, bronze_partition_by=("published_date",))
+    q = bronze_stream(log_source(spark, p, path), p)
+    q.awaitTermination()
+    days = [d for d in os.listdir(p.bronze_path) if d.startswith("published_date=")]
+    assert len(days) >= 28
+    assert spark.read.parquet(p.bronze_path).count() == spark.read.parquet(path).count()

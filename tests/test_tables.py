@@ -74,3 +74,20 @@ def test_batch_silver_written_partitioned(spark, tmp):
     assert os.path.isdir(f"{tmp}/silver/store_id=STORE-0001")
     back = read_result(spark, path=f"{tmp}/silver")
     assert set(back.columns) == {n for n, _, _ in SILVER_COLUMNS}
+
+
+def test_bronze_replay_prunes_by_publish_time(spark, tmp):
+    import datetime as dt
+    from ordertide.sources.tables import read_bronze
+
+    raw = raw_log(flat_orders(read_table(spark, SF001, "events")))
+    bronze_projection(raw, partition_by=("published_date",)).write.partitionBy("published_date") \
+        .parquet(f"{tmp}/bronze")
+    since, until = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12, 6)
+    df = read_bronze(spark, path=f"{tmp}/bronze", since=since, until=until)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(published_date" in plan
+    assert "GreaterThanOrEqual(kafka_published_timestamp" in plan
+    expected = raw.filter((F.col("timestamp") >= F.lit(since).cast("timestamp"))
+                          & (F.col("timestamp") < F.lit(until).cast("timestamp"))).count()
+    assert df.count() == expected > 0
