@@ -40,6 +40,7 @@ HEADLINE = [
     "order_total_check",
     "item_lines",
     "bronze_latest",
+    "bronze_replay_metrics",     # audit table written by publish date, decoded, metrics
 ]
 
 

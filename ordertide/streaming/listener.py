@@ -51,6 +51,13 @@ class ProgressLog(StreamingQueryListener):
     def onQueryIdle(self, event) -> None:
         self.events.append({"kind": "idle", "id": str(event.id)})
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """Captured progress events as rows (query, batch, input rows, rate, watermark)."""
+        rows = [(e["name"], e["batch"], e["rows"], e["rate"], e["watermark"])
+                for e in self.events if e["kind"] == "progress"]
+        return spark.createDataFrame(rows, "query_name STRING, batch_id BIGINT, input_rows BIGINT, "
+                                           "rows_per_second DOUBLE, watermark STRING")
+
     def onQueryTerminated(self, event) -> None:
         self.events.append({"kind": "terminated", "id": str(event.id), "error": event.exception})
         if event.exception:

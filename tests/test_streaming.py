@@ -189,7 +189,7 @@ def test_update_mode_rejected_for_salted_plan(spark, tmp):
         silver_stream(log_source(spark, p, path), p, output_mode="update")
 
 
-def test_listener_records_events():
+def test_listener_records_events(spark):
     class Ev:
         def __init__(self, **kw):
             self.__dict__.update(kw)
@@ -202,6 +202,8 @@ def test_listener_records_events():
     log.onQueryTerminated(Ev(id="1", exception=None))
     assert [e["kind"] for e in log.events] == ["started", "progress", "idle", "terminated"]
     assert log.events[1]["rate"] is None and log.events[1]["watermark"] is None
+    rows = log.frame(spark).collect()
+    assert len(rows) == 1 and rows[0]["input_rows"] == 5 and rows[0]["query_name"] == "q"
 
 
 def test_one_stage_silver_supports_update_mode(spark, tmp):
