@@ -58,7 +58,7 @@ def stream_microbatches(spark, sf_dir: str, n_files: int = 20) -> dict:
     """The streaming job (bronze + silver fan-out) over the log split into
     ``n_files`` publish-time slices, one file per micro-batch."""
     from pyspark.sql import functions as F
-    from ordertide.pipeline import start
+    from ordertide.job import start
 
     base = tempfile.mkdtemp(prefix="ordertide-bench-stream-")
     log = C.log(spark, sf_dir)

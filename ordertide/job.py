@@ -1,6 +1,6 @@
 """Job entry: parameters -> session -> log source -> bronze + silver queries -> wait.
 
-usage: python -m ordertide.pipeline [params.json] [log path for file sources]
+usage: python -m ordertide.job [params.json] [log path for file sources]
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@ import json
 import os
 
 from ordertide.params import PRODUCTION, SERVERLESS, SMALL, PipelineParams
-from ordertide.pipeline import main
+from ordertide.job import main
 from ordertide.sources.fixtures import flat_orders, raw_log
 from ordertide.sources.tables import read_table
 
