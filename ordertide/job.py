@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ordertide.params import PRODUCTION, PipelineParams
 from ordertide.session import build_session
 from ordertide.sources.log_source import log_source
-from ordertide.streaming.sinks import await_all, run_pipeline
+from ordertide.streaming.sinks import await_all, start_bronze_and_silver
 from ordertide.streaming.tables import provision
 
 log = logging.getLogger("ordertide")
@@ -28,7 +28,7 @@ def start(spark: SparkSession, params: PipelineParams,
                   fmt=params.sink_format, catalog=params.catalog,
                   silver_partition_by=params.silver_partition_by)
     raw = log_source(spark, params, log_path)
-    return run_pipeline(raw, params)
+    return start_bronze_and_silver(raw, params)
 
 
 def _leaf(name: str | None) -> str | None:

@@ -76,7 +76,7 @@ def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "ap
     return start_writer(configure_trigger(writer, params), params.silver_table, params.silver_path)
 
 
-def run_pipeline(raw: DataFrame, params: PipelineParams) -> tuple[StreamingQuery, StreamingQuery]:
+def start_bronze_and_silver(raw: DataFrame, params: PipelineParams) -> tuple[StreamingQuery, StreamingQuery]:
     """One source feeds two independent queries."""
     return bronze_stream(raw, params), silver_stream(raw, params)
 

@@ -14,7 +14,7 @@ from ordertide.operators import metrics as M
 from ordertide.operators.curate import curate_orders, with_event_watermark
 from ordertide.params import PipelineParams
 from ordertide.streaming.listener import ProgressLog, progress_frame
-from ordertide.streaming.sinks import bronze_stream, run_pipeline, silver_stream
+from ordertide.streaming.sinks import bronze_stream, start_bronze_and_silver, silver_stream
 from ordertide.sources.fixtures import flat_orders, raw_log
 from ordertide.sources.tables import read_table
 
@@ -139,7 +139,7 @@ def test_fan_out_bronze_and_silver(spark, tmp):
     path = _log_files(spark, tmp)
     p = pipeline_params(tmp)
     raw = log_source(spark, p, path)
-    bq, sq = run_pipeline(raw, p)
+    bq, sq = start_bronze_and_silver(raw, p)
     bq.awaitTermination(); sq.awaitTermination()
     assert bq.exception() is None and sq.exception() is None
     assert bq.name == p.bronze_query_name and sq.name == p.silver_query_name
