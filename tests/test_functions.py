@@ -67,3 +67,13 @@ def test_time_conversions_ignore_session_zone(spark):
             assert r["back"] == r["parsed"] == dt.datetime(2024, 1, 1, 0, 12, 3, 5), zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_parse_timestamp_accepts_offsets_and_never_fails(spark):
+    from ordertide.functions.timefns import parse_timestamp
+    texts = ["2024-01-01T08:00:00.123456+00:00", "2024-01-01T03:00:00.123456-05:00",
+             "2024-01-01T08:00:00.123456Z", "junk", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(F.unix_micros(parse_timestamp("t"))).collect()]
+    assert got[0] == got[1] == got[2] == 1704096000123456
+    assert got[3:] == [None, None, None]
