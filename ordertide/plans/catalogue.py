@@ -26,7 +26,7 @@ from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2
 from ordertide.session import fresh_dir
 from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
 from ordertide.sources.tables import read_bronze, read_result, read_table
-from ordertide.streaming.sinks import METRIC_INPUTS, silver_frame
+from ordertide.streaming.sinks import METRIC_INPUTS, by_output_partition, silver_frame
 
 # recommended plan: one-stage aggregate (see PipelineParams.salt_factor)
 PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet", salt_factor=None)
@@ -195,7 +195,8 @@ def stream_bronze(spark, sf_dir):
 
 def stream_store_metrics(spark, sf_dir, params: PipelineParams = PARAMS):
     raw = log(spark, sf_dir, streaming=True)
-    silver = drain(silver_frame(raw, params, stamp=True), "silver", partition_by=("store_id",))
+    silver = drain(by_output_partition(silver_frame(raw, params, stamp=True), ["store_id"]), "silver",
+                   partition_by=("store_id",))
     return metrics_out(silver.select(*METRIC_COLUMNS))
 
 
@@ -208,8 +209,8 @@ def stream_store_metrics_salted(spark, sf_dir):
 
 def dashboard_silver(spark, sf_dir):
     path = fresh_dir(spark, "silver-batch")
-    M.store_metrics(curated(spark, sf_dir), PARAMS, stamp=True).write \
-        .partitionBy("store_id").mode("errorifexists").parquet(path)
+    silver = by_output_partition(M.store_metrics(curated(spark, sf_dir), PARAMS, stamp=True), ["store_id"])
+    silver.write.partitionBy("store_id").mode("errorifexists").parquet(path)
     silver = read_result(spark, path=path).select(*METRIC_COLUMNS)
     return P.dashboard(metrics_out(silver))
 

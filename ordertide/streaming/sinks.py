@@ -56,6 +56,17 @@ def silver_frame(raw: DataFrame, params: PipelineParams, stamp: bool = True) ->
     return store_metrics(curated, params, stamp=stamp)
 
 
+def by_output_partition(df: DataFrame, partition_by) -> DataFrame:
+    """Groups rows by the sink's partition columns before a partitioned write.
+
+    Aggregates come out hash-partitioned by (window, store); written as is,
+    every task would add a file to every store folder (stores x tasks files
+    per batch). The finalized rows are few, so this small shuffle makes one
+    file per store folder per batch.
+    """
+    return df.repartition(*partition_by)
+
+
 def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "append") -> StreamingQuery:
     """S9 + W4/W5: finalized windows appended once the watermark passes their end.
 
@@ -65,14 +76,18 @@ def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "ap
     if params.salted and output_mode != "append":
         raise ValueError("the two-stage (salted) aggregation supports append mode only; "
                          "set salt_factor=None for update mode")
-    writer = (silver_frame(raw, params).writeStream
+    silver = silver_frame(raw, params)
+    partition_by = params.silver_partition_by if not params.silver_table else ()
+    if partition_by:
+        silver = by_output_partition(silver, partition_by)
+    writer = (silver.writeStream
               .queryName(params.silver_query_name)
               .format(params.sink_format)
               .outputMode(output_mode)
               .option("checkpointLocation", params.silver_checkpoint)
               .option("mergeSchema", "true"))
-    if params.silver_partition_by and not params.silver_table:
-        writer = writer.partitionBy(*params.silver_partition_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return start_writer(configure_trigger(writer, params), params.silver_table, params.silver_path)
 
 

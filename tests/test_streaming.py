@@ -227,3 +227,16 @@ def test_bronze_stream_partitioned_by_publish_date(spark, tmp):
     days = [d for d in os.listdir(p.bronze_path) if d.startswith("published_date=")]
     assert len(days) >= 28
     assert spark.read.parquet(p.bronze_path).count() == spark.read.parquet(path).count()
+
+
+def test_partitioned_silver_writes_one_file_per_store_per_batch(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=3)
+    p = pipeline_params(tmp, salt_factor=None)
+    q = silver_stream(log_source(spark, p, path), p)
+    q.awaitTermination()
+    writing = len(q.recentProgress)          # file sinks do not report output rows
+    for d in os.listdir(p.silver_path):
+        if d.startswith("store_id="):
+            files = [f for f in os.listdir(os.path.join(p.silver_path, d)) if f.endswith(".parquet")]
+            assert 1 <= len(files) <= writing, d
