@@ -205,6 +205,39 @@ def stream_store_metrics_salted(spark, sf_dir):
     return stream_store_metrics(spark, sf_dir, SALTED)
 
 
+LAGGING_PARTITION = 3
+REPLAY_SLICES = 3
+
+
+def stream_lagging_partition(spark, sf_dir):
+    """W6 on the given data: the log arrives in publish-time slices, each
+    drained by an ``availableNow`` run of the same silver query (one
+    checkpoint), while log partition 3 lags and arrives last. The watermark is
+    global, so the lagging rows whose window it has already closed are dropped
+    and the rest are counted; windows still open at the end stay unwritten."""
+    base = fresh_dir(spark, "lagging")
+    raw_log_df = log(spark, sf_dir)
+    micros = F.unix_micros("timestamp")
+    lo, hi = raw_log_df.agg(F.min(micros), F.max(micros)).first()
+    step = (hi - lo) // REPLAY_SLICES + 1
+    slice_no = F.call_function("div", micros - F.lit(lo), F.lit(step))
+    lagging = F.col("partition") == LAGGING_PARTITION
+    arrivals = [raw_log_df.filter(~lagging & (slice_no == k)) for k in range(REPLAY_SLICES)]
+    arrivals.append(raw_log_df.filter(lagging))
+    schema = raw_log_df.schema
+    for arrival in arrivals:                     # one delivery, then one drain run
+        arrival.write.mode("append").parquet(f"{base}/log")
+        raw = spark.readStream.schema(schema).parquet(f"{base}/log")
+        silver = by_output_partition(silver_frame(raw, PARAMS, stamp=True), ["store_id"])
+        query = (silver.writeStream.format("parquet").outputMode("append")
+                 .option("checkpointLocation", f"{base}/_checkpoint").partitionBy("store_id")
+                 .trigger(availableNow=True).start(f"{base}/silver"))
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+    return metrics_out(spark.read.parquet(f"{base}/silver").select(*METRIC_COLUMNS))
+
+
 # ---------------------------------------------------- dashboard views ----
 
 def dashboard_silver(spark, sf_dir):
@@ -284,6 +317,7 @@ QUERIES: dict[str, Query] = {
     "stream_bronze": stream_bronze,
     "stream_store_metrics": stream_store_metrics,
     "stream_store_metrics_salted": stream_store_metrics_salted,
+    "stream_lagging_partition": stream_lagging_partition,
     "dashboard_silver": dashboard_silver,
     "bronze_latest": bronze_latest,
     "bronze_replay_metrics": bronze_replay_metrics,

@@ -98,6 +98,20 @@ SELECT ws AS window_start, ws + INTERVAL '{window}' AS window_end, store_id,
 FROM g{limit}"""
 
 
+# lagging log partition (W6): rows of partition 3 arrive after all others; one
+# is dropped when its window ends at or before the watermark the on-time rows
+# left (ms-truncated max placed time - 15 min). On-time rows are never late here
+# (publication lags placement by under 13 minutes, the delay is 15).
+LAGGING = f"""r AS (SELECT c.*, user_id % 4 AS part FROM c WHERE {VALID}),
+lim AS (
+  SELECT date_trunc('millisecond', max(placed) FILTER (WHERE part <> 3)) - INTERVAL '15 minutes' AS late_wm,
+         date_trunc('millisecond', max(placed)) - INTERVAL '15 minutes' AS end_wm
+  FROM r),
+k AS (
+  SELECT r.* FROM r, lim
+  WHERE part <> 3 OR time_bucket(INTERVAL '5 minutes', placed) + INTERVAL '5 minutes' > late_wm)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + ",\n"
 
@@ -185,6 +199,8 @@ SELECT order_id, TRUE AS ok FROM o WHERE event_id % 1000 NOT IN (3, 4)""",
     "stream_bronze": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE,
     "stream_store_metrics": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
     "stream_store_metrics_salted": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
+    "stream_lagging_partition": _with(ORDERS, CURATED, LAGGING) + _metrics("5 minutes", src="k").replace(
+        "FROM g", "FROM g WHERE ws + INTERVAL '5 minutes' <= (SELECT end_wm FROM lim)"),
     "dashboard_silver": FLAGSHIP_SQL,
     "bronze_replay_metrics": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID),
     "bronze_latest": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE

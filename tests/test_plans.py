@@ -7,7 +7,7 @@ import pytest
 from ordertide.plans.catalogue import QUERIES
 from tests.conftest import SF001
 
-STREAMING = {"stream_bronze", "stream_store_metrics", "stream_store_metrics_salted"}
+STREAMING = {"stream_bronze", "stream_store_metrics", "stream_store_metrics_salted", "stream_lagging_partition"}
 
 
 def plan(spark, name):
