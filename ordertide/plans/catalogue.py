@@ -23,7 +23,7 @@ from ordertide.operators.decode import (
 )
 from ordertide.params import PRODUCTION, PipelineParams
 from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2
-from ordertide.session import fresh_dir
+from ordertide.session import fresh_dir, streaming_session
 from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
 from ordertide.sources.tables import read_bronze, read_result, read_table
 from ordertide.streaming.sinks import METRIC_INPUTS, by_output_partition, silver_frame
@@ -189,11 +189,13 @@ def frame_round_trip(spark, sf_dir):
 # ------------------------------------------------------------ streaming ----
 
 def stream_bronze(spark, sf_dir):
+    spark = streaming_session(spark)
     raw = log(spark, sf_dir, streaming=True)
     return bronze_out(drain(bronze_projection(raw), "bronze"))
 
 
 def stream_store_metrics(spark, sf_dir, params: PipelineParams = PARAMS):
+    spark = streaming_session(spark)
     raw = log(spark, sf_dir, streaming=True)
     silver = drain(by_output_partition(silver_frame(raw, params, stamp=True), ["store_id"]), "silver",
                    partition_by=("store_id",))
@@ -215,6 +217,7 @@ def stream_lagging_partition(spark, sf_dir):
     checkpoint), while log partition 3 lags and arrives last. The watermark is
     global, so the lagging rows whose window it has already closed are dropped
     and the rest are counted; windows still open at the end stay unwritten."""
+    spark = streaming_session(spark)
     base = fresh_dir(spark, "lagging")
     raw_log_df = log(spark, sf_dir)
     micros = F.unix_micros("timestamp")

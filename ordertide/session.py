@@ -44,6 +44,27 @@ def apply_state_store(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+def streaming_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+    """A child session (same context, own SQL conf) for running a stream.
+
+    A stateful query keeps ``spark.sql.shuffle.partitions`` state partitions
+    for its whole life, so it is sized here, without changing the caller's
+    session: at most twice the cluster's default parallelism, never more than
+    the caller's setting. Time zone and state store follow the library's setup.
+    """
+    child = spark.newSession()
+    if partitions is None:
+        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            partitions = max(1, min(current, 2 * spark.sparkContext.defaultParallelism))
+        except Exception:  # noqa: BLE001 - no context access (e.g. remote sessions)
+            partitions = current
+    child.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    apply_state_store(child)
+    return child
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
