@@ -3,7 +3,7 @@
 These restate the semantics independently of Spark: fixture mappings as CTEs,
 integer arithmetic for the half-up averages, plain GROUP BY / JOIN. Streaming
 plans compare against their batch twin restricted to windows the watermark
-has closed. ``salt_spread`` has no twin (Murmur3 is Spark's hash).
+has closed. ``salt_spread`` restates Spark's string hash (Murmur3) in SQL.
 """
 
 from __future__ import annotations
@@ -112,6 +112,38 @@ k AS (
   WHERE part <> 3 OR time_bucket(INTERVAL '5 minutes', placed) + INTERVAL '5 minutes' > late_wm)"""
 
 
+# Spark's hash() of a string: Murmur3 x86 32-bit, seed 42, over the UTF-8 bytes
+# (order ids are ASCII): 4-byte little-endian blocks, then one mixing round per
+# remaining byte, then the final mix. 32-bit words are kept as BIGINT in
+# [0, 2^32); products go through HUGEINT before the modulo.
+MURMUR3 = """mk AS (
+  SELECT order_id, strlen(order_id) AS n,
+    list_transform(range(0, strlen(order_id) // 4), lambda j:
+        CAST(ascii(order_id[4*j+1]) + ascii(order_id[4*j+2]) * 256
+             + ascii(order_id[4*j+3]) * 65536 + ascii(order_id[4*j+4]) * 16777216 AS BIGINT))
+    || list_transform(range(4 * (strlen(order_id) // 4), strlen(order_id)),
+                      lambda i: CAST(ascii(order_id[i+1]) AS BIGINT)) AS ks
+  FROM c),
+mm AS (
+  SELECT order_id, n, list_transform(ks, lambda k:
+      CAST((CAST((((CAST((CAST(k AS HUGEINT) * 3432918353) % 4294967296 AS BIGINT) << 15)
+                 | (CAST((CAST(k AS HUGEINT) * 3432918353) % 4294967296 AS BIGINT) >> 17)) & 4294967295)
+            AS HUGEINT) * 461845907) % 4294967296 AS BIGINT)) AS k1s
+  FROM mk),
+mh AS (
+  SELECT order_id, n, list_reduce(k1s, lambda h, k1:
+      ((((xor(h, k1) << 13) | (xor(h, k1) >> 19)) & 4294967295) * 5 + 3864292196) % 4294967296,
+      CAST(42 AS BIGINT)) AS h
+  FROM mm),
+f1 AS (SELECT order_id, xor(h, n) AS h FROM mh),
+f2 AS (SELECT order_id, xor(h, h >> 16) AS h FROM f1),
+f3 AS (SELECT order_id, CAST((CAST(h AS HUGEINT) * 2246822507) % 4294967296 AS BIGINT) AS h FROM f2),
+f4 AS (SELECT order_id, xor(h, h >> 13) AS h FROM f3),
+f5 AS (SELECT order_id, CAST((CAST(h AS HUGEINT) * 3266489909) % 4294967296 AS BIGINT) AS h FROM f4),
+f6 AS (SELECT order_id, xor(h, h >> 16) AS h FROM f5),
+hashed AS (SELECT order_id, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS hs FROM f6)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + ",\n"
 
@@ -160,6 +192,8 @@ SELECT time_bucket(INTERVAL '5 minutes', placed) AS window_start, store_id,
 FROM c GROUP BY 1, 2""",
     "null_amount_metrics": _with(ORDERS, CURATED) + _metrics(
         "5 minutes", extra=",\n       nulls AS null_amount_count", having="HAVING count(*) - count(amount) > 0"),
+    "salt_spread": _with(ORDERS, CURATED, MURMUR3) + """g AS (SELECT 1 AS x)
+SELECT CAST(((hs % 16) + 16) % 16 AS INTEGER) AS salt, count(*) AS n FROM hashed GROUP BY 1""",
     "wait_time": _with(ORDERS, CURATED) + """g AS (SELECT 1 AS x)
 SELECT order_id, wait AS wait_time_seconds FROM c""",
     "curate_orders": _with(ORDERS, CURATED) + f"""g AS (SELECT 1 AS x)

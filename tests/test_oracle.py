@@ -43,8 +43,8 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_an_oracle_but_salt_spread():
-    assert set(queries()) - set(oracle_sql()) == {"salt_spread"}
+def test_every_query_has_an_oracle():
+    assert set(queries()) == set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
