@@ -182,7 +182,8 @@ def salting_parity(curated: DataFrame, params: PipelineParams, tolerance: float
 
 def partials_invariants(curated: DataFrame, params: PipelineParams) -> DataFrame:
     """A1 invariants: per (window, store), Σ partial counts and Σ partial cents
-    equal the direct totals, and at most ``salt_factor`` salts in [0, N) exist."""
+    equal the direct totals; ``n_salts`` stage-1 rows exist, all with a salt
+    in [0, N)."""
     n = params.salt_factor or 1
     p = params.replace(exact=True)
     return (salted_partials(curated, p)
@@ -192,7 +193,7 @@ def partials_invariants(curated: DataFrame, params: PipelineParams) -> DataFrame
                 F.count(F.lit(1)).alias("n_salts"),
                 F.min("salt").alias("min_salt"), F.max("salt").alias("max_salt"))
             .select(F.col("window.start").alias("window_start"), "store_id", "order_count",
-                    "amount_cents",
+                    "amount_cents", "n_salts",
                     ((F.col("n_salts") <= n) & (F.col("min_salt") >= 0) & (F.col("max_salt") < n))
                     .alias("salts_ok")))
 

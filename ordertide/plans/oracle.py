@@ -184,12 +184,13 @@ FROM g""",
     "salting_parity": _with(ORDERS, CURATED) + """g AS (
   SELECT 1 AS x FROM c GROUP BY time_bucket(INTERVAL '5 minutes', placed), store_id)
 SELECT count(*) AS groups, CAST(0 AS BIGINT) AS mismatches FROM g""",
-    "partials_invariants": _with(ORDERS, CURATED) + """g AS (SELECT 1 AS x)
+    "partials_invariants": _with(ORDERS, CURATED, MURMUR3) + """g AS (SELECT 1 AS x)
 SELECT time_bucket(INTERVAL '5 minutes', placed) AS window_start, store_id,
        count(*) AS order_count,
        CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS amount_cents,
+       count(DISTINCT ((hs % 16) + 16) % 16) AS n_salts,
        TRUE AS salts_ok
-FROM c GROUP BY 1, 2""",
+FROM c JOIN hashed USING (order_id) GROUP BY 1, 2""",
     "null_amount_metrics": _with(ORDERS, CURATED) + _metrics(
         "5 minutes", extra=",\n       nulls AS null_amount_count", having="HAVING count(*) - count(amount) > 0"),
     "salt_spread": _with(ORDERS, CURATED, MURMUR3) + """g AS (SELECT 1 AS x)
