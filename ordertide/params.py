@@ -67,6 +67,16 @@ class PipelineParams:
     catalog: str | None = None
     database: str = "store_ops"
 
+    def __post_init__(self) -> None:
+        if self.decode not in ("by_schema_id", "fixed"):
+            raise ValueError(f"decode must be 'by_schema_id' or 'fixed', not {self.decode!r}")
+        if self.body_format not in ("json", "avro"):
+            raise ValueError(f"body_format must be 'json' or 'avro', not {self.body_format!r}")
+        if self.parse_mode not in ("PERMISSIVE", "FAILFAST"):
+            raise ValueError(f"parse_mode must be 'PERMISSIVE' or 'FAILFAST', not {self.parse_mode!r}")
+        if self.salt_factor is not None and self.salt_factor < 1:
+            raise ValueError("salt_factor must be None or >= 1")
+
     def replace(self, **changes: Any) -> "PipelineParams":
         return dataclasses.replace(self, **changes)
 

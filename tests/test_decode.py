@@ -58,7 +58,9 @@ def test_decoder_choice(spark, log001):
     by_id = decode(log001, PipelineParams(decode="by_schema_id"))
     assert "loyalty_tier" not in fixed.columns and "loyalty_tier" in by_id.columns
     with pytest.raises(ValueError):
-        decode(log001, PipelineParams(decode="registry"))
+        PipelineParams(decode="registry")
+    with pytest.raises(ValueError):
+        PipelineParams(body_format="protobuf")
 
 
 def test_validity_filter_drops_malformed(spark, log001):

@@ -91,3 +91,18 @@ def test_bronze_replay_prunes_by_publish_time(spark, tmp):
     expected = raw.filter((F.col("timestamp") >= F.lit(since).cast("timestamp"))
                           & (F.col("timestamp") < F.lit(until).cast("timestamp"))).count()
     assert df.count() == expected > 0
+
+
+def test_log_source_batch_and_one_sided_ranges(spark, tmp):
+    import datetime as dt
+    from ordertide.sources.tables import read_bronze
+
+    raw = raw_log(flat_orders(read_table(spark, SF001, "events")))
+    raw.write.parquet(f"{tmp}/log")
+    p = PipelineParams(source_format="parquet")
+    assert log_source(spark, p, f"{tmp}/log", streaming=False).count() == raw.count()
+    bronze_projection(raw).write.parquet(f"{tmp}/bronze")          # unpartitioned bronze
+    cut = dt.datetime(2024, 1, 15)
+    before = read_bronze(spark, path=f"{tmp}/bronze", until=cut).count()
+    after = read_bronze(spark, path=f"{tmp}/bronze", since=cut).count()
+    assert before > 0 and after > 0 and before + after == raw.count()
