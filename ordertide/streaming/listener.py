@@ -3,7 +3,8 @@
 ``ProgressLog`` is a ``StreamingQueryListener`` that records one entry per
 event (start, progress, idle, terminated). ``progress_frame`` turns the
 progress of finished or running queries into a DataFrame (one row per batch),
-which is how the tests and the benchmark read telemetry.
+which is how the tests and the benchmark read telemetry. ``state_rows`` is only
+maintained when the RocksDB store tracks its row count (off by default here).
 """
 
 from __future__ import annotations
