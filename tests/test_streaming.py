@@ -240,3 +240,24 @@ def test_partitioned_silver_writes_one_file_per_store_per_batch(spark, tmp):
         if d.startswith("store_id="):
             files = [f for f in os.listdir(os.path.join(p.silver_path, d)) if f.endswith(".parquet")]
             assert 1 <= len(files) <= writing, d
+
+
+def test_chained_aggregation_stage_two_holds_no_state(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    key = "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"
+    path = _log_files(spark, tmp, parts=2)
+    p = pipeline_params(tmp, salt_factor=4)
+    old = spark.conf.get(key)
+    spark.conf.set(key, "true")                  # row counts for this check only
+    try:
+        q = silver_stream(log_source(spark, p, path), p)
+        q.awaitTermination()
+    finally:
+        spark.conf.set(key, old)
+    assert q.exception() is None
+    for prog in q.recentProgress:
+        stage2, stage1 = prog["stateOperators"]
+        assert stage2["numRowsTotal"] == 0               # finalized rows pass straight through
+    last = q.recentProgress[-1]["stateOperators"]
+    assert last[0]["numRowsUpdated"] + sum(p["stateOperators"][0]["numRowsUpdated"]
+                                           for p in q.recentProgress[:-1]) > 0
