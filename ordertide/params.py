@@ -1,7 +1,8 @@
 """Pipeline parameters (sources, decoder, windows, salting, sinks).
 
 One frozen dataclass replaces the nested JSON config; ``from_dict`` accepts the
-nested layout (``source`` / ``decoder`` / ``sinks`` / ``tuning``) or flat keys.
+nested layout (``source`` / ``decoder`` / ``sinks`` / ``tuning``), flat keys,
+or the original job configuration's section and key names.
 """
 
 from __future__ import annotations
@@ -12,6 +13,21 @@ from dataclasses import dataclass, field
 from typing import Any, Mapping
 
 
+# Key names of the original JSON job configuration, mapped to
+# PipelineParams fields (keys that already match need no entry).
+CONFIG_ALIASES = {
+    "watermark_duration": "watermark_delay",
+    "spark_shuffle_partitions": "shuffle_partitions",
+    "bronze_table_path": "bronze_path",
+    "bronze_checkpoint_path": "bronze_checkpoint",
+    "bronze_table_name": "bronze_table",
+    "silver_table_path": "silver_path",
+    "silver_checkpoint_path": "silver_checkpoint",
+    "silver_table_name": "silver_table",
+    "mode": "parse_mode",
+}
+
+
 @dataclass(frozen=True)
 class PipelineParams:
     # --- log source (S1-S6) -------------------------------------------------
@@ -93,6 +109,11 @@ class PipelineParams:
             else:
                 flat[key] = value
         names = {f.name for f in dataclasses.fields(cls)}
+        for old, new in CONFIG_ALIASES.items():
+            if old in flat and new not in flat:
+                flat[new] = flat.pop(old)
+        if "delta_lake" in conf and "sink_format" not in flat:
+            flat["sink_format"] = "delta"
         kwargs = {k: v for k, v in flat.items() if k in names}
         for key in ("silver_partition_by", "bronze_partition_by"):
             if key in kwargs:

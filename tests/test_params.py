@@ -54,3 +54,24 @@ def test_sasl_plain_options_merge_into_source_options():
     o = log_source_options(PipelineParams(source_options=sec))
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.sasl.mechanism"] == "PLAIN"
     assert o["subscribe"] == "live_orders"
+
+
+def test_original_job_configuration_layout():
+    conf = {
+        "environment": "production",
+        "confluent_kafka": {"topic": "orders_topic", "starting_offsets": "latest", "fail_on_data_loss": "false"},
+        "schema_registry": {"subject": "orders-value", "mode": "PERMISSIVE"},
+        "delta_lake": {"bronze_table_path": "/lake/b", "bronze_checkpoint_path": "/ck/b",
+                       "silver_table_path": "/lake/s", "silver_checkpoint_path": "/ck/s",
+                       "silver_table_name": "db.silver"},
+        "tuning_parameters": {"max_offsets_per_trigger": 50000, "min_partitions": 64, "salt_factor": 16,
+                              "watermark_duration": "15 minutes", "window_duration": "5 minutes",
+                              "slide_duration": "5 minutes", "trigger_processing_time": "10 seconds",
+                              "spark_shuffle_partitions": 128},
+    }
+    p = PipelineParams.from_dict(conf)
+    assert p.topic == "orders_topic" and p.fail_on_data_loss is False
+    assert p.watermark_delay == "15 minutes" and p.shuffle_partitions == 128 and p.salt_factor == 16
+    assert (p.bronze_path, p.bronze_checkpoint, p.silver_path, p.silver_checkpoint) == (
+        "/lake/b", "/ck/b", "/lake/s", "/ck/s")
+    assert p.silver_table == "db.silver" and p.sink_format == "delta" and p.parse_mode == "PERMISSIVE"
