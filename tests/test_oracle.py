@@ -13,6 +13,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return round(v, 9)
@@ -51,9 +55,12 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF01)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    res = duck.execute(oracle_sql()[name])
-    d_cols, d_rows = [c[0] for c in res.description], res.fetchall()
+    rel = duck.sql(oracle_sql()[name])
+    d_cols, d_types, d_rows = rel.columns, [str(t) for t in rel.types], rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == dict(zip(d_cols, d_types))
     assert len(s_rows) == len(d_rows)
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
 
