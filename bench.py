@@ -3,9 +3,8 @@
 Prints ONE JSON line: {"metric", "value" (total sec), "unit", "queries"
 {name: sec}, "sf", ...}. Each plan runs fully (noop sink) after a warm-up on
 sf0.001; a plan's time is the better of two runs. "streaming_job" runs the
-bronze + silver job over the log split into 20 publish-time files, one file
-(~5,000 rows at sf0.1, the small shipped configs' per-trigger ceiling) per
-micro-batch. Shuffle bytes per plan come from Spark's event log, written to a
+bronze + silver job over the log split into publish-time files of about 5,000
+rows (the small shipped configs' per-trigger ceiling), one file per micro-batch. Shuffle bytes per plan come from Spark's event log, written to a
 fresh scratch folder and attributed to plans by job group.
 """
 
@@ -77,14 +76,19 @@ def salting_study(spark, sf_dir: str) -> dict:
     return out
 
 
-def stream_microbatches(spark, sf_dir: str, n_files: int = 20) -> dict:
+BATCH_ROWS = 5000   # per-trigger ceiling of the small shipped configurations
+
+
+def stream_microbatches(spark, sf_dir: str, n_files: int | None = None) -> dict:
     """The streaming job (bronze + silver fan-out) over the log split into
-    ``n_files`` publish-time slices, one file per micro-batch."""
+    publish-time slices of about BATCH_ROWS rows, one file per micro-batch."""
     from pyspark.sql import functions as F
     from ordertide.job import start
 
     base = tempfile.mkdtemp(prefix="ordertide-bench-stream-")
     log = C.log(spark, sf_dir)
+    if n_files is None:
+        n_files = max(2, -(-log.count() // BATCH_ROWS))
     lo, hi = log.agg(F.unix_micros(F.min("timestamp")), F.unix_micros(F.max("timestamp"))).first()
     step = (hi - lo) // n_files + 1
     for i in range(n_files):                  # one write per slice -> files in publish order
