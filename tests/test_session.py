@@ -39,3 +39,19 @@ def test_drain_mode_awaits_each_query_and_stamps_one_time_per_batch(spark, tmp):
     assert not q.isActive
     stamps = spark.read.parquet(f"{tmp}/b").agg(F.countDistinct("bronze_ingestion_timestamp")).first()[0]
     assert stamps == len([x for x in q.recentProgress if x["numInputRows"] > 0])
+
+
+def test_continuous_mode_awaits_any_query(spark, tmp):
+    import time
+    path = f"{tmp}/log"
+    raw_log(flat_orders(read_table(spark, SF001, "events"))).write.parquet(path)
+    p = PipelineParams(source_format="parquet", trigger_processing_time="1 second",
+                       bronze_path=f"{tmp}/b", bronze_checkpoint=f"{tmp}/ck")
+    q = bronze_stream(log_source(spark, p, path), p)
+    try:
+        t0 = time.time()
+        await_all([q], p, spark, timeout=3)        # returns when the timeout passes
+        assert q.isActive and time.time() - t0 >= 2.5
+    finally:
+        q.stop()
+    assert not q.isActive
