@@ -107,10 +107,11 @@ def await_all(queries, params: PipelineParams, spark=None, timeout: float | None
     else:
         spark = spark or queries[0].sparkSession
         spark.streams.resetTerminated()          # only terminations from now on count
-        if timeout:
-            spark.streams.awaitAnyTermination(timeout)
-        else:
-            spark.streams.awaitAnyTermination()
+        if all(q.isActive for q in queries):     # one may have ended before the reset
+            if timeout:
+                spark.streams.awaitAnyTermination(timeout)
+            else:
+                spark.streams.awaitAnyTermination()
         for q in queries:
             if q.exception():
                 raise q.exception()
