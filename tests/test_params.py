@@ -59,7 +59,7 @@ def test_sasl_plain_options_merge_into_source_options():
 def test_original_job_configuration_layout():
     conf = {
         "environment": "production",
-        "confluent_kafka": {"topic": "orders_topic", "starting_offsets": "latest", "fail_on_data_loss": "false"},
+        "kafka": {"topic": "orders_topic", "starting_offsets": "latest", "fail_on_data_loss": "false"},
         "schema_registry": {"subject": "orders-value", "mode": "PERMISSIVE"},
         "delta_lake": {"bronze_table_path": "/lake/b", "bronze_checkpoint_path": "/ck/b",
                        "silver_table_path": "/lake/s", "silver_checkpoint_path": "/ck/s",
