@@ -296,3 +296,43 @@ def test_interrupted_stream_resumes_exactly_once(spark, tmp):
     bronze = spark.read.parquet(p.bronze_path)
     assert bronze.count() == n_in
     assert bronze.select("offset").distinct().count() == n_in    # no duplicates
+
+
+def test_interrupted_silver_recovers_state(spark, tmp):
+    import threading
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=5)
+    cols = ["window_start", "store_id", "total_order_count", "avg_order_value", "avg_wait_time_seconds"]
+
+    ref = pipeline_params(f"{tmp}/ref", salt_factor=4, silver_partition_by=())
+    r = silver_stream(log_source(spark, ref, path), ref)
+    r.awaitTermination()
+    expected = sorted(tuple(x) for x in spark.read.parquet(ref.silver_path).select(*cols).collect())
+
+    p = pipeline_params(f"{tmp}/cut", salt_factor=4, silver_partition_by=(), trigger_available_now=False,
+                        trigger_processing_time="2 seconds")
+    q = silver_stream(log_source(spark, p, path), p)
+    done = threading.Event()
+
+    def stop_soon():                          # between triggers, after two batches
+        while not done.is_set():
+            if (q.lastProgress and q.lastProgress["batchId"] >= 1
+                    and not q.status["isTriggerActive"]):
+                q.stop()
+                return
+            time.sleep(0.05)
+
+    t = threading.Thread(target=stop_soon)
+    t.start()
+    try:
+        q.awaitTermination(60)
+    finally:
+        done.set()
+        t.join()
+        q.stop()
+    p2 = p.replace(trigger_available_now=True)
+    q2 = silver_stream(log_source(spark, p2, path), p2)
+    q2.awaitTermination()
+    assert q2.exception() is None
+    got = sorted(tuple(x) for x in spark.read.parquet(p.silver_path).select(*cols).collect())
+    assert got == expected and len(got) > 0
