@@ -77,7 +77,7 @@ def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "ap
         raise ValueError("the two-stage (salted) aggregation supports append mode only; "
                          "set salt_factor=None for update mode")
     silver = silver_frame(raw, params)
-    partition_by = params.silver_partition_by if not params.silver_table else ()
+    partition_by = params.silver_partition_by      # a provisioned table is partitioned the same way
     if partition_by:
         silver = by_output_partition(silver, partition_by)
     writer = (silver.writeStream
@@ -86,7 +86,7 @@ def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "ap
               .outputMode(output_mode)
               .option("checkpointLocation", params.silver_checkpoint)
               .option("mergeSchema", "true"))
-    if partition_by:
+    if partition_by and not params.silver_table:   # a table brings its own partitioning
         writer = writer.partitionBy(*partition_by)
     return start_writer(configure_trigger(writer, params), params.silver_table, params.silver_path)
 

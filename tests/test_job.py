@@ -35,3 +35,24 @@ def test_main_runs_both_queries_to_completion(spark, tmp):
     assert main([f"{tmp}/params.json", log_path]) == 0
     assert spark.read.parquet(f"{tmp}/bronze").count() == 1000
     assert spark.read.parquet(f"{tmp}/silver").count() > 0
+
+
+def test_main_provisions_and_fills_named_tables(spark, tmp):
+    log_path = f"{tmp}/log"
+    raw_log(flat_orders(read_table(spark, SF001, "events"))).repartition(2).write.parquet(log_path)
+    conf = {
+        "source": {"source_format": "parquet", "max_offsets_per_trigger": 1},
+        "decoder": {"body_format": "json"},
+        "tuning": {"trigger_available_now": True, "salt_factor": 4, "shuffle_partitions": 4},
+        "sinks": {"sink_format": "parquet", "database": "ops_job",
+                  "bronze_table": "ops_job.bronze", "bronze_checkpoint": f"{tmp}/ckb",
+                  "silver_table": "ops_job.silver", "silver_checkpoint": f"{tmp}/cks"},
+    }
+    with open(f"{tmp}/params.json", "w") as fh:
+        json.dump(conf, fh)
+    assert main([f"{tmp}/params.json", log_path]) == 0
+    names = {r["tableName"] for r in spark.sql("SHOW TABLES IN ops_job").collect()}
+    assert {"bronze", "silver"} <= names
+    assert spark.table("ops_job.bronze").count() == 1000
+    silver = spark.table("ops_job.silver")
+    assert silver.count() > 0 and silver.columns[-1] == "store_id"
