@@ -26,7 +26,8 @@ def start(spark: SparkSession, params: PipelineParams,
     if params.bronze_table or params.silver_table:
         provision(spark, params.database, _leaf(params.bronze_table), _leaf(params.silver_table),
                   fmt=params.sink_format, catalog=params.catalog,
-                  silver_partition_by=params.silver_partition_by)
+                  silver_partition_by=params.silver_partition_by,
+                  bronze_partition_by=params.bronze_partition_by)
     raw = log_source(spark, params, log_path)
     return start_bronze_and_silver(raw, params)
 

@@ -37,8 +37,12 @@ def create_schema(spark: SparkSession, database: str, catalog: str | None = None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified(database, '', catalog).rstrip('.')}")
 
 
-def bronze_ddl(table: str, fmt: str = "parquet") -> str:
-    return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {_columns(BRONZE_COLUMNS)}\n) USING {fmt}\n"
+def bronze_ddl(table: str, fmt: str = "parquet", partition_by=()) -> str:
+    columns = BRONZE_COLUMNS
+    if "published_date" in partition_by:
+        columns = columns + (("published_date", "DATE", "UTC publication date (replay pruning)"),)
+    part = f"\nPARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {_columns(columns)}\n) USING {fmt}{part}\n"
             f"COMMENT 'Bronze: append-only audit log of raw order events'{_props(fmt, BRONZE_DELTA_PROPS)}")
 
 
@@ -50,11 +54,11 @@ def silver_ddl(table: str, fmt: str = "parquet", partition_by=("store_id",)) ->
 
 def provision(spark: SparkSession, database: str, bronze: str | None, silver: str | None,
               fmt: str = "parquet", catalog: str | None = None,
-              silver_partition_by=("store_id",)) -> DataFrame:
+              silver_partition_by=("store_id",), bronze_partition_by=()) -> DataFrame:
     """Creates schema and tables if missing; returns the schema's table list."""
     create_schema(spark, database, catalog)
     if bronze:
-        spark.sql(bronze_ddl(qualified(database, bronze, catalog), fmt))
+        spark.sql(bronze_ddl(qualified(database, bronze, catalog), fmt, bronze_partition_by))
     if silver:
         spark.sql(silver_ddl(qualified(database, silver, catalog), fmt, silver_partition_by))
     return spark.sql(f"SHOW TABLES IN {qualified(database, '', catalog).rstrip('.')}")

@@ -106,3 +106,12 @@ def test_log_source_batch_and_one_sided_ranges(spark, tmp):
     before = read_bronze(spark, path=f"{tmp}/bronze", until=cut).count()
     after = read_bronze(spark, path=f"{tmp}/bronze", since=cut).count()
     assert before > 0 and after > 0 and before + after == raw.count()
+
+
+def test_bronze_table_partitioned_by_publish_date(spark, tmp):
+    provision(spark, "ops_dated", "bronze", None, bronze_partition_by=("published_date",))
+    b = spark.table("ops_dated.bronze")
+    assert b.columns[-1] == "published_date"
+    raw = raw_log(flat_orders(read_table(spark, SF001, "events")))
+    bronze_projection(raw, stamp=True, partition_by=("published_date",)).write.insertInto("ops_dated.bronze")
+    assert spark.table("ops_dated.bronze").select("published_date").distinct().count() >= 28
