@@ -20,10 +20,13 @@ def skew_profile(orders: DataFrame) -> DataFrame:
     stats = counts.agg(F.sum("n").alias("total"), F.percentile("n", 0.5).alias("median")).first()
     total = int(stats["total"] or 0)
     median = float(stats["median"] or 0.0)
+    def per(value: float) -> object:
+        return F.lit(value) if value else F.lit(None).cast("double")
+
     return counts.select(
         "store_id", "n",
-        (F.col("n") / F.lit(float(total) if total else None)).alias("share"),
-        (F.col("n") / F.lit(median if median else None)).alias("ratio_to_median"),
+        (F.col("n") / per(float(total))).alias("share"),
+        (F.col("n") / per(median)).alias("ratio_to_median"),
     )
 
 

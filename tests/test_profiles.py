@@ -58,3 +58,9 @@ def test_skew_and_lateness_profiles(spark):
     assert sum(r["n_late"] for r in late) == 100               # every tenth order ~12 min late
     assert sum(r["n_beyond_delay"] for r in late) == 0
     assert max(r["max_lateness_seconds"] for r in late) <= 765
+
+
+def test_skew_profile_on_empty_input(spark):
+    o = flat_orders(read_table(spark, SF001, "events")).limit(0)
+    out = P.skew_profile(o)
+    assert out.count() == 0 and dict(out.dtypes)["share"] == "double"
