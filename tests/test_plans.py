@@ -39,6 +39,7 @@ def test_salted_plan_has_two_shuffles(spark):
 def test_each_body_parsed_once_per_version(spark):
     p = plan(spark, "curate_orders")
     assert p.count("from_json(") == 2                  # one parser per schema version
+    assert "StructField(items" not in p and "StructField(payment" not in p   # pruned parse schema
 
 
 GLOBAL_AGG = re.compile(r"Exchange SinglePartition[^\n]*\n\s*\+- (\*\(\d+\) )?HashAggregate\(keys=\[\], "
