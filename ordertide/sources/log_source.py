@@ -52,9 +52,8 @@ def log_source(spark: SparkSession, params: PipelineParams, path: str | None = N
     opts = log_source_options(params)
     if params.source_format == "kafka":
         reader = spark.readStream if streaming else spark.read
-        if not streaming:
-            opts = {k: v for k, v in opts.items()
-                    if k not in ("maxOffsetsPerTrigger", "minPartitions")}
+        if not streaming:                         # a bounded read of the whole retained log
+            opts = {k: v for k, v in opts.items() if k != "maxOffsetsPerTrigger"}
             opts["startingOffsets"] = "earliest"
         return reader.format("kafka").options(**opts).load()
     if streaming:
