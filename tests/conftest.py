@@ -1,9 +1,15 @@
 import os
 import sys
 import tempfile
+import time
 
 import pytest
 
+# Collected TIMESTAMP values become Python datetimes in the process's local
+# zone; pin it (and the JVM's, started below) so expectations hold on any host.
+os.environ["TZ"] = "UTC"
+time.tzset()
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 SF001 = "/root/testdata/sf0.001"
