@@ -24,7 +24,8 @@ def test_state_store_applied(spark):
 
 def test_work_dir_uses_session_setting(spark):
     base = work_dir(spark)
-    assert base == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured and base == configured.rstrip("/")
     a, b = fresh_dir(spark, "x"), fresh_dir(spark, "x")
     assert a != b and a.startswith(base)
 
