@@ -1,6 +1,5 @@
 import os
 
-import pytest
 from pyspark.sql import functions as F
 
 from ordertide.operators.metrics import store_metrics
