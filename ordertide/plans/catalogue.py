@@ -224,12 +224,15 @@ def stream_lagging_partition(spark, sf_dir):
     lo, hi = raw_log_df.agg(F.min(micros), F.max(micros)).first()
     step = (hi - lo) // REPLAY_SLICES + 1
     slice_no = F.call_function("div", micros - F.lit(lo), F.lit(step))
-    lagging = F.col("partition") == LAGGING_PARTITION
-    arrivals = [raw_log_df.filter(~lagging & (slice_no == k)) for k in range(REPLAY_SLICES)]
-    arrivals.append(raw_log_df.filter(lagging))
+    arrival = F.when(F.col("partition") == LAGGING_PARTITION, F.lit(REPLAY_SLICES)).otherwise(slice_no)
+    # derive the log once, as a staging table partitioned by arrival (a lineage
+    # cut in the shared folder); each delivery then reads only its partition
+    raw_log_df.withColumn("arrival", arrival.cast("int")).write.partitionBy("arrival") \
+        .parquet(f"{base}/staging")
     schema = raw_log_df.schema
-    for arrival in arrivals:                     # one delivery, then one drain run
-        arrival.write.mode("append").parquet(f"{base}/log")
+    for k in range(REPLAY_SLICES + 1):           # one delivery, then one drain run
+        (spark.read.parquet(f"{base}/staging").filter(F.col("arrival") == k).drop("arrival")
+         .write.mode("append").parquet(f"{base}/log"))
         raw = spark.readStream.schema(schema).parquet(f"{base}/log")
         silver = by_output_partition(silver_frame(raw, PARAMS, stamp=True), ["store_id"])
         query = (silver.writeStream.format("parquet").outputMode("append")
