@@ -56,3 +56,11 @@ def test_main_provisions_and_fills_named_tables(spark, tmp):
     assert spark.table("ops_job.bronze").count() == 1000
     silver = spark.table("ops_job.silver")
     assert silver.count() > 0 and silver.columns[-1] == "store_id"
+
+
+def test_plans_cli(spark, capsys):
+    from ordertide.plans.__main__ import main as plans_main
+    assert plans_main(["--list"]) == 0
+    assert "store_metrics_5m" in capsys.readouterr().out.split()
+    assert plans_main(["no_such_query"]) == 2
+    assert plans_main(["skew_profile", SF001]) == 0
