@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import linechunks, mixing, superkmers
+from ordertide.llm import linechunks, mixing, postings, quality, superkmers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,17 +17,27 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.report(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
 
