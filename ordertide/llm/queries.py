@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import linechunks, mixing, postings, quality, superkmers, warc
+from ordertide.llm import jaccard, linechunks, mixing, postings, quality, superkmers, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents")).drop("tie")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -41,6 +45,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_warc": op7_warc,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
