@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import jaccard, linechunks, mixing, postings, quality, superkmers, warc
+from ordertide.llm import jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template.extracted(table(spark, sf_dir, "pages"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linechunks.report(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.identifiers(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -42,11 +50,13 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_warc": op7_warc,
+    "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
