@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.llm.work import chunk_count, pack, unpack, written
+from ordertide.llm.work import by_chunk, chunk_count, pack, plain_texts, unpack, written
 from ordertide.llm.words import SPACE, buffer_of, cut, dictionary_hashes, mix, windows, within
 
 SENT, TOLD = "chunk long, bin long, blob binary", "chunk long, blob binary"
@@ -287,11 +287,9 @@ def connected(rows: DataFrame, t: int, tile: int = TILE) -> DataFrame | None:
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
     """(doc_id, tie, n_shingles, component_id) for each row; ``tie`` is the text's hash."""
-    whole = F.col(text).cast("string")
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"))
+    texts = plain_texts(docs, key, text)
     bins = chunk_count(texts, "text")
-    chunks = texts.select(F.pmod(F.xxhash64("doc"), F.lit(bins)).cast("long").alias("chunk"), "doc", "tie", "text")
-    chunks = chunks.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "chunk")
+    chunks = by_chunk(texts, bins)
     told = chunks.groupBy("chunk").applyInArrow(_send(n, percent, bins), SENT).groupBy("bin").applyInArrow(_shared, TOLD)
     rows = written(chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_rows(n, percent), ROWS), "rows")
     labels = connected(rows, percent, tile)

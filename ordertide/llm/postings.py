@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.words import ALNUM, binary_array, buffer_of, cut, slices
-from ordertide.llm.work import CHUNK_BYTES, pack, plain_texts, spans_of, unpack, written
+from ordertide.llm.work import CHUNK_BYTES, only, pack, plain_texts, spans_of, unpack, written
 
 INDEX = "shard long, docs binary, terms binary, places binary"
-MATCHES = "shard long, nr int, doc_id long, n_words long, starts array<long>, ends array<long>, items array<string>, near array<string>"
-HITS = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long"
+MATCHES = "shard long, nr int, doc_id long, tie long, n_words long, starts array<long>, ends array<long>, items array<string>, near array<string>"
+HITS = "doc_id long, tie long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, n_near_items long"
 #: Bytes of items that a block sends to every task; further items go in further blocks.
 BLOCK_BYTES = 8 << 20
 GAP = 64  # free places between documents, so that no tolerance reaches the next one
@@ -62,7 +62,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             steps = np.diff(place[order], prepend=0).astype(np.int64)
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int64()),
-                "docs": pa.array([pack(doc, known.astype(np.uint8), w.counts)], pa.binary()),
+                "docs": pa.array([pack(doc, known.astype(np.uint8), w.counts, part["tie"].to_numpy(zero_copy_only=False))], pa.binary()),
                 "terms": pa.array([pack(t, np.diff(off).astype(np.int32), per_term)], pa.binary()),
                 "places": pa.array([pack(steps)], pa.binary()),
             })
@@ -75,7 +75,7 @@ def build_index(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
 class Shard:
     def __init__(self, docs: bytes, terms: bytes, places: bytes | None = None):
-        doc, known, self.counts = unpack(docs, np.int64, np.uint8, np.int64)
+        doc, known, self.counts, self.tie = unpack(docs, np.int64, np.uint8, np.int64, np.int64)
         self.doc = [int(d) if k else None for d, k in zip(doc, known)]
         text, lens, self.per_term = unpack(terms, np.uint8, np.int32, np.int32)
         off = np.zeros(len(lens) + 1, np.int64)
@@ -191,7 +191,7 @@ def _match(p: Phrases, slop: int):
                             starts[d].append(s - int(shard.begin[d]))
                             ends[d].append(s - int(shard.begin[d]) + int(length[w]))
                 yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array([number] * n, pa.int64()), "nr": pa.array(range(n), pa.int32()), "doc_id": pa.array(shard.doc, pa.int64()), "n_words": pa.array(shard.counts, pa.int64()),
+                    "shard": pa.array([number] * n, pa.int64()), "nr": pa.array(range(n), pa.int32()), "doc_id": pa.array(shard.doc, pa.int64()), "tie": pa.array(shard.tie, pa.int64()), "n_words": pa.array(shard.counts, pa.int64()),
                     "starts": pa.array(starts, pa.list_(pa.int64())), "ends": pa.array(ends, pa.list_(pa.int64())),
                     "items": pa.array([sorted(set(x)) for x in items], pa.list_(pa.string())), "near": pa.array([sorted(set(x) - set(y)) for x, y in zip(near, items)], pa.list_(pa.string())),
                 })
@@ -212,7 +212,7 @@ def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str =
     if blocks == 1:
         return found
     lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items", "near")]
-    merged = found.groupBy("shard", "nr").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), *lists)
+    merged = found.groupBy("shard", "nr").agg(F.first("doc_id").alias("doc_id"), F.first("tie").alias("tie"), F.first("n_words").alias("n_words"), *lists)
     return merged.withColumn("items", F.array_distinct("items")).withColumn("near", F.array_except("near", "items"))
 
 
@@ -230,12 +230,17 @@ def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = batch["items"].to_pylist()
         n_hit = [_covered(a, b) for a, b in zip(batch["starts"].to_pylist(), batch["ends"].to_pylist())]
         yield pa.RecordBatch.from_pydict({
-            "doc_id": batch["doc_id"], "n_words": batch["n_words"], "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array([len(x) for x in items], pa.int64()),
+            "doc_id": batch["doc_id"], "tie": batch["tie"], "n_words": batch["n_words"], "n_hit": pa.array(n_hit, pa.int64()), "n_items": pa.array([len(x) for x in items], pa.int64()),
             "items_sha256": pa.array([hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in items], pa.string()), "contaminated": pa.array([x > 0 for x in n_hit], pa.bool_()),
             "n_near_items": pa.array([len(x) for x in batch["near"].to_pylist()], pa.int64()),
         })
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", k: int = 10, slop: int = 3, block: int = BLOCK_BYTES) -> DataFrame:
-    """One row (``HITS``) for each row of ``docs``."""
+    """One row (``HITS``) for each row of ``docs``; ``tie`` is its text's hash."""
     return search(build_index(docs, key, text), items, item, item_text, k, slop, block).mapInArrow(_hits, HITS)
+
+
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that no window of an item occurs in."""
+    return only(docs, key, text, contamination(docs, items, key, text, **options).filter("NOT contaminated").select(F.col("doc_id").alias("doc"), "tie"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.llm.words import SPACE, Words, _mapped, binary_array, buffer_of, cut, slices
-from ordertide.llm.work import CHUNK_BYTES, written
+from ordertide.llm.work import CHUNK_BYTES, only, written
 
 #: Frequent words of each listed language.
 COMMON = {
@@ -49,7 +49,7 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 GUARD_CHARS, LIMIT_CHARS = 400, 0.30
 GUARD_WORDS, LIMIT_WORDS = 100, 0.31
 
-FEATURES = "doc_id long, ref string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, chars array<long>, words array<long>"
+FEATURES = "doc_id long, tie long, ref string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, chars array<long>, words array<long>"
 
 
 def _table(members: bytes) -> np.ndarray:
@@ -133,7 +133,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 mine = counts[d, lists[ref]] if ref in lists else np.zeros(0, np.int64)
                 words.append([*mine.tolist(), int(w.counts[d] - mine.sum())])
             yield pa.RecordBatch.from_pydict({
-                "doc_id": part["doc"], "ref": pa.array(refs, pa.string()), "n_words": pa.array(w.counts, pa.int64()), "word_chars": pa.array(leads, pa.int64()),
+                "doc_id": part["doc"], "tie": part["tie"], "ref": pa.array(refs, pa.string()), "n_words": pa.array(w.counts, pa.int64()), "word_chars": pa.array(leads, pa.int64()),
                 "n_symbols": pa.array(classes[:, list(CLASSES).index("symbol")], pa.int64()), "n_dup_lines": pa.array(repeated_lines(raw, off), pa.int64()),
                 "n_repeat_words": pa.array(repeated_words(w, ids, max(1, len(distinct))), pa.int64()),
                 "chars": pa.array(classes.tolist(), pa.list_(pa.int64())), "words": pa.array(words, pa.list_(pa.int64())),
@@ -141,7 +141,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
+    whole = F.col(text).cast("string")
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"), F.col(lang).cast("string").alias("lang"))
     return rows.mapInArrow(_features, FEATURES)
 
 
@@ -178,7 +179,7 @@ def references(found: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """One row for each row of ``docs``: its counts, distances and verdict."""
+    """One row for each row of ``docs``: its counts, distances and verdict; ``tie`` is its text's hash."""
     found = written(features(docs, key, text, lang), "features")
     # five rows at most: one for each listed language and one for the rest
     told = found.join(F.broadcast(references(found)), "ref", "left").withColumns({
@@ -188,5 +189,10 @@ def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     })
     far = F.coalesce(F.col("char_distance") > LIMIT_CHARS, F.lit(False)) | F.coalesce(F.col("word_distance") > LIMIT_WORDS, F.lit(False))
     return told.withColumn("kept", ~F.col("base_failed") & ~far).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"
+        "doc_id", "tie", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "char_distance", "word_distance"
     )
+
+
+def accepted(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that the rules keep."""
+    return only(docs, key, text, judged(docs, key, text, lang).filter("kept").select(F.col("doc_id").alias("doc"), "tie"))

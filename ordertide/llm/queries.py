@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, warc
+from ordertide.llm import chat, jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,13 +22,17 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tie")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmers.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf_dir, "documents")).drop("tie")
 
@@ -42,7 +46,7 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judged(table(spark, sf_dir, "documents"))
+    return quality.judged(table(spark, sf_dir, "documents")).drop("tie")
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontamination": op3_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_chat_formatting": op5_chat_formatting,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_warc": op7_warc,
     "op8_pii": op8_pii,

@@ -37,6 +37,8 @@ from ordertide.llm.work import written
 SUPPORT, NEARLY_ALL = 0.5, 0.9
 #: A path whose words are to this share in links is a menu.
 LINKED = 0.5
+#: Containers nested deeper belong to the path of the one at this depth.
+DEEPEST = 64
 #: Tags of the format by their part in a page.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 CONTAINERS = frozenset(
@@ -118,7 +120,8 @@ def pieces(html: str) -> Iterator[tuple[str, int, str]]:
         elif tag == "a":
             links += 1
         elif tag in CONTAINERS and not m[3].endswith("/"):
-            path = f"{path}/{_once(_component, tag, m[3])}"
+            if len(stack) < DEEPEST:
+                path = f"{path}/{_once(_component, tag, m[3])}"
             stack.append((tag, path))
             yield path, START, " "
         if tag in BLOCKS:

@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one chunk, shard or bin is meant to hold.
@@ -50,14 +50,15 @@ def chunk_count(df: DataFrame, text: str, target: int = CHUNK_BYTES) -> int:
 
 
 def plain_texts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Only the key as long and the text as string: no other column, whatever its name, is looked at."""
-    return df.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    """Only the key as long, the text as string and its hash: no other column, whatever its name, is looked at."""
+    whole = F.col(text).cast("string")
+    return df.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"))
 
 
 def by_chunk(texts: DataFrame, n: int) -> DataFrame:
     """Whole texts dealt out by a hash of the key into ``n`` chunks of bounded size."""
     spark = texts.sparkSession
-    chunked = texts.select(F.pmod(F.xxhash64("doc"), F.lit(n)).cast("long").alias("chunk"), "doc", "text")
+    chunked = texts.select(F.pmod(F.xxhash64("doc"), F.lit(n)).cast("long").alias("chunk"), "doc", "tie", "text")
     return chunked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
 
 
@@ -87,5 +88,7 @@ def spans_of(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - begin, lens)
 
 
-def sha_of(parts: Column) -> Column:
-    return F.sha2(parts, 256)
+def only(docs: DataFrame, key: str, text: str, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key and text hash are in ``chosen`` (doc, tie); null keys meet."""
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("d"), F.xxhash64(F.col(text).cast("string")).alias("t"))
+    return rows.join(chosen, F.col("d").eqNullSafe(F.col("doc")) & (F.col("t") == F.col("tie")), "left_semi").select("row.*")
