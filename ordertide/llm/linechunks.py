@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ordertide.llm.work import written
+
 #: Lines that the rolling hash covers, its base and its modulus.
 WINDOW, BASE, MODULUS = 2, 257, 1_000_003
 DIVISOR = 3
@@ -42,33 +44,40 @@ def ends_of(hashes: Column, divisor: int) -> Column:
     return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | rolling(i))
 
 
-def _chunks(ends: Column) -> Column:
-    return F.transform(ends, lambda e, k: F.struct(k.alias("k"), F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1).alias("s"), e.alias("e")))
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def _part(c: Column) -> Column:
-    """Text of a chunk."""
-    return F.array_join(F.slice("lines", c["s"] + 1, c["e"] - c["s"] + 1), "\n")
+def _chunks(text: Column, divisor: int) -> Column:
+    """Array of (k, s, e, h): each chunk's number, first and last line, and a hash of its line hashes; null for a null text."""
 
+    def of(hashes: Column) -> Column:
+        def chunk(ends: Column) -> Column:
+            def part(e: Column, k: Column) -> Column:
+                s = F.when(k == 0, F.lit(0)).otherwise(F.get(ends, k - 1) + 1)
+                return F.struct(k.alias("k"), s.alias("s"), e.alias("e"), F.xxhash64(F.slice(hashes, s + 1, e - s + 1)).alias("h"))
+
+            return F.transform(ends, part)
+
+        return _bound(ends_of(hashes, divisor), chunk)
+
+    return F.when(text.isNotNull(), _bound(F.transform(_lines(text), line_hash), of))
 
-def chunked(docs: DataFrame, key: str, text: str, divisor: int) -> DataFrame:
-    """Rows (row, doc, tie, text, lines, chunks); ``row`` holds the input's columns."""
-    whole = F.col(text).cast("string")
-    return (
-        docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"))
-        .withColumn("lines", F.when(F.col("text").isNotNull(), F.split("text", "\n", -1)))
-        .withColumn("hashes", F.transform("lines", line_hash))
-        .withColumn("ends", F.when(F.col("text").isNotNull(), ends_of(F.col("hashes"), divisor)))
-        .withColumn("chunks", _chunks(F.col("ends")))
-        .drop("ends")
-    )
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
-def _occurrences(docs: DataFrame) -> DataFrame:
-    """Multi-line chunks by a 64-bit hash of their line hashes and their length; no text."""
-    many = F.filter("chunks", lambda c: c["e"] > c["s"])
-    keyed = F.transform(many, lambda c: F.struct(c["k"].alias("k"), F.xxhash64(F.slice("hashes", c["s"] + 1, c["e"] - c["s"] + 1)).alias("h")))
-    return docs.select("doc", "tie", F.explode(keyed).alias("c")).select("doc", "tie", "c.k", "c.h")
+
+def _part(lines: Column, s: Column, e: Column) -> Column:
+    """Text of a chunk."""
+    return F.array_join(F.slice(lines, s + 1, e - s + 1), "\n")
+
+
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows (row, doc, tie, text); ``row`` holds the input's columns."""
+    whole = F.col(text).cast("string")
+    return docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"))
 
 
 def with_row(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
@@ -77,30 +86,30 @@ def with_row(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
     return docs.join(found, F.col("doc").eqNullSafe(F.col("found_doc")) & (F.col("tie") == F.col("found_tie")), how).drop("found_doc", "found_tie")
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc, tie, removed): chunk numbers whose bytes equal those of an earlier occurrence."""
+def repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
+    """(doc, tie, removed): the chunks (k, s, e) of each row whose bytes equal those of an earlier occurrence."""
     place = F.struct("doc", "tie", "k")
-    seen = _occurrences(docs)
+    many = F.filter(_chunks(F.col("text"), divisor), lambda c: c["e"] > c["s"])
+    seen = written(docs.select("doc", "tie", F.explode(many).alias("c")).select("doc", "tie", "c.*"), "chunks")  # no text
     groups = seen.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter(F.col("first") != F.col("last")).select("h", "first")
-    again = seen.join(groups, "h").select("doc", "tie", F.struct("k", "h", (place == F.col("first")).alias("is_first")).alias("c"))
+    again = seen.join(groups, "h").select("doc", "tie", F.struct("k", "s", "e", "h", (place == F.col("first")).alias("is_first")).alias("c"))
     # a document's repeated chunks meet its text once
     of_doc = again.groupBy("doc", "tie").agg(F.collect_set("c").alias("found"))
-    same = docs.select("doc", "tie", "lines", "chunks").dropDuplicates(["doc", "tie"])
-    met = with_row(same, of_doc, "inner").select("doc", "tie", "lines", "chunks", F.explode("found").alias("c"))
-    texts = met.select("doc", "tie", F.col("c.k").alias("k"), F.col("c.h").alias("h"), F.col("c.is_first").alias("is_first"), _part(F.get("chunks", F.col("c.k"))).alias("part"))
+    met = with_row(docs.select("doc", "tie", "text"), of_doc, "inner")
+    parts = F.transform("found", lambda c: F.struct(c.alias("c"), _part(_lines(F.col("text")), c["s"], c["e"]).alias("part")))
+    texts = written(met.select("doc", "tie", F.explode(parts).alias("p")).select("doc", "tie", "p.c.*", "p.part"), "parts")
     firsts = texts.filter("is_first").select("h", F.col("part").alias("first_part"))
     # the side of the firsts has one row for each hash, so a hot chunk splits on the other side
     equal = texts.filter(~F.col("is_first")).join(firsts, "h").filter(F.col("part") == F.col("first_part"))
-    return equal.groupBy("doc", "tie").agg(F.collect_set("k").alias("removed"))
+    return equal.groupBy("doc", "tie").agg(F.collect_set(F.struct("k", "s", "e")).alias("removed"))
 
 
 def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
-    """Rows (row, doc, lines, chunks, removed, kept): the input's row, its chunks, and the text that stays."""
-    cut = chunked(docs, key, text, divisor)
-    gone = repeated_chunks(cut)
-    joined = with_row(cut, gone, "left")
-    stays = F.filter("chunks", lambda c: ~F.array_contains("removed", c["k"]))
-    kept = F.array_join(F.flatten(F.transform(stays, lambda c: F.slice("lines", c["s"] + 1, c["e"] - c["s"] + 1))), "\n")
+    """Rows (row, doc, text, removed, kept): the input's row, the chunks taken out, and the text that stays."""
+    rows = keyed(docs, key, text)
+    joined = with_row(rows, repeated_chunks(rows, divisor), "left")
+    gone = F.flatten(F.transform("removed", lambda c: F.sequence(c["s"], c["e"])))
+    kept = F.array_join(_bound(gone, lambda g: F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains(g, i))), "\n")
     return joined.withColumn("kept", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
 
 
@@ -121,11 +130,15 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", divis
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
     """What was removed from each row, and a digest of the text that stays."""
     out = remove_repeated_chunks(docs, key, text, divisor)
-    gone = F.filter("chunks", lambda c: F.array_contains(F.coalesce("removed", F.array().cast("array<int>")), c["k"]))
+    lines = F.aggregate("removed", F.lit(0), lambda a, c: a + c["e"] - c["s"] + 1)
+    n_chunks = F.size(_bound(F.transform(_lines(F.col("text")), line_hash), lambda h: ends_of(h, divisor)))
+
+    def number(c: Column) -> Column:
+        return F.coalesce(c, F.lit(0)).cast("long")
+
     return out.select(
-        F.col("doc").alias("doc_id"), F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("chunks"), F.lit(0)).cast("long").alias("n_chunks"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed_chunks"),
-        F.coalesce(F.aggregate(gone, F.lit(0), lambda a, c: a + c["e"] - c["s"] + 1), F.lit(0)).cast("long").alias("n_removed_lines"),
+        F.col("doc").alias("doc_id"), number(F.when(F.col("text").isNotNull(), F.size(_lines(F.col("text"))))).alias("n_lines"), number(F.when(F.col("text").isNotNull(), n_chunks)).alias("n_chunks"),
+        number(F.when(F.col("removed").isNotNull(), F.size("removed"))).alias("n_removed_chunks"), number(lines).alias("n_removed_lines"),
         F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
