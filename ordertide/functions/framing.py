@@ -25,10 +25,10 @@ def frame_magic(value: Column | str) -> Column:
 
 
 def frame_schema_id(value: Column | str) -> Column:
-    """4-byte big-endian schema id as INT; null for frames shorter than 5 bytes."""
+    """4-byte big-endian schema id as BIGINT (ids are unsigned); null for frames shorter than 5 bytes."""
     v = _c(value)
     return F.when(F.length(v) >= HEADER_BYTES,
-                  F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("int"))
+                  F.conv(F.hex(F.substring(v, 2, 4)), 16, 10).cast("bigint"))
 
 
 def build_frame(schema_id: Column | int, body: Column) -> Column:

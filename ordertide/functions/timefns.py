@@ -35,8 +35,9 @@ def utc_instant(col: Column | str, source_type: T.DataType | None = None,
     zone = zone or session_zone()
     if _is_utc(zone):
         return c.cast("timestamp")
-    # cast reads the wall clock in the session zone; shift it back to UTC
-    return F.from_utc_timestamp(c.cast("timestamp"), zone)
+    # built from its fields in UTC: a cast would read it in the session zone, which skips or repeats hours
+    return F.make_timestamp(F.year(c), F.month(c), F.day(c), F.hour(c), F.minute(c),
+                            F.extract(F.lit("SECOND"), c), F.lit("UTC"))
 
 
 def wall_clock(col: Column | str, zone: str | None = None) -> Column:
@@ -45,8 +46,9 @@ def wall_clock(col: Column | str, zone: str | None = None) -> Column:
     zone = zone or session_zone()
     if _is_utc(zone):
         return c.cast("timestamp_ntz")
-    # cast renders the wall clock in the session zone; pre-shift so it shows UTC
-    return F.to_utc_timestamp(c, zone).cast("timestamp_ntz")
+    # counted from the epoch: rendering in the session zone would skip or repeat hours
+    since = F.make_dt_interval(secs=(F.unix_micros(c) / 1000000).cast("decimal(18,6)"))
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + since
 
 
 def parse_timestamp(col: Column | str) -> Column:

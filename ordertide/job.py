@@ -14,8 +14,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ordertide.params import PRODUCTION, PipelineParams
 from ordertide.session import build_session
 from ordertide.sources.log_source import log_source
+from ordertide.streaming.listener import ProgressLog
 from ordertide.streaming.sinks import await_all, start_bronze_and_silver
-from ordertide.streaming.tables import provision
+from ordertide.streaming.tables import provision, resolved
 
 log = logging.getLogger("ordertide")
 
@@ -24,7 +25,10 @@ def start(spark: SparkSession, params: PipelineParams,
           log_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
     """Provisions named tables (if any), then starts both queries on one source."""
     if params.bronze_table or params.silver_table:
-        provision(spark, params.database, _leaf(params.bronze_table), _leaf(params.silver_table),
+        params = params.replace(**{
+            name: resolved(getattr(params, name), params.database, params.catalog)
+            for name in ("bronze_table", "silver_table") if getattr(params, name)})
+        provision(spark, params.database, params.bronze_table, params.silver_table,
                   fmt=params.sink_format, catalog=params.catalog,
                   silver_partition_by=params.silver_partition_by,
                   bronze_partition_by=params.bronze_partition_by)
@@ -32,15 +36,12 @@ def start(spark: SparkSession, params: PipelineParams,
     return start_bronze_and_silver(raw, params)
 
 
-def _leaf(name: str | None) -> str | None:
-    return name.split(".")[-1] if name else None
-
-
 def main(argv: list[str] | None = None) -> int:
     argv = list(sys.argv[1:] if argv is None else argv)
     params = PipelineParams.from_json(argv[0]) if argv else PRODUCTION
     log_path = argv[1] if len(argv) > 1 else None
     spark = build_session(params)
+    spark.streams.addListener(ProgressLog())
     bronze, silver = start(spark, params, log_path)
     log.info("started %s (%s) and %s (%s)", bronze.name, bronze.id, silver.name, silver.id)
     await_all([bronze, silver], params, spark)

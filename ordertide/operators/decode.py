@@ -17,10 +17,14 @@ from pyspark.sql import types as T
 
 from ordertide.functions.framing import build_frame, frame_magic, frame_payload, frame_schema_id
 from ordertide.params import PipelineParams
-from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2
+from ordertide.schemas import ORDER_EVENT
+
+#: A schema version: a struct, DDL text, or the Avro schema text that describes the bytes.
+Schema = T.StructType | str
+
 
 def split_frame(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Adds ``magic`` (hex), ``schema_id`` (int) and ``payload`` (binary)."""
+    """Adds ``magic`` (hex), ``schema_id`` (bigint) and ``payload`` (binary)."""
     v = F.col(value_col)
     return df.withColumns({
         "magic": frame_magic(v),
@@ -29,12 +33,23 @@ def split_frame(df: DataFrame, value_col: str = "value") -> DataFrame:
     })
 
 
-def _parse(payload: Column, schema: T.StructType, body_format: str, mode: str) -> Column:
+def as_struct(schema: Schema) -> T.StructType:
+    """Spark struct of a schema given as a struct, as DDL text or as Avro schema text."""
+    if isinstance(schema, T.StructType):
+        return schema
+    if schema.lstrip().startswith("{"):
+        return avro_struct(schema)
+    return T.StructType.fromDDL(schema)
+
+
+def _parse(payload: Column, schema: Schema, body_format: str, mode: str) -> Column:
     if body_format == "json":
-        return F.from_json(payload.cast("string"), schema, {"mode": mode})
+        return F.from_json(payload.cast("string"), as_struct(schema), {"mode": mode})
     if body_format == "avro":
         from pyspark.sql.avro.functions import from_avro  # needs spark-avro
-        return from_avro(payload, avro_schema_json(schema), {"mode": mode})
+        # the given text describes the bytes; only a schema given as a struct gets a derived one
+        text = schema if isinstance(schema, str) and schema.lstrip().startswith("{") else avro_schema_json(as_struct(schema))
+        return from_avro(payload, text, {"mode": mode})
     raise ValueError(f"unknown body format {body_format!r}")
 
 
@@ -47,13 +62,44 @@ def _encode(struct_col: Column, schema: T.StructType, body_format: str) -> Colum
     raise ValueError(f"unknown body format {body_format!r}")
 
 
-def superset_schema(schemas: Iterable[T.StructType]) -> T.StructType:
-    """Union of top-level fields, first-seen order (additive evolution)."""
-    fields: dict[str, T.StructField] = {}
-    for schema in schemas:
+def merged_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Union of two versions of a type: structs by field, arrays by element, at any depth."""
+    if isinstance(a, T.StructType) and isinstance(b, T.StructType):
+        return superset_schema([a, b])
+    if isinstance(a, T.ArrayType) and isinstance(b, T.ArrayType):
+        return T.ArrayType(merged_type(a.elementType, b.elementType), True)
+    if a != b:
+        raise ValueError(f"versions disagree: {a.simpleString()} and {b.simpleString()}")
+    return a
+
+
+def superset_schema(schemas: Iterable[Schema]) -> T.StructType:
+    """Union of all versions' fields, nested ones too, first-seen order (additive evolution)."""
+    fields: dict[str, T.DataType] = {}
+    for schema in map(as_struct, schemas):
         for f in schema.fields:
-            fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
-    return T.StructType(list(fields.values()))
+            fields[f.name] = merged_type(fields[f.name], f.dataType) if f.name in fields else f.dataType
+    return T.StructType([T.StructField(name, _nullable(kind), True) for name, kind in fields.items()])
+
+
+def _nullable(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType), True)
+    return kind
+
+
+def shaped(value: Column, has: T.DataType, target: T.DataType) -> Column:
+    """``value`` of type ``has`` as the superset type ``target``; fields that ``has`` lacks are null."""
+    if _nullable(has) == target:
+        return value
+    if isinstance(target, T.StructType):
+        own = {f.name: f.dataType for f in has.fields}
+        fields = [(shaped(value.getField(f.name), own[f.name], f.dataType) if f.name in own
+                   else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.transform(value, lambda x: shaped(x, has.elementType, target.elementType))
 
 
 def _one_evaluation(fields: list[Column]) -> Column:
@@ -66,7 +112,7 @@ def _one_evaluation(fields: list[Column]) -> Column:
     return F.inline(F.array(F.struct(*fields)))
 
 
-def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format: str = "json",
+def decode_fixed(df: DataFrame, schema: Schema = ORDER_EVENT, body_format: str = "json",
                  mode: str = "FAILFAST", value_col: str = "value",
                  keep: Iterable[str] = ()) -> DataFrame:
     """D3 + D6: cut the header, parse every body with one reader schema, flatten.
@@ -77,7 +123,7 @@ def decode_fixed(df: DataFrame, schema: T.StructType = ORDER_EVENT, body_format:
     keep = list(keep)
     parsed = _parse(frame_payload(F.col(value_col)), schema, body_format, mode).alias("__v")
     out = [F.col(k).alias(k) for k in keep] + [
-        F.col("__v").getField(f.name).alias(f.name) for f in schema.fields]
+        F.col("__v").getField(f.name).alias(f.name) for f in as_struct(schema).fields]
     return df.select(*[F.col(k) for k in keep], parsed).select(_one_evaluation(out))
 
 
@@ -89,58 +135,92 @@ def prune_schema(schema: T.StructType, fields: Iterable[str] | None) -> T.Struct
     return T.StructType([f for f in schema.fields if f.name in wanted])
 
 
-def decode_by_schema_id(df: DataFrame, schemas: Mapping[int, T.StructType] | None = None,
+def decode_by_schema_id(df: DataFrame, schemas: Mapping[int, Schema],
                         body_format: str = "json", mode: str = "PERMISSIVE",
                         value_col: str = "value", keep: Iterable[str] = (),
                         with_schema_id: bool = False,
-                        fields: Iterable[str] | None = None) -> DataFrame:
+                        fields: Iterable[str] | None = None,
+                        unknown: str = "drop") -> DataFrame:
     """D4 + D6: parse each frame with the schema its header id names.
 
-    The result has the superset of all versions' fields (or only ``fields``);
-    fields a version lacks are null. A frame with a wrong magic byte, an
-    unknown id or a body that does not parse yields an all-null row (later
-    dropped by the validity filter). Adding a schema version is a change of
-    ``schemas`` plus restart.
+    The result has the superset of all versions' fields, at any depth (or only
+    the top-level ``fields``); fields a version lacks are null. A frame with a
+    wrong magic byte or a body that does not parse yields an all-null row
+    (later dropped by the validity filter; ``frame_outcomes`` counts them), and
+    so does an unregistered id, unless ``unknown="fail"``, which raises on it.
+    Adding a schema version is a change of ``schemas`` plus restart.
 
     Each body is parsed once: the parser of every other version gets a null
     input and does no work, and the parsed structs are not inlined into each
     field reference (two projections) nor into later filters (generator).
     With ``fields`` the JSON parse schema keeps only those fields.
     """
-    schemas = dict(schemas or {101: ORDER_EVENT, 102: ORDER_EVENT_V2})
-    if fields is not None and body_format == "json":
-        fields = list(fields)
-        schemas = {k: prune_schema(s, fields) for k, s in schemas.items()}
-    target = superset_schema(schemas.values())
+    if not schemas:
+        raise ValueError("decoding by schema id needs the registered schemas, {id: schema}")
+    fields = None if fields is None else list(fields)
+    structs = {int(k): prune_schema(as_struct(s), fields) for k, s in schemas.items()}
+    target = superset_schema(structs.values())
     v = F.col(value_col)
     sid, payload = frame_schema_id(v), frame_payload(v)
     ok = frame_magic(v) == F.lit("00")
     keep = list(keep)
-    parsed = [
-        _parse(F.when(ok & (sid == F.lit(k)), payload), schema, body_format, mode).alias(f"__v{k}")
-        for k, schema in schemas.items()
-    ]
-    first = df.select(*[F.col(k) for k in keep], sid.alias("schema_id"), *parsed)
+    parsed = []
+    for k, schema in schemas.items():
+        reader = structs[int(k)] if body_format == "json" else schema
+        parsed.append(_parse(F.when(ok & (sid == F.lit(int(k))), payload), reader, body_format, mode).alias(f"__v{k}"))
+    seen = sid
+    if unknown == "fail":
+        stray = ok & ~sid.isin(*structs)
+        seen = F.when(stray, F.raise_error(F.concat(F.lit("unregistered schema id "), sid.cast("string")))).otherwise(sid)
+    first = df.select(*[F.col(k) for k in keep], seen.cast("bigint").alias("schema_id"), *parsed)
     out = [F.col(k).alias(k) for k in keep]
-    if with_schema_id:
+    if with_schema_id or unknown == "fail":
         out.append(F.col("schema_id"))
     for f in target.fields:
-        options = [F.col(f"__v{k}").getField(f.name) for k, schema in schemas.items()
-                   if f.name in schema.fieldNames()]
+        options = [shaped(F.col(f"__v{k}").getField(f.name), s[f.name].dataType, f.dataType)
+                   for k, s in structs.items() if f.name in s.fieldNames()]
         out.append((options[0] if len(options) == 1 else F.coalesce(*options)).alias(f.name))
     return first.select(_one_evaluation(out))
 
 
+def frame_outcomes(df: DataFrame, schemas: Mapping[int, Schema], body_format: str = "json",
+                   value_col: str = "value", keep: Iterable[str] = ()) -> DataFrame:
+    """``outcome`` of each frame: short_frame, bad_magic, unknown_schema, bad_body or decoded.
+
+    Group and count it in batch, or attach ``F.count_if`` of each through
+    ``DataFrame.observe`` to see what a stream's batches drop.
+    """
+    v = F.col(value_col)
+    sid, payload = frame_schema_id(v), frame_payload(v)
+    good = []
+    for k, schema in schemas.items():
+        mine = F.when(sid == F.lit(int(k)), payload)
+        if body_format == "json":
+            marked = T.StructType([*as_struct(schema).fields, T.StructField("_corrupt_record", T.StringType())])
+            parsed = F.from_json(mine.cast("string"), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+            good.append(parsed.isNotNull() & parsed["_corrupt_record"].isNull() & (F.trim(mine.cast("string")) != ""))
+        else:
+            good.append(_parse(mine, schema, body_format, "PERMISSIVE").isNotNull())
+    outcome = (F.when(v.isNull() | (F.length(v) < 5), F.lit("short_frame"))
+               .when(frame_magic(v) != "00", F.lit("bad_magic"))
+               .when(~sid.isin(*[int(k) for k in schemas]), F.lit("unknown_schema"))
+               .when(F.coalesce(*[F.when(g, F.lit(True)) for g in good], F.lit(False)), F.lit("decoded"))
+               .otherwise(F.lit("bad_body")))
+    return df.select(*keep, outcome.alias("outcome"))
+
+
 def decode(df: DataFrame, params: PipelineParams, keep: Iterable[str] = (),
            fields: Iterable[str] | None = None, value_col: str = "value") -> DataFrame:
     """Decoder choice by parameter (``value_col``: "raw_payload" on bronze)."""
     if params.decode == "fixed":
-        schema = prune_schema(ORDER_EVENT, fields) if params.body_format == "json" else ORDER_EVENT
+        schema = params.fixed_schema or ORDER_EVENT
+        if params.body_format == "json":
+            schema = prune_schema(as_struct(schema), fields)
         return decode_fixed(df, schema, params.body_format, params.parse_mode, value_col=value_col,
                             keep=keep)
     if params.decode == "by_schema_id":
-        return decode_by_schema_id(df, None, params.body_format, params.parse_mode,
-                                   value_col=value_col, keep=keep, fields=fields)
+        return decode_by_schema_id(df, params.schemas, params.body_format, params.parse_mode,
+                                   value_col=value_col, keep=keep, fields=fields, unknown=params.unknown_schema)
     raise ValueError(f"unknown decoder {params.decode!r}")
 
 
@@ -183,3 +263,36 @@ def _avro_record(schema: T.StructType, name: str) -> dict:
 
 def avro_schema_json(schema: T.StructType, name: str = "LiveOrderEvent") -> str:
     return json.dumps(_avro_record(schema, name))
+
+
+# --- StructType of an Avro schema text ---
+
+_AVRO_PRIMITIVES = {"string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(), "double": T.DoubleType(),
+                    "float": T.FloatType(), "boolean": T.BooleanType(), "bytes": T.BinaryType()}
+
+
+def _avro_spark_type(kind) -> tuple[T.DataType, bool]:
+    """Spark type and nullability of an Avro type."""
+    if isinstance(kind, list):
+        rest = [k for k in kind if k != "null"]
+        if len(rest) != 1:
+            raise TypeError(f"no Spark type for union {kind}")
+        return _avro_spark_type(rest[0])[0], "null" in kind
+    if isinstance(kind, str):
+        return _AVRO_PRIMITIVES[kind], False
+    if kind["type"] == "record":
+        fields = []
+        for f in kind["fields"]:
+            spark_type, nullable = _avro_spark_type(f["type"])
+            fields.append(T.StructField(f["name"], spark_type, nullable))
+        return T.StructType(fields), False
+    if kind["type"] == "array":
+        element, nullable = _avro_spark_type(kind["items"])
+        return T.ArrayType(element, nullable), False
+    if kind["type"] == "enum":
+        return T.StringType(), False
+    return _avro_spark_type(kind["type"])
+
+
+def avro_struct(text: str) -> T.StructType:
+    return _avro_spark_type(json.loads(text))[0]

@@ -10,17 +10,21 @@ store, salt) -> final (stage 1) -> partial -> Exchange(window, store) -> final
 Averages are ratios of sums (never averages of averages): Σamount / Σcount and
 Σwait / Σcount, with a null amount adding nothing to the numerator but
 counting in the denominator. With ``params.exact`` amounts are summed as whole
-cents and waits as whole seconds (BIGINT), so every grouping order — direct,
+units of 10**-10 and waits as whole seconds, so every grouping order — direct,
 salted, any partitioning, any micro-batch split — gives identical results,
-rounded HALF_UP on the exact quotient.
+rounded HALF_UP once, on the exact quotient. Amounts that units cannot hold
+(NaN, infinities, 1e14 and beyond) are summed beside them as doubles: no value
+stops a stream.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ordertide.functions.ordercols import cents, half_up_ratio, salt
+from ordertide.functions.ordercols import LARGEST, UNIT_PLACES, half_up_ratio, salt, strays, units
 from ordertide.params import PipelineParams
 from ordertide.operators.curate import PLACED
 
@@ -32,16 +36,32 @@ def window_col(params: PipelineParams) -> Column:
     return F.window(PLACED, params.window_duration)
 
 
-def _amount(params: PipelineParams) -> Column:
-    return cents("transaction_amount") if params.exact else F.col("transaction_amount")
+@dataclass(frozen=True)
+class Measure:
+    """A sum that is taken once from orders and then from earlier sums."""
 
+    name: str
+    of_orders: Column
 
-def _wait(params: PipelineParams) -> Column:
-    return F.col("wait_time_seconds").cast("long") if params.exact else F.col("wait_time_seconds")
+    def first(self) -> Column:
+        return self.of_orders.alias(self.name)
 
+    def again(self) -> Column:
+        return F.sum(self.name).alias(self.name)
 
-def _null_amounts() -> Column:
-    return F.count(F.lit(1)) - F.count("transaction_amount")
+
+def measures(params: PipelineParams, null_counts: bool = False) -> list[Measure]:
+    """What every plan adds up: amount, wait, orders; stray amounts beside exact ones."""
+    amount, wait = F.col("transaction_amount"), F.col("wait_time_seconds")
+    out = [Measure("orders", F.count(F.lit(1)))]
+    if params.exact:
+        out += [Measure("amount", F.sum(units(amount))), Measure("stray", F.sum(strays(amount))),
+                Measure("wait", F.sum(wait.cast("long")))]
+    else:
+        out += [Measure("amount", F.sum(amount)), Measure("wait", F.sum(wait))]
+    if null_counts:
+        out.append(Measure("nulls", F.count(F.lit(1)) - F.count(amount)))
+    return out
 
 
 def with_salt(curated: DataFrame, params: PipelineParams) -> DataFrame:
@@ -52,28 +72,14 @@ def with_salt(curated: DataFrame, params: PipelineParams) -> DataFrame:
 def salted_partials(curated: DataFrame, params: PipelineParams,
                     null_counts: bool = False) -> DataFrame:
     """A1: stage 1, grouped by (window, store, salt)."""
-    aggs = [
-        F.sum(_amount(params)).alias("partial_sales_amount"),
-        F.sum(_wait(params)).alias("partial_wait_time_seconds"),
-        F.count(F.lit(1)).alias("partial_order_count"),
-    ]
-    if null_counts:
-        aggs.append(_null_amounts().alias("partial_null_amount_count"))
     return (with_salt(curated, params)
             .groupBy(window_col(params).alias("window"), F.col("store_id"), F.col("salt"))
-            .agg(*aggs))
+            .agg(*[m.first() for m in measures(params, null_counts)]))
 
 
-def rollup(partials: DataFrame) -> DataFrame:
+def rollup(partials: DataFrame, params: PipelineParams, null_counts: bool = False) -> DataFrame:
     """A2: stage 2, partial sums rolled up per (window, store)."""
-    aggs = [
-        F.sum("partial_sales_amount").alias("total_sales_amount"),
-        F.sum("partial_wait_time_seconds").alias("total_wait_time_seconds"),
-        F.sum("partial_order_count").alias("total_order_count"),
-    ]
-    if "partial_null_amount_count" in partials.columns:
-        aggs.append(F.sum("partial_null_amount_count").alias("null_amount_count"))
-    return partials.groupBy("window", "store_id").agg(*aggs)
+    return partials.groupBy("window", "store_id").agg(*[m.again() for m in measures(params, null_counts)])
 
 
 def one_stage(curated: DataFrame, params: PipelineParams, null_counts: bool = False) -> DataFrame:
@@ -82,25 +88,24 @@ def one_stage(curated: DataFrame, params: PipelineParams, null_counts: bool = Fa
     The partial (map-side) aggregate already bounds what a hot store sends
     through the shuffle to one row per (window, store) per input task.
     """
-    aggs = [
-        F.sum(_amount(params)).alias("total_sales_amount"),
-        F.sum(_wait(params)).alias("total_wait_time_seconds"),
-        F.count(F.lit(1)).alias("total_order_count"),
-    ]
-    if null_counts:
-        aggs.append(_null_amounts().alias("null_amount_count"))
-    return curated.groupBy(window_col(params).alias("window"), F.col("store_id")).agg(*aggs)
+    return (curated.groupBy(window_col(params).alias("window"), F.col("store_id"))
+            .agg(*[m.first() for m in measures(params, null_counts)]))
 
 
-def averages(params: PipelineParams, amount_places: int = 2, wait_places: int = 1,
-             prefix: str = "total_") -> tuple[Column, Column]:
-    """C8 + C9: Σamount/Σcount and Σwait/Σcount, rounded half-up."""
-    amt, wait, n = (F.col(f"{prefix}sales_amount"), F.col(f"{prefix}wait_time_seconds"),
-                    F.col(f"{prefix}order_count"))
-    if params.exact:
-        return (half_up_ratio(amt, n, amount_places, unit_places=2),
-                half_up_ratio(wait, n, wait_places, unit_places=0))
-    return F.round(amt / n, amount_places), F.round(wait / n, wait_places)
+def averages(params: PipelineParams, amount_places: int = 2, wait_places: int = 1) -> tuple[Column, Column]:
+    """C8 + C9: Σamount/Σcount and Σwait/Σcount, rounded half-up once.
+
+    With a stray amount (NaN, infinite, beyond exact range) in the group the
+    amount is averaged in doubles, as plain floating point would.
+    """
+    amount, wait, n = F.col("amount"), F.col("wait"), F.col("orders")
+    if not params.exact:
+        return F.round(amount / n, amount_places), F.round(wait / n, wait_places)
+    loose = (F.coalesce(amount.cast("double"), F.lit(0.0)) / 10.0 ** UNIT_PLACES + F.col("stray")) / n
+    exact = half_up_ratio(amount, n, amount_places, unit_places=UNIT_PLACES)
+    finite = F.abs(loose) < LARGEST
+    return (F.when(F.col("stray").isNull(), exact).otherwise(F.when(finite, F.round(loose, amount_places)).otherwise(loose)),
+            half_up_ratio(wait, n, wait_places))
 
 
 def finish(totals: DataFrame, params: PipelineParams, stamp: bool = False) -> DataFrame:
@@ -110,12 +115,12 @@ def finish(totals: DataFrame, params: PipelineParams, stamp: bool = False) -> Da
         F.col("window.start").alias("window_start"),
         F.col("window.end").alias("window_end"),
         F.col("store_id"),
-        F.col("total_order_count"),
+        F.col("orders").alias("total_order_count"),
         aov.alias("avg_order_value"),
         wait.alias("avg_wait_time_seconds"),
     ]
-    if "null_amount_count" in totals.columns:
-        cols.append(F.col("null_amount_count"))
+    if "nulls" in totals.columns:
+        cols.append(F.col("nulls").alias("null_amount_count"))
     if stamp:
         cols.append(F.current_timestamp().alias("metrics_calculated_timestamp"))
     return totals.select(*cols)
@@ -125,7 +130,7 @@ def store_metrics(curated: DataFrame, params: PipelineParams, stamp: bool = Fals
                   null_counts: bool = False) -> DataFrame:
     """Silver metrics: two-stage salted when ``salt_factor`` > 1, else one stage."""
     if params.salted:
-        totals = rollup(salted_partials(curated, params, null_counts))
+        totals = rollup(salted_partials(curated, params, null_counts), params, null_counts)
     else:
         totals = one_stage(curated, params, null_counts)
     return finish(totals, params, stamp)
@@ -133,13 +138,9 @@ def store_metrics(curated: DataFrame, params: PipelineParams, stamp: bool = Fals
 
 def store_totals_direct(curated: DataFrame, params: PipelineParams, places: int = 4) -> DataFrame:
     """A4: one stage per store, no window: count and both averages to ``places``."""
-    totals = curated.groupBy("store_id").agg(
-        F.sum(_amount(params)).alias("total_sales_amount"),
-        F.sum(_wait(params)).alias("total_wait_time_seconds"),
-        F.count(F.lit(1)).alias("total_order_count"),
-    )
+    totals = curated.groupBy("store_id").agg(*[m.first() for m in measures(params)])
     aov, wait = averages(params, places, places)
-    return totals.select("store_id", F.col("total_order_count").alias("order_count"),
+    return totals.select("store_id", F.col("orders").alias("order_count"),
                          aov.alias("aov"), wait.alias("avg_wait"))
 
 
@@ -155,14 +156,14 @@ def salting_parity(curated: DataFrame, params: PipelineParams, tolerance: float
     p = params.replace(exact=False, salt_factor=params.salt_factor or 16)
 
     def tagged(totals: DataFrame, side: int) -> DataFrame:
-        n = F.col("total_order_count")
+        n = F.col("orders")
         return totals.select(
             F.col("window.start").alias("window_start"), "store_id", n.alias("n"),
-            (F.col("total_sales_amount") / n).alias("aov"),
-            (F.col("total_wait_time_seconds") / n).alias("wait"),
+            (F.col("amount") / n).alias("aov"),
+            (F.col("wait") / n).alias("wait"),
             F.lit(side).alias("side"))
 
-    both = tagged(one_stage(curated, p), 0).unionByName(tagged(rollup(salted_partials(curated, p)), 1))
+    both = tagged(one_stage(curated, p), 0).unionByName(tagged(rollup(salted_partials(curated, p), p), 1))
     per_group = both.groupBy("window_start", "store_id").agg(
         F.count(F.lit(1)).alias("sides"),
         (F.max("n") - F.min("n")).alias("dn"),
@@ -188,8 +189,8 @@ def partials_invariants(curated: DataFrame, params: PipelineParams) -> DataFrame
     p = params.replace(exact=True)
     return (salted_partials(curated, p)
             .groupBy("window", "store_id").agg(
-                F.sum("partial_order_count").alias("order_count"),
-                F.sum("partial_sales_amount").alias("amount_cents"),
+                F.sum("orders").alias("order_count"),
+                half_up_ratio(F.sum("amount") * 100, F.lit(1), 0, unit_places=UNIT_PLACES).cast("long").alias("amount_cents"),
                 F.count(F.lit(1)).alias("n_salts"),
                 F.min("salt").alias("min_salt"), F.max("salt").alias("max_salt"))
             .select(F.col("window.start").alias("window_start"), "store_id", "order_count",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.operators.curate import PLACED
@@ -12,22 +12,17 @@ from ordertide.schemas import CHANNELS
 def skew_profile(orders: DataFrame) -> DataFrame:
     """Rows and share per store, and each store's ratio to the median store.
 
-    The per-store counts are one row per store; the two global figures (total
-    rows, median store count) come from one aggregate over that small table and
-    are applied as literals — no cross join, no single-partition window.
+    One lazy plan: the counts are one row per store, and the two global
+    figures (total rows, median count) are scalar subqueries over them.
     """
     counts = orders.groupBy("store_id").agg(F.count(F.lit(1)).alias("n"))
-    stats = counts.agg(F.sum("n").alias("total"), F.percentile("n", 0.5).alias("median")).first()
-    total = int(stats["total"] or 0)
-    median = float(stats["median"] or 0.0)
-    def per(value: float) -> object:
-        return F.lit(value) if value else F.lit(None).cast("double")
-
-    return counts.select(
-        "store_id", "n",
-        (F.col("n") / per(float(total))).alias("share"),
-        (F.col("n") / per(median)).alias("ratio_to_median"),
-    )
+    total = counts.select(F.sum("n")).scalar()
+    median = counts.select(F.percentile("n", 0.5)).scalar()
+
+    def per(value) -> Column:
+        return F.col("n") / F.nullif(value.cast("double"), F.lit(0.0))
+
+    return counts.select("store_id", "n", per(total).alias("share"), per(median).alias("ratio_to_median"))
 
 
 def channel_profile(orders: DataFrame) -> DataFrame:
@@ -60,24 +55,21 @@ def items_total(items: str = "items"):
         lambda acc, it: (acc + _dec(it["quantity"]) * _dec(it["unit_price"])).cast("decimal(18,2)"))
 
 
-def order_total_check(orders: DataFrame, pages: DataFrame | None = None) -> DataFrame:
+def order_total_check(orders: DataFrame) -> DataFrame:
     """Stated amount vs Σ quantity x unit price of the order's items.
 
     Items are either inline in ``orders`` (one event per order: a row-wise
-    check) or in ``pages`` (``order_key, page, items``), whose page totals are
-    rolled up per order with an ordinary partial aggregate.
+    check over the array) or already summed per order (``items_total``, with
+    ``n_unpriced`` items that no price was found for, which fail the check).
     """
-    if pages is None:
-        base = orders.withColumn("computed_total", items_total())
-    else:
-        totals = pages.groupBy("order_key").agg(F.sum(items_total()).alias("computed_total"))
-        base = orders.join(totals, "order_key", "left")
-    total = F.coalesce(F.col("computed_total"), F.lit(0).cast("decimal(18,2)"))
-    return base.select(
+    inline = "items" in orders.columns
+    total = items_total() if inline else F.col("items_total")
+    complete = F.lit(True) if inline else F.col("n_unpriced") == 0
+    return orders.select(
         "order_key",
         F.col("transaction_amount").alias("stated"),
         total.cast("double").alias("computed"),
-        (_dec(F.col("transaction_amount")) == total).alias("ok"),
+        ((_dec(F.col("transaction_amount")) == total) & complete).alias("ok"),
     )
 
 
@@ -94,24 +86,17 @@ def split_tender_check(orders: DataFrame) -> DataFrame:
     )
 
 
-def item_lines(pages: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+def item_lines(lines: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """One row per item and per syrup modifier; items without modifiers and
-    (given ``orders`` with ``n_lines``) orders without items are kept, with nulls."""
-    items = pages.select("order_key", F.explode_outer("items").alias("item"))
-    lines = items.select(
-        "order_key",
-        F.col("item.item_id").alias("item_id"),
-        F.col("item.quantity").alias("quantity"),
-        F.explode_outer("item.seasonal_syrup_modifiers").alias("modifier"),
+    (given ``orders``) orders without items are kept, with nulls."""
+    flat = lines.select(
+        F.col("order_key"), "item_id", "quantity", F.explode_outer("seasonal_syrup_modifiers").alias("modifier"),
     ).select("order_key", "item_id", "quantity",
              F.col("modifier.syrup_name").alias("syrup_name"),
              F.col("modifier.pumps").alias("pumps"))
     if orders is None:
-        return lines
-    empty = orders.filter(F.col("n_lines") == 0).select(
-        "order_key", F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("int").alias("quantity"),
-        F.lit(None).cast("string").alias("syrup_name"), F.lit(None).cast("int").alias("pumps"))
-    return lines.unionByName(empty)
+        return flat
+    return orders.select("order_key").join(flat, "order_key", "left")
 
 
 def dashboard(silver: DataFrame, limit: int | None = None) -> DataFrame:

@@ -24,7 +24,6 @@ CONFIG_ALIASES = {
     "silver_table_path": "silver_path",
     "silver_checkpoint_path": "silver_checkpoint",
     "silver_table_name": "silver_table",
-    "mode": "parse_mode",
 }
 
 
@@ -36,7 +35,11 @@ class PipelineParams:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int = 50000
+    # ceiling of file sources, which count files and not records (None: no ceiling)
+    max_files_per_trigger: int | None = None
     min_partitions: int = 64
+    # spread file sources over min_partitions tasks (log sources take the floor as a reader option)
+    read_floor: bool = False
     # extra reader options (bootstrap servers, SASL/SSL settings, ...)
     source_options: Mapping[str, str] = field(default_factory=dict)
 
@@ -46,6 +49,12 @@ class PipelineParams:
     decode: str = "by_schema_id"
     body_format: str = "json"          # "json" or "avro"
     parse_mode: str = "PERMISSIVE"     # parser mode of the decoder
+    # registered versions, {schema id: struct, DDL or Avro schema text}; no default
+    schemas: Mapping[int, Any] = field(default_factory=dict)
+    # what an unregistered id does: "drop" (an all-null row, counted by frame_outcomes) or "fail"
+    unknown_schema: str = "drop"
+    # the one schema of decode="fixed" (None: the order event)
+    fixed_schema: Any = None
 
     # --- event time, windows, salting (W1-W3, C10, A1) ------------------------
     watermark_delay: str = "15 minutes"
@@ -57,7 +66,7 @@ class PipelineParams:
     # (measured ~4x and ~2.5x with 65% of orders on one store) for no gain.
     # N > 1: two-stage salted aggregate, as the shipped parameter sets use.
     salt_factor: int | None = None
-    # exact=True: amounts summed as decimal(18,2) and averages rounded half-up on
+    # exact=True: amounts summed exactly and averages rounded half-up once, on
     # the exact quotient; exact=False: double sums, as plain floating point does.
     exact: bool = True
 
@@ -90,6 +99,8 @@ class PipelineParams:
             raise ValueError(f"body_format must be 'json' or 'avro', not {self.body_format!r}")
         if self.parse_mode not in ("PERMISSIVE", "FAILFAST"):
             raise ValueError(f"parse_mode must be 'PERMISSIVE' or 'FAILFAST', not {self.parse_mode!r}")
+        if self.unknown_schema not in ("drop", "fail"):
+            raise ValueError(f"unknown_schema must be 'drop' or 'fail', not {self.unknown_schema!r}")
         if self.salt_factor is not None and self.salt_factor < 1:
             raise ValueError("salt_factor must be None or >= 1")
 
@@ -102,26 +113,36 @@ class PipelineParams:
 
     @classmethod
     def from_dict(cls, conf: Mapping[str, Any]) -> "PipelineParams":
-        flat: dict[str, Any] = {}
-        for key, value in conf.items():
-            if isinstance(value, Mapping) and key not in ("source_options",):
-                flat.update(value)
-            else:
-                flat[key] = value
+        """Sections are read one by one, so equal keys of different sections do not meet."""
         names = {f.name for f in dataclasses.fields(cls)}
-        for old, new in CONFIG_ALIASES.items():
-            if old in flat and new not in flat:
-                flat[new] = flat.pop(old)
-        if "delta_lake" in conf and "sink_format" not in flat:
-            flat["sink_format"] = "delta"
-        kwargs = {k: v for k, v in flat.items() if k in names}
+        flat: dict[str, Any] = {}
+        for section, value in conf.items():
+            whole = section in ("source_options", "schemas") or not isinstance(value, Mapping)
+            for key, x in ({section: value} if whole else value).items():
+                if key == "mode" and not whole:
+                    # one key for two things: a fixed schema, or the decoder's parser mode
+                    if str(x).upper() == "STATIC":
+                        flat.update(decode="fixed", parse_mode="FAILFAST")
+                    else:
+                        flat["parse_mode"] = x
+                    continue
+                name = CONFIG_ALIASES.get(key, key)
+                if name in names and name not in flat:
+                    flat[name] = x
+        # the original job's layout: its records are Avro and its tables Delta
+        if "confluent_kafka" in conf:
+            flat.setdefault("body_format", "avro")
+        if "delta_lake" in conf:
+            flat.setdefault("sink_format", "delta")
+        if "schemas" in flat:
+            flat["schemas"] = {int(k): v if isinstance(v, str) else json.dumps(v) for k, v in flat["schemas"].items()}
         for key in ("silver_partition_by", "bronze_partition_by"):
-            if key in kwargs:
-                kwargs[key] = tuple(kwargs[key] or ())
+            if key in flat:
+                flat[key] = tuple(flat[key] or ())
         for key in ("fail_on_data_loss", "trigger_available_now", "exact"):
-            if isinstance(kwargs.get(key), str):
-                kwargs[key] = kwargs[key].strip().lower() == "true"
-        return cls(**kwargs)
+            if isinstance(flat.get(key), str):
+                flat[key] = flat[key].strip().lower() == "true"
+        return cls(**flat)
 
     @classmethod
     def from_json(cls, path: str) -> "PipelineParams":

@@ -2,9 +2,9 @@
 
 Each takes ``(spark, sf_dir)`` and returns a DataFrame over the whole tables.
 Timestamps leave as UTC wall clock ``TIMESTAMP_NTZ``; no processing-time
-column is returned. Streaming plans run the real streaming query to
-completion (``availableNow``) into a fresh folder under the session's
-checkpoint folder and return the sink read back.
+column is returned. Streaming plans run the job itself over the log, slice by
+slice, into a fresh folder under the session's checkpoint folder and return
+its tables read back.
 """
 
 from __future__ import annotations
@@ -14,25 +14,26 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ordertide.job import start
 from ordertide.functions.timefns import session_zone, wall_clock
 from ordertide.operators import metrics as M
 from ordertide.operators import profiles as P
 from ordertide.operators.curate import FULFILLED, PLACED, bronze_projection, curate_orders
 from ordertide.operators.decode import (
-    decode, decode_by_schema_id, decode_fixed, encode_frames, split_frame, superset_schema,
+    decode, decode_by_schema_id, decode_fixed, encode_frames, frame_outcomes, split_frame, superset_schema,
 )
 from ordertide.params import PRODUCTION, PipelineParams
-from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2
+from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2, SILVER_COLUMNS, ddl
 from ordertide.session import fresh_dir, streaming_session
-from ordertide.sources.fixtures import flat_orders, nested_orders, raw_log
+from ordertide.sources.fixtures import flat_orders, nested_orders, order_lines, raw_log
 from ordertide.sources.tables import read_bronze, read_result, read_table
-from ordertide.streaming.sinks import METRIC_INPUTS, by_output_partition, silver_frame
+from ordertide.streaming.sinks import METRIC_INPUTS, await_all
 
 # recommended plan: one-stage aggregate (see PipelineParams.salt_factor)
-PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet", salt_factor=None)
+SCHEMAS = {101: ORDER_EVENT, 102: ORDER_EVENT_V2}
+PARAMS = PRODUCTION.replace(source_format="parquet", sink_format="parquet", salt_factor=None, schemas=SCHEMAS)
 # the shipped production plan: two-stage, salt factor 16
 SALTED = PARAMS.replace(salt_factor=16)
-SCHEMAS = {101: ORDER_EVENT, 102: ORDER_EVENT_V2}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,9 +52,12 @@ def log(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     return raw_log(orders(spark, sf_dir, streaming))
 
 
-def nested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return nested_orders(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "lineitem"),
-                         read_table(spark, sf_dir, "part"))
+def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_lines(read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "part"))
+
+
+def nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_orders(read_table(spark, sf_dir, "orders"), nested_lines(spark, sf_dir))
 
 
 def metrics_out(df: DataFrame) -> DataFrame:
@@ -62,20 +66,36 @@ def metrics_out(df: DataFrame) -> DataFrame:
                            "window_end": wall_clock("window_end", zone)})
 
 
-def drain(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Runs a streaming plan to completion into a fresh parquet sink; returns it read back."""
-    spark = df.sparkSession
-    out = fresh_dir(spark, label)
-    writer = (df.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", f"{out}/_checkpoint")
-              .trigger(availableNow=True))
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    query = writer.start(f"{out}/data")
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
-    return spark.read.parquet(f"{out}/data")
+SLICES = 3
+
+
+def replay(spark: SparkSession, sf_dir: str, params: PipelineParams, label: str,
+           last: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Runs the job (``ordertide.job.start``) over the derived log, delivered in
+    ``SLICES`` publish-time slices, and returns its bronze and silver tables.
+
+    Each slice is written once, as files of the log folder, and drained by an
+    ``availableNow`` run that resumes from the checkpoints, so state is carried
+    over from batch to batch. Rows of log partition ``last`` arrive after all
+    slices.
+    """
+    spark = streaming_session(spark)
+    base = fresh_dir(spark, label)
+    raw = log(spark, sf_dir)
+    micros = F.unix_micros("timestamp")
+    lo, hi = raw.agg(F.min(micros), F.max(micros)).first()
+    step = 1 if lo is None else (hi - lo) // SLICES + 1
+    arrival = F.call_function("div", micros - F.lit(lo or 0), F.lit(step))
+    if last is not None:
+        arrival = F.when(F.col("partition") == last, F.lit(SLICES)).otherwise(arrival)
+    params = params.replace(
+        trigger_available_now=True, bronze_path=f"{base}/bronze", bronze_checkpoint=f"{base}/bronze-checkpoint",
+        silver_path=f"{base}/silver", silver_checkpoint=f"{base}/silver-checkpoint")
+    for k in range(SLICES + (last is not None)):
+        raw.filter(arrival == k).write.mode("append").parquet(f"{base}/log")
+        await_all(start(spark, params, f"{base}/log"), params, spark)
+    silver = spark.read.schema(ddl(SILVER_COLUMNS)).parquet(f"{base}/silver")
+    return read_bronze(spark, path=f"{base}/bronze"), silver
 
 
 # ------------------------------------------------------- window metrics ----
@@ -170,7 +190,14 @@ def decode_orders(spark, sf_dir):
 
 def decode_by_schema_id_q(spark, sf_dir):
     d = decode_by_schema_id(log(spark, sf_dir), SCHEMAS, keep=["offset"], with_schema_id=True)
-    return d.select("offset", "schema_id", "order_id", "store_id", "loyalty_tier", "transaction_amount")
+    return d.select("offset", "schema_id", "order_id", "store_id", "loyalty_tier",
+                    F.col("payment.wallet").alias("wallet"), "transaction_amount")
+
+
+def decode_outcomes(spark, sf_dir):
+    """Frames per decoding outcome: what the silver stream drops, and where."""
+    return frame_outcomes(log(spark, sf_dir), SCHEMAS, keep=["offset"]).groupBy("outcome").agg(
+        F.count(F.lit(1)).alias("n"), F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"))
 
 
 def frame_round_trip(spark, sf_dir):
@@ -189,17 +216,11 @@ def frame_round_trip(spark, sf_dir):
 # ------------------------------------------------------------ streaming ----
 
 def stream_bronze(spark, sf_dir):
-    spark = streaming_session(spark)
-    raw = log(spark, sf_dir, streaming=True)
-    return bronze_out(drain(bronze_projection(raw), "bronze"))
+    return bronze_out(replay(spark, sf_dir, PARAMS, "bronze")[0])
 
 
 def stream_store_metrics(spark, sf_dir, params: PipelineParams = PARAMS):
-    spark = streaming_session(spark)
-    raw = log(spark, sf_dir, streaming=True)
-    silver = drain(by_output_partition(silver_frame(raw, params, stamp=True), ["store_id"]), "silver",
-                   partition_by=("store_id",))
-    return metrics_out(silver.select(*METRIC_COLUMNS))
+    return metrics_out(replay(spark, sf_dir, params, "silver")[1].select(*METRIC_COLUMNS))
 
 
 def stream_store_metrics_salted(spark, sf_dir):
@@ -208,47 +229,23 @@ def stream_store_metrics_salted(spark, sf_dir):
 
 
 LAGGING_PARTITION = 3
-REPLAY_SLICES = 3
 
 
 def stream_lagging_partition(spark, sf_dir):
-    """W6 on the given data: the log arrives in publish-time slices, each
-    drained by an ``availableNow`` run of the same silver query (one
-    checkpoint), while log partition 3 lags and arrives last. The watermark is
-    global, so the lagging rows whose window it has already closed are dropped
-    and the rest are counted; windows still open at the end stay unwritten."""
-    spark = streaming_session(spark)
-    base = fresh_dir(spark, "lagging")
-    raw_log_df = log(spark, sf_dir)
-    micros = F.unix_micros("timestamp")
-    lo, hi = raw_log_df.agg(F.min(micros), F.max(micros)).first()
-    step = (hi - lo) // REPLAY_SLICES + 1
-    slice_no = F.call_function("div", micros - F.lit(lo), F.lit(step))
-    arrival = F.when(F.col("partition") == LAGGING_PARTITION, F.lit(REPLAY_SLICES)).otherwise(slice_no)
-    # derive the log once, as a staging table partitioned by arrival (a lineage
-    # cut in the shared folder); each delivery then reads only its partition
-    raw_log_df.withColumn("arrival", arrival.cast("int")).write.partitionBy("arrival") \
-        .parquet(f"{base}/staging")
-    schema = raw_log_df.schema
-    for k in range(REPLAY_SLICES + 1):           # one delivery, then one drain run
-        (spark.read.parquet(f"{base}/staging").filter(F.col("arrival") == k).drop("arrival")
-         .write.mode("append").parquet(f"{base}/log"))
-        raw = spark.readStream.schema(schema).parquet(f"{base}/log")
-        silver = by_output_partition(silver_frame(raw, PARAMS, stamp=True), ["store_id"])
-        query = (silver.writeStream.format("parquet").outputMode("append")
-                 .option("checkpointLocation", f"{base}/_checkpoint").partitionBy("store_id")
-                 .trigger(availableNow=True).start(f"{base}/silver"))
-        query.awaitTermination()
-        if query.exception():
-            raise query.exception()
-    return metrics_out(spark.read.parquet(f"{base}/silver").select(*METRIC_COLUMNS))
+    """W6 on the given data: log partition 3 lags and arrives last. The watermark
+    is global, so the lagging rows whose window it has already closed are
+    dropped and the rest are counted; windows still open at the end stay
+    unwritten."""
+    silver = replay(spark, sf_dir, PARAMS, "lagging", last=LAGGING_PARTITION)[1]
+    return metrics_out(silver.select(*METRIC_COLUMNS))
 
 
 # ---------------------------------------------------- dashboard views ----
 
 def dashboard_silver(spark, sf_dir):
     path = fresh_dir(spark, "silver-batch")
-    silver = by_output_partition(M.store_metrics(curated(spark, sf_dir), PARAMS, stamp=True), ["store_id"])
+    # rebalanced by store, so a store with a long history is more than one task and file
+    silver = M.store_metrics(curated(spark, sf_dir), PARAMS, stamp=True).hint("rebalance", "store_id")
     silver.write.partitionBy("store_id").mode("errorifexists").parquet(path)
     silver = read_result(spark, path=path).select(*METRIC_COLUMNS)
     return P.dashboard(metrics_out(silver))
@@ -266,7 +263,8 @@ def bronze_replay_metrics(spark, sf_dir):
 
 
 def bronze_latest(spark, sf_dir):
-    return bronze_out(P.latest_bronze(bronze_projection(log(spark, sf_dir), stamp=False), 20))
+    """O2: newest rows by ingestion time of the audit table that the job wrote in several batches."""
+    return bronze_out(P.latest_bronze(replay(spark, sf_dir, PARAMS, "latest")[0], 20))
 
 
 # ------------------------------------------------------------- profiles ----
@@ -285,18 +283,16 @@ def lateness_profile(spark, sf_dir):
 
 
 def order_total_check(spark, sf_dir):
-    heads, pages = nested(spark, sf_dir)
-    return P.order_total_check(heads, pages)
+    return P.order_total_check(nested(spark, sf_dir))
 
 
 def split_tender_check(spark, sf_dir):
-    heads, _ = nested(spark, sf_dir)
-    return P.split_tender_check(heads)
+    return P.split_tender_check(nested(spark, sf_dir))
 
 
 def item_lines(spark, sf_dir):
-    heads, pages = nested(spark, sf_dir)
-    return P.item_lines(pages, heads)
+    orders = read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"))
+    return P.item_lines(nested_lines(spark, sf_dir), orders)
 
 
 FLAGSHIP = "store_metrics_5m"
@@ -319,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "wire_frame_split": wire_frame_split,
     "decode_orders": decode_orders,
     "decode_by_schema_id": decode_by_schema_id_q,
+    "decode_outcomes": decode_outcomes,
     "frame_round_trip": frame_round_trip,
     "stream_bronze": stream_bronze,
     "stream_store_metrics": stream_store_metrics,

@@ -37,7 +37,7 @@ VALID = "c.event_id % 1000 NOT IN (1, 2, 3, 4)"
 LOG = """b AS (
   SELECT o.*,
     CASE WHEN event_id % 2 = 0 THEN 101 ELSE 102 END AS body_schema,
-    CASE WHEN event_id % 1000 = 3 THEN 103 WHEN event_id % 2 = 0 THEN 101 ELSE 102 END AS schema_id,
+    CASE WHEN event_id % 2000 = 3 THEN 4294967295 WHEN event_id % 1000 = 3 THEN 103 WHEN event_id % 2 = 0 THEN 101 ELSE 102 END AS schema_id,
     coalesce('"' || CASE WHEN event_id % 1000 = 1 THEN 'junk'
                          ELSE strftime(placed, '%Y-%m-%dT%H:%M:%S.%fZ') END || '"', 'null') AS j_placed,
     coalesce('"' || strftime(fulfilled, '%Y-%m-%dT%H:%M:%S.%fZ') || '"', 'null') AS j_fulfilled,
@@ -58,7 +58,8 @@ l AS (
            || '","quantity":1,"unit_price":' || j_amount || ',"seasonal_syrup_modifiers":'
            || CASE WHEN event_id % 3 = 0 THEN '[{"syrup_name":"Vanilla","pumps":2}]' ELSE '[]' END
            || '}]' END
-      || ',"payment":{"primary_tender":"CARD","split_tender":[]}'
+      || ',"payment":{"primary_tender":"CARD","split_tender":[]'
+      || CASE WHEN body_schema = 102 THEN ',"wallet":"W-' || CAST(user_id % 7 AS VARCHAR) || '"' ELSE '' END || '}'
       || CASE WHEN body_schema = 102 THEN ',"loyalty_tier":"'
               || CASE WHEN amount >= 25 THEN 'GOLD' ELSE 'GREEN' END || '"' ELSE '' END
       || '}' END AS body
@@ -153,16 +154,16 @@ FLAGSHIP_SQL = _with(ORDERS, CURATED) + _metrics("5 minutes")
 NESTED = """ln AS (
   SELECT l.l_orderkey AS k, l.l_partkey, l.l_linenumber, CAST(l.l_quantity AS INTEGER) AS q,
          p.p_retailprice AS pr
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
+  FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey),
 per AS (
-  SELECT k, CAST(sum(CAST(round(q * pr * 100) AS BIGINT)) AS BIGINT) AS items_cents,
+  SELECT k, CAST(sum(CAST(round(q * pr * 100) AS BIGINT)) AS BIGINT) AS items_cents, count(*) FILTER (pr IS NULL) AS unpriced,
          sum(CAST(q AS DECIMAL(18,2)) * CAST(pr AS DECIMAL(18,2))) AS computed
   FROM ln GROUP BY k),
 n AS (
   SELECT o_orderkey AS order_key,
          CASE WHEN o_orderkey % 10 = 0 THEN CAST(round(o_totalprice * 100) AS BIGINT)
               ELSE coalesce(items_cents, 0) END AS amount_cents,
-         coalesce(computed, 0) AS computed
+         coalesce(computed, 0) AS computed, coalesce(unpriced, 0) AS unpriced
   FROM orders LEFT JOIN per ON per.k = o_orderkey)"""
 
 LATENESS = "(epoch_us(date_trunc('second', published)) - epoch_us(date_trunc('second', placed))) // 1000000"
@@ -203,7 +204,7 @@ SELECT order_id, store_id, placed AS order_placed_timestamp, fulfilled AS order_
 FROM c WHERE {VALID}""",
     "bronze_projection": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE,
     "wire_frame_split": _with(ORDERS, LOG) + """g AS (SELECT 1 AS x)
-SELECT event_id AS "offset", '00' AS magic, CAST(schema_id AS INTEGER) AS schema_id,
+SELECT event_id AS "offset", '00' AS magic, CAST(schema_id AS BIGINT) AS schema_id,
        CAST(strlen(body) AS INTEGER) AS body_length
 FROM l""",
     "decode_orders": _with(ORDERS, LOG) + """g AS (SELECT 1 AS x)
@@ -222,13 +223,17 @@ SELECT event_id AS "offset",
   CASE WHEN event_id % 1000 <> 4 THEN 'CARD' END AS primary_tender
 FROM l""",
     "decode_by_schema_id": _with(ORDERS, LOG) + """g AS (SELECT 1 AS x)
-SELECT event_id AS "offset", CAST(schema_id AS INTEGER) AS schema_id,
+SELECT event_id AS "offset", CAST(schema_id AS BIGINT) AS schema_id,
   CASE WHEN event_id % 1000 NOT IN (3, 4) THEN order_id END AS order_id,
   CASE WHEN event_id % 1000 NOT IN (2, 3, 4) THEN store_id END AS store_id,
   CASE WHEN event_id % 1000 NOT IN (3, 4) AND schema_id = 102
        THEN CASE WHEN amount >= 25 THEN 'GOLD' ELSE 'GREEN' END END AS loyalty_tier,
+  CASE WHEN event_id % 1000 NOT IN (3, 4) AND schema_id = 102 THEN 'W-' || CAST(user_id % 7 AS VARCHAR) END AS wallet,
   CASE WHEN event_id % 1000 NOT IN (3, 4) THEN amount END AS transaction_amount
 FROM l""",
+    "decode_outcomes": _with(ORDERS, LOG) + """g AS (
+  SELECT event_id, CASE WHEN event_id % 1000 = 3 THEN 'unknown_schema' WHEN event_id % 1000 = 4 THEN 'bad_body' ELSE 'decoded' END AS outcome FROM l)
+SELECT outcome, count(*) AS n, min(event_id) AS first_offset, max(event_id) AS last_offset FROM g GROUP BY outcome""",
     "frame_round_trip": _with(ORDERS) + """g AS (SELECT 1 AS x)
 SELECT order_id, TRUE AS ok FROM o WHERE event_id % 1000 NOT IN (3, 4)""",
     "stream_bronze": _with(ORDERS, LOG) + "g AS (SELECT 1 AS x)\n" + BRONZE,
@@ -258,13 +263,13 @@ FROM g GROUP BY channel""",
     "order_total_check": _with(NESTED) + """g AS (SELECT 1 AS x)
 SELECT order_key, CAST(amount_cents AS DOUBLE) / 100.0 AS stated,
        CAST(computed AS DOUBLE) AS computed,
-       amount_cents = CAST(computed * 100 AS BIGINT) AS ok
+       amount_cents = CAST(computed * 100 AS BIGINT) AND unpriced = 0 AS ok
 FROM n""",
     "split_tender_check": _with(NESTED) + """g AS (SELECT 1 AS x)
 SELECT order_key,
        CAST(CASE WHEN order_key % 10 < 3 THEN 2 ELSE 0 END AS INTEGER) AS n_splits,
-       CASE WHEN order_key % 10 < 3 THEN CAST(amount_cents AS DOUBLE) / 100.0 ELSE 0.0 END AS split_total,
-       TRUE AS ok
+       CASE WHEN order_key % 10 < 3 THEN CAST(amount_cents + CASE WHEN order_key % 100 = 1 THEN 100 ELSE 0 END AS DOUBLE) / 100.0 ELSE 0.0 END AS split_total,
+       order_key % 100 <> 1 AS ok
 FROM n""",
     "item_lines": _with(NESTED) + """g AS (SELECT 1 AS x)
 SELECT o_orderkey AS order_key, CAST(ln.l_partkey AS VARCHAR) AS item_id, ln.q AS quantity,

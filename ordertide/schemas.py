@@ -47,8 +47,11 @@ ORDER_EVENT = T.StructType([
     T.StructField("payment", PAYMENT),
 ])
 
-# Version 2 adds one nullable field (schema id 102 in the fixtures).
-ORDER_EVENT_V2 = T.StructType(ORDER_EVENT.fields + [T.StructField("loyalty_tier", T.StringType())])
+# Version 2 adds a nullable field and a nested one (schema id 102 in the fixtures).
+PAYMENT_V2 = T.StructType(PAYMENT.fields + [T.StructField("wallet", T.StringType())])
+ORDER_EVENT_V2 = T.StructType(
+    [T.StructField(f.name, PAYMENT_V2) if f.name == "payment" else f for f in ORDER_EVENT.fields]
+    + [T.StructField("loyalty_tier", T.StringType())])
 
 # The four order channels of the event schema's enum.
 CHANNELS = ("IN_STORE_POS", "DRIVE_THRU", "MOBILE_APP_PICKUP", "MOBILE_APP_DELIVERY")

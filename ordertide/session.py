@@ -51,35 +51,33 @@ def streaming_session(spark: SparkSession, partitions: int | None = None) -> Spa
     """A child session (same context, own SQL conf) for running a stream.
 
     A stateful query keeps ``spark.sql.shuffle.partitions`` state partitions
-    for its whole life, so it is sized here, without changing the caller's
-    session: at most twice the cluster's default parallelism, never more than
-    the caller's setting. Time zone and state store follow the library's setup.
+    for its whole life: the caller's setting, unless ``partitions`` is given.
+    Time zone and state store follow the library's setup.
     """
     child = spark.newSession()
-    if partitions is None:
-        current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        try:
-            partitions = max(1, min(current, 2 * spark.sparkContext.defaultParallelism))
-        except Exception:  # noqa: BLE001 - no context access (e.g. remote sessions)
-            partitions = current
-    child.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    child.conf.set("spark.sql.shuffle.partitions", str(partitions or spark.conf.get("spark.sql.shuffle.partitions")))
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     apply_state_store(child)
     return child
 
 
+_local_folders: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
     Uses the cluster's ``spark.checkpoint.dir``. Only a local-mode session
-    without one (tests) gets a fresh folder of its own.
+    without one (tests) gets a folder of its own, and the caller's context
+    keeps its setting.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not conf_dir:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ordertide-"))
-        conf_dir = spark.sparkContext.getCheckpointDir()
+        app = spark.sparkContext.applicationId
+        conf_dir = _local_folders.setdefault(app, "") or tempfile.mkdtemp(prefix="ordertide-")
+        _local_folders[app] = conf_dir
     return conf_dir.rstrip("/")
 
 

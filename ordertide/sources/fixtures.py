@@ -4,8 +4,8 @@
   hot store, null amounts, unfulfilled orders, late publication.
 * ``raw_log``      (F7): the same orders framed as log records (magic byte,
   schema id 101/102, JSON body), plus malformed records.
-* ``nested_orders``(F8): order heads (amount, split tenders) per ``orders`` row
-  and their items from ``lineitem`` x ``part`` in bounded item pages.
+* ``order_lines`` and ``nested_orders`` (F8): items from ``lineitem`` x ``part``,
+  a row each, and order heads (amount, split tenders) per ``orders`` row.
 
 All are narrow projections (no shuffle) except ``nested_orders``.
 """
@@ -21,7 +21,9 @@ from ordertide.functions.timefns import session_zone, utc_instant, wall_clock
 # Fixture rules for the derived order stream.
 HOT_STORE = "STORE-0001"
 TOPIC = "live_orders"
-SCHEMA_V1, SCHEMA_V2, SCHEMA_UNKNOWN = 101, 102, 103
+SCHEMA_V1, SCHEMA_V2 = 101, 102
+# unregistered ids; the second is beyond the signed range
+SCHEMA_UNKNOWN, SCHEMA_LARGE = 103, 2**32 - 1
 # event_type -> order channel
 CHANNEL_BY_EVENT = {
     "click": "IN_STORE_POS",
@@ -102,7 +104,9 @@ def order_body(o: DataFrame) -> Column:
         F.lit(',"order_fulfilled_timestamp":'), _json_str(_iso(F.col("order_fulfilled_timestamp"), zone)),
         F.lit(',"transaction_amount":'), _money(F.col("transaction_amount")),
         F.lit(',"items":'), items,
-        F.lit(',"payment":{"primary_tender":"CARD","split_tender":[]}'),
+        F.lit(',"payment":{"primary_tender":"CARD","split_tender":[]'),
+        F.when(schema_id == SCHEMA_V2, F.concat(F.lit(',"wallet":"W-'), (F.col("user_id") % 7).cast("string"), F.lit('"'))).otherwise(F.lit("")),
+        F.lit("}"),
         F.when(schema_id == SCHEMA_V2, F.concat(F.lit(',"loyalty_tier":'), _json_str(tier))).otherwise(F.lit("")),
         F.lit("}"),
     )
@@ -111,7 +115,8 @@ def order_body(o: DataFrame) -> Column:
 def raw_log(orders: DataFrame) -> DataFrame:
     """flat orders -> raw log rows ``(key, value, topic, partition, offset, timestamp)``."""
     eid = F.col("event_id")
-    schema_id = (F.when(eid % 1000 == BAD_SCHEMA, F.lit(SCHEMA_UNKNOWN))
+    schema_id = (F.when(eid % 2000 == BAD_SCHEMA, F.lit(SCHEMA_LARGE))
+                 .when(eid % 1000 == BAD_SCHEMA, F.lit(SCHEMA_UNKNOWN))
                  .when(eid % 2 == 0, F.lit(SCHEMA_V1)).otherwise(F.lit(SCHEMA_V2)))
     body = F.when(eid % 1000 == BAD_BODY, F.lit("")).otherwise(order_body(orders))
     return orders.select(
@@ -124,83 +129,61 @@ def raw_log(orders: DataFrame) -> DataFrame:
     )
 
 
-ITEM = ("struct<item_id:string,item_name:string,quantity:int,unit_price:double,"
-        "seasonal_syrup_modifiers:array<struct<syrup_name:string,pumps:int>>,line_number:int>")
 TENDERS = "array<struct<tender_type:string,amount:double>>"
-PAGE_LINES = 64
-# largest row count of a side we broadcast (a (key, count) row is ~20 bytes)
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def nested_orders(orders: DataFrame, lineitem: DataFrame, part: DataFrame,
-                  page_lines: int = PAGE_LINES) -> tuple[DataFrame, DataFrame]:
-    """F8: nested orders from ``orders`` / ``lineitem`` / ``part``.
-
-    Returns ``(heads, pages)``:
+MODIFIERS = "array<struct<syrup_name:string,pumps:int>>"
+# orders whose second tender is one unit too much, so that the split check has failing cases
+BAD_SPLIT = 1
 
-    * heads: one row per order — ``order_key, order_id, transaction_amount,
-      payment, n_lines``. Amount = Σ quantity x price, except every tenth order,
-      which states its total price (so the total check must flag it); two split
-      tenders (60 % / rest, in cents) on orders with key % 10 < 3.
-    * pages: the order's items, ``order_key, page, items``; an order's lines are
-      spread over ceil(n_lines / page_lines) pages by a hash of the line, so no
-      item array (and no aggregation buffer) grows with the size of one order.
-      Ordinary orders (up to ``page_lines`` lines) are a single page.
 
-    Per-order figures come from partial aggregates (skew-safe). The part lookup
-    is a plain equi-join that AQE broadcasts only when ``part`` is measured
-    small. Line rows are shuffled once, by (order, page), for the item arrays.
-    """
-    lines = (lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                             "l_extendedprice", "l_shipdate")
-             .join(part.select("p_partkey", "p_name", "p_retailprice"),
-                   F.col("l_partkey") == F.col("p_partkey")))
-    item_cents = F.round(F.col("l_quantity") * F.col("p_retailprice") * 100).cast("long")
-    per_order = lines.groupBy("l_orderkey").agg(
-        F.count(F.lit(1)).alias("n_lines"), F.sum(item_cents).alias("items_cents"))
-
-    n_pages = F.ceil(F.col("n_lines") / F.lit(page_lines))
-    line_hash = F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                           "l_extendedprice", "l_shipdate")
+def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
+    """F8 items, one row per line: ``order_key, item_id, item_name, quantity, unit_price,
+    seasonal_syrup_modifiers, line_number``. A line whose part is missing keeps its row,
+    without name and price. No array grows with the size of one order."""
     mods = F.when(F.col("l_linenumber") % 3 == 0,
                   F.array(F.struct(F.lit("Vanilla").alias("syrup_name"), F.lit(2).alias("pumps"))))
-    item = F.struct(
-        F.col("l_partkey").cast("string").alias("item_id"),
-        F.col("p_name").alias("item_name"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("p_retailprice").alias("unit_price"),
-        F.coalesce(mods, F.array().cast("array<struct<syrup_name:string,pumps:int>>"))
-         .alias("seasonal_syrup_modifiers"),
-        F.col("l_linenumber").alias("line_number"),
-    )
-    # Orders with more lines than one page: usually none or few. Their set is
-    # broadcast only when its measured row count is under a bound; otherwise
-    # it is a shuffle join (AQE splits a skewed order across tasks).
-    big = (lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-           .filter(F.col("n_lines") > page_lines)
-           .select("l_orderkey", n_pages.cast("long").alias("n_pages")))
-    n_big = big.count()
-    big_side = F.broadcast(big) if n_big <= BROADCAST_MAX_ROWS else big
-    pages = (lines.join(big_side, "l_orderkey", "left")
-             .withColumn("page", F.pmod(line_hash, F.coalesce(F.col("n_pages"), F.lit(1))).cast("int"))
-             .repartition("l_orderkey", "page")
-             .groupBy(F.col("l_orderkey").alias("order_key"), "page")
-             .agg(F.collect_list(item).alias("items")))
-
+    return (lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+            .join(part.select("p_partkey", "p_name", "p_retailprice"),
+                  F.col("l_partkey") == F.col("p_partkey"), "left")
+            .select(F.col("l_orderkey").alias("order_key"),
+                    F.col("l_partkey").cast("string").alias("item_id"),
+                    F.col("p_name").alias("item_name"),
+                    F.col("l_quantity").cast("int").alias("quantity"),
+                    F.col("p_retailprice").alias("unit_price"),
+                    F.coalesce(mods, F.array().cast(MODIFIERS)).alias("seasonal_syrup_modifiers"),
+                    F.col("l_linenumber").alias("line_number")))
+
+
+def nested_orders(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """F8 heads, one row per order: ``order_key, order_id, transaction_amount, payment, n_lines,
+    items_total, n_unpriced``.
+
+    Amount = Σ quantity x price, except every tenth order, which states its
+    total price (so the total check must flag it); two split tenders (60 % /
+    rest, in cents) on orders with key % 10 < 3, which do not add up where
+    key % 100 = 1. The lines are summed by a partial aggregate (skew-safe), and
+    read once.
+    """
+    price = F.col("quantity").cast("decimal(18,2)") * F.col("unit_price").cast("decimal(18,2)")
+    per_order = lines.groupBy(F.col("order_key").alias("of_order")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum(price).cast("decimal(18,2)").alias("items_total"),
+        F.count_if(price.isNull()).alias("n_unpriced"))
     o = orders.select("o_orderkey", "o_totalprice").join(
-        per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        per_order, F.col("o_orderkey") == F.col("of_order"), "left")
+    items_total = F.coalesce(F.col("items_total"), F.lit(0).cast("decimal(18,2)"))
     amount_cents = F.when(F.col("o_orderkey") % 10 == 0, F.round(F.col("o_totalprice") * 100).cast("long")) \
-        .otherwise(F.coalesce(F.col("items_cents"), F.lit(0)))
+        .otherwise((items_total * 100).cast("long"))
     first = F.call_function("div", amount_cents * 6, F.lit(10))
+    second = amount_cents - first + F.when(F.col("o_orderkey") % 100 == BAD_SPLIT, F.lit(100)).otherwise(F.lit(0))
     split = F.when(F.col("o_orderkey") % 10 < 3, F.array(
         F.struct(F.lit("CARD").alias("tender_type"), (first / 100.0).alias("amount")),
-        F.struct(F.lit("WALLET").alias("tender_type"), ((amount_cents - first) / 100.0).alias("amount")),
+        F.struct(F.lit("WALLET").alias("tender_type"), (second / 100.0).alias("amount")),
     )).otherwise(F.array().cast(TENDERS))
-    heads = o.select(
+    return o.select(
         F.col("o_orderkey").alias("order_key"),
         F.concat(F.lit("ORD-"), F.col("o_orderkey").cast("string")).alias("order_id"),
         (amount_cents / 100.0).alias("transaction_amount"),
         F.struct(F.lit("CARD").alias("primary_tender"), split.alias("split_tender")).alias("payment"),
         F.coalesce(F.col("n_lines"), F.lit(0)).alias("n_lines"),
+        items_total.alias("items_total"),
+        F.coalesce(F.col("n_unpriced"), F.lit(0)).alias("n_unpriced"),
     )
-    return heads, pages

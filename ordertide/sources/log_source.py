@@ -37,11 +37,10 @@ def log_source_options(params: PipelineParams) -> dict[str, str]:
             "failOnDataLoss": str(params.fail_on_data_loss).lower(),       # S5
         }
     else:
-        # file replay of the same columns: one trigger reads at most N files
-        opts = {
-            "maxFilesPerTrigger": str(max(1, params.max_offsets_per_trigger)),
-            "ignoreMissingFiles": str(not params.fail_on_data_loss).lower(),
-        }
+        # file replay of the same columns: files, not records, are counted
+        opts = {"ignoreMissingFiles": str(not params.fail_on_data_loss).lower()}
+        if params.max_files_per_trigger:
+            opts["maxFilesPerTrigger"] = str(params.max_files_per_trigger)
     opts.update({k: str(v) for k, v in params.source_options.items()})   # S6: security etc.
     return opts
 
@@ -54,9 +53,13 @@ def log_source(spark: SparkSession, params: PipelineParams, path: str | None = N
         reader = spark.readStream if streaming else spark.read
         if not streaming:                         # a bounded read of the whole retained log
             opts = {k: v for k, v in opts.items() if k != "maxOffsetsPerTrigger"}
-            opts["startingOffsets"] = "earliest"
+            # "latest" would be empty in a bounded read; a position given by offset stays
+            if opts.get("startingOffsets") == "latest":
+                opts["startingOffsets"] = "earliest"
         return reader.format("kafka").options(**opts).load()
-    if streaming:
-        return (spark.readStream.format(params.source_format).schema(RAW_LOG)
-                .options(**opts).load(path))
-    return spark.read.format(params.source_format).schema(RAW_LOG).load(path)
+    reader = spark.readStream if streaming else spark.read
+    if not streaming:
+        opts = {k: v for k, v in opts.items() if k != "maxFilesPerTrigger"}
+    raw = reader.format(params.source_format).schema(RAW_LOG).options(**opts).load(path)
+    # S3: file sources have no minPartitions; the floor is a round-robin repartition
+    return raw.repartition(params.min_partitions) if params.read_floor else raw

@@ -32,13 +32,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, streaming: bool = Fa
 
 
 def read_result(spark: SparkSession, table: str | None = None, path: str | None = None,
-                fmt: str = "parquet") -> DataFrame:
-    """A result table by catalog name, else by path."""
+                fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """A result table by catalog name, else by path (S7); ``merge_schema`` reads files of
+    several versions as their superset (S11)."""
     if table:
         return spark.table(table)
     if not path:
         raise ValueError("need a table name or a path")
-    return spark.read.format(fmt).load(path)
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).format(fmt).load(path)
 
 
 def read_bronze(spark: SparkSession, table: str | None = None, path: str | None = None,

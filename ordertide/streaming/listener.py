@@ -4,12 +4,13 @@
 event (start, progress, idle, terminated). ``progress_frame`` turns the
 progress of finished or running queries into a DataFrame (one row per batch),
 which is how the tests and the benchmark read telemetry. ``state_rows`` is only
-maintained when the RocksDB store tracks its row count (off by default here).
+maintained when the RocksDB store tracks its row count (off by default here), else null.
 """
 
 from __future__ import annotations
 
 import logging
+from collections import deque
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
@@ -28,13 +29,16 @@ def progress_row(p: dict) -> tuple:
         p.get("processedRowsPerSecond"),
         (p.get("eventTime") or {}).get("watermark"),
         sum(int(o.get("numRowsDroppedByWatermark", 0) or 0) for o in ops),
-        sum(int(o.get("numRowsTotal", 0) or 0) for o in ops),
+        # the RocksDB store reports no total unless it tracks it
+        sum(totals) if (totals := [int(o.get("numRowsTotal") or 0) for o in ops]) and any(totals) else None,
     )
 
 
 class ProgressLog(StreamingQueryListener):
-    def __init__(self) -> None:
-        self.events: list[dict] = []
+    """Logs each event and keeps the latest ``keep`` of them."""
+
+    def __init__(self, keep: int = 1000) -> None:
+        self.events: deque[dict] = deque(maxlen=keep)
 
     def onQueryStarted(self, event) -> None:
         self.events.append({"kind": "started", "id": str(event.id), "name": event.name})

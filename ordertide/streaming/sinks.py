@@ -8,7 +8,7 @@ independently.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ordertide.operators.curate import bronze_projection, curate_orders, with_event_watermark
@@ -97,15 +97,18 @@ def start_bronze_and_silver(raw: DataFrame, params: PipelineParams) -> tuple[Str
 
 
 def await_all(queries, params: PipelineParams, spark=None, timeout: float | None = None) -> None:
-    """Drain mode waits for each query in turn; continuous mode returns
-    (or raises) as soon as any query ends."""
+    """Drain mode waits for each query in turn, and raises if one is not done when
+    ``timeout`` seconds have passed; continuous mode returns (or raises) as soon as any
+    query ends, or when the timeout passes."""
     if params.trigger_available_now:
         for q in queries:
-            q.awaitTermination(timeout) if timeout else q.awaitTermination()
+            ended = q.awaitTermination(timeout) if timeout else (q.awaitTermination() or True)
             if q.exception():
                 raise q.exception()
+            if not ended:
+                raise TimeoutError(f"query {q.name or q.id} has not drained its source after {timeout} s")
     else:
-        spark = spark or queries[0].sparkSession
+        spark = spark or SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
         spark.streams.resetTerminated()          # only terminations from now on count
         if all(q.isActive for q in queries):     # one may have ended before the reset
             if timeout:

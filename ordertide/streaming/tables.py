@@ -33,6 +33,16 @@ def qualified(database: str, name: str, catalog: str | None = None) -> str:
     return ".".join(p for p in (catalog, database, name) if p)
 
 
+def resolved(name: str, database: str, catalog: str | None = None) -> str:
+    """The full name of a table given by one, two or three parts; DDL and writer both use it."""
+    parts = name.split(".")
+    if len(parts) == 1:
+        parts = [database, *parts]
+    if len(parts) == 2 and catalog:
+        parts = [catalog, *parts]
+    return ".".join(parts)
+
+
 def create_schema(spark: SparkSession, database: str, catalog: str | None = None) -> None:
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {qualified(database, '', catalog).rstrip('.')}")
 
@@ -55,10 +65,12 @@ def silver_ddl(table: str, fmt: str = "parquet", partition_by=("store_id",)) ->
 def provision(spark: SparkSession, database: str, bronze: str | None, silver: str | None,
               fmt: str = "parquet", catalog: str | None = None,
               silver_partition_by=("store_id",), bronze_partition_by=()) -> DataFrame:
-    """Creates schema and tables if missing; returns the schema's table list."""
+    """Creates schemas and tables if missing; returns the schema's table list.
+    Tables may be named by one, two or three parts (``resolved``)."""
     create_schema(spark, database, catalog)
-    if bronze:
-        spark.sql(bronze_ddl(qualified(database, bronze, catalog), fmt, bronze_partition_by))
-    if silver:
-        spark.sql(silver_ddl(qualified(database, silver, catalog), fmt, silver_partition_by))
+    for name, ddl, partition_by in ((bronze, bronze_ddl, bronze_partition_by), (silver, silver_ddl, silver_partition_by)):
+        if name:
+            table = resolved(name, database, catalog)
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rpartition('.')[0]}")
+            spark.sql(ddl(table, fmt, partition_by))
     return spark.sql(f"SHOW TABLES IN {qualified(database, '', catalog).rstrip('.')}")

@@ -1,3 +1,4 @@
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -77,3 +78,24 @@ def test_parse_timestamp_accepts_offsets_and_never_fails(spark):
     got = [r[0] for r in df.select(F.unix_micros(parse_timestamp("t"))).collect()]
     assert got[0] == got[1] == got[2] == 1704096000123456
     assert got[3:] == [None, None, None]
+
+
+@pytest.mark.parametrize("zone", ["Europe/Berlin", "America/New_York", "Pacific/Auckland"])
+def test_wall_clocks_around_clock_changes(spark, zone):
+    """Hours that the zone skips or repeats come back as they were."""
+    import datetime as dt
+
+    from ordertide.functions.timefns import utc_instant, wall_clock
+
+    days = [(2024, 3, 31), (2024, 3, 10), (2024, 10, 27), (2024, 11, 3), (2024, 4, 7), (2024, 9, 29), (1969, 12, 31)]
+    rows = [(dt.datetime(*d, h, m, 30, 123456),) for d in days for h in range(24) for m in (0, 30)]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame(rows, "t timestamp_ntz")
+        back = df.select("t", wall_clock(utc_instant("t", zone=zone), zone).alias("b"), F.unix_micros(utc_instant("t", zone=zone)).alias("us"))
+        for r in back.collect():
+            assert r["b"] == r["t"]
+            assert r["us"] == (r["t"] - dt.datetime(1970, 1, 1)) // dt.timedelta(microseconds=1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

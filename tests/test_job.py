@@ -3,11 +3,14 @@ import os
 
 from ordertide.params import PRODUCTION, SERVERLESS, SMALL, PipelineParams
 from ordertide.job import main
+from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2
 from ordertide.sources.fixtures import flat_orders, raw_log
 from ordertide.sources.tables import read_table
 
 from tests.conftest import SF001
 
+SCHEMAS = {"101": ORDER_EVENT.simpleString(), "102": ORDER_EVENT_V2.simpleString()}
+
 CONFIG = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "config")
 
 
@@ -23,8 +26,8 @@ def test_main_runs_both_queries_to_completion(spark, tmp):
     log_path = f"{tmp}/log"
     raw_log(flat_orders(read_table(spark, SF001, "events"))).repartition(2).write.parquet(log_path)
     conf = {
-        "source": {"source_format": "parquet", "max_offsets_per_trigger": 1},
-        "decoder": {"body_format": "json"},
+        "source": {"source_format": "parquet", "max_files_per_trigger": 1},
+        "decoder": {"body_format": "json"}, "schemas": SCHEMAS,
         "tuning": {"trigger_available_now": True, "salt_factor": None, "shuffle_partitions": 4},
         "sinks": {"sink_format": "parquet",
                   "bronze_path": f"{tmp}/bronze", "bronze_checkpoint": f"{tmp}/ckb",
@@ -41,8 +44,8 @@ def test_main_provisions_and_fills_named_tables(spark, tmp):
     log_path = f"{tmp}/log"
     raw_log(flat_orders(read_table(spark, SF001, "events"))).repartition(2).write.parquet(log_path)
     conf = {
-        "source": {"source_format": "parquet", "max_offsets_per_trigger": 1},
-        "decoder": {"body_format": "json"},
+        "source": {"source_format": "parquet", "max_files_per_trigger": 1},
+        "decoder": {"body_format": "json"}, "schemas": SCHEMAS,
         "tuning": {"trigger_available_now": True, "salt_factor": 4, "shuffle_partitions": 4},
         "sinks": {"sink_format": "parquet", "database": "ops_job",
                   "bronze_table": "ops_job.bronze", "bronze_checkpoint": f"{tmp}/ckb",

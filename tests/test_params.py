@@ -35,7 +35,7 @@ def test_source_options_kafka_and_files():
     assert o["maxOffsetsPerTrigger"] == "50000" and o["minPartitions"] == "64"
     assert o["startingOffsets"] == "latest" and o["failOnDataLoss"] == "false"
     assert o["kafka.security.protocol"] == "SASL_SSL" and o["kafka.bootstrap.servers"] == "broker:9092"
-    f = log_source_options(p.replace(source_format="parquet", max_offsets_per_trigger=3, source_options={}))
+    f = log_source_options(p.replace(source_format="parquet", max_files_per_trigger=3, source_options={}))
     assert f == {"maxFilesPerTrigger": "3", "ignoreMissingFiles": "true"}
 
 
@@ -75,3 +75,17 @@ def test_original_job_configuration_layout():
     assert (p.bronze_path, p.bronze_checkpoint, p.silver_path, p.silver_checkpoint) == (
         "/lake/b", "/ck/b", "/lake/s", "/ck/s")
     assert p.silver_table == "db.silver" and p.sink_format == "delta" and p.parse_mode == "PERMISSIVE"
+
+
+def test_static_mode_and_sections_apart():
+    p = PipelineParams.from_dict({"confluent_kafka": {"topic": "t"}, "schema_registry": {"mode": "STATIC"}, "delta_lake": {"database": "d"},
+                                  "other": {"mode": "ignored?"}} | {"other": {}})
+    assert (p.decode, p.parse_mode, p.body_format, p.sink_format, p.database) == ("fixed", "FAILFAST", "avro", "delta", "d")
+    q = PipelineParams.from_dict({"confluent_kafka": {"topic": "first"}, "later": {"topic": "second"}, "schemas": {"7": {"type": "record", "name": "E", "fields": []}}})
+    assert q.topic == "first" and list(q.schemas) == [7]
+
+
+def test_file_sources_count_files():
+    p = PipelineParams(source_format="parquet")
+    assert "maxFilesPerTrigger" not in log_source_options(p)
+    assert log_source_options(p.replace(max_files_per_trigger=2))["maxFilesPerTrigger"] == "2"

@@ -1,33 +1,35 @@
 from pyspark.sql import functions as F
 
 from ordertide.operators import profiles as P
-from ordertide.sources.fixtures import flat_orders, nested_orders
+from ordertide.sources.fixtures import flat_orders, nested_orders, order_lines
 from ordertide.sources.tables import read_table
 
 from tests.conftest import SF001
 
 
-def _nested(spark, page_lines):
-    return nested_orders(read_table(spark, SF001, "orders"), read_table(spark, SF001, "lineitem"),
-                         read_table(spark, SF001, "part"), page_lines=page_lines)
+def _nested(spark, part=None):
+    lines = order_lines(read_table(spark, SF001, "lineitem"), read_table(spark, SF001, "part") if part is None else part)
+    return nested_orders(read_table(spark, SF001, "orders"), lines), lines
 
 
-def test_item_pages_are_bounded_and_results_do_not_depend_on_them(spark):
-    heads, whole = _nested(spark, 64)
-    _, paged = _nested(spark, 2)
-    assert whole.groupBy("order_key").count().agg(F.max("count")).first()[0] == 1
-    sizes = [r[0] for r in paged.select(F.size("items")).collect()]
-    largest_order = whole.agg(F.max(F.size("items"))).first()[0]
-    assert sum(sizes) / len(sizes) <= 2.5 and max(sizes) < largest_order
-    assert paged.count() > whole.count()
-    a = sorted(P.order_total_check(heads, whole).collect())
-    b = sorted(P.order_total_check(heads, paged).collect())
-    assert a == b
-    def lines(pages):
-        return sorted(repr(tuple(r)) for r in P.item_lines(pages, heads).collect())
-    assert lines(whole) == lines(paged)
-    bad = [r for r in a if not r["ok"]]
-    assert bad and all(r["order_key"] % 10 == 0 for r in bad)
+def test_order_totals_and_item_lines(spark):
+    heads, lines = _nested(spark)
+    checked = P.order_total_check(heads).collect()
+    bad = [r for r in checked if not r["ok"]]
+    assert len(checked) == heads.count() and bad and all(r["order_key"] % 10 == 0 for r in bad)
+    flat = P.item_lines(lines, heads)
+    assert flat.filter("item_id IS NOT NULL").count() == lines.count()
+    assert flat.filter("item_id IS NULL").count() == heads.filter("n_lines = 0").count()
+
+
+def test_line_without_a_part_fails_its_order(spark):
+    part = read_table(spark, SF001, "part")
+    gone = part.orderBy("p_partkey").first()["p_partkey"]
+    heads, lines = _nested(spark, part.filter(F.col("p_partkey") != gone))
+    assert lines.count() == read_table(spark, SF001, "lineitem").count()
+    hit = {r["order_key"] for r in lines.filter(F.col("item_id") == str(gone)).collect()}
+    checked = {r["order_key"]: r["ok"] for r in P.order_total_check(heads).collect()}
+    assert hit and not any(checked[k] for k in hit if k in checked)
 
 
 def test_inline_items_total_check(spark):
@@ -41,9 +43,9 @@ def test_inline_items_total_check(spark):
 
 
 def test_split_tenders_sum_to_amount(spark):
-    heads, _ = _nested(spark, 64)
+    heads, _ = _nested(spark)
     rows = P.split_tender_check(heads).collect()
-    assert all(r["ok"] for r in rows)
+    assert {r["order_key"] for r in rows if not r["ok"]} == {r["order_key"] for r in rows if r["order_key"] % 100 == 1}
     assert {r["n_splits"] for r in rows} == {0, 2}
 
 

@@ -15,6 +15,7 @@ from ordertide.operators.curate import curate_orders, with_event_watermark
 from ordertide.params import PipelineParams
 from ordertide.streaming.listener import ProgressLog, progress_frame
 from ordertide.streaming.sinks import bronze_stream, start_bronze_and_silver, silver_stream
+from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2
 from ordertide.sources.fixtures import flat_orders, raw_log
 from ordertide.sources.tables import read_table
 
@@ -58,10 +59,10 @@ def totals_query(spark, src, out, ckpt, salt_factor=4):
            .select("order_id", "store_id", F.col("placed").alias("order_placed_timestamp"),
                    F.lit(None).cast("timestamp").alias("order_fulfilled_timestamp"),
                    F.col("amount").alias("transaction_amount")))
-    totals = M.rollup(M.salted_partials(with_event_watermark(curate_orders(raw), p), p))
+    totals = M.rollup(M.salted_partials(with_event_watermark(curate_orders(raw), p), p), p)
     q = (totals.select(F.col("window.start").alias("ws"), "store_id",
-                       (F.col("total_sales_amount") / 100.0).alias("amount"),
-                       F.col("total_order_count").alias("n"))
+                       (F.col("amount").cast("double") / 1e10).alias("amount"),
+                       F.col("orders").alias("n"))
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start(out))
     q.awaitTermination()
@@ -127,7 +128,7 @@ def _log_files(spark, tmp, parts=3):
 
 def pipeline_params(tmp, **kw):
     base = dict(source_format="parquet", sink_format="parquet", trigger_available_now=True,
-                max_offsets_per_trigger=1, salt_factor=4,
+                max_files_per_trigger=1, salt_factor=4, schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
                 bronze_path=f"{tmp}/bronze", bronze_checkpoint=f"{tmp}/ck_bronze",
                 silver_path=f"{tmp}/silver", silver_checkpoint=f"{tmp}/ck_silver")
     base.update(kw)
@@ -200,7 +201,7 @@ def test_listener_records_events(spark):
                                        processedRowsPerSecond=None, eventTime={})))
     log.onQueryIdle(Ev(id="1"))
     log.onQueryTerminated(Ev(id="1", exception=None))
-    assert [e["kind"] for e in log.events] == ["started", "progress", "idle", "terminated"]
+    assert [e["kind"] for e in list(log.events)] == ["started", "progress", "idle", "terminated"]
     assert log.events[1]["rate"] is None and log.events[1]["watermark"] is None
     rows = log.frame(spark).collect()
     assert len(rows) == 1 and rows[0]["input_rows"] == 5 and rows[0]["query_name"] == "q"
@@ -354,3 +355,42 @@ def test_interrupted_silver_recovers_state(spark, tmp):
     assert q2.exception() is None
     got = sorted(tuple(x) for x in spark.read.parquet(p.silver_path).select(*cols).collect())
     assert got == expected and len(got) > 0
+
+
+def test_unregistered_and_odd_headers_do_not_stop_silver(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=2)
+    odd = spark.createDataFrame([(None, bytearray(b"\x00\xff\xff\xff\xff{}"), "t", 0, -1, DAY), (None, bytearray(b"\x01"), "t", 0, -2, DAY), (None, None, "t", 0, -3, DAY)],
+                                "key binary, value binary, topic string, partition int, offset long, timestamp timestamp")
+    odd.write.mode("append").parquet(path)
+    p = pipeline_params(tmp)
+    q = silver_stream(log_source(spark, p, path), p)
+    q.awaitTermination()
+    assert q.exception() is None and spark.read.parquet(p.silver_path).count() > 0
+
+
+def test_drain_that_times_out_raises():
+    from ordertide.streaming.sinks import await_all
+
+    class Slow:
+        name, id = "slow", "1"
+        def awaitTermination(self, timeout=None):
+            return False
+        def exception(self):
+            return None
+
+    with pytest.raises(TimeoutError):
+        await_all([Slow()], PipelineParams(trigger_available_now=True), timeout=1)
+
+
+def test_listener_keeps_a_bounded_log():
+    log = ProgressLog(keep=3)
+    for i in range(10):
+        log.onQueryIdle(type("E", (), {"id": str(i)}))
+    assert [e["id"] for e in log.events] == ["7", "8", "9"]
+
+
+def test_table_names_resolve_once():
+    from ordertide.streaming.tables import resolved
+    assert resolved("t", "db") == "db.t" and resolved("x.t", "db") == "x.t"
+    assert resolved("t", "db", "cat") == "cat.db.t" and resolved("c.x.t", "db", "cat") == "c.x.t"

@@ -6,7 +6,7 @@ from ordertide.operators.metrics import store_metrics
 from ordertide.operators.profiles import dashboard, latest_bronze
 from ordertide.operators.curate import bronze_projection
 from ordertide.params import PRODUCTION, PipelineParams
-from ordertide.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2, BRONZE_COLUMNS, SILVER_COLUMNS
 from ordertide.sources.fixtures import flat_orders, raw_log
 from ordertide.sources.log_source import log_source
 from ordertide.sources.tables import read_result, read_table
@@ -43,6 +43,7 @@ def test_stream_into_named_tables(spark, tmp):
     path = f"{tmp}/log"
     raw_log(flat_orders(read_table(spark, SF001, "events"))).write.parquet(path)
     p = PipelineParams(source_format="parquet", trigger_available_now=True, salt_factor=4,
+                       schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
                        bronze_table="ops_stream.bronze", bronze_checkpoint=f"{tmp}/ckb",
                        silver_table="ops_stream.silver", silver_checkpoint=f"{tmp}/cks")
     bq = bronze_stream(log_source(spark, p, path), p)
@@ -62,7 +63,7 @@ def test_stream_into_named_tables(spark, tmp):
 def test_reader_merges_additive_schemas(spark, tmp):
     spark.createDataFrame([(1, "a")], "id int, x string").write.parquet(f"{tmp}/t/v=1")
     spark.createDataFrame([(2, "b", 3.5)], "id int, x string, y double").write.parquet(f"{tmp}/t/v=2")
-    merged = spark.read.option("mergeSchema", "true").parquet(f"{tmp}/t")
+    merged = read_result(spark, path=f"{tmp}/t", merge_schema=True)
     assert set(merged.columns) == {"id", "x", "y", "v"}
     assert merged.filter("id = 1").first()["y"] is None
 
