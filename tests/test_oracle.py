@@ -6,7 +6,8 @@ import decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from ordertide.plans import ORACLE_SQL, QUERIES
 from tests.conftest import SF01
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -48,14 +49,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF01)
+    df = QUERIES[name](spark, SF01)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
-    rel = duck.sql(oracle_sql()[name])
+    rel = duck.sql(ORACLE_SQL[name])
     d_cols, d_types, d_rows = rel.columns, [str(t) for t in rel.types], rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
     s_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString(), f.dataType.simpleString())
@@ -66,7 +67,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_salt_spread_rows(spark):
-    rows = queries()["salt_spread"](spark, SF01).collect()
+    rows = QUERIES["salt_spread"](spark, SF01).collect()
     assert sorted(r["salt"] for r in rows) == list(range(16))
     assert sum(r["n"] for r in rows) == 10000
     assert max(r["n"] for r in rows) < 2 * 10000 / 16
