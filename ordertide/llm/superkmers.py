@@ -197,7 +197,7 @@ def _remove(k: int, m: int):
     return remove
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 13, m: int = 4) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 13, m: int = 3) -> DataFrame:
     """One row per row of ``docs``: its words, how many of them a window covers that also
     starts in a document with a smaller key, and the text of the words that stay."""
     texts = plain_texts(docs, key, text)

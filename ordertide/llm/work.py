@@ -66,11 +66,11 @@ def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of any types and lengths as one compressed string."""
     head = np.array([len(arrays), *(x for a in arrays for x in (a.itemsize, len(a)))], np.int64)
     raw = b"".join([head.tobytes(), *(np.ascontiguousarray(a).tobytes() for a in arrays)])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
 
 def unpack(blob: bytes, *types: type | str) -> list[np.ndarray]:
-    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    raw = pa.Codec("zstd", compression_level=3).decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
     head = np.frombuffer(raw, np.int64, 1 + 2 * len(types))
     at, out = head.nbytes, []
     for k, kind in enumerate(types):
