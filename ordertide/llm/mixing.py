@@ -26,6 +26,7 @@ from ordertide.llm.work import written
 WEIGHTS = (5, 2, 1)
 LIMIT = 3
 UNIT = 1 << 40
+SEED = 7
 
 
 def word_count(text):
@@ -53,7 +54,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int =
     )
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = 7, carry: bool = False) -> DataFrame:
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = SEED, carry: bool = False) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies, taken) for each row; with ``carry`` also the whole ``row``."""
     whole = F.col(text).cast("string")
     rows = written(
@@ -75,7 +76,8 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     sources = sources.select(
         "of", "source_size", "target", F.least(F.floor(rate * F.lit(float(UNIT))), F.lit(limit * UNIT)).cast("decimal(18,0)").alias("rate"),
-        F.pmod(F.xxhash64(F.lit(seed), "of"), F.lit(UNIT)).cast("decimal(18,0)").alias("offset"),
+        # 40 bits: a part of one copy
+        F.conv(F.substring(F.md5(F.concat(F.lit(str(seed)), "of").cast("binary")), 1, 10), 16, 10).cast("decimal(18,0)").alias("offset"),
     )
     told = offsets.join(sources, "of")  # a row for each source of each part
     place = F.row_number().over(Window.partitionBy("of", "part").orderBy("size", "doc", "tie")) - 1

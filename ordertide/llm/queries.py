@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ordertide.llm import chat, jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, warc
+from ordertide.llm.oracle import ORACLE_SQL
+
+__all__ = ["QUERIES", "ORACLE_SQL"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +25,7 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tie")
+    return postings.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tie", "n_near_items")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,8 +68,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
 }
-
-ORACLE_SQL: dict[str, str] = {
-    "op2_line_dedup": linechunks.ORACLE_SQL,
-    "op7_warc": warc.ORACLE_SQL,
-}
