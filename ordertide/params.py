@@ -78,7 +78,11 @@ class PipelineParams:
     silver_path: str | None = None
     silver_checkpoint: str | None = None
     silver_table: str | None = None
-    silver_partition_by: tuple[str, ...] = ("store_id",)
+    # by the UTC date of the window's start; ("store_id",) makes one folder a store, as the
+    # original table has it, which needs a table format that compacts small files
+    silver_partition_by: tuple[str, ...] = ("window_date",)
+    # files that a silver batch adds to a date (finalized rows are few)
+    silver_files: int = 1
     # () = unpartitioned audit table; ("published_date",) adds the UTC date of
     # publication as a partition column so replays prune by time
     bronze_partition_by: tuple[str, ...] = ()

@@ -9,8 +9,10 @@ independently.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ordertide.functions.timefns import session_zone, wall_clock
 from ordertide.operators.curate import bronze_projection, curate_orders, with_event_watermark
 from ordertide.operators.decode import decode
 from ordertide.operators.metrics import store_metrics
@@ -56,15 +58,18 @@ def silver_frame(raw: DataFrame, params: PipelineParams, stamp: bool = True) ->
     return store_metrics(curated, params, stamp=stamp)
 
 
-def by_output_partition(df: DataFrame, partition_by) -> DataFrame:
-    """Groups rows by the sink's partition columns before a partitioned write.
+def by_output_partition(df: DataFrame, partition_by, files: int = 1) -> DataFrame:
+    """Groups rows for a partitioned write, and adds the date column if they are written by date.
 
     Aggregates come out hash-partitioned by (window, store); written as is,
-    every task would add a file to every store folder (stores x tasks files
-    per batch). The finalized rows are few, so this small shuffle makes one
-    file per store folder per batch.
+    every task would add a file to every folder. A batch's finalized rows are
+    few (one per closed window and store), so this small shuffle keeps it at
+    one file per store folder, or at ``files`` files by store for each date.
     """
-    return df.repartition(*partition_by)
+    if "window_date" not in partition_by:
+        return df.repartition(*partition_by)
+    dated = df.withColumn("window_date", F.to_date(wall_clock("window_start", session_zone(df.sparkSession))))
+    return dated.repartition(files, "store_id")
 
 
 def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "append") -> StreamingQuery:
@@ -79,7 +84,7 @@ def silver_stream(raw: DataFrame, params: PipelineParams, output_mode: str = "ap
     silver = silver_frame(raw, params)
     partition_by = params.silver_partition_by      # a provisioned table is partitioned the same way
     if partition_by:
-        silver = by_output_partition(silver, partition_by)
+        silver = by_output_partition(silver, partition_by, params.silver_files)
     writer = (silver.writeStream
               .queryName(params.silver_query_name)
               .format(params.sink_format)

@@ -56,15 +56,18 @@ def bronze_ddl(table: str, fmt: str = "parquet", partition_by=()) -> str:
             f"COMMENT 'Bronze: append-only audit log of raw order events'{_props(fmt, BRONZE_DELTA_PROPS)}")
 
 
-def silver_ddl(table: str, fmt: str = "parquet", partition_by=("store_id",)) -> str:
+def silver_ddl(table: str, fmt: str = "parquet", partition_by=("window_date",)) -> str:
+    columns = SILVER_COLUMNS
+    if "window_date" in partition_by:
+        columns = columns + (("window_date", "DATE", "UTC date of the window start"),)
     part = f"\nPARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {_columns(SILVER_COLUMNS)}\n) USING {fmt}{part}\n"
+    return (f"CREATE TABLE IF NOT EXISTS {table} (\n  {_columns(columns)}\n) USING {fmt}{part}\n"
             f"COMMENT 'Silver: per-store window metrics'{_props(fmt, SILVER_DELTA_PROPS)}")
 
 
 def provision(spark: SparkSession, database: str, bronze: str | None, silver: str | None,
               fmt: str = "parquet", catalog: str | None = None,
-              silver_partition_by=("store_id",), bronze_partition_by=()) -> DataFrame:
+              silver_partition_by=("window_date",), bronze_partition_by=()) -> DataFrame:
     """Creates schemas and tables if missing; returns the schema's table list.
     Tables may be named by one, two or three parts (``resolved``)."""
     create_schema(spark, database, catalog)

@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from ordertide.params import PRODUCTION, SERVERLESS, SMALL, PipelineParams
 from ordertide.job import main
 from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2
@@ -58,7 +60,7 @@ def test_main_provisions_and_fills_named_tables(spark, tmp):
     assert {"bronze", "silver"} <= names
     assert spark.table("ops_job.bronze").count() == 1000
     silver = spark.table("ops_job.silver")
-    assert silver.count() > 0 and silver.columns[-1] == "store_id"
+    assert silver.count() > 0 and silver.columns[-1] == "window_date"
 
 
 def test_plans_cli(spark, capsys):
@@ -67,3 +69,23 @@ def test_plans_cli(spark, capsys):
     assert "store_metrics_5m" in capsys.readouterr().out.split()
     assert plans_main(["no_such_query"]) == 2
     assert plans_main(["skew_profile", SF001]) == 0
+
+
+@pytest.mark.parametrize("bronze, silver", [("bronze", "silver"), ("ops_b.bronze", "ops_s.silver"), ("spark_catalog.ops_b3.bronze", "spark_catalog.ops_b3.silver")])
+def test_tables_provisioned_are_those_written(spark, tmp, bronze, silver):
+    from ordertide.job import start
+    from ordertide.streaming.sinks import await_all
+
+    log_path = f"{tmp}/log"
+    raw_log(flat_orders(read_table(spark, SF001, "events"))).write.parquet(log_path)
+    p = PipelineParams(source_format="parquet", trigger_available_now=True, schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
+                       database="ops_names", bronze_table=bronze, silver_table=silver, shuffle_partitions=4,
+                       bronze_checkpoint=f"{tmp}/ckb", silver_checkpoint=f"{tmp}/cks")
+    await_all(start(spark, p, log_path), p, spark)
+    full = [n if "." in n else f"ops_names.{n}" for n in (bronze, silver)]
+    assert spark.table(full[0]).count() == 1000 and spark.table(full[1]).count() > 0
+    assert "window_date" in {r["col_name"] for r in spark.sql(f"DESCRIBE {full[1]}").collect() if r["col_name"]}
+    listed = {r["tableName"] for r in spark.sql("SHOW TABLES IN ops_names").collect()}
+    assert listed == ({"bronze", "silver"} if "." not in bronze else listed & {"bronze", "silver"})
+    for name in full:
+        spark.sql(f"DROP TABLE {name}")

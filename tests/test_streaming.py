@@ -128,7 +128,7 @@ def _log_files(spark, tmp, parts=3):
 
 def pipeline_params(tmp, **kw):
     base = dict(source_format="parquet", sink_format="parquet", trigger_available_now=True,
-                max_files_per_trigger=1, salt_factor=4, schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
+                silver_partition_by=("store_id",), max_files_per_trigger=1, salt_factor=4, schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
                 bronze_path=f"{tmp}/bronze", bronze_checkpoint=f"{tmp}/ck_bronze",
                 silver_path=f"{tmp}/silver", silver_checkpoint=f"{tmp}/ck_silver")
     base.update(kw)
@@ -394,3 +394,16 @@ def test_table_names_resolve_once():
     from ordertide.streaming.tables import resolved
     assert resolved("t", "db") == "db.t" and resolved("x.t", "db") == "x.t"
     assert resolved("t", "db", "cat") == "cat.db.t" and resolved("c.x.t", "db", "cat") == "c.x.t"
+
+
+def test_silver_by_date_adds_one_file_a_batch(spark, tmp):
+    from ordertide.sources.log_source import log_source
+    path = _log_files(spark, tmp, parts=1)
+    p = pipeline_params(tmp, silver_partition_by=("window_date",))
+    q = silver_stream(log_source(spark, p, path), p)
+    q.awaitTermination()
+    assert q.exception() is None
+    silver = spark.read.parquet(p.silver_path)
+    assert silver.filter("window_date <> to_date(window_start)").count() == 0 and silver.count() > 0
+    for date in [d for d in os.listdir(p.silver_path) if d.startswith("window_date=")]:
+        assert len([f for f in os.listdir(f"{p.silver_path}/{date}") if f.endswith(".parquet")]) <= len(q.recentProgress)

@@ -26,15 +26,16 @@ def test_provision_is_idempotent_and_typed(spark):
     assert [(f.name, f.dataType.simpleString()) for f in b.schema.fields] == [
         (n, t.lower().replace("integer", "int")) for n, t, _ in BRONZE_COLUMNS]
     s = spark.table("ops_test.silver_metrics")
-    assert [f.name for f in s.schema.fields][-1] == "store_id"          # partition column
+    assert [f.name for f in s.schema.fields][-1] == "window_date"       # partition column
     parts = spark.sql("DESCRIBE TABLE EXTENDED ops_test.silver_metrics").collect()
-    assert any("store_id" in (r["col_name"] or "") for r in parts)
+    assert any("window_date" in (r["col_name"] or "") for r in parts)
 
 
 def test_delta_properties_only_for_delta():
     assert "TBLPROPERTIES" not in bronze_ddl("db.b", "parquet")
     assert "delta.enableChangeDataFeed" in bronze_ddl("db.b", "delta")
-    assert "PARTITIONED BY (store_id)" in silver_ddl("db.s", "delta")
+    assert "PARTITIONED BY (window_date)" in silver_ddl("db.s", "delta")
+    assert "PARTITIONED BY (store_id)" in silver_ddl("db.s", "delta", ("store_id",))
     assert "delta.enableChangeDataFeed" not in silver_ddl("db.s", "delta")
 
 
@@ -43,7 +44,7 @@ def test_stream_into_named_tables(spark, tmp):
     path = f"{tmp}/log"
     raw_log(flat_orders(read_table(spark, SF001, "events"))).write.parquet(path)
     p = PipelineParams(source_format="parquet", trigger_available_now=True, salt_factor=4,
-                       schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2},
+                       schemas={101: ORDER_EVENT, 102: ORDER_EVENT_V2}, silver_partition_by=(),
                        bronze_table="ops_stream.bronze", bronze_checkpoint=f"{tmp}/ckb",
                        silver_table="ops_stream.silver", silver_checkpoint=f"{tmp}/cks")
     bq = bronze_stream(log_source(spark, p, path), p)
