@@ -27,17 +27,19 @@ from ordertide.llm.work import written
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
 #: The given expressions, anchored where a leftmost match can start and possessive, so that long runs are
-#: read once: an e-mail starts a run of its characters or follows the last match, a number starts its run.
+#: read once: an e-mail starts a run of its characters or follows the last match, a number starts its run. Numbers
+#: look back after their first digit, so other characters cost one comparison.
 EXPRESSIONS = {
     "email": rf"(?:\G|(?<![{_LOCAL}]))[{_LOCAL}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-    "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
-    "card": r"(?<![0-9])(?<![0-9][ -])(?=[0-9](?:[ -]?[0-9]){11})[0-9]++(?:[ -][0-9]++)*+",
+    "ip": r"[0-9](?<![0-9]{2})[0-9]*+(?:\.[0-9]++){3}",
+    "card": r"[0-9](?<![0-9]{2})(?<![0-9][ -][0-9])(?=(?:[ -]?[0-9]){11})[0-9]*+(?:[ -][0-9]++)*+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-#: What a text must contain for a match, looked for first.
-NEEDS = {"email": "@", "ip": ".", "card": "", "phone": "+"}
+#: What a text must contain for a match, looked for first: most texts have none.
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]++\.[0-9]++\.[0-9]", "card": r"[0-9](?:[ -]?[0-9]){11}", "phone": r"\+[0-9]"}
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Words that may be identifiers.
+MAYBE = "[0-9@]"
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 #: Code points read on each side of a span for its context.
 REACH = 64
@@ -119,8 +121,9 @@ def base_spans(text: Column) -> Column:
     for k, kind in enumerate(KINDS):
         found = F.filter(matches(text, EXPRESSIONS[kind]), _check(kind))
         named = F.transform(found, _named(k))
-        of_kind.append(F.when(text.contains(NEEDS[kind]), named).otherwise(none) if NEEDS[kind] else F.coalesce(named, none))
-    return F.array_sort(F.concat(*[F.coalesce(x, none) for x in of_kind]))
+        of_kind.append(F.when(text.rlike(NEEDS[kind]), named).otherwise(none))
+    # every kind needs one of these characters
+    return F.when(text.rlike(MAYBE), F.array_sort(F.concat(*of_kind))).otherwise(none)
 
 
 def _check(kind: str) -> Callable[[Column], Column]:
@@ -158,7 +161,8 @@ def found_in(docs: DataFrame, key: str, text: str) -> DataFrame:
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text")).withColumn("base", base_spans(F.col("text")))
     body = F.col("text")
-    free = F.filter(matches(body, CANDIDATE), lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
+    free = F.filter(F.when(body.rlike(MAYBE), matches(body, CANDIDATE)).otherwise(nothing), lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
     spans = F.concat(
         F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), b["kind"].alias("kind"), b["value"].alias("value"))),
         F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(None).cast("int").alias("kind"), m["value"].alias("value"))),
