@@ -4,16 +4,19 @@ Rows of the incidence are different shingle sets (equal sets are one row). Two l
 sizes a and b differ in at most ``(100 - t) (a + b) / (100 + t)`` columns, so when the columns are
 dealt by hash into one block more than that, the rows agree on a whole block. Only rows
 that agree on a block are multiplied: a block's digest goes to its bin, bins tell chunks which
-digests two rows share, and the chunks give out those rows. Rows that share a block are tiled, a tile
+digests two rows share, and the chunks give out those rows. Rows that shared blocks connect are one
+family, so a row is sent to one product only; blocks of so few shingles that unrelated rows share
+them connect no families and are products of their own where they bring two families together. A family is tiled, a tile
 accumulates overlap counts over slabs of columns, and pairs below the bound that
-follows from their sizes are discarded. A group of rows larger than a tile is first joined
-within its tiles; what is not yet connected is then multiplied across them, so a large group of
+follows from their sizes are discarded. A family larger than a tile is first joined
+within its tiles; what is not yet connected is then multiplied across them, so a large family of
 near copies costs its size times its few stragglers, not its square.
 
 Sizes are put into classes in which the smallest and largest can still link; a row gives the
 blocks of its own class and of the next one, so linked rows of neighbouring classes meet.
 
-Shingles are held as 64-bit hashes and equal sets are known by a 128-bit digest.
+Shingles are held as 64-bit hashes, of which products compare the upper 48 bits. Equal sets
+are known by a 128-bit digest, and bins tell sets apart by 32 bits of it.
 
 Defined cases: a null or empty text, or one without words, has the empty set and is linked with nothing,
 so its component is its own key; fewer than ``n`` words are one shingle; a null key never names a
@@ -36,7 +39,9 @@ SENT, TOLD = "chunk long, bin long, blob binary", "chunk long, blob binary"
 ROWS = "doc long, tie long, n_shingles long, cls binary, blocks array<long>, shingles binary"
 EDGES = "a binary, b binary"
 #: Rows of a tile, and columns of a slab.
-TILE, SLAB = 256, 4096
+TILE, SLAB = 4096, 2048
+#: A block with fewer shingles connects no families.
+TELLING = 3
 U = np.uint64
 
 
@@ -90,6 +95,7 @@ class Incidence:
         self.row = self.row.reshape(-1)
         self.heads = heads[self.size[heads] > 0]  # one text for each different set
         self.of_head, self.block = self._blocks(t)
+        self.tag = (mix(self.digest[:, 0] ^ mix(self.digest[:, 1])) >> U(32)).astype(np.uint32)[self.of_head]  # tells sets apart
 
     def _blocks(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, digest) of every block of every different set, for its size class and the next."""
@@ -107,36 +113,42 @@ class Incidence:
             blocks = np.array([most_apart(2 * int(first[c + 1] - 1), t) + 1 for c in range(int(tag.max()) + 1)])[tag]
             off = np.cumsum(blocks) - blocks
             total = np.zeros(int(blocks.sum()), U)
-            np.add.at(total, np.repeat(off, lens) + (spread % np.repeat(blocks, lens).astype(U)).astype(np.int64), weight)
+            slot = np.repeat(off, lens) + (spread % np.repeat(blocks, lens).astype(U)).astype(np.int64)
+            np.add.at(total, slot, weight)
+            few = np.bincount(slot, minlength=len(total)) < TELLING
             nr = np.arange(len(total)) - np.repeat(off, blocks)
             name = mix((np.repeat(tag, blocks).astype(U) << U(32)) + nr.astype(U))
             rows.append(np.repeat(self.heads, blocks))
-            out.append(mix(total + name))
+            out.append((mix(total + name) & ~U(1)) | few.astype(U))  # odd if of few shingles
         return np.concatenate(rows), np.concatenate(out)
 
 
 def _send(n: int, t: int, bins: int):
     def send(table: pa.Table) -> pa.Table:
-        block = Incidence(table, n, t).block
-        to = (block % U(bins)).astype(np.int64)
-        order = np.lexsort((block, to))
-        block, to = block[order], to[order]
+        m = Incidence(table, n, t)
+        to = (m.block % U(bins)).astype(np.int64)
+        order = np.lexsort((m.block, to))
+        block, to, tag = m.block[order], to[order], m.tag[order]
         edges = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
-        blobs = [pack(np.diff(block[a:b], prepend=U(0))) for a, b in zip(edges[:-1], edges[1:])]
+        blobs = [pack(np.diff(block[a:b], prepend=U(0)), tag[a:b]) for a, b in zip(edges[:-1], edges[1:])]
         return pa.table({"chunk": pa.array([table["chunk"][0].as_py()] * len(blobs), pa.int64()), "bin": pa.array(to[edges[:-1]], pa.int64()), "blob": pa.array(blobs, pa.binary())})
 
     return send
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of a bin, the digests that two rows gave, for each chunk that gave them."""
+    """Of a bin, the digests that two different sets gave, for each chunk that gave them; copies of one set do not count."""
     chunks = table["chunk"].to_pylist()
-    parts = [np.cumsum(unpack(b, U)[0]) for b in table["blob"].to_pylist()]
-    every = np.sort(np.concatenate(parts))
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    parts = [unpack(b, U, np.uint32) for b in table["blob"].to_pylist()]
+    mine = [np.cumsum(steps) for steps, _ in parts]
+    block, tag = np.concatenate(mine), np.concatenate([x for _, x in parts])
+    order = np.argsort(block, kind="stable")
+    block, tag = block[order], tag[order]
+    cuts = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+    shared = block[cuts[np.minimum.reduceat(tag, cuts) != np.maximum.reduceat(tag, cuts)]]
     out = []
-    for chunk, mine in zip(chunks, parts):
-        found = mine[np.isin(mine, twice)] if len(twice) else twice
+    for chunk, sent in zip(chunks, mine):
+        found = sent[np.isin(sent, shared)]
         if len(found):
             out.append((chunk, pack(np.diff(found, prepend=U(0)))))
     return pa.table({"chunk": pa.array([c for c, _ in out], pa.int64()), "blob": pa.array([b for _, b in out], pa.binary())})
@@ -151,7 +163,7 @@ def _rows(n: int, t: int):
         order = np.argsort(m.of_head[hit], kind="stable")
         off = np.concatenate([[0], np.cumsum(count)])
         blocks = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(m.block[hit][order].view(np.int64)))
-        sets = [m.value[a:b].tobytes() if c else None for a, b, c in zip(m.first[:-1], m.first[1:], count)]
+        sets = [squeezed(m.value[a:b]) if c else None for a, b, c in zip(m.first[:-1], m.first[1:], count)]
         cls = [d.tobytes() if s else None for d, s in zip(m.digest, m.size)]
         return pa.table({"doc": m.table["doc"], "tie": m.table["tie"], "n_shingles": pa.array(m.size), "cls": pa.array(cls, pa.binary()), "blocks": blocks, "shingles": pa.array(sets, pa.binary())})
 
@@ -161,6 +173,19 @@ def _rows(n: int, t: int):
 # --------------------------------------------------------------- product ----
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """A sorted set by the upper 48 bits of its hashes: steps, byte plane by byte plane, compressed."""
+    steps = np.diff(np.unique(values >> U(16)), prepend=U(0))
+    return pack(np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :6].T).reshape(-1))
+
+
+def spread_out(blob: bytes) -> np.ndarray:
+    planes = unpack(blob, np.uint8)[0].reshape(6, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :6] = planes.T
+    return np.cumsum(steps.reshape(-1).view(U))
+
+
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Overlap counts of all pairs of a tile's rows: incidence slabs times their transposes, added up."""
     columns, where = np.unique(np.concatenate(sets), return_inverse=True)
@@ -170,43 +195,44 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     row, where = row[kept[where]], (np.cumsum(kept) - 1)[where[kept[where]]]
     order = np.argsort(where, kind="stable")
     row, where = row[order], where[order]
-    total = np.zeros((len(sets), len(sets)), np.float64)
+    total = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers below 2**24 are exact
     for at in range(0, int(kept.sum()), SLAB):
         a, b = np.searchsorted(where, [at, at + SLAB])
         slab = np.zeros((len(sets), SLAB), np.float32)
         slab[row[a:b], where[a:b] - at] = 1
         total += slab @ slab.T
-    return total.astype(np.int64)
+    return total
 
 
 def linked(sets: list[np.ndarray], t: int) -> np.ndarray:
     size = np.array([len(s) for s in sets], np.int64)
-    both = size[:, None] + size[None, :]
     if len(sets) == 2:
         over = np.diag(size)
         over[0, 1] = over[1, 0] = len(np.intersect1d(sets[0], sets[1], assume_unique=True)) if 100 * size.min() >= t * size.max() else 0
     else:
         over = overlaps(sets)
-    return 100 * over >= t * (both - over)
+    link = np.zeros((len(sets), len(sets)), bool)
+    for at in range(0, len(sets), 256):  # whole-number comparison, some rows at a time
+        some = over[at : at + 256].astype(np.int64)
+        link[at : at + 256] = 100 * some >= t * (size[at : at + 256, None] + size - some)
+    return link
 
 
 def trees(names: list[bytes], link: np.ndarray, label: list | None = None) -> list[tuple[bytes, bytes]]:
-    """Star edges that connect what the links connect; rows of one label are connected already."""
-    left, edges = set(range(len(names))), []
-    by_label: dict = {}
-    for i, x in enumerate(label or []):
-        by_label.setdefault(x, []).append(i)
-    while left:
-        root = min(left, key=names.__getitem__)
-        left.discard(root)
-        ahead, members = [root], []
+    """Star edges, from the first of the sorted ``names``, that connect what the links connect; rows of one label are connected already."""
+    left, edges = np.ones(len(names), bool), []
+    alike = np.unique(label, return_inverse=True)[1].reshape(-1) if label else np.arange(len(names))
+    for root in range(len(names)):
+        if not left[root]:
+            continue
+        left[root] = False
+        ahead = [root]
         while ahead:
             i = ahead.pop()
-            near = [j for j in np.flatnonzero(link[i]).tolist() + (by_label.get(label[i], []) if label else []) if j in left]
-            left.difference_update(near)
-            members += near
-            ahead += near
-        edges += [(names[root], names[j]) for j in members]
+            near = np.flatnonzero(left & (link[i] | (alike == alike[i])))
+            left[near] = False
+            ahead += near.tolist()
+            edges += [(names[root], names[j]) for j in near.tolist()]
     return edges
 
 
@@ -216,8 +242,9 @@ def _edge_table(edges: list[tuple[bytes, bytes]]) -> pa.Table:
 
 def _tile(t: int):
     def tile(table: pa.Table) -> pa.Table:
-        names = table["cls"].to_pylist()
-        return _edge_table(trees(names, linked([np.frombuffer(x, U) for x in table["shingles"].to_pylist()], t)))
+        sets = dict(zip(table["cls"].to_pylist(), table["shingles"].to_pylist()))
+        names = sorted(sets)
+        return _edge_table(trees(names, linked([spread_out(sets[n]) for n in names], t)))
 
     return tile
 
@@ -226,43 +253,53 @@ def _across(t: int):
     """Tile of stragglers times other rows; only pairs of different labels are new."""
 
     def across(table: pa.Table) -> pa.Table:
-        table = table.take(pc.sort_indices(table, [("cls", "ascending")]))
-        names, labels = table["cls"].to_pylist(), table["label"].to_pylist()
-        return _edge_table(trees(names, linked([np.frombuffer(x, U) for x in table["shingles"].to_pylist()], t), labels))
+        sets = dict(zip(table["cls"].to_pylist(), table["shingles"].to_pylist()))
+        labels = dict(zip(table["cls"].to_pylist(), table["label"].to_pylist()))
+        names = sorted(sets)
+        return _edge_table(trees(names, linked([spread_out(sets[n]) for n in names], t), [labels[n] for n in names]))
 
     return across
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(cls, label): the smallest class that each class in ``edges`` is connected to."""
-    both = written(edges.union(edges.select("b", "a")).toDF("cls", "to").distinct(), "edges")
-    labels = written(both.groupBy("cls").agg(F.min("to").alias("to")).select("cls", F.least("cls", "to").alias("label")), "labels")
+def components(held: DataFrame) -> DataFrame:
+    """(cls, label): the smallest class that each class is connected to, where a group of ``held`` (cls, grp) connects its classes."""
+    # the least class of each group is known before any class has a label
+    of_group = written(held.groupBy("grp").agg(F.min("cls").alias("least"), F.max("cls").alias("most")), "groups")
     while True:
-        near = both.join(labels.select(F.col("cls").alias("to"), F.col("label").alias("other")), "to").groupBy("cls").agg(F.min("other").alias("other"))
-        step = labels.join(near, "cls").select("cls", F.col("label").alias("was"), F.least("label", "other").alias("label"))
-        step = written(step, "step")
+        near = written(held.join(of_group, "grp").groupBy("cls").agg(F.min("least").alias("label")), "near")
         # a label's own label is nearer the end
-        ahead = step.select(F.col("cls").alias("label"), F.col("label").alias("next"))
-        labels = written(step.join(ahead, "label").select("cls", "was", F.least("label", "next").alias("label")), "labels")
-        if labels.filter("label <> was").isEmpty():
-            return labels.select("cls", "label")
+        ahead = near.select(F.col("cls").alias("label"), F.col("label").alias("next"))
+        labels = written(near.join(ahead, "label").select("cls", F.least("label", "next").alias("label")), "labels")
+        of_group = written(held.join(labels, "cls").groupBy("grp").agg(F.min("label").alias("least"), F.max("label").alias("most")), "groups")
+        if of_group.filter("least <> most").isEmpty():  # no group has two labels
+            return labels
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """Star edges as groups named by their centre."""
+    return edges.select(F.explode(F.array("a", "b")).alias("cls"), F.col("a").alias("grp")).distinct()
 
 
 def connected(rows: DataFrame, t: int, tile: int = TILE) -> DataFrame | None:
     """Labels of the classes that links connect, or None without any."""
     shared = rows.filter(F.size("blocks") > 0).select("cls", F.explode("blocks").alias("block")).distinct()
-    marks = [F.bit_xor(F.xxhash64("cls", F.lit(i))).alias(f"x{i}") for i in range(2)]
-    groups = shared.groupBy("block").agg(F.count("cls").alias("n"), F.min("cls").alias("low"), F.max("cls").alias("high"), *marks).filter("n > 1")
-    # blocks that the same rows share are one group
-    groups = groups.groupBy("n", "low", "high", "x0", "x1").agg(F.min("block").alias("block")).select("block", "n")
-    members = shared.join(groups, "block").select("block", "cls", F.ceil(F.col("n") / tile).alias("tiles"))
-    members = written(members.withColumn("tile", F.pmod(F.xxhash64("block", "cls"), F.col("tiles"))), "members")
+    groups = shared.groupBy("block").agg(F.count("cls").alias("n")).filter("n > 1").select("block")
+    held = written(shared.join(groups, "block"), "held")
+    telling = F.col("block").bitwiseAND(F.lit(1)) == 0
+    families = components(held.filter(telling).select("cls", F.col("block").alias("grp")))
+    # a block of few shingles matters only where it brings two families together
+    few = held.filter(~telling).join(families, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    mixed = few.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("block")
+    few = few.join(mixed, "block").select(F.col("block").cast("string").cast("binary").alias("block"), "cls")
+    members = families.select(F.col("label").alias("block"), "cls").union(few)
+    sized = members.join(members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles")), "block")
+    members = written(sized.withColumn("tile", F.pmod(F.xxhash64("block", "cls"), F.col("tiles"))), "members")
     if members.isEmpty():
         return None
-    wanted = members.select("cls").distinct()
-    sets = written(rows.filter(F.col("shingles").isNotNull()).join(wanted, "cls", "left_semi").groupBy("cls").agg(F.first("shingles").alias("shingles")), "sets")
-    edges = written(members.join(sets, "cls").select("block", "tile", "cls", "shingles").groupBy("block", "tile").applyInArrow(_tile(t), EDGES), "links")
-    labels = None if edges.isEmpty() else components(edges)
+    # copies in several chunks give one set more than once; a tile takes each class once
+    sets = rows.filter(F.col("shingles").isNotNull()).select("cls", "shingles")
+    edges = written(members.select("block", "tile", "cls").join(sets, "cls").groupBy("block", "tile").applyInArrow(_tile(t), EDGES), "links")
+    labels = None if edges.isEmpty() else components(_stars(edges))
     large = members.filter("tiles > 1")
     if large.isEmpty():
         return labels
@@ -282,7 +319,7 @@ def connected(rows: DataFrame, t: int, tile: int = TILE) -> DataFrame | None:
     right = apart.join(used, "block").select("block", "cls", "label", "x", F.col("tile").alias("y"))
     tiles = left.union(right).distinct().join(sets, "cls").select("block", "x", "y", "cls", "label", "shingles")
     more = tiles.groupBy("block", "x", "y").applyInArrow(_across(t), EDGES)
-    return components(more if labels is None else edges.union(more))
+    return components(_stars(written(more if labels is None else edges.union(more), "links")))
 
 
 def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 3, percent: int = 90, tile: int = TILE) -> DataFrame:
