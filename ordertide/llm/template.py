@@ -4,12 +4,12 @@ Tokens are a page's containers, each told by its path of tags, classes and ids (
 differences between pages left out). A token's occurrence vector is its count on every page of its
 host; vectors are compared by a digest that pages add to in any order, so hosts of any size are summed by
 partial aggregation. Tokens with equal vectors form an equivalence class; a class is valid
-when enough of the host's pages have it, and valid classes nest by their paths into the host's template.
-The slots between template tokens hold the data. Slots in containers that are known
-not to be the article (by tag or name) and slots that are mostly links are left out, and
-the main slot is the deepest template container that holds nearly all words of the rest. A page's main text is
-all text of that slot, but for such containers inside it. A page that does not fit its
-host's template, and a host of a single page, is judged on its own paths alike.
+when enough of the host's pages have it and it is not a lone token that repeats within pages, and valid classes
+nest by their paths into the host's template. Their tokens bound the slots; any other token is data of
+the slot it stands in.
+Slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
+the rest is clean. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
+all text of the main slot, but for such containers inside it. A page without it is judged on its own slots alike.
 
 Text tokens take no part in the template: articles that a host publishes often would become part of it.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from decimal import Decimal
 from html import unescape
 
 import pandas as pd
@@ -37,6 +38,10 @@ from ordertide.llm.work import written
 SUPPORT, NEARLY_ALL = 0.5, 0.9
 #: A path whose words are to this share in links is a menu.
 LINKED = 0.5
+#: A path on less than one of so many of a host's pages is rare.
+RARE = 50
+#: A lone token that a page has so often on average is data.
+REPEATED = 2
 #: Containers nested deeper belong to the path of the one at this depth.
 DEEPEST = 64
 #: Tags of the format by their part in a page.
@@ -56,7 +61,7 @@ NAMES = frozenset(
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)(?:>|\Z))", re.S)
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
-COUNTS = "host string, path string, mark long, pages long, words long, linked long"
+COUNTS = "host string, path string, mark decimal(38,0), pages long, times long, words long, linked long, named boolean, aside boolean"
 
 
 _known: dict = {}
@@ -146,69 +151,110 @@ def _prefixes(path: str) -> list[str]:
     return ["/".join(parts[: i + 1]) for i in range(len(parts))]
 
 
-def main_slot(words: dict[str, tuple[int, int]], valid: set[str]) -> str | None:
-    """Deepest valid path that holds nearly all words of the clean paths; None if nothing does."""
-    for names in (True, False):
-        clean = {p: n - k for p, (n, k) in words.items() if n > 0 and k <= LINKED * n and not _once(_aside, p, names)}
-        total, every = sum(clean.values()), sum(n for n, _ in words.values())
+#: Words of a path or slot: all, those outside known asides, and the clean ones; the latter two with names and by tags alone.
+Weights = tuple[int, int, int, int, int]
+
+
+def _weights(words: dict[str, tuple[int, int]]) -> dict[str, Weights]:
+    """Weights of a single page's paths."""
+    out = {}
+    for p, (n, k) in words.items():
+        by = [(0, 0) if _once(_aside, p, names) else (n, n - k if k <= LINKED * n else 0) for names in (True, False)]
+        out[p] = (n, *by[0], *by[1])
+    return out
+
+
+def _slot(path: str, tokens) -> str | None:
+    """Nearest of the tokens at or above the path."""
+    while path not in tokens:
+        path, _, last = path.rpartition("/")
+        if not path:
+            return None
+    return path
+
+
+def chosen(weights: dict[str, Weights], template: set[str]) -> dict:
+    """Main slot (None if no word is clean), clean slots outside it, template tokens that end those, and whether names told."""
+    every = sum(w[0] for w in weights.values())
+    for names, at in ((True, 1), (False, 3)):
+        total = sum(w[at + 1] for w in weights.values())
         if total * 20 >= every:
             break
+    if not total:
+        return {"main": None, "slots": [], "bounds": [], "names": names}
     held: Counter = Counter()
-    for p, n in clean.items():
+    inside: dict = defaultdict(lambda: [0, 0])
+    for p, w in weights.items():
         for q in _prefixes(p):
-            held[q] += n
-    fit = [q for q, n in held.items() if n >= NEARLY_ALL * total and q in valid]
-    return max(fit, key=lambda q: (q.count("/"), q)) if fit and total else None
+            held[q] += w[at + 1]
+        slot = inside[_slot(p, template)]
+        slot[0] += w[at]
+        slot[1] += w[at + 1]
+    fit = [q for q, n in held.items() if n >= NEARLY_ALL * total and q in template]
+    main = max(fit, key=lambda q: (q.count("/"), q)) if fit else None
+    apart = {q for q in template if main is None or not _within(q, main)}
+    slots = {q for q, (n, clean) in inside.items() if q in apart and clean > 0 and clean >= (1 - LINKED) * n}
+    return {"main": main, "slots": sorted(slots), "bounds": sorted(q for q in apart - slots if _slot(q, slots)), "names": names}
+
+
+def _within(path: str, container: str) -> bool:
+    return path == container or path.startswith(container + "/")
 
 
 # ------------------------------------------------------------- template ----
 
 
 def _mark(page: int, count: int) -> int:
-    """Signed 64-bit part of a page in a token's occurrence vector."""
+    """64-bit part of a page in a token's occurrence vector; parts are added, so that repeated pages do not cancel."""
     x = (page * 0x9E3779B97F4A7C15 + count * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
     x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
     x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
-    x ^= x >> 31
-    return x - (1 << 64) if x >> 63 else x
+    return x ^ (x >> 31)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+        seen: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
         for host, page, html in zip(batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"]):
             found = list(pieces(html.as_py() or ""))
             for path, (n, k) in _words(found).items():
                 row = seen[host, path]
-                row[2] += n
-                row[3] += k
-            for path, n in Counter(path for path, what, _ in found if what == START).items():
+                row[3] += n
+                row[4] += k
+            # every page has its root once
+            for path, n in [("page", 1), *Counter(path for path, what, _ in found if what == START).items()]:
                 row = seen[host, path]
-                row[0] ^= _mark(page, n)
+                row[0] += _mark(page, n)
                 row[1] += 1
-        rows = [(h, p, *r) for (h, p), r in seen.items()]
-        yield pa.RecordBatch.from_pylist([dict(zip(("host", "path", "mark", "pages", "words", "linked"), r)) for r in rows], pa.schema([("host", pa.string()), ("path", pa.string()), *((c, pa.int64()) for c in ("mark", "pages", "words", "linked"))]))
+                row[2] += n
+        rows = [(h, p, Decimal(mark), *r, _once(_aside, p, True), _once(_aside, p, False)) for (h, p), (mark, *r) in seen.items()]
+        kinds = [pa.string(), pa.string(), pa.decimal128(38, 0), *[pa.int64()] * 4, pa.bool_(), pa.bool_()]
+        names = ("host", "path", "mark", "pages", "times", "words", "linked", "named", "aside")
+        yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], pa.schema(list(zip(names, kinds))))
 
 
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url.cast("string"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
 
 
-TEMPLATE = "host string, pages long, main string, classes array<struct<parent: int, pages: long, tokens: array<string>>>"
+TEMPLATE = "host string, pages long, main string, slots array<string>, bounds array<string>, names boolean, classes array<struct<parent: int, pages: long, tokens: array<string>>>"
+#: ``Weights`` as columns.
+WEIGHTS = ["words", "n_named", "clean_named", "n_plain", "clean_plain"]
 
 
 def _template(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Nested valid classes and main slot of a host, from its tokens; as many rows as pages have kinds of containers."""
+    """Nested valid classes and slots of a host, from its tokens; as many rows as pages have kinds of containers."""
     total = int(rows["host_pages"].iloc[0])
     valid = rows[(rows["pages"] >= SUPPORT * total) & (rows["pages"] >= min(2, total))]
-    groups = sorted((sorted(g["path"]), int(n)) for (_, n), g in valid.groupby(["mark", "pages"]))
+    # a token that no other goes along with and that repeats within pages is data
+    groups = sorted((sorted(g["path"]), int(n)) for (_, n), g in valid.assign(mark=valid["mark"].astype(str)).groupby(["mark", "pages"]) if len(g) > 1 or int(g["times"].iloc[0]) < REPEATED * int(n))
     of = {p: i for i, (paths, _) in enumerate(groups) for p in paths}
     classes = []
     for paths, n in groups:
         above = [of[q] for q in _prefixes(paths[0])[:-1] if q in of and of[q] != of[paths[0]]]
         classes.append({"parent": above[-1] if above else -1, "pages": n, "tokens": paths})
-    main = main_slot({p: (int(n), int(k)) for p, n, k in zip(rows["path"], rows["words"], rows["linked"])}, set(of))
-    return pd.DataFrame([{"host": key[0], "pages": total, "main": main, "classes": classes}])
+    weights = {p: tuple(map(int, w)) for p, *w in zip(rows["path"], *(rows[c] for c in WEIGHTS))}
+    return pd.DataFrame([{"host": key[0], "pages": total, **chosen(weights, set(of)), "classes": classes}])
 
 
 def _hosted(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
@@ -218,38 +264,57 @@ def _hosted(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
 def templates(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """A row (``TEMPLATE``) for each host."""
     rows = _hosted(pages, key, url, html).select("host", F.xxhash64("page_id", "html").alias("page"), "html")
-    counted = rows.mapInArrow(_counts, COUNTS).groupBy("host", "path").agg(F.bit_xor("mark").alias("mark"), F.sum("pages").alias("pages"), F.sum("words").alias("words"), F.sum("linked").alias("linked"))
-    counted = written(counted, "tokens")
-    # paths few pages have cannot be of the template and weigh little; the rest are as many as a page has
+    sums = [F.sum(c).alias(c) for c in ("mark", "pages", "times", "words", "linked")]
+    counted = rows.mapInArrow(_counts, COUNTS).groupBy("host", "path").agg(*sums, F.max("named").alias("named"), F.max("aside").alias("aside"))
+    clean = F.when(F.col("linked") <= LINKED * F.col("words"), F.col("words") - F.col("linked")).otherwise(0)
+    for kind, out in (("named", "named"), ("plain", "aside")):
+        counted = counted.withColumn(f"n_{kind}", F.when(F.col(out), 0).otherwise(F.col("words"))).withColumn(f"clean_{kind}", F.when(F.col(out), 0).otherwise(clean))
+    counted = written(counted.select("host", "path", "mark", "pages", "times", *WEIGHTS), "tokens")
     most = counted.groupBy("host").agg(F.max("pages").alias("host_pages"))
-    held = counted.join(most, "host").filter(F.col("pages") * 50 >= F.col("host_pages"))
+    # paths few pages have cannot be of the template; the rest are as many as a page has
+    all_paths = counted.join(most, "host")
+    few = F.col("pages") * RARE < F.col("host_pages")
+    held = all_paths.filter(~few)
     return held.groupBy("host").applyInPandas(_template, TEMPLATE)
 
 
 # ----------------------------------------------------------- extraction ----
 
 
-def main_text(html: str, main: str | None) -> str:
+def _keeps(path: str, told: dict) -> bool:
+    """Whether text directly in the path is of the main slot."""
+    main = told["main"]
+    if main is not None and _within(path, main):
+        # names decide inside the slot; the slot itself has been chosen
+        return path == main or not _once(_aside, f"article/{path[len(main) + 1 :]}", True)
+    return False
+
+
+def _told(found: dict) -> dict:
+    return found | {"slots": set(found["slots"] or ()), "ends": {*(found["slots"] or ()), *(found["bounds"] or ())}}
+
+
+def main_text(html: str, host: dict) -> str:
     found = list(pieces(html))
     paths = {p for p, _, _ in found}
-    if main is None or not any(p == main or p.startswith(main + "/") for p in paths):
-        main = main_slot(_words(found), {q for p in paths for q in _prefixes(p)})
-        if main is None:
-            return ""
-    inside = len(main) + 1
-    # names decide inside the slot; the slot itself has been chosen
-    out = [text for p, _, text in found if p == main or (p.startswith(main + "/") and not _once(_aside, f"article/{p[inside:]}", True))]
-    return " ".join("".join(out).split())
+    kept = {p for p in paths if _keeps(p, host)}
+    weights = _weights(_words(found))
+    own = chosen(weights, {q for p in paths for q in _prefixes(p)})
+    if not kept:
+        own = _told(own)
+        kept |= {p for p in paths if _keeps(p, own)}
+    return " ".join("".join(text for p, _, text in found if p in kept).split())
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(h.as_py() or "", m) for h, m in zip(batch["html"], batch["main"].to_pylist())]
+        told = batch.select(["main", "slots", "bounds", "names"]).to_pylist()
+        texts = [main_text(h.as_py() or "", _told(t)) for h, t in zip(batch["html"], told)]
         yield pa.RecordBatch.from_pydict({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
 
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages``."""
     # as a table, the templates' size is known: small ones are sent to the pages, others are joined
-    known = written(templates(pages, key, url, html).select("host", "main"), "templates")
-    return _hosted(pages, key, url, html).join(known, "host", "left").select("page_id", "url", "html", "main").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    known = written(templates(pages, key, url, html).select("host", "main", "slots", "bounds", "names"), "templates")
+    return _hosted(pages, key, url, html).join(known, "host", "left").select("page_id", "url", "html", "main", "slots", "bounds", "names").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -59,6 +59,43 @@ def test_classes_nest(spark, pages):
     assert len({t for c in host.classes for t in c.tokens}) == sum(len(c.tokens) for c in host.classes)
 
 
+def words_of(i, name, n):
+    return " ".join(f"{name}{i}x{j}" for j in range(n))
+
+
+def test_slots_come_from_classes(spark):
+    """A token that repeats on its own is data of the slot around it, not a slot."""
+    rows = []
+    for i in range(6):
+        paras = "".join(f'<div class="para">{words_of(i, f"p{k}y", 40)}</div>' for k in range(2 + i))
+        rows.append((i, f"http://host/{i}", f'<html><body><div class="m"><a href=1>One</a> <a href=2>Two</a></div><div class="story">{words_of(i, "lead", 3)}{paras}</div></body></html>'))
+    host = template.templates(frame(spark, rows)).first()
+    assert host.main == "page/html/body/div.story"
+    assert "page/html/body/div.story/div.para" not in {t for c in host.classes for t in c.tokens}
+    for r in template.extracted(frame(spark, rows)).collect():
+        assert r.text == " ".join([words_of(r.page_id, "lead", 3), *(words_of(r.page_id, f"p{k}y", 40) for k in range(2 + r.page_id))])
+
+
+def test_vectors_decide():
+    import pandas as pd
+
+    def told(mark):
+        paths = ["page", "page/div.story", "page/div.story/div.para", "page/div.story/div.by"]
+        rows = pd.DataFrame({"path": paths, "mark": [1, 1, 7, mark], "pages": 10, "times": [10, 10, 40, 40], "host_pages": 10})
+        for c in template.WEIGHTS:
+            rows[c] = [0, 5, 400, 4]
+        return template._template(("h",), rows).iloc[0]["main"]
+
+    assert told(8) == "page/div.story"
+    assert told(7) == "page/div.story/div.para"
+
+
+def test_repeated_pages_do_not_cancel(spark):
+    html = '<html><body><div class="story"><p>a b c</p><div class="para">x y</div><div class="para">z</div></div></body></html>'
+    host = template.templates(frame(spark, [(1, "http://h/", html)] * 2)).first()
+    assert not any({"page", "page/html/body/div.story/div.para"} <= set(c.tokens) for c in host.classes)
+
+
 def test_empty_table(pages):
     assert template.extracted(pages.limit(0)).count() == 0 and warc.round_trip(pages.limit(0)).count() == 0
 
