@@ -6,7 +6,7 @@ host; vectors are compared by a digest that pages add to in any order, so hosts
 partial aggregation. Tokens with equal vectors form an equivalence class; a class is valid
 when enough of the host's pages have it and it is not a lone token that repeats within pages, and valid classes
 nest by their paths into the host's template. Their tokens bound the slots; any other token is data of
-the slot it stands in.
+the slot it stands in, and the words of paths that few pages have count for the nearest path above that more have.
 Slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
 the rest is clean. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
 all text of the main slot, but for such containers inside it. A page without it is judged on its own slots alike.
@@ -274,8 +274,20 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     # paths few pages have cannot be of the template; the rest are as many as a page has
     all_paths = counted.join(most, "host")
     few = F.col("pages") * RARE < F.col("host_pages")
-    held = all_paths.filter(~few)
-    return held.groupBy("host").applyInPandas(_template, TEMPLATE)
+    held, rare = all_paths.filter(~few), all_paths.filter(few)
+    return _with_rare(held, rare).groupBy("host").applyInPandas(_template, TEMPLATE)
+
+
+def _with_rare(held: DataFrame, rare: DataFrame) -> DataFrame:
+    """``held`` with the words of each rare path added to the nearest held path above it; the root is always held."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda d: F.struct(d.alias("depth"), F.array_join(F.slice(parts, 1, d), "/").alias("above")))
+    wordy = rare.filter("words > 0").select("host", "path", *WEIGHTS, F.inline(above))
+    met = wordy.join(held.select("host", F.col("path").alias("above")), ["host", "above"])
+    nearest = met.groupBy("host", "path").agg(F.max_by("above", "depth").alias("above"), *[F.first(c).alias(c) for c in WEIGHTS])
+    added = nearest.groupBy("host", F.col("above").alias("path")).agg(*[F.sum(c).alias(f"more_{c}") for c in WEIGHTS])
+    kept = [c for c in held.columns if c not in WEIGHTS]
+    return held.join(added, ["host", "path"], "left").select(*kept, *[(F.col(c) + F.coalesce(f"more_{c}", F.lit(0))).alias(c) for c in WEIGHTS])
 
 
 # ----------------------------------------------------------- extraction ----

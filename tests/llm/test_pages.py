@@ -90,6 +90,16 @@ def test_vectors_decide():
     assert told(7) == "page/div.story/div.para"
 
 
+def test_rare_paths_keep_their_weight(spark):
+    rows = []
+    for i in range(120):
+        slug = "".join(chr(97 + int(c)) for c in f"{i:03d}")
+        rows.append((i, f"http://host/{i}", f'<html><body><div class="intro">{words_of(0, "in", 20)}</div><div id="{slug}"><article>{words_of(i, "w", 200)}</article></div></body></html>'))
+    for n in (40, 120):
+        found = template.extracted(frame(spark, rows[:n])).collect()
+        assert len(found) == n and all(r.text.endswith(words_of(r.page_id, "w", 200)) for r in found)
+
+
 def test_repeated_pages_do_not_cancel(spark):
     html = '<html><body><div class="story"><p>a b c</p><div class="para">x y</div><div class="para">z</div></div></body></html>'
     host = template.templates(frame(spark, [(1, "http://h/", html)] * 2)).first()
