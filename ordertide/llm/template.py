@@ -9,7 +9,8 @@ nest by their paths into the host's template. Their tokens bound the slots; any
 the slot it stands in, and the words of paths that few pages have count for the nearest path above that more have.
 Slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
 the rest is clean. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
-all text of the main slot, but for such containers inside it. A page without it is judged on its own slots alike.
+in the page's order, all text of the main slot and of the clean slots outside it, but for such containers inside them.
+Where that holds too few of a page's clean words, the page's own slots, judged alike, are added.
 
 Text tokens take no part in the template: articles that a host publishes often would become part of it.
 
@@ -294,12 +295,12 @@ def _with_rare(held: DataFrame, rare: DataFrame) -> DataFrame:
 
 
 def _keeps(path: str, told: dict) -> bool:
-    """Whether text directly in the path is of the main slot."""
+    """Whether text directly in the path is of the main slot or of a clean one."""
     main = told["main"]
     if main is not None and _within(path, main):
         # names decide inside the slot; the slot itself has been chosen
         return path == main or not _once(_aside, f"article/{path[len(main) + 1 :]}", True)
-    return False
+    return bool(told["slots"]) and not _once(_aside, path, told["names"]) and _slot(path, told["ends"]) in told["slots"]
 
 
 def _told(found: dict) -> dict:
@@ -312,7 +313,8 @@ def main_text(html: str, host: dict) -> str:
     kept = {p for p in paths if _keeps(p, host)}
     weights = _weights(_words(found))
     own = chosen(weights, {q for p in paths for q in _prefixes(p)})
-    if not kept:
+    clean = {p: w[2 if own["names"] else 4] for p, w in weights.items()}
+    if sum(n for p, n in clean.items() if p in kept) < NEARLY_ALL * sum(clean.values()):
         own = _told(own)
         kept |= {p for p in paths if _keeps(p, own)}
     return " ".join("".join(text for p, _, text in found if p in kept).split())

@@ -103,7 +103,19 @@ def test_rare_paths_keep_their_weight(spark):
 def test_repeated_pages_do_not_cancel(spark):
     html = '<html><body><div class="story"><p>a b c</p><div class="para">x y</div><div class="para">z</div></div></body></html>'
     host = template.templates(frame(spark, [(1, "http://h/", html)] * 2)).first()
-    assert not any({"page", "page/html/body/div.story/div.para"} <= set(c.tokens) for c in host.classes)
+    assert not any({"page/html", "page/html/body/div.story/div.para"} <= set(c.tokens) for c in host.classes)
+
+
+def test_siblings_and_second_layouts(spark):
+    rows = []
+    for i in range(10):
+        rows.append((i, f"http://host/{i}", f'<html><body><article><div class="title">{words_of(i, "t", 5)}</div><div class="body">{words_of(i, "b", 200)}</div></article></body></html>'))
+    # has the main container, but its text elsewhere
+    rows.append((10, "http://host/10", f'<html><body><article><div class="title">{words_of(10, "t", 5)}</div><div class="body"></div></article><section>{words_of(10, "s", 80)}</section></body></html>'))
+    found = {r.page_id: r.text for r in template.extracted(frame(spark, rows)).collect()}
+    for i in range(10):
+        assert found[i] == f'{words_of(i, "t", 5)} {words_of(i, "b", 200)}'
+    assert found[10] == f'{words_of(10, "t", 5)} {words_of(10, "s", 80)}'
 
 
 def test_empty_table(pages):
