@@ -5,12 +5,13 @@ histogram of its characters over fixed classes and a histogram of its words over
 common words of its language (and all others). A language's references are the summed histograms
 of all its texts that pass the base rules. A text is rejected when the base rules fail,
 or when it is long enough for a verdict and its Jensen-Shannon distance (root of the base-2
-divergence) from a reference is above a limit. Languages without a list of common words
-share one reference of characters.
+divergence) from a reference is above a limit. A language is told by its tag without case
+and region (``EN`` and ``en-US`` are ``en``); a script in the tag stays. Languages without a list of common words
+are judged by their own reference of characters alone, if enough of their texts pass the base rules.
 
-Defined cases: a null or empty text has no words, so it fails the base rules; a null language is
-an unlisted one; without a single text that passes there is no reference and no
-divergence verdict; a text under the length guards gets none either; repeated rows are
+Defined cases: a null or empty text has no words, so it fails the base rules; a null or empty language, or one
+that stands for none or several, has no reference and gives no divergence verdict; nor does a listed language without a
+text that passes or an unlisted one with few; a text under the length guards gets none either; repeated rows are
 judged alike; other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
@@ -35,7 +36,8 @@ COMMON = {
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se ce il sont avec ou son aux".split(),
     "es": "de la que el en y a los se del las un por con no una su para es al lo como más o pero sus le ha me si".split(),
 }
-OTHER = "other"
+#: Tags that name no single language.
+NO_LANGUAGE = ("", "und", "mul", "mis", "zxx")
 SYMBOLS = b"#*$%&|<>"
 #: Character classes: the bytes of each; bytes that continue a code point are of none.
 CLASSES = {
@@ -48,6 +50,8 @@ LEAST_WORDS, MOST_REPEATED = 50, 50
 #: A divergence verdict needs so many characters (words) and a distance above the limit.
 GUARD_CHARS, LIMIT_CHARS = 400, 0.30
 GUARD_WORDS, LIMIT_WORDS = 100, 0.31
+#: An unlisted language has a reference when so many of its texts pass the base rules.
+GUARD_TEXTS = 30
 
 FEATURES = "doc_id long, tie long, ref string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, chars array<long>, words array<long>"
 
@@ -127,7 +131,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.bincount(w.text_of[has] * len(known) + code[has], minlength=n * len(known)).reshape(n, len(known))
             classes = np.stack([_per_text(_mapped(raw, _table(x)), off) for x in CLASSES.values()], axis=1)
             leads = _per_text((w.data & 0xC0) != 0x80, w.off[w.first])
-            refs = [x if x in COMMON else OTHER for x in part["lang"].to_pylist()]
+            refs = part["ref"].to_pylist()
             words = []
             for d, ref in enumerate(refs):
                 mine = counts[d, lists[ref]] if ref in lists else np.zeros(0, np.int64)
@@ -140,9 +144,18 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             })
 
 
+def reference_of(lang: Column) -> Column:
+    """The language whose reference a text has: its tag in lower case without region and variants, with a script if one is named; null for none."""
+    parts = F.split(F.regexp_replace(F.lower(F.trim(lang)), "[.@].*$", ""), "[-_]")
+    name = F.get(parts, 0)
+    script = F.get(F.filter(F.slice(parts, 2, 1 << 20), lambda x: x.rlike("^[a-z]{4}$")), 0)
+    plain = script.isNull() | (name.isin(*COMMON) & (script == "latn"))
+    return F.when(~name.isin(*NO_LANGUAGE), F.when(plain, name).otherwise(F.concat_ws("-", name, script)))
+
+
 def features(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     whole = F.col(text).cast("string")
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text"), reference_of(F.col(lang).cast("string")).alias("ref"))
     return rows.mapInArrow(_features, FEATURES)
 
 
@@ -168,23 +181,24 @@ def js_distance(counts: Column, reference: Column) -> Column:
 
 
 def references(found: DataFrame) -> DataFrame:
-    """Summed histograms of the texts that pass the base rules: a row a listed language, and one for all others."""
-    good = found.filter(~base_failed())
+    """Summed histograms of the texts that pass the base rules: a row for each listed language, and for each other of which enough pass."""
+    good = found.filter(~base_failed() & F.col("ref").isNotNull())
     summed = []
     for name in ("chars", "words"):
-        at = good.select("ref", F.posexplode(name).alias("i", "n")).groupBy("ref", "i").agg(F.sum("n").alias("n"))
+        at = good.select("ref", F.posexplode(name).alias("i", "n")).groupBy("ref", "i").agg(F.sum("n").alias("n"), F.count("*").alias("texts"))
         ordered = F.transform(F.array_sort(F.collect_list(F.struct("i", "n"))), lambda x: x["n"])
-        summed.append(at.groupBy("ref").agg(ordered.alias(f"ref_{name}")))
+        enough = F.col("ref").isin(*COMMON) | (F.max("texts") >= GUARD_TEXTS)
+        summed.append(at.groupBy("ref").agg(ordered.alias(f"ref_{name}"), enough.alias("enough")).filter("enough").drop("enough"))
     return summed[0].join(summed[1], "ref")
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """One row for each row of ``docs``: its counts, distances and verdict; ``tie`` is its text's hash."""
     found = written(features(docs, key, text, lang), "features")
-    # five rows at most: one for each listed language and one for the rest
-    told = found.join(F.broadcast(references(found)), "ref", "left").withColumns({
-        "char_distance": F.when(_total(F.col("chars")) >= GUARD_CHARS, js_distance(F.col("chars"), F.col("ref_chars"))),
-        "word_distance": F.when((F.col("n_words") >= GUARD_WORDS) & (F.col("ref") != OTHER), js_distance(F.col("words"), F.col("ref_words"))),
+    # as a table, the references' size is known: a few languages are sent to the texts, others are joined
+    told = found.join(written(references(found), "references"), "ref", "left").withColumns({
+        "char_distance": F.when((_total(F.col("chars")) >= GUARD_CHARS) & F.col("ref_chars").isNotNull(), js_distance(F.col("chars"), F.col("ref_chars"))),
+        "word_distance": F.when((F.col("n_words") >= GUARD_WORDS) & F.col("ref").isin(*COMMON) & F.col("ref_words").isNotNull(), js_distance(F.col("words"), F.col("ref_words"))),
         "base_failed": base_failed(),
     })
     far = F.coalesce(F.col("char_distance") > LIMIT_CHARS, F.lit(False)) | F.coalesce(F.col("word_distance") > LIMIT_WORDS, F.lit(False))

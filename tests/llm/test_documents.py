@@ -175,6 +175,37 @@ def test_verdicts(documents, texts):
     assert all(r.kept for r in clean)
 
 
+def test_languages_have_their_own_references(spark):
+    r = random.Random(5)
+
+    def prose(letters, n=120):
+        return " ".join("".join(r.choice(letters) for _ in range(r.randrange(2, 9))) for _ in range(n))
+
+    latin, cyrillic, junk = "abcdefghijklmnop", "абвгдежзиклмнопр", "#|$%&*<>"
+    rows = [(i, prose(cyrillic if i % 2 else latin), "ru" if i % 2 else "pl") for i in range(200)]
+    rows += [(200 + i, prose(latin), lang) for i, lang in enumerate([None, "", "und", "ka", "ka"])]
+    rows += [(300 + i, prose(junk), lang) for i, lang in enumerate(["ru", "PL", "pl_PL.UTF-8"])]
+    found = {x.doc_id: x for x in quality.judged(frame(spark, rows, "doc_id long, text string, lang string")).collect()}
+    assert all(found[i].kept and found[i].char_distance < 0.1 for i in range(200))
+    assert all(found[i].kept and found[i].char_distance is None for i in range(200, 205))
+    assert not any(found[i].kept for i in range(300, 303))
+
+
+def test_tags_of_one_language(spark):
+    from pyspark.sql import functions as F
+
+    tags = ["en", "EN", "en-US", " En_gb", "en-Latn-US", "sr-Cyrl-RS", "sr_latn", "zh-cmn-Hans", "de-1996", "x", "", None, "MUL"]
+    rows = spark.createDataFrame([(t,) for t in tags], "lang string").select("lang", quality.reference_of(F.col("lang")).alias("ref")).collect()
+    assert [x.ref for x in rows] == ["en"] * 5 + ["sr-cyrl", "sr-latn", "zh-hans", "de", "x", None, None, None]
+
+
+def test_other_tags_get_word_verdicts(spark, documents):
+    from pyspark.sql import functions as F
+
+    as_is = got(quality.judged(documents), "doc_id", "kept", "word_distance")
+    assert got(quality.judged(documents.withColumn("lang", F.concat(F.upper("lang"), F.lit("-XX")))), "doc_id", "kept", "word_distance") == as_is
+
+
 def test_distance_equals_its_definition(spark):
     import math
 
