@@ -41,8 +41,8 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Words that may be identifiers.
 MAYBE = "[0-9@]"
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-#: Code points read on each side of a span for its context.
-REACH = 64
+#: Code points read on each side of a span for its context; further ones where these do not hold the whole words, then all.
+REACH, FURTHER = 64, 4096
 #: Rounds, least seeds and score of a pattern, least score of an added value.
 ROUNDS, LEAST_SEEDS, LEAST_PATTERN, LEAST_VALUE = 3, 3, 0.6, 0.8
 BLOCK = 128
@@ -141,14 +141,28 @@ def _norm(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), "[0-9]", "0")
 
 
+def _whole(read: Callable[[Column], Column], enough: Callable[[Column, Column], Column], every: Column) -> Column:
+    """Text beside a span: as little as holds its neighbouring words whole."""
+
+    def within(n: int, further: Column) -> Column:
+        return bound(read(F.lit(n)), lambda t: F.when(enough(t, F.lit(n)), t).otherwise(further))
+
+    return within(REACH, within(FURTHER, read(every)))
+
+
 def patterns(text: Column, start: Column, end: Column) -> Column:
     """Lexical patterns of a span: the two words before it, and the words around it; none without a word before."""
-    left = F.substring(text, F.greatest(start - REACH, F.lit(0)) + 1, F.least(start, F.lit(REACH)))
-    right = F.substring(text, end + 1, F.lit(REACH))
-    words = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
-    one = _norm(F.regexp_extract(left, words, 1))
-    two = _norm(F.regexp_extract(left, r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+[^\x20\x09-\x0D]+[\x20\x09-\x0D]*$", 1))
-    after = _norm(F.regexp_extract(right, r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]+)", 1))
+    word, gap = r"[^\x20\x09-\x0D]++", r"[\x20\x09-\x0D]"
+    left = _whole(lambda n: F.substring(text, F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)), lambda t, n: (start <= n) | t.rlike(rf"{gap}{word}{gap}++{word}{gap}*+\z"), start)
+    right = _whole(lambda n: F.substring(text, end + 1, n), lambda t, n: (F.length(t) < n) | t.rlike(rf"^{gap}*+{word}{gap}"), F.length(text))
+    # a word is read from its start
+    one = bound(left, lambda t: _norm(F.regexp_extract(t, rf"(?<![^\x20\x09-\x0D])({word}){gap}*+\z", 1)))
+    two = bound(left, lambda t: _norm(F.regexp_extract(t, rf"(?<![^\x20\x09-\x0D])({word}){gap}++{word}{gap}*+\z", 1)))
+    after = _norm(F.regexp_extract(right, rf"^{gap}*+({word})", 1))
+    return bound(F.struct(one.alias("one"), two.alias("two"), after.alias("after")), lambda w: _forms(w["one"], w["two"], w["after"]))
+
+
+def _forms(one: Column, two: Column, after: Column) -> Column:
     forms = F.array(
         F.when((one != "") & (two != ""), F.concat(two, F.lit(" "), one, F.lit(" _"))),
         F.when((one != "") & (after != ""), F.concat(one, F.lit(" _ "), after)),

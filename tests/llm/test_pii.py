@@ -67,6 +67,30 @@ def test_contexts_of_seeds_find_other_identifiers(spark):
     assert [x.spans for x in sorted(full)][-3:] == ["email:24:37", "", ""]
 
 
+def test_contexts_reach_as_far_as_their_words(spark):
+    gap = " " * 80
+    rows = [(i, f"please write to mailbox{gap}{c}{i}@host{i}.org{gap}today thanks") for i, c in enumerate("abcdefghij")]
+    rows += [(100, "please write to mailbox joe4(at)host4 today thanks")]
+    _, full = found(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert [x.spans for x in full if x.doc_id == 100] == ["email:24:37"]
+
+
+@pytest.mark.parametrize("n", [3, 31, 32, 62, 63, 64, 65, 100, 4095, 4096, 4097, 9000])
+def test_patterns_of_long_words_and_gaps(spark, n):
+    from pyspark.sql import functions as F
+
+    rows = []
+    for left, gap, right in [("a" * n, " ", "b" * n), ("é" * n, " \n", "c"), ("a", " " * n, "b"), ("so " * 5 + "a" * n, " ", "b" * n + " end")]:
+        for before in ("", "first ", "w" * n + "\t" * n):
+            text = f"{before}{left}{gap}1.2.3.4{gap}{right}"
+            at = text.index("1.2")
+            words = text[:at].split()
+            two = [f"{words[-2]} {words[-1]} _"] if len(words) > 1 else []
+            rows.append((text, at, at + 7, [*two, f"{words[-1]} _ {text[at + 7 :].split()[0]}"]))
+    df = spark.createDataFrame(rows, "text string, s int, e int, expected array<string>")
+    assert all(x.p == x.expected for x in df.select("expected", pii.patterns(F.col("text"), F.col("s"), F.col("e")).alias("p")).collect())
+
+
 def test_pattern_that_goes_with_other_values_is_not_believed(spark):
     rows = [(i, f"see page {c}{i}@host{i}.org today") for i, c in enumerate("abcd")] + [(50 + i, f"see page {i} today") for i in range(10)]
     _, full = found(spark.createDataFrame(rows, "doc_id long, text string"))
