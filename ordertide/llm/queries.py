@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import chat, jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, warc
+from ordertide.llm import chat, jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, variants, warc
 from ordertide.llm.oracle import ORACLE_SQL
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
@@ -56,6 +56,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": op1_html_extraction,
     "op2_line_dedup": op2_line_dedup,
@@ -67,4 +71,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
+    "op13_spelling_variants": op13_spelling_variants,
 }
