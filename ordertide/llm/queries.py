@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ordertide.llm import chat, glr, jaccard, linechunks, mixing, pii, postings, quality, superkmers, template, variants, warc
+from ordertide.llm import chat, glr, jaccard, linechunks, mixing, pii, postings, prefixfree, quality, superkmers, template, variants, warc
 from ordertide.llm.oracle import ORACLE_SQL
 
 __all__ = ["QUERIES", "ORACLE_SQL"]
@@ -56,6 +56,10 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixfree.remove_repeats(table(spark, sf_dir, "documents")).drop("tie")
+
+
 def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return glr.report(table(spark, sf_dir, "conversations"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_quality_rules": op9_quality_rules,
     "op10_source_mixing": op10_source_mixing,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_structure_repair": op12_structure_repair,
     "op13_spelling_variants": op13_spelling_variants,
 }
