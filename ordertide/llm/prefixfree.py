@@ -299,34 +299,44 @@ def equal_windows(raw: np.ndarray, a: np.ndarray, b: np.ndarray, k: int) -> np.n
 
 
 class Rims:
-    """Windows of the stretches that are left: their classes in the chunk's suffix order."""
+    """Windows of the stretches that are left, with both of their hashes."""
 
     def __init__(self, c: Chunk, on: np.ndarray):
-        k = c.k
+        self.chunk, self.on = c, on
         self.windows = spans_of(c.start[on], c.n[on])
         self.stretch = np.repeat(np.flatnonzero(on), c.n[on])
-        # texts of the order: the bytes that the windows cover, joined where they overlap
+        self.key = c.hash.of(self.windows, c.k)
+        self.tag = Hashes(c.raw, 1).of(self.windows, c.k) >> U(33)
+
+    def classes(self) -> np.ndarray:
+        """Number of each window's class of equal windows, by the suffix order of the bytes that the windows cover."""
+        c, on = self.chunk, self.on
+        if not len(self.windows):
+            return np.zeros(0, np.int64)
         cover = np.zeros(len(c.raw) + 1, np.int64)
         np.add.at(cover, c.start[on], 1)
-        np.add.at(cover, c.start[on] + c.n[on] + k - 1, -1)
+        np.add.at(cover, c.start[on] + c.n[on] + c.k - 1, -1)
         inside = np.cumsum(cover[:-1]) > 0
         begin = inside & ~np.append(False, inside[:-1])
-        begin |= inside & np.isin(np.arange(len(inside)), c.off)
+        edges = c.off[c.off < len(inside)]
+        begin[edges] = inside[edges]
         shift = np.cumsum(inside) - 1
         raw, off = c.raw[inside], np.append(shift[begin], inside.sum())
-        places = shift[self.windows]
-        if len(places):
-            order = corpus_order(raw, off, k, places)
-            new = np.append(True, ~equal_windows(raw, order[1:], order[:-1], k))
-            cls = np.empty(len(raw), np.int64)
-            cls[order] = np.cumsum(new) - 1
-            self.cls = cls[places]
-        else:
-            self.cls = np.zeros(0, np.int64)
-        self.heads = np.unique(self.cls, return_index=True)[1]  # a window of each class
-        self.key = c.hash.of(self.windows[self.heads], k)
-        self.tag = Hashes(c.raw, 1).of(self.windows[self.heads], k) >> U(33)
-        self.size = np.bincount(self.cls, minlength=len(self.heads))
+        order = corpus_order(raw, off, c.k, shift[self.windows])
+        new = np.append(True, ~equal_windows(raw, order[1:], order[:-1], c.k))
+        cls = np.empty(len(raw), np.int64)
+        cls[order] = np.cumsum(new) - 1
+        return cls[shift[self.windows]]
+
+    def recurring(self, told: pa.Table) -> np.ndarray:
+        """Windows whose class recurs."""
+        key, _, tag = _answers(told, WINDOW)
+        found = np.zeros(len(self.key), bool)
+        at, to = np.searchsorted(key, self.key, "left"), np.searchsorted(key, self.key, "right")
+        for step in range(int((to - at).max(initial=0))):  # more than one only where first hashes meet
+            here = np.flatnonzero(at + step < to)
+            found[here] |= tag[at[here] + step] == self.tag[here]
+        return found
 
 
 def _send_rims(k: int, core: int, bins: int):
@@ -336,8 +346,11 @@ def _send_rims(k: int, core: int, bins: int):
         c, chunk = Chunk(texts, k, core), texts["chunk"][0].as_py()
         whole, on = settled(c, told)
         r = Rims(c, on)
-        twice = (r.size > 1) | (np.bincount(r.cls, weights=whole[r.stretch], minlength=len(r.size)) > 0)  # a copy of it is elsewhere
-        return _send_table(_sent(chunk, bins, WINDOW, r.key, r.tag << U(1), twice))
+        cls = r.classes()
+        heads = np.unique(cls, return_index=True)[1]  # a window of each class
+        # a class recurs if it has two windows here, or one in a stretch that has a copy
+        twice = np.bincount(cls, weights=1 + whole[r.stretch], minlength=len(heads)) > 1
+        return _send_table(_sent(chunk, bins, WINDOW, r.key[heads], r.tag[heads] << U(1), twice))
 
     return send
 
@@ -366,13 +379,7 @@ def _spans(k: int, core: int):
         c = Chunk(texts, k, core)
         whole, on = settled(c, told)
         r = Rims(c, on)
-        key, _, tag = _answers(told, WINDOW)
-        found = np.zeros(len(r.key), bool)
-        if len(key):
-            both = np.rec.fromarrays([np.append(key, r.key), np.append(tag.astype(U), r.tag)])
-            number = np.unique(both, return_inverse=True)[1].reshape(-1)
-            found = np.isin(number[len(key) :], number[: len(key)])
-        hit = r.windows[found[r.cls]]
+        hit = r.windows[r.recurring(told)]
         starts, ends = np.append(c.start[whole], hit), np.append(c.start[whole] + c.n[whole], hit + 1) + k - 1
         order = np.argsort(starts, kind="stable")
         starts, ends = starts[order], ends[order]
