@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ordertide.llm import linechunks, mixing, warc
+from ordertide.llm import linechunks, mixing, variants, warc
 
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACED = r"'[^\x20\x09-\x0D]+'"
@@ -64,6 +64,39 @@ c AS (SELECT d.*, r.source_size, r.target, start, rate, row_number() OVER (PARTI
 SELECT doc_id, source, size, source_size, target, ((start + (i + 1) * rate) // {mixing.UNIT} - (start + i * rate) // {mixing.UNIT})::BIGINT AS copies, copies * size AS taken FROM c
 """
 
+SUFFIXES = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(encode(text), ''::BLOB) AS b FROM documents),
+win AS (SELECT r, i, md5(b[i : i + 199]) AS h FROM d, unnest(range(1, octet_length(b) - 198)) AS u(i)),
+twice AS (SELECT h FROM win GROUP BY h HAVING count(*) > 1),
+hit AS (SELECT r, i, i - lag(i, 1, -200) OVER (PARTITION BY r ORDER BY i) > 200 AS new FROM win JOIN twice USING (h)),
+part AS (SELECT r, i, sum(new::INT) OVER (PARTITION BY r ORDER BY i) AS run FROM hit),
+span AS (SELECT r, min(i) AS s, max(i) + 199 AS e FROM part GROUP BY r, run),
+edge AS (SELECT r, s, e FROM span UNION ALL SELECT r, octet_length(b) + 1, NULL FROM d),
+keep AS (SELECT r, s, hex(b[lag(e, 1, 0) OVER (PARTITION BY r ORDER BY s) + 1 : s - 1]) AS x FROM edge JOIN d USING (r)),
+kept AS (SELECT r, unhex(string_agg(x, '' ORDER BY s)) AS b FROM keep GROUP BY r),
+gone AS (SELECT r, sum(e - s + 1) AS n, count(*) AS spans FROM span GROUP BY r)
+SELECT doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(gone.n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(kept.b) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN gone USING (r)
+"""
+
+#: CRC-32 by its table of 256 entries, which follows from the polynomial 0xEDB88320.
+_CRC_TABLE = "SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) AS r(i)"
+_BYTES = "list_transform(range(0, strlen(k)), lambda i: ('0x' || substr(hex(encode(k)), 2 * i + 1, 2))::BIGINT)"
+VARIANTS = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}),
+run AS (SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS k, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({lowered("text")}, '[{variants.LETTERS}]+')) AS w FROM documents) GROUP BY ALL),
+sums AS (SELECT w, n, xor(list_reduce([4294967295] || {_BYTES}, lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM run, crc),
+v AS (SELECT CASE WHEN h % {variants.DAMAGE} = 0 THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2) ELSE w END AS word, sum(n)::BIGINT AS n FROM sums GROUP BY 1
+  HAVING length(word) >= {variants.LEAST_LENGTH} AND sum(n) >= {variants.LEAST_COUNT}),
+gap AS (SELECT word, i, substr(word, 1, i - 1) AS p, substr(word, i + 1) AS q FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+pair AS (SELECT a.word, b.word AS other FROM gap a JOIN gap b USING (i, p, q) WHERE a.word <> b.word
+  UNION SELECT gap.word, v.word FROM gap JOIN v ON v.word = p || q UNION SELECT v.word, gap.word FROM gap JOIN v ON v.word = p || q),
+best AS (SELECT pair.word, count(*) AS n_near, first(other ORDER BY v.n DESC, other) AS other, max(v.n) AS most FROM pair JOIN v ON v.word = other GROUP BY pair.word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN most >= {variants.RATIO} * n THEN other END AS form, CASE WHEN most >= {variants.RATIO} * n THEN most END AS form_n FROM v LEFT JOIN best USING (word)),
+walk(word, root) AS (SELECT word, word FROM f UNION SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk USING (word) JOIN f e ON e.word = walk.root WHERE e.form IS NULL
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": linechunks.ORACLE_SQL,
     "op3_decontamination": DECONTAMINATION,
@@ -71,4 +104,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_ngram_jaccard": COMPONENTS,
     "op7_warc": warc.ORACLE_SQL,
     "op10_source_mixing": MIXING,
+    "op11_suffix_dedup": SUFFIXES,
+    "op13_spelling_variants": VARIANTS,
 }
