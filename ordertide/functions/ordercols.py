@@ -18,8 +18,12 @@ def wait_seconds(fulfilled: Column | str, placed: Column | str) -> Column:
 
 
 def salt(key: Column | str, factor: int) -> Column:
-    """Non-negative Murmur3 hash of the key modulo ``factor``."""
-    return F.pmod(F.hash(_c(key)), F.lit(int(factor)))
+    """The first 32 bits of the key's md5 modulo ``factor`` (C10); 0 for a null key.
+
+    A digest of the key's text, so any other engine that reads the table can tell a row's salt.
+    """
+    digits = F.conv(F.substring(F.md5(_c(key).cast("binary")), 1, 8), 16, 10).cast("long")
+    return F.coalesce(F.pmod(digits, F.lit(int(factor))), F.lit(0)).cast("int")
 
 
 #: Decimal places kept of an amount, and the size up to which amounts are summed exactly.

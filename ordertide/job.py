@@ -15,15 +15,18 @@ from ordertide.params import PRODUCTION, PipelineParams
 from ordertide.session import build_session
 from ordertide.sources.log_source import log_source
 from ordertide.streaming.listener import ProgressLog
-from ordertide.streaming.sinks import await_all, start_bronze_and_silver
+from ordertide.streaming.sinks import await_all, bronze_stream, silver_stream
 from ordertide.streaming.tables import provision, resolved
 
 log = logging.getLogger("ordertide")
 
 
-def start(spark: SparkSession, params: PipelineParams,
-          log_path: str | None = None) -> tuple[StreamingQuery, StreamingQuery]:
-    """Provisions named tables (if any), then starts both queries on one source."""
+SINKS = ("bronze", "silver")
+
+
+def start(spark: SparkSession, params: PipelineParams, log_path: str | None = None,
+          sinks: tuple[str, ...] = SINKS) -> tuple[StreamingQuery, ...]:
+    """Provisions named tables (if any), then starts both queries (or only those of ``sinks``) on one source."""
     if params.bronze_table or params.silver_table:
         params = params.replace(**{
             name: resolved(getattr(params, name), params.database, params.catalog)
@@ -33,7 +36,8 @@ def start(spark: SparkSession, params: PipelineParams,
                   silver_partition_by=params.silver_partition_by,
                   bronze_partition_by=params.bronze_partition_by)
     raw = log_source(spark, params, log_path)
-    return start_bronze_and_silver(raw, params)
+    begin = {"bronze": bronze_stream, "silver": silver_stream}
+    return tuple(begin[name](raw, params) for name in SINKS if name in sinks)
 
 
 def main(argv: list[str] | None = None) -> int:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ordertide.functions.ordercols import wait_seconds
@@ -36,6 +36,11 @@ def bronze_projection(raw: DataFrame, stamp: bool = True,
     return raw.select(*cols)
 
 
+def valid_order() -> Column:
+    """C5 on decoded fields: a store, and a placed time that is one."""
+    return F.col("store_id").isNotNull() & parse_timestamp(PLACED).isNotNull()
+
+
 def curate_orders(parsed: DataFrame) -> DataFrame:
     """Typed event times and amount, wait time, validity filter.
 

@@ -65,7 +65,7 @@ def measures(params: PipelineParams, null_counts: bool = False) -> list[Measure]
 
 
 def with_salt(curated: DataFrame, params: PipelineParams) -> DataFrame:
-    """salt = pmod(murmur3(order_id), salt_factor)."""
+    """salt = first 32 bits of md5(order_id) modulo salt_factor."""
     return curated.withColumn("salt", salt("order_id", params.salt_factor or 1))
 
 

@@ -35,10 +35,11 @@ class PipelineParams:
     starting_offsets: str = "latest"
     fail_on_data_loss: bool = False
     max_offsets_per_trigger: int = 50000
-    # ceiling of file sources, which count files and not records (None: no ceiling)
+    # ceiling of file sources: files, or the record ceiling times the bytes of a stored record (None: neither)
     max_files_per_trigger: int | None = None
+    record_bytes: int | None = None
     min_partitions: int = 64
-    # spread file sources over min_partitions tasks (log sources take the floor as a reader option)
+    # split files of file sources into min_partitions tasks at least (log sources take the floor as a reader option)
     read_floor: bool = False
     # extra reader options (bootstrap servers, SASL/SSL settings, ...)
     source_options: Mapping[str, str] = field(default_factory=dict)

@@ -9,25 +9,34 @@ its tables read back.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
-from ordertide.job import start
+from ordertide.job import SINKS, start
 from ordertide.functions.timefns import session_zone, wall_clock
 from ordertide.operators import metrics as M
 from ordertide.operators import profiles as P
+from ordertide.operators import reconcile as R
 from ordertide.operators.curate import FULFILLED, PLACED, bronze_projection, curate_orders
 from ordertide.operators.decode import (
     decode, decode_by_schema_id, decode_fixed, encode_frames, frame_outcomes, split_frame, superset_schema,
 )
+from ordertide.operators.reconcile import INGESTED
 from ordertide.params import PRODUCTION, PipelineParams
-from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2, SILVER_COLUMNS, ddl
+from ordertide.schemas import METRIC_COLUMNS, ORDER_EVENT, ORDER_EVENT_V2, RAW_LOG, SILVER_COLUMNS, ddl
 from ordertide.session import fresh_dir, streaming_session
-from ordertide.sources.fixtures import flat_orders, nested_orders, order_lines, raw_log
+from ordertide.sources.fixtures import SCHEMA_LARGE, SCHEMA_UNKNOWN, flat_orders, nested_orders, order_lines, raw_log
 from ordertide.sources.tables import read_bronze, read_result, read_table
+from ordertide.streaming.ledger import LedgerTable
+from ordertide.streaming.listener import ProgressTable
+from ordertide.streaming.registry import SchemaRegistry, decode_registered, run_registered
 from ordertide.streaming.sinks import METRIC_INPUTS, await_all
+from ordertide.streaming.state import open_windows
 
 # recommended plan: one-stage aggregate (see PipelineParams.salt_factor)
 SCHEMAS = {101: ORDER_EVENT, 102: ORDER_EVENT_V2}
@@ -69,18 +78,9 @@ def metrics_out(df: DataFrame) -> DataFrame:
 SLICES = 3
 
 
-def replay(spark: SparkSession, sf_dir: str, params: PipelineParams, label: str,
-           last: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Runs the job (``ordertide.job.start``) over the derived log, delivered in
-    ``SLICES`` publish-time slices, and returns its bronze and silver tables.
-
-    Each slice is written once, as files of the log folder, and drained by an
-    ``availableNow`` run that resumes from the checkpoints, so state is carried
-    over from batch to batch. Rows of log partition ``last`` arrive after all
-    slices.
-    """
-    spark = streaming_session(spark)
-    base = fresh_dir(spark, label)
+def staged_log(spark: SparkSession, sf_dir: str, path: str, last: int | None = None) -> list[DataFrame]:
+    """Derives the log once, written by arrival, and returns each delivery: ``SLICES`` publish-time
+    slices, and log partition ``last`` after all of them. A delivery reads its own partition only."""
     raw = log(spark, sf_dir)
     micros = F.unix_micros("timestamp")
     lo, hi = raw.agg(F.min(micros), F.max(micros)).first()
@@ -88,14 +88,47 @@ def replay(spark: SparkSession, sf_dir: str, params: PipelineParams, label: str,
     arrival = F.call_function("div", micros - F.lit(lo or 0), F.lit(step))
     if last is not None:
         arrival = F.when(F.col("partition") == last, F.lit(SLICES)).otherwise(arrival)
+    raw.withColumn("arrival", arrival.cast("int")).write.partitionBy("arrival").parquet(path)
+    staged = spark.read.schema(T.StructType([*RAW_LOG.fields, T.StructField("arrival", T.IntegerType())])).parquet(path)
+    return [staged.filter(F.col("arrival") == k).drop("arrival") for k in range(SLICES + (last is not None))]
+
+
+@dataclass
+class Replay:
+    """A finished run of the job over the log's deliveries: its session, folders and each run's queries."""
+
+    spark: SparkSession
+    base: str
+    params: PipelineParams
+    runs: list[tuple[StreamingQuery, ...]] = field(default_factory=list)
+
+    @property
+    def bronze(self) -> DataFrame:
+        return read_bronze(self.spark, path=self.params.bronze_path)
+
+    @property
+    def silver(self) -> DataFrame:
+        return self.spark.read.schema(ddl(SILVER_COLUMNS)).parquet(self.params.silver_path)
+
+
+def replay(spark: SparkSession, sf_dir: str, params: PipelineParams, label: str,
+           last: int | None = None, sinks: tuple[str, ...] = SINKS) -> Replay:
+    """Runs the job (``ordertide.job.start``, with the ``sinks`` that are asked for) over the log's deliveries.
+
+    Each one is drained by an ``availableNow`` run that resumes from the
+    checkpoints, so state is carried over from batch to batch.
+    """
+    spark = streaming_session(spark)
+    base = fresh_dir(spark, label)
     params = params.replace(
         trigger_available_now=True, bronze_path=f"{base}/bronze", bronze_checkpoint=f"{base}/bronze-checkpoint",
         silver_path=f"{base}/silver", silver_checkpoint=f"{base}/silver-checkpoint")
-    for k in range(SLICES + (last is not None)):
-        raw.filter(arrival == k).write.mode("append").parquet(f"{base}/log")
-        await_all(start(spark, params, f"{base}/log"), params, spark)
-    silver = spark.read.schema(ddl(SILVER_COLUMNS)).parquet(f"{base}/silver")
-    return read_bronze(spark, path=f"{base}/bronze"), silver
+    out = Replay(spark, base, params)
+    for delivery in staged_log(spark, sf_dir, f"{base}/staged", last):
+        delivery.write.mode("append").parquet(f"{base}/log")
+        out.runs.append(start(spark, params, f"{base}/log", sinks))
+        await_all(out.runs[-1], params, spark)
+    return out
 
 
 # ------------------------------------------------------- window metrics ----
@@ -163,9 +196,10 @@ def curate_orders_q(spark, sf_dir):
         wall_clock(FULFILLED, zone).alias(FULFILLED), "transaction_amount", "wait_time_seconds")
 
 
-def bronze_out(bronze: DataFrame) -> DataFrame:
+def bronze_out(bronze: DataFrame, *more: str) -> DataFrame:
     zone = session_zone(bronze.sparkSession)
     return bronze.select(
+        *more,
         "kafka_key", F.hex("raw_payload").alias("raw_payload_hex"), "topic", "partition", "offset",
         wall_clock("kafka_published_timestamp", zone).alias("kafka_published_timestamp"))
 
@@ -217,11 +251,11 @@ def frame_round_trip(spark, sf_dir):
 # ------------------------------------------------------------ streaming ----
 
 def stream_bronze(spark, sf_dir):
-    return bronze_out(replay(spark, sf_dir, PARAMS, "bronze")[0])
+    return bronze_out(replay(spark, sf_dir, PARAMS, "bronze", sinks=("bronze",)).bronze)
 
 
 def stream_store_metrics(spark, sf_dir, params: PipelineParams = PARAMS):
-    return metrics_out(replay(spark, sf_dir, params, "silver")[1].select(*METRIC_COLUMNS))
+    return metrics_out(replay(spark, sf_dir, params, "silver", sinks=("silver",)).silver.select(*METRIC_COLUMNS))
 
 
 def stream_store_metrics_salted(spark, sf_dir):
@@ -237,8 +271,117 @@ def stream_lagging_partition(spark, sf_dir):
     is global, so the lagging rows whose window it has already closed are
     dropped and the rest are counted; windows still open at the end stay
     unwritten."""
-    silver = replay(spark, sf_dir, PARAMS, "lagging", last=LAGGING_PARTITION)[1]
-    return metrics_out(silver.select(*METRIC_COLUMNS))
+    done = replay(spark, sf_dir, PARAMS, "lagging", last=LAGGING_PARTITION, sinks=("silver",))
+    return metrics_out(done.silver.select(*METRIC_COLUMNS))
+
+
+def late_ledger(spark, sf_dir):
+    """The orders that the silver stream dropped, by name, from bronze; each window's number
+    is held against what the window lacks."""
+    done = replay(spark, sf_dir, PARAMS, "late", last=LAGGING_PARTITION)
+    parsed = decode(done.bronze, PARAMS, fields=METRIC_INPUTS, value_col="raw_payload", keep=[INGESTED])
+    ledger = R.late_ledger(curate_orders(parsed), done.silver, PARAMS)
+    return ledger.withColumn("window_start", wall_clock("window_start", session_zone(done.spark)))
+
+
+def stream_state(spark, sf_dir):
+    """What the two stages hold after the log is drained: stage 1 a row for each open window, store
+    and salt, stage 2 nothing."""
+    done = replay(spark, sf_dir, SALTED, "state", sinks=("silver",))
+    return open_windows(done.spark, done.params.silver_checkpoint)
+
+
+def stream_progress(spark, sf_dir):
+    """The silver stream's progress as a table: each run's rows, invalid ones among them, and the watermark it left."""
+    done = replay(spark, sf_dir, PARAMS, "progress", sinks=("silver",))
+    log = ProgressTable(done.spark, f"{done.base}/progress")
+    for n, queries in enumerate(done.runs, 1):
+        log.append(n, queries)
+    by_run = log.read().groupBy("run").agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("invalid_rows").alias("invalid_rows"), F.max("watermark").alias("watermark"))
+    return by_run.withColumn("watermark", wall_clock("watermark", session_zone(done.spark)))
+
+
+def stream_new_schema(spark, sf_dir):
+    """The stream starts with versions 101 and 102 registered, stops on each id it does not know, and goes
+    on from its checkpoint when the id's schema is in the registry."""
+    spark = streaming_session(spark)
+    base = fresh_dir(spark, "registry")
+    registry = SchemaRegistry(spark, f"{base}/registry")
+    for k, schema in SCHEMAS.items():
+        registry.register(k, schema)
+    to_come = {SCHEMA_UNKNOWN: ORDER_EVENT_V2, SCHEMA_LARGE: ORDER_EVENT_V2}
+    for delivery in staged_log(spark, sf_dir, f"{base}/staged"):
+        delivery.write.mode("append").parquet(f"{base}/log")
+
+        def begin() -> StreamingQuery:
+            raw = spark.readStream.schema(RAW_LOG).parquet(f"{base}/log")
+            orders = decode_registered(raw, registry, keep=["offset"])
+            tiers = {c: F.col(c) if c in orders.columns else F.lit(None).cast("string") for c in ("loyalty_tier",)}
+            return (orders.select("offset", "schema_id", "order_id", "store_id", tiers["loyalty_tier"].alias("loyalty_tier"),
+                                  F.col("payment.wallet").alias("wallet"), "transaction_amount")
+                    .writeStream.option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+                    .format("parquet").start(f"{base}/orders"))
+
+        run_registered(begin, registry, to_come.get)
+    return spark.read.parquet(f"{base}/orders")
+
+
+# ---------------------------------------------------------- ledger tables ----
+
+class Killed(RuntimeError):
+    """The fault that the ledger queries put between write and commit."""
+
+
+def append_with_faults(table: LedgerTable, batches: list[Callable[[], DataFrame]], killed: int = 1) -> None:
+    """Appends all batches, is killed once between write and commit of one of them, and starts again from the first."""
+    def fault(_: str) -> None:
+        raise Killed
+
+    for attempt in range(2):
+        try:
+            for k, batch in enumerate(batches):
+                table.append(batch(), k, fault if (attempt, k) == (0, killed) else None)
+        except Killed:
+            continue
+
+
+def bronze_ledger(spark: SparkSession, sf_dir: str, label: str) -> LedgerTable:
+    base = fresh_dir(spark, label)
+    table = LedgerTable(spark, f"{base}/bronze", order_by="kafka_published_timestamp")
+    deliveries = staged_log(spark, sf_dir, f"{base}/staged")
+    append_with_faults(table, [lambda d=d: bronze_projection(d, stamp=False) for d in deliveries])
+    return table
+
+
+def ledger_bronze(spark, sf_dir):
+    """Bronze through the batch ledger, exactly once though a batch is killed after its write."""
+    rows = bronze_ledger(spark, sf_dir, "ledger-bronze").read()
+    return bronze_out(rows, "batch_id")
+
+
+def ledger_silver(spark, sf_dir):
+    """The windows that each run of the silver stream finishes, published to a ledger table with a fault in between."""
+    done = replay(spark, sf_dir, PARAMS, "ledger-silver", sinks=("silver",))
+    table = LedgerTable(done.spark, f"{done.base}/published", order_by="window_start")
+
+    def fresh() -> DataFrame:
+        have = table.read()
+        return done.silver.join(have, ["window_start", "store_id"], "left_anti") if "store_id" in have.columns else done.silver
+
+    append_with_faults(table, [fresh] * SLICES, killed=0)
+    return metrics_out(table.read().select(*METRIC_COLUMNS))
+
+
+def schema_growth(spark, sf_dir):
+    """The first batch is read with version 1, later ones with version 2 and a wider number, into one table."""
+    base = fresh_dir(spark, "growth")
+    table = LedgerTable(spark, f"{base}/orders")
+    for k, delivery in enumerate(staged_log(spark, sf_dir, f"{base}/staged")):
+        length = (F.length("value") - 5).cast("int" if k == 0 else "long")
+        rows = delivery.withColumn("body_length", length)
+        table.append(decode_fixed(rows, ORDER_EVENT if k == 0 else ORDER_EVENT_V2, mode="PERMISSIVE", keep=["offset", "body_length"]), k)
+    return table.read().select("offset", "order_id", "transaction_amount", "body_length", F.col("payment.wallet").alias("wallet"), "loyalty_tier")
 
 
 # ---------------------------------------------------- dashboard views ----
@@ -264,8 +407,8 @@ def bronze_replay_metrics(spark, sf_dir):
 
 
 def bronze_latest(spark, sf_dir):
-    """O2: newest rows by ingestion time of the audit table that the job wrote in several batches."""
-    return bronze_out(P.latest_bronze(replay(spark, sf_dir, PARAMS, "latest")[0], 20))
+    """O2: newest rows of an audit table of several batches; only the batches that can hold them are read."""
+    return bronze_out(P.latest_bronze(bronze_ledger(spark, sf_dir, "latest").newest(20), 20))
 
 
 # ------------------------------------------------------------- profiles ----
@@ -322,6 +465,14 @@ QUERIES: dict[str, Query] = {
     "stream_store_metrics": stream_store_metrics,
     "stream_store_metrics_salted": stream_store_metrics_salted,
     "stream_lagging_partition": stream_lagging_partition,
+    "late_replay": stream_lagging_partition,
+    "late_ledger": late_ledger,
+    "stream_state": stream_state,
+    "stream_progress": stream_progress,
+    "stream_new_schema": stream_new_schema,
+    "ledger_bronze": ledger_bronze,
+    "ledger_silver": ledger_silver,
+    "schema_growth": schema_growth,
     "dashboard_silver": dashboard_silver,
     "bronze_latest": bronze_latest,
     "bronze_replay_metrics": bronze_replay_metrics,

@@ -3,7 +3,7 @@
 These restate the semantics independently of Spark: fixture mappings as CTEs,
 integer arithmetic for the half-up averages, plain GROUP BY / JOIN. Streaming
 plans compare against their batch twin restricted to windows the watermark
-has closed. ``salt_spread`` restates Spark's string hash (Murmur3) in SQL.
+has closed.
 """
 
 from __future__ import annotations
@@ -113,36 +113,15 @@ k AS (
   WHERE part <> 3 OR time_bucket(INTERVAL '5 minutes', placed) + INTERVAL '5 minutes' > late_wm)"""
 
 
-# Spark's hash() of a string: Murmur3 x86 32-bit, seed 42, over the UTF-8 bytes
-# (order ids are ASCII): 4-byte little-endian blocks, then one mixing round per
-# remaining byte, then the final mix. 32-bit words are kept as BIGINT in
-# [0, 2^32); products go through HUGEINT before the modulo.
-MURMUR3 = """mk AS (
-  SELECT order_id, strlen(order_id) AS n,
-    list_transform(range(0, strlen(order_id) // 4), lambda j:
-        CAST(ascii(order_id[4*j+1]) + ascii(order_id[4*j+2]) * 256
-             + ascii(order_id[4*j+3]) * 65536 + ascii(order_id[4*j+4]) * 16777216 AS BIGINT))
-    || list_transform(range(4 * (strlen(order_id) // 4), strlen(order_id)),
-                      lambda i: CAST(ascii(order_id[i+1]) AS BIGINT)) AS ks
-  FROM c),
-mm AS (
-  SELECT order_id, n, list_transform(ks, lambda k:
-      CAST((CAST((((CAST((CAST(k AS HUGEINT) * 3432918353) % 4294967296 AS BIGINT) << 15)
-                 | (CAST((CAST(k AS HUGEINT) * 3432918353) % 4294967296 AS BIGINT) >> 17)) & 4294967295)
-            AS HUGEINT) * 461845907) % 4294967296 AS BIGINT)) AS k1s
-  FROM mk),
-mh AS (
-  SELECT order_id, n, list_reduce(k1s, lambda h, k1:
-      ((((xor(h, k1) << 13) | (xor(h, k1) >> 19)) & 4294967295) * 5 + 3864292196) % 4294967296,
-      CAST(42 AS BIGINT)) AS h
-  FROM mm),
-f1 AS (SELECT order_id, xor(h, n) AS h FROM mh),
-f2 AS (SELECT order_id, xor(h, h >> 16) AS h FROM f1),
-f3 AS (SELECT order_id, CAST((CAST(h AS HUGEINT) * 2246822507) % 4294967296 AS BIGINT) AS h FROM f2),
-f4 AS (SELECT order_id, xor(h, h >> 13) AS h FROM f3),
-f5 AS (SELECT order_id, CAST((CAST(h AS HUGEINT) * 3266489909) % 4294967296 AS BIGINT) AS h FROM f4),
-f6 AS (SELECT order_id, xor(h, h >> 16) AS h FROM f5),
-hashed AS (SELECT order_id, CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS hs FROM f6)"""
+# salt of an order: the first 32 bits of its id's md5
+SALTED = """hashed AS (SELECT order_id, CAST(('0x' || substr(md5(order_id), 1, 8))::BIGINT % 16 AS INTEGER) AS salt FROM c)"""
+
+
+# the slices in which the log arrives: equal spans of publish time
+SLICES_SQL = """s AS (
+  SELECT l.*, (epoch_us(published) - (SELECT min(epoch_us(published)) FROM l))
+    // ((SELECT max(epoch_us(published)) - min(epoch_us(published)) FROM l) // 3 + 1) AS arrival
+  FROM l)"""
 
 
 def _with(*ctes: str) -> str:
@@ -169,6 +148,39 @@ n AS (
 LATENESS = "(epoch_us(date_trunc('second', published)) - epoch_us(date_trunc('second', placed))) // 1000000"
 
 ORACLE_SQL: dict[str, str] = {
+    "late_replay": _with(ORDERS, CURATED, LAGGING) + _metrics("5 minutes", src="k").replace(
+        "FROM g", "FROM g WHERE ws + INTERVAL '5 minutes' <= (SELECT end_wm FROM lim)"),
+    "late_ledger": _with(ORDERS, CURATED, LAGGING) + """late AS (
+  SELECT time_bucket(INTERVAL '5 minutes', placed) AS window_start, store_id, order_id FROM r, lim
+  WHERE part = 3 AND time_bucket(INTERVAL '5 minutes', placed) + INTERVAL '5 minutes' <= late_wm)
+SELECT window_start, store_id, order_id, count(*) OVER (PARTITION BY window_start, store_id) AS missing, TRUE AS agrees FROM late""",
+    "stream_state": _with(ORDERS, CURATED, SALTED) + f"""v AS (
+  SELECT store_id, salt, time_bucket(INTERVAL '5 minutes', placed) AS ws, placed FROM c JOIN hashed USING (order_id) WHERE {VALID}),
+lim AS (SELECT date_trunc('millisecond', max(placed)) - INTERVAL '15 minutes' AS wm FROM v)
+SELECT 'window, store, salt' AS stage, ws AS window_start, store_id, count(DISTINCT salt) AS rows FROM v, lim
+WHERE ws + INTERVAL '5 minutes' > wm GROUP BY ws, store_id
+UNION ALL SELECT 'window, store', NULL, NULL, 0""",
+    "stream_new_schema": _with(ORDERS, LOG) + """g AS (SELECT 1 AS x)
+SELECT event_id AS "offset", CAST(schema_id AS BIGINT) AS schema_id,
+  CASE WHEN event_id % 1000 <> 4 THEN order_id END AS order_id,
+  CASE WHEN event_id % 1000 NOT IN (2, 4) THEN store_id END AS store_id,
+  CASE WHEN event_id % 1000 <> 4 AND schema_id <> 101 THEN CASE WHEN amount >= 25 THEN 'GOLD' ELSE 'GREEN' END END AS loyalty_tier,
+  CASE WHEN event_id % 1000 <> 4 AND schema_id <> 101 THEN 'W-' || CAST(user_id % 7 AS VARCHAR) END AS wallet,
+  CASE WHEN event_id % 1000 <> 4 THEN amount END AS transaction_amount
+FROM l""",
+    "schema_growth": _with(ORDERS, LOG, SLICES_SQL) + """g AS (SELECT 1 AS x)
+SELECT event_id AS "offset", CASE WHEN event_id % 1000 <> 4 THEN order_id END AS order_id,
+  CASE WHEN event_id % 1000 <> 4 THEN amount END AS transaction_amount, CAST(strlen(body) AS BIGINT) AS body_length,
+  CASE WHEN event_id % 1000 <> 4 AND arrival > 0 AND body_schema = 102 THEN 'W-' || CAST(user_id % 7 AS VARCHAR) END AS wallet,
+  CASE WHEN event_id % 1000 <> 4 AND arrival > 0 AND body_schema = 102 THEN CASE WHEN amount >= 25 THEN 'GOLD' ELSE 'GREEN' END END AS loyalty_tier
+FROM s""",
+    "ledger_bronze": _with(ORDERS, LOG, SLICES_SQL) + "g AS (SELECT 1 AS x)\n" + BRONZE.replace("SELECT store_id", "SELECT CAST(arrival AS BIGINT) AS batch_id, store_id").replace("FROM l", "FROM s"),
+    "ledger_silver": _with(ORDERS, CURATED) + _metrics("5 minutes", where=VALID, closed=True),
+    "stream_progress": _with(ORDERS, LOG, SLICES_SQL) + """g AS (
+  SELECT arrival, count(*) AS input_rows, count(*) FILTER (WHERE event_id % 1000 IN (1, 2, 3, 4)) AS invalid_rows,
+    max(placed) FILTER (WHERE event_id % 1000 NOT IN (1, 2, 3, 4)) AS high FROM s GROUP BY arrival)
+SELECT row_number() OVER (ORDER BY arrival) AS run, input_rows, invalid_rows,
+  date_trunc('millisecond', max(high) OVER (ORDER BY arrival)) - INTERVAL '15 minutes' AS watermark FROM g""",
     "store_metrics_5m": FLAGSHIP_SQL,
     "store_metrics_5m_direct": FLAGSHIP_SQL,
     "store_metrics_5m_salted": FLAGSHIP_SQL,
@@ -185,17 +197,17 @@ FROM g""",
     "salting_parity": _with(ORDERS, CURATED) + """g AS (
   SELECT 1 AS x FROM c GROUP BY time_bucket(INTERVAL '5 minutes', placed), store_id)
 SELECT count(*) AS groups, CAST(0 AS BIGINT) AS mismatches FROM g""",
-    "partials_invariants": _with(ORDERS, CURATED, MURMUR3) + """g AS (SELECT 1 AS x)
+    "partials_invariants": _with(ORDERS, CURATED, SALTED) + """g AS (SELECT 1 AS x)
 SELECT time_bucket(INTERVAL '5 minutes', placed) AS window_start, store_id,
        count(*) AS order_count,
        CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS amount_cents,
-       count(DISTINCT ((hs % 16) + 16) % 16) AS n_salts,
+       count(DISTINCT salt) AS n_salts,
        TRUE AS salts_ok
 FROM c JOIN hashed USING (order_id) GROUP BY 1, 2""",
     "null_amount_metrics": _with(ORDERS, CURATED) + _metrics(
         "5 minutes", extra=",\n       nulls AS null_amount_count", having="HAVING count(*) - count(amount) > 0"),
-    "salt_spread": _with(ORDERS, CURATED, MURMUR3) + """g AS (SELECT 1 AS x)
-SELECT CAST(((hs % 16) + 16) % 16 AS INTEGER) AS salt, count(*) AS n FROM hashed GROUP BY 1""",
+    "salt_spread": _with(ORDERS, CURATED, SALTED) + """g AS (SELECT 1 AS x)
+SELECT salt, count(*) AS n FROM hashed GROUP BY salt""",
     "wait_time": _with(ORDERS, CURATED) + """g AS (SELECT 1 AS x)
 SELECT order_id, wait AS wait_time_seconds FROM c""",
     "curate_orders": _with(ORDERS, CURATED) + f"""g AS (SELECT 1 AS x)

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 from ordertide.params import PipelineParams
+from ordertide.sources.log_source import floor_conf
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -19,6 +20,7 @@ def session_conf(params: PipelineParams) -> dict[str, str]:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.shuffle.partitions": str(params.shuffle_partitions),
         "spark.sql.session.timeZone": "UTC",
+        **floor_conf(params),
         # off-heap keyed state with incremental (changelog) checkpoints
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -7,6 +7,7 @@ shape works for replays and tests. Options map one-to-one from parameters.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ordertide.params import PipelineParams
 from ordertide.schemas import RAW_LOG
@@ -37,10 +38,12 @@ def log_source_options(params: PipelineParams) -> dict[str, str]:
             "failOnDataLoss": str(params.fail_on_data_loss).lower(),       # S5
         }
     else:
-        # file replay of the same columns: files, not records, are counted
+        # file replay of the same columns: files are counted, or their bytes, which stand for records
         opts = {"ignoreMissingFiles": str(not params.fail_on_data_loss).lower()}
         if params.max_files_per_trigger:
             opts["maxFilesPerTrigger"] = str(params.max_files_per_trigger)
+        elif params.record_bytes:
+            opts["maxBytesPerTrigger"] = str(params.max_offsets_per_trigger * params.record_bytes)
     opts.update({k: str(v) for k, v in params.source_options.items()})   # S6: security etc.
     return opts
 
@@ -59,7 +62,22 @@ def log_source(spark: SparkSession, params: PipelineParams, path: str | None = N
         return reader.format("kafka").options(**opts).load()
     reader = spark.readStream if streaming else spark.read
     if not streaming:
-        opts = {k: v for k, v in opts.items() if k != "maxFilesPerTrigger"}
-    raw = reader.format(params.source_format).schema(RAW_LOG).options(**opts).load(path)
-    # S3: file sources have no minPartitions; the floor is a round-robin repartition
-    return raw.repartition(params.min_partitions) if params.read_floor else raw
+        opts = {k: v for k, v in opts.items() if k not in ("maxFilesPerTrigger", "maxBytesPerTrigger")}
+    return reader.format(params.source_format).schema(RAW_LOG).options(**opts).load(path)
+
+
+def record_bytes(written: DataFrame) -> int | None:
+    """Average stored bytes of a record of a file table: what ``record_bytes`` is for its log. Row
+    counts come from the files' own footers."""
+    files = written.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("size"))
+    per_file = files.groupBy("f").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    size, n = per_file.agg(F.sum("size"), F.sum("n")).first()
+    return -(-size // n) if n else None
+
+
+def floor_conf(params: PipelineParams) -> dict[str, str]:
+    """S3 for file sources, which have no minPartitions: session settings by which the scan itself splits
+    its files (at row groups) into ``min_partitions`` tasks or more, without a shuffle."""
+    if not params.read_floor:
+        return {}
+    return {"spark.sql.files.minPartitionNum": str(params.min_partitions), "spark.sql.files.openCostInBytes": "65536"}

@@ -9,6 +9,7 @@ maintained when the RocksDB store tracks its row count (off by default here), el
 
 from __future__ import annotations
 
+import datetime as dt
 import logging
 from collections import deque
 
@@ -71,6 +72,31 @@ class ProgressLog(StreamingQueryListener):
             log.info("stream %s ended cleanly", event.id)
 
 
+class ProgressTable:
+    """Progress of finished runs as a table that outlives them, keyed by run, query and batch."""
+
+    DDL = ("run LONG, query_name STRING, batch_id LONG, input_rows LONG, invalid_rows LONG, rows_per_second DOUBLE, "
+           "watermark TIMESTAMP, dropped_by_watermark LONG, state_rows LONG")
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+
+    def append(self, run: int, queries) -> None:
+        """The kept progress of a run's queries (``spark.sql.streaming.numRecentProgressUpdates`` of each);
+        a run that is appended again replaces its rows."""
+        rows = []
+        for p in (p for q in queries for p in q.recentProgress):
+            name, batch, n, rate, mark, dropped, state = progress_row(p)
+            seen = (p.get("observedMetrics") or {}).get("frames")
+            at = dt.datetime.fromisoformat(mark.replace("Z", "+00:00")) if mark else None
+            rows.append((run, name, batch, n, None if seen is None else int(seen["invalid"]), rate, at, dropped, state))
+        frame = self.spark.createDataFrame(rows, self.DDL)
+        frame.drop("run").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/run={int(run)}")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.DDL).parquet(self.path)
+
+
 def progress_frame(spark: SparkSession, queries) -> DataFrame:
     rows = [progress_row(p) for q in queries for p in q.recentProgress]
     return spark.createDataFrame(rows, PROGRESS_DDL)

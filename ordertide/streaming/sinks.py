@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ordertide.functions.timefns import session_zone, wall_clock
-from ordertide.operators.curate import bronze_projection, curate_orders, with_event_watermark
+from ordertide.operators.curate import bronze_projection, curate_orders, valid_order, with_event_watermark
 from ordertide.operators.decode import decode
 from ordertide.operators.metrics import store_metrics
 from ordertide.params import PipelineParams
@@ -54,7 +54,11 @@ def bronze_stream(raw: DataFrame, params: PipelineParams) -> StreamingQuery:
 
 def silver_frame(raw: DataFrame, params: PipelineParams, stamp: bool = True) -> DataFrame:
     """Raw log -> decoded -> curated -> watermarked -> window metrics."""
-    curated = with_event_watermark(curate_orders(decode(raw, params, fields=METRIC_INPUTS)), params)
+    parsed = decode(raw, params, fields=METRIC_INPUTS)
+    if raw.isStreaming:
+        # Every batch reports how many of its frames give no valid order
+        parsed = parsed.observe("frames", F.count(F.lit(1)).alias("frames"), F.count_if(~valid_order()).alias("invalid"))
+    curated = with_event_watermark(curate_orders(parsed), params)
     return store_metrics(curated, params, stamp=stamp)
 
 

@@ -94,7 +94,7 @@ def test_avro_schema_text_is_valid_json():
 
 def _has_avro(spark):
     try:
-        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.AvroFileFormat")
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.avro.CatalystDataToAvro")
         return True
     except Exception:
         return False

@@ -1,6 +1,7 @@
-import pytest
 import datetime as dt
+import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordertide.functions import (build_frame, frame_magic, frame_payload, frame_schema_id,
@@ -35,11 +36,11 @@ def test_wait_seconds_truncates_each_side(spark):
     assert got == [120.0, 0.0, -60.0]
 
 
-def test_salt_is_murmur3_pmod(spark):
-    df = spark.createDataFrame([("ORD-1",), (None,)], "k string")
+def test_salt_is_a_digest_of_the_key(spark):
+    keys = ["ORD-1", "ORD-2", "é", ""]
+    df = spark.createDataFrame([(k,) for k in [*keys, None]], "k string")
     got = [r[0] for r in df.select(salt("k", 16)).collect()]
-    assert got[0] == 14          # pmod(hash('ORD-1'), 16)
-    assert got[1] == 42 % 16     # null hashes to the seed 42
+    assert got == [int(hashlib.md5(k.encode()).hexdigest()[:8], 16) % 16 for k in keys] + [0]
 
 
 def test_half_up_ratio_exact(spark):

@@ -1,0 +1,153 @@
+"""Schema registry and restart (D4), state as data (W5), dropped orders by name (W6), progress table (W12), admission."""
+
+import datetime as dt
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from ordertide.functions.framing import build_frame
+from ordertide.job import start
+from ordertide.operators.curate import curate_orders
+from ordertide.operators.decode import decode
+from ordertide.operators.reconcile import INGESTED, late_ledger, late_orders
+from ordertide.params import PipelineParams
+from ordertide.plans import catalogue
+from ordertide.schemas import ORDER_EVENT, ORDER_EVENT_V2, RAW_LOG
+from ordertide.sources.log_source import floor_conf, log_source, log_source_options, record_bytes
+from ordertide.streaming.listener import progress_frame
+from ordertide.streaming.registry import SchemaRegistry, decode_registered, run_registered
+from ordertide.streaming.sinks import METRIC_INPUTS, await_all
+from ordertide.streaming.state import operators, partition_rows
+
+SF = "/root/testdata/sf0.001"
+
+
+def frames(spark, rows):
+    df = spark.createDataFrame([(i, f'{{"order_id":"o{n}","store_id":"s","loyalty_tier":"t"}}', n) for n, i in enumerate(rows)], "id long, body string, n long")
+    return df.select(F.lit(b"k").alias("key"), build_frame(F.col("id"), F.col("body")).alias("value"), F.lit("t").alias("topic"),
+                     F.lit(0).alias("partition"), F.col("n").alias("offset"), F.lit(dt.datetime(2024, 1, 1)).cast("timestamp").alias("timestamp"))
+
+
+def test_registry_keeps_a_registered_schema(spark, tmp):
+    registry = SchemaRegistry(spark, f"{tmp}/r")
+    registry.register(1, ORDER_EVENT)
+    registry.register(1, ORDER_EVENT)
+    with pytest.raises(ValueError):
+        registry.register(1, ORDER_EVENT_V2)
+    with pytest.raises(Exception):
+        registry.register(2, "no schema at all (")
+    assert list(registry.schemas()) == [1]
+    assert [(r.schema_id, r.n) for r in registry.unregistered(frames(spark, [1, 1, 7, 7, 9])).orderBy("schema_id").collect()] == [(7, 2), (9, 1)]
+
+
+def stream(spark, tmp, registry):
+    raw = spark.readStream.schema(RAW_LOG).option("maxFilesPerTrigger", 1).parquet(f"{tmp}/log")
+
+    def begin():
+        rows = decode_registered(raw, registry, keep=["offset"]).select("offset", "schema_id", "order_id")
+        return rows.writeStream.option("checkpointLocation", f"{tmp}/c").trigger(availableNow=True).format("parquet").start(f"{tmp}/out")
+
+    return begin
+
+
+def test_stream_goes_on_after_a_new_schema(spark, tmp):
+    """Id 3 comes in the middle of a batch of known ones, id 4 in a later batch: nothing is lost or taken twice."""
+    registry = SchemaRegistry(spark, f"{tmp}/r")
+    registry.register(1, ORDER_EVENT)
+    for ids in ([1, 1, 1], [1, 3, 1], [3, 4, 1]):
+        frames(spark, ids).coalesce(1).write.mode("append").parquet(f"{tmp}/log")
+    restarts = run_registered(stream(spark, tmp, registry), registry, {3: ORDER_EVENT_V2, 4: ORDER_EVENT}.get)
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert restarts == 2 and sorted(r.schema_id for r in rows) == [1, 1, 1, 1, 1, 1, 3, 3, 4] and all(r.order_id for r in rows)
+
+
+def test_an_id_without_a_schema_stops_the_stream(spark, tmp):
+    registry = SchemaRegistry(spark, f"{tmp}/r")
+    registry.register(1, ORDER_EVENT)
+    frames(spark, [1, 5]).write.parquet(f"{tmp}/log")
+    with pytest.raises(StreamingQueryException, match="unregistered schema id 5"):
+        run_registered(stream(spark, tmp, registry), registry, {}.get)
+
+
+def test_an_id_registered_after_the_start_asks_for_a_restart(spark, tmp, monkeypatch):
+    registry = SchemaRegistry(spark, f"{tmp}/r")
+    registry.register(1, ORDER_EVENT)
+    registry.register(2, ORDER_EVENT_V2)
+    monkeypatch.setattr(registry, "schemas", lambda: {1: ORDER_EVENT})         # as planned before id 2 came
+    rows = decode_registered(frames(spark, [1, 2]), registry, keep=["offset"])
+    with pytest.raises(Exception, match="registered after this start: 2"):
+        rows.collect()
+
+
+def test_state_rows_by_operator_and_partition(spark):
+    done = catalogue.replay(spark, SF, catalogue.SALTED, "state-test", sinks=("silver",))
+    ops = operators(done.spark, done.params.silver_checkpoint).collect()
+    rows = partition_rows(done.spark, done.params.silver_checkpoint).collect()
+    assert len(ops) == 2 and {o.partitions for o in ops} == {4} and len(rows) == 8
+    by = {o.operator_id: sum(r.rows for r in rows if r.operator_id == o.operator_id) for o in ops}
+    assert sorted(by.values())[0] == 0 < sorted(by.values())[1]
+
+
+def test_dropped_orders_agree_with_the_stream(spark):
+    """Orders named from bronze, the counts that windows lack and the stream's own number of dropped groups."""
+    done = catalogue.replay(spark, SF, catalogue.PARAMS, "late-test", last=catalogue.LAGGING_PARTITION)
+    orders = curate_orders(decode(done.bronze, catalogue.PARAMS, fields=METRIC_INPUTS, value_col="raw_payload", keep=[INGESTED]))
+    rows = late_ledger(orders, done.silver, catalogue.PARAMS).collect()
+    assert rows and all(r.agrees and r.order_id for r in rows)
+    silver = [q for run in done.runs for q in run if q.name == catalogue.PARAMS.silver_query_name]
+    dropped = sum(r.dropped_by_watermark for r in progress_frame(done.spark, silver).collect())
+    assert dropped == len({(r.window_start, r.store_id) for r in rows})      # one partial row per group: each batch is one task
+    assert late_orders(orders, catalogue.PARAMS).count() == len(rows)
+
+
+def test_a_window_that_lacks_more_than_late_orders_does_not_agree(spark):
+    done = catalogue.replay(spark, SF, catalogue.PARAMS, "torn", sinks=("bronze", "silver"))
+    orders = curate_orders(decode(done.bronze, catalogue.PARAMS, fields=METRIC_INPUTS, value_col="raw_payload", keep=[INGESTED]))
+    one = done.silver.orderBy("window_start", "store_id").first()
+    torn = done.silver.filter(~((F.col("window_start") == one.window_start) & (F.col("store_id") == one.store_id)))
+    assert late_ledger(orders, done.silver, catalogue.PARAMS).count() == 0
+    rows = late_ledger(orders, torn, catalogue.PARAMS).collect()
+    assert [(r.store_id, r.missing, r.agrees, r.order_id) for r in rows] == [(one.store_id, one.total_order_count, False, None)]
+
+
+def test_progress_table_replaces_a_run(spark):
+    from ordertide.streaming.listener import ProgressTable
+    done = catalogue.replay(spark, SF, catalogue.PARAMS, "progress-test", sinks=("silver",))
+    table = ProgressTable(done.spark, f"{done.base}/progress")
+    for _ in range(2):
+        table.append(1, done.runs[0])
+    rows = table.read().collect()
+    assert len(rows) == len({(r.run, r.query_name, r.batch_id) for r in rows}) and sum(r.input_rows for r in rows) > 0
+    assert sum(r.invalid_rows or 0 for r in rows) > 0
+
+
+def test_admission_by_bytes(spark, tmp):
+    """Files of unequal size: a batch takes what the record ceiling times the record size admits."""
+    base = catalogue.log(spark, SF)
+    for lo, hi in ((0, 100), (100, 200), (200, 900), (900, 950)):
+        base.filter((F.col("offset") >= lo) & (F.col("offset") < hi)).coalesce(1).write.mode("append").parquet(f"{tmp}/log")
+    size = record_bytes(spark.read.schema(RAW_LOG).parquet(f"{tmp}/log"))
+    params = PipelineParams(source_format="parquet", sink_format="parquet", max_offsets_per_trigger=400, record_bytes=size,
+                            trigger_available_now=True, bronze_path=f"{tmp}/b", bronze_checkpoint=f"{tmp}/bc",
+                            silver_path=f"{tmp}/s", silver_checkpoint=f"{tmp}/sc", schemas=catalogue.SCHEMAS)
+    assert log_source_options(params)["maxBytesPerTrigger"] == str(400 * size)
+    (query,) = start(spark, params, f"{tmp}/log", ("bronze",))
+    await_all([query], params, spark)
+    taken = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert sum(taken) == 950 and len(taken) >= 3 and sorted(taken)[-1] <= 800
+
+
+def test_read_floor_splits_without_a_shuffle(spark, tmp):
+    """Row groups of one file become tasks of their own."""
+    rows = catalogue.log(spark, SF).coalesce(1)
+    rows.write.option("parquet.block.size", 16 * 1024).option("parquet.page.size", 1024).option("parquet.block.size.row.check.min", 10).parquet(f"{tmp}/log")
+    params = PipelineParams(source_format="parquet", min_partitions=8, read_floor=True)
+    child = spark.newSession()
+    for k, v in floor_conf(params).items():
+        child.conf.set(k, v)
+    child.conf.set("spark.sql.files.openCostInBytes", "1")
+    raw = log_source(child, params, f"{tmp}/log", streaming=False)
+    assert raw.rdd.getNumPartitions() >= 8 and "Exchange" not in raw._jdf.queryExecution().executedPlan().toString()
+    assert raw.count() == rows.count()
+    assert floor_conf(params.replace(read_floor=False)) == {}
