@@ -6,7 +6,7 @@ dealt by hash into one block more than that, the rows agree on a whole block. On
 that agree on a block are multiplied: a block's digest goes to its bin, bins tell chunks which
 digests two rows share, and the chunks give out those rows. Rows that shared blocks connect are one
 family, so a row is sent to one product only; blocks of so few shingles that unrelated rows share
-them connect no families and are products of their own where they bring two families together. A family is tiled, a tile
+them connect families only where counts of shingles by bucket allow some pair to link, and empty blocks are made up for by spare ones. A family is tiled, a tile
 accumulates overlap counts over slabs of columns, and pairs below the bound that
 follows from their sizes are discarded. A family larger than a tile is first joined
 within its tiles; what is not yet connected is then multiplied across them, so a large family of
@@ -36,7 +36,7 @@ from ordertide.llm.work import by_chunk, chunk_count, pack, plain_texts, unpack,
 from ordertide.llm.words import SPACE, buffer_of, cut, dictionary_hashes, mix, windows, within
 
 SENT, TOLD = "chunk long, bin long, blob binary", "chunk long, blob binary"
-ROWS = "doc long, tie long, n_shingles long, cls binary, blocks array<long>, shingles binary"
+ROWS = "doc long, tie long, n_shingles long, cls binary, blocks array<long>, shingles binary, buckets binary"
 EDGES = "a binary, b binary"
 #: Rows of a tile, and columns of a slab.
 TILE, SLAB = 4096, 2048
@@ -61,6 +61,19 @@ def size_classes(largest: int, t: int) -> np.ndarray:
     return np.array(first + [first[-1] * 100 // t + 1], np.int64)
 
 
+def block_counts(first: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """Blocks of each size class, and how many of them are spare.
+
+    Rows that differ in d columns agree on all but d blocks. With ``spare`` blocks beyond d + 1 they agree on more
+    than ``spare`` of them, so of a row with at most that many empty blocks the empty ones need not be
+    compared: another agreeing block is not empty. Spares follow the number of empty blocks that chance leaves.
+    """
+    need = np.array([most_apart(2 * int(x - 1), t) + 1 for x in first[1:]], np.int64)
+    empty = need * np.exp(-first[:-1] / need)
+    spare = (empty + 4 * np.sqrt(empty) + 0.5).astype(np.int64)
+    return need + spare, spare
+
+
 # ------------------------------------------------------------- incidence ----
 
 
@@ -97,6 +110,10 @@ class Incidence:
         self.of_head, self.block = self._blocks(t)
         self.tag = (mix(self.digest[:, 0] ^ mix(self.digest[:, 1])) >> U(32)).astype(np.uint32)[self.of_head]  # tells sets apart
 
+    def names(self) -> list[bytes | None]:
+        """Name of each text's set; None for the empty one."""
+        return [d.tobytes() if s else None for d, s in zip(self.digest, self.size)]
+
     def _blocks(self, t: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, digest) of every block of every different set, for its size class and the next."""
         if not len(self.heads):
@@ -109,17 +126,20 @@ class Incidence:
         begin = np.cumsum(lens) - lens
         value = self.value[np.arange(int(lens.sum())) - np.repeat(begin, lens) + np.repeat(self.first[self.heads], lens)]
         spread, weight = mix(value ^ U(0x1B)), mix(value ^ U(0xE3))
+        per_class, spares = block_counts(first, t)
         for tag in (own, own + 1):
-            blocks = np.array([most_apart(2 * int(first[c + 1] - 1), t) + 1 for c in range(int(tag.max()) + 1)])[tag]
+            blocks = per_class[tag]
             off = np.cumsum(blocks) - blocks
             total = np.zeros(int(blocks.sum()), U)
             slot = np.repeat(off, lens) + (spread % np.repeat(blocks, lens).astype(U)).astype(np.int64)
             np.add.at(total, slot, weight)
-            few = np.bincount(slot, minlength=len(total)) < TELLING
+            held = np.bincount(slot, minlength=len(total))
             nr = np.arange(len(total)) - np.repeat(off, blocks)
             name = mix((np.repeat(tag, blocks).astype(U) << U(32)) + nr.astype(U))
-            rows.append(np.repeat(self.heads, blocks))
-            out.append((mix(total + name) & ~U(1)) | few.astype(U))  # odd if of few shingles
+            empty = np.add.reduceat((held == 0).astype(np.int64), off)
+            said = (held > 0) | np.repeat(empty > spares[tag], blocks)  # empty blocks only of rows with many
+            rows.append(np.repeat(self.heads, blocks)[said])
+            out.append(((mix(total + name) & ~U(1)) | (held < TELLING).astype(U))[said])  # odd if of few shingles
         return np.concatenate(rows), np.concatenate(out)
 
 
@@ -163,13 +183,59 @@ def _rows(n: int, t: int):
         order = np.argsort(m.of_head[hit], kind="stable")
         off = np.concatenate([[0], np.cumsum(count)])
         blocks = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(m.block[hit][order].view(np.int64)))
-        sets = [squeezed(m.value[a:b]) if c else None for a, b, c in zip(m.first[:-1], m.first[1:], count)]
-        cls = [d.tobytes() if s else None for d, s in zip(m.digest, m.size)]
-        return pa.table({"doc": m.table["doc"], "tie": m.table["tie"], "n_shingles": pa.array(m.size), "cls": pa.array(cls, pa.binary()), "blocks": blocks, "shingles": pa.array(sets, pa.binary())})
+        few = np.bincount(m.of_head[hit], weights=m.block[hit] & U(1), minlength=len(m.size))
+        # most rows that share blocks of few shingles only link with nothing: their sets are made later, of the few that may
+        sets = [squeezed(m.value[a:b]) if c else None for a, b, c in zip(m.first[:-1], m.first[1:], count - few)]
+        buckets = [bucketed(m.value[a:b]) if f else None for a, b, f in zip(m.first[:-1], m.first[1:], few)]
+        cls = m.names()
+        return pa.table({"doc": m.table["doc"], "tie": m.table["tie"], "n_shingles": pa.array(m.size), "cls": pa.array(cls, pa.binary()), "blocks": blocks, "shingles": pa.array(sets, pa.binary()), "buckets": pa.array(buckets, pa.binary())})
 
     return rows
 
 
+def _sets(n: int, t: int):
+    """Sets of texts one by one, for rows whose chunk gave none."""
+
+    def sets(batches):
+        for batch in batches:
+            if batch.num_rows:
+                m = Incidence(pa.Table.from_batches([batch]), n, t)
+                found = [squeezed(m.value[a:b]) for a, b in zip(m.first[:-1], m.first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array(m.names(), pa.binary()), pa.array(found, pa.binary())], ["cls", "shingles"])
+
+    return sets
+
+
+# ---------------------------------------------------------------- buckets ----
+
+
+def bucketed(values: np.ndarray) -> bytes:
+    """How many shingles fall into each of about an eighth as many buckets, by the upper bits of their hashes."""
+    bits = max(0, int(len(values) // 8).bit_length())
+    at = (mix(values) >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(values), np.int64)
+    return pack(np.bincount(at, minlength=1 << bits).astype(np.uint32))
+
+
+def _survive(t: int):
+    """Labels of a block's rows that some pair of rows may link: shared shingles are at most the sum of their buckets' lesser counts."""
+
+    def survive(table: pa.Table) -> pa.Table:
+        label = dict(zip(table["cls"].to_pylist(), table["label"].to_pylist()))
+        counts = dict(zip(table["cls"].to_pylist(), (unpack(b, np.uint32)[0].astype(np.int32) for b in table["buckets"].to_pylist())))
+        names = sorted(counts, key=lambda n: (label[n], n))
+        least = min(len(c) for c in counts.values())
+        flat = np.stack([counts[n].reshape(least, -1).sum(axis=1) for n in names])
+        size = flat.sum(axis=1, dtype=np.int64)
+        link = np.zeros((len(names), len(names)), bool)
+        for i in range(len(names) - 1):
+            most = np.minimum(flat[i], flat[i + 1 :]).sum(axis=1, dtype=np.int64)
+            link[i, i + 1 :] = 100 * most >= t * (size[i] + size[i + 1 :] - most)
+        stars = trees(names, link | link.T, [label[n] for n in names])
+        return _edge_table(sorted({(label[a], label[b]) for a, b in stars if label[a] != label[b]}))
+
+    return survive
+
+
 # --------------------------------------------------------------- product ----
 
 
@@ -280,7 +346,16 @@ def _stars(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("a", "b")).alias("cls"), F.col("a").alias("grp")).distinct()
 
 
-def connected(rows: DataFrame, t: int, tile: int = TILE) -> DataFrame | None:
+def sets_of(rows: DataFrame, members: DataFrame, texts: DataFrame, n: int, t: int) -> DataFrame:
+    """(cls, shingles) of the members; copies in several chunks give one set more than once."""
+    have = rows.filter(F.col("shingles").isNotNull()).select("cls", "shingles")
+    lack = members.select("cls").distinct().join(have.select("cls").distinct(), "cls", "left_anti")
+    one = rows.select("cls", F.struct("doc", "tie").alias("k")).join(lack, "cls").groupBy("cls").agg(F.min("k").alias("k")).select(F.col("k.doc").alias("d"), F.col("k.tie").alias("t"))
+    found = texts.join(one, F.col("doc").eqNullSafe(F.col("d")) & (F.col("tie") == F.col("t")), "left_semi")
+    return have.union(found.mapInArrow(_sets(n, t), "cls binary, shingles binary"))
+
+
+def connected(rows: DataFrame, texts: DataFrame, n: int, t: int, tile: int = TILE) -> DataFrame | None:
     """Labels of the classes that links connect, or None without any."""
     shared = rows.filter(F.size("blocks") > 0).select("cls", F.explode("blocks").alias("block")).distinct()
     groups = shared.groupBy("block").agg(F.count("cls").alias("n")).filter("n > 1").select("block")
@@ -289,15 +364,23 @@ def connected(rows: DataFrame, t: int, tile: int = TILE) -> DataFrame | None:
     families = components(held.filter(telling).select("cls", F.col("block").alias("grp")))
     # a block of few shingles matters only where it brings two families together
     few = held.filter(~telling).join(families, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-    mixed = few.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("block")
-    few = few.join(mixed, "block").select(F.col("block").cast("string").cast("binary").alias("block"), "cls")
-    members = families.select(F.col("label").alias("block"), "cls").union(few)
+    mixed = few.groupBy("block").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n")).filter("x <> y").select("block", "n")
+    few = written(few.join(mixed, "block"), "few")
+    # only families that a bound on some pair's overlap lets meet become one; a block too large for that is a product of its own
+    counts = rows.filter(F.col("buckets").isNotNull()).select("cls", "buckets").dropDuplicates(["cls"])
+    may = few.filter(F.col("n") <= tile).join(counts, "cls").groupBy("block").applyInArrow(_survive(t), EDGES)
+    may = written(may.distinct(), "may")
+    whole = families.union(may.select(F.explode(F.array("a", "b")).alias("label")).distinct().join(families.select("label").distinct(), "label", "left_anti").select(F.col("label").alias("cls"), "label"))
+    if not may.isEmpty():
+        joined = components(_stars(may)).select(F.col("cls").alias("label"), F.col("label").alias("joined"))
+        whole = whole.join(joined, "label", "left").select("cls", F.coalesce("joined", "label").alias("label"))
+    few = few.filter(F.col("n") > tile).select(F.col("block").cast("string").cast("binary").alias("block"), "cls")
+    members = whole.select(F.col("label").alias("block"), "cls").union(few)
     sized = members.join(members.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles")), "block")
     members = written(sized.withColumn("tile", F.pmod(F.xxhash64("block", "cls"), F.col("tiles"))), "members")
     if members.isEmpty():
         return None
-    # copies in several chunks give one set more than once; a tile takes each class once
-    sets = rows.filter(F.col("shingles").isNotNull()).select("cls", "shingles")
+    sets = sets_of(rows, members, texts, n, t)  # a tile takes each class once
     edges = written(members.select("block", "tile", "cls").join(sets, "cls").groupBy("block", "tile").applyInArrow(_tile(t), EDGES), "links")
     labels = None if edges.isEmpty() else components(_stars(edges))
     large = members.filter("tiles > 1")
@@ -329,7 +412,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int
     chunks = by_chunk(texts, bins)
     told = chunks.groupBy("chunk").applyInArrow(_send(n, percent, bins), SENT).groupBy("bin").applyInArrow(_shared, TOLD)
     rows = written(chunks.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(_rows(n, percent), ROWS), "rows")
-    labels = connected(rows, percent, tile)
+    labels = connected(rows, texts, n, percent, tile)
     classes = rows.filter(F.col("cls").isNotNull()).groupBy("cls").agg(F.min("doc").alias("least"))
     if labels is None:
         named = classes.select("cls", F.col("least").alias("component"))
