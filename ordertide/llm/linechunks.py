@@ -1,8 +1,9 @@
 """Line dedup by content-defined chunks; DataFrame functions only.
 
 A text is cut at line ends into lines, and into chunks after each line where a rolling
-hash over the last ``WINDOW`` line hashes is a multiple of ``divisor``. A boundary
-depends on the lines around it alone, so inserted lines shift no later chunk. A chunk of
+hash over the last ``WINDOW`` line hashes is a multiple of ``divisor``. No boundary follows a chunk's first
+line, and a lone last line belongs to the chunk before it, so only a text of one line is a chunk of one line. A boundary
+depends on the lines around it (and on boundaries that follow one another without a gap) alone, so inserted lines shift no later chunk. A chunk of
 two or more lines that also occurs earlier (in a document with a smaller key, or earlier
 in the same one) is removed, after its bytes have been compared with those of the first
 occurrence; the first occurrence stays.
@@ -41,7 +42,10 @@ def ends_of(hashes: Column, divisor: int) -> Column:
         return F.pmod(F.pmod(total, F.lit(MODULUS)), F.lit(divisor)) == 0
 
     last = F.size(hashes) - 1
-    return F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | rolling(i))
+    # a mark for each line, behind one for the text's start; of marks in a row each second one goes
+    marks = F.array_join(F.transform(hashes, lambda _, i: F.when(rolling(i), F.lit("1")).otherwise(F.lit("0"))), "")
+    left = F.split(F.replace(F.concat(F.lit("1"), marks), F.lit("11"), F.lit("10")), "")
+    return _bound(left, lambda m: F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | ((F.get(m, i + 1) == "1") & (i != last - 1))))
 
 
 def _lines(text: Column) -> Column:
@@ -74,6 +78,17 @@ def _part(lines: Column, s: Column, e: Column) -> Column:
     return F.array_join(F.slice(lines, s + 1, e - s + 1), "\n")
 
 
+def _between(lines: Column, gone: Column) -> Column:
+    """Text of the lines before, between and after sorted chunks."""
+
+    def stretch(i: Column) -> Column:
+        s = F.when(i == 0, F.lit(0)).otherwise(F.get(gone, i - 1)["e"] + 1)
+        e = F.when(i == F.size(gone), F.size(lines)).otherwise(F.get(gone, i)["s"])
+        return F.when(e > s, _part(lines, s, e - 1))  # null where chunks touch: array_join leaves it out
+
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.size(gone)), stretch), "\n")
+
+
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Rows (row, doc, tie, text); ``row`` holds the input's columns."""
     whole = F.col(text).cast("string")
@@ -96,7 +111,7 @@ def repeated_chunks(docs: DataFrame, divisor: int) -> DataFrame:
     # a document's repeated chunks meet its text once
     of_doc = again.groupBy("doc", "tie").agg(F.collect_set("c").alias("found"))
     met = with_row(docs.select("doc", "tie", "text"), of_doc, "inner")
-    parts = F.transform("found", lambda c: F.struct(c.alias("c"), _part(_lines(F.col("text")), c["s"], c["e"]).alias("part")))
+    parts = _bound(_lines(F.col("text")), lambda lines: F.transform("found", lambda c: F.struct(c.alias("c"), _part(lines, c["s"], c["e"]).alias("part"))))
     texts = written(met.select("doc", "tie", F.explode(parts).alias("p")).select("doc", "tie", "p.c.*", "p.part"), "parts")
     firsts = texts.filter("is_first").select("h", F.col("part").alias("first_part"))
     # the side of the firsts has one row for each hash, so a hot chunk splits on the other side
@@ -108,8 +123,7 @@ def remove_repeated_chunks(docs: DataFrame, key: str = "doc_id", text: str = "te
     """Rows (row, doc, text, removed, kept): the input's row, the chunks taken out, and the text that stays."""
     rows = keyed(docs, key, text)
     joined = with_row(rows, repeated_chunks(rows, divisor), "left")
-    gone = F.flatten(F.transform("removed", lambda c: F.sequence(c["s"], c["e"])))
-    kept = F.array_join(_bound(gone, lambda g: F.filter(_lines(F.col("text")), lambda _, i: ~F.array_contains(g, i))), "\n")
+    kept = _bound(_lines(F.col("text")), lambda lines: _bound(F.array_sort("removed"), lambda gone: _between(lines, gone)))
     return joined.withColumn("kept", F.when(F.col("removed").isNull(), F.col("text")).otherwise(kept))
 
 
@@ -146,7 +160,9 @@ def report(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: in
 ORACLE_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(text, chr(10)) AS lines FROM documents),
 h AS (SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS hs FROM d),
-e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR (hs[i] + {BASE} * (CASE WHEN i > 1 THEN hs[i - 1] ELSE 0 END)) % {MODULUS} % {DIVISOR} = 0) AS ends FROM h),
+b AS (SELECT *, list_transform(range(1, len(lines) + 1), lambda i: CASE WHEN (hs[i] + {BASE} * (CASE WHEN i > 1 THEN hs[i - 1] ELSE 0 END)) % {MODULUS} % {DIVISOR} = 0 THEN '1' ELSE '0' END) AS marks FROM h),
+m2 AS (SELECT *, string_split(replace('1' || array_to_string(marks, ''), '11', '10'), '') AS ok FROM b),
+e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda i: i = len(lines) OR (ok[i + 1] = '1' AND i <> len(lines) - 1)) AS ends FROM m2),
 c AS (SELECT doc_id, k, lines[(CASE WHEN k > 1 THEN ends[k - 1] ELSE 0 END) + 1 : ends[k]] AS part FROM e, unnest(range(1, len(ends) + 1)) AS u(k)),
 m AS (SELECT *, len(part) > 1 AND row_number() OVER (PARTITION BY part ORDER BY doc_id, k) > 1 AS gone FROM c),
 r AS (SELECT doc_id, count(*) FILTER (gone) AS nc, coalesce(sum(len(part)) FILTER (gone), 0) AS nl, count(*) AS n,

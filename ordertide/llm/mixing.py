@@ -54,13 +54,12 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, limit: int =
     )
 
 
-def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = SEED, carry: bool = False) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken) for each row; with ``carry`` also the whole ``row``."""
+def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, limit: int = LIMIT, seed: int = SEED, tie: bool = False) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken) for each row; with ``tie`` also the text's hash."""
     whole = F.col(text).cast("string")
     rows = written(
         docs.select(
             F.col(key).cast("long").alias("doc"), F.col(source).cast("string").alias("name"), word_count(whole).alias("size"), F.xxhash64(whole).alias("tie"),
-            *([F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []),
         ),
         "sizes",
     )
@@ -88,12 +87,19 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     out = ranked.withColumn("copies", copies)
     return out.select(
         F.col("doc").alias("doc_id"), F.col("name").alias("source"), "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"), *(["row"] if carry else []),
+        (F.col("copies") * F.col("size")).alias("taken"), *(["tie"] if tie else []),
     )
 
 
 def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it; column ``copy`` counts them from 1."""
-    taken = mixed(docs, key, text, source, carry=True, **options).filter("copies > 0")
-    taken = taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+    told = mixed(docs, key, text, source, tie=True, **options)
+    # rows meet what the mix takes of them by key, source and hash, so texts are shuffled once; rows that are alike are numbered
+    at = [F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.coalesce("source", F.lit("")), F.col("source").isNull(), F.col("tie")]
+    names = ["at0", "at1", "at2", "at3", "at4"]
+    told = told.select(*[c.alias(n) for c, n in zip(at, names)], "copies")
+    told = told.withColumn("nr", F.row_number().over(Window.partitionBy(*names).orderBy(F.col("copies").desc()))).filter("copies > 0")
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(key).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), F.xxhash64(F.col(text).cast("string")).alias("tie"))
+    rows = rows.select("row", *[c.alias(n) for c, n in zip(at, names)]).withColumn("nr", F.row_number().over(Window.partitionBy(*names).orderBy(F.lit(1))))
+    taken = rows.join(told, [*names, "nr"]).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     return taken.select("row.*", "copy") if "copy" not in docs.columns else taken.select("row.*", F.col("copy").alias("mix_copy"))

@@ -112,9 +112,13 @@ def chunks(text):
     out, now = [], []
     for i, line in enumerate(lines):
         now.append(line)
-        if i == len(lines) - 1 or (h[i] + 257 * (h[i - 1] if i else 0)) % 1_000_003 % 3 == 0:
+        if len(now) > 1 and (h[i] + 257 * (h[i - 1] if i else 0)) % 1_000_003 % 3 == 0:
             out.append(now)
             now = []
+    if len(now) == 1 and out:
+        out[-1] += now
+    elif now:
+        out.append(now)
     return out
 
 

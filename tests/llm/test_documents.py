@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from ordertide.llm import jaccard, linechunks, mixing, postings, quality, superkmers
 from tests.conftest import SF01
@@ -138,6 +139,30 @@ def test_repeated_chunks(spark):
     assert dict(got(found, "doc_id", "text")) == brute.without_repeated_chunks(rows)
 
 
+def test_only_a_text_of_one_line_is_a_chunk_of_one_line(spark):
+    r = random.Random(2)
+    texts = ["\n".join(r.choice(["a", "b", "c", "d", ""]) for _ in range(n)) for n in range(1, 40) for _ in range(5)]
+    df = spark.createDataFrame([(x,) for x in texts], "text string")
+    chunks = df.select("text", linechunks._chunks(F.col("text"), 3).alias("c")).collect()
+    for row in chunks:
+        want = [len(c) for c in brute.chunks(row.text)]
+        assert [c.e - c.s + 1 for c in row.c] == want and (min(want) > 1 or "\n" not in row.text)
+
+
+def test_a_text_of_a_hundred_thousand_lines(spark):
+    """Two texts of 5 MB that share all but a few lines: linear work, so the test ends."""
+    lines = [f"line {i} " + "x" * 40 for i in range(100_000)]
+    other = [x + "!" if i % 20_000 == 7 else x for i, x in enumerate(lines)]
+    out = {r.doc_id: r.text for r in linechunks.deduplicated(frame(spark, [(1, "\n".join(lines)), (2, "\n".join(other))])).collect()}
+    assert out[1].count("\n") == 99_999 and 5 <= out[2].count("\n") + 1 < 200
+
+
+def test_no_python_on_the_main_path_of_line_dedup(spark):
+    out = linechunks.report(frame(spark, [(1, "a\nb\nc"), (2, "a\nb\nc")]))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_rows_that_share_a_key(spark):
     lines = "\n".join(f"line {i}" for i in range(30))
     rows = [(1, lines), (1, lines), (1, "x\n" + lines), (None, lines), (2, lines)]
