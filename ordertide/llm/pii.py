@@ -10,6 +10,9 @@ with the pattern's kind. Base spans always stay as they are.
 
 Places are code points from the text's start, end exclusive.
 
+Spans are held against one another and against the text's words by bisection, so work grows with a text's
+length, whatever it holds. A run of more than ``LONGEST`` code points without white space is no word of a pattern.
+
 Defined cases: a null or empty text has no spans; further columns are ignored, whatever
 their names; repeated rows get equal spans; of several kinds that vouch for a span the
 most confident wins, then the first as listed; an empty table gives an empty result.
@@ -41,8 +44,11 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: Words that may be identifiers.
 MAYBE = "[0-9@]"
 CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
-#: Code points read on each side of a span for its context; further ones where these do not hold the whole words, then all.
-REACH, FURTHER = 64, 4096
+#: Longer values are known by their digest.
+SHORT = 64
+#: A run without white space of more code points is no word of a context: such words would be read again for each span in them.
+LONGEST = 1 << 14
+RUN = rf"[^\x20\x09-\x0D]{{1,{LONGEST}}}+"
 #: Rounds, least seeds and score of a pattern, least score of an added value.
 ROUNDS, LEAST_SEEDS, LEAST_PATTERN, LEAST_VALUE = 3, 3, 0.6, 0.8
 BLOCK = 128
@@ -141,25 +147,58 @@ def _norm(word: Column) -> Column:
     return F.regexp_replace(F.lower(word), "[0-9]", "0")
 
 
-def _whole(read: Callable[[Column], Column], enough: Callable[[Column, Column], Column], every: Column) -> Column:
-    """Text beside a span: as little as holds its neighbouring words whole."""
+def searched(items: Column, use: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``use(last)``: ``last(place)`` is the index of the last of ``items``, sorted by ``start``, at or before the place, by bisection; -1 if none is."""
+    powers = F.filter(F.array(*[F.lit(1 << k) for k in range(30, -1, -1)]), lambda p: p <= F.size(items))
+    # past the end is null, and no step
+    return bound(powers, lambda steps: use(lambda place: F.aggregate(steps, F.lit(-1), lambda at, p: F.when(F.get(items, at + p)["start"] <= place, at + p).otherwise(at))))
+
+
+def _free(candidates: Column, base: Column) -> Column:
+    """The candidates that no base span overlaps; spans of one kind are apart, so the last one that starts before a candidate's end tells."""
+
+    def without(left: Column, spans: Column) -> Column:
+        return F.when(F.size(spans) == 0, left).otherwise(searched(spans, lambda last: F.filter(left, lambda m: F.coalesce(F.get(spans, last(m["end"] - 1))["end"] <= m["start"], F.lit(True)))))
 
-    def within(n: int, further: Column) -> Column:
-        return bound(read(F.lit(n)), lambda t: F.when(enough(t, F.lit(n)), t).otherwise(further))
+    def step(left: Column, k: int) -> Column:
+        return bound(F.struct(left.alias("left"), F.filter(base, lambda b: b["kind"] == k).alias("spans")), lambda x: without(x["left"], x["spans"]))
 
-    return within(REACH, within(FURTHER, read(every)))
+    for k in range(len(KINDS)):
+        candidates = step(candidates, k)
+    return candidates
 
 
 def patterns(text: Column, start: Column, end: Column) -> Column:
     """Lexical patterns of a span: the two words before it, and the words around it; none without a word before."""
-    word, gap = r"[^\x20\x09-\x0D]++", r"[\x20\x09-\x0D]"
-    left = _whole(lambda n: F.substring(text, F.greatest(start - n, F.lit(0)) + 1, F.least(start, n)), lambda t, n: (start <= n) | t.rlike(rf"{gap}{word}{gap}++{word}{gap}*+\z"), start)
-    right = _whole(lambda n: F.substring(text, end + 1, n), lambda t, n: (F.length(t) < n) | t.rlike(rf"^{gap}*+{word}{gap}"), F.length(text))
-    # a word is read from its start
-    one = bound(left, lambda t: _norm(F.regexp_extract(t, rf"(?<![^\x20\x09-\x0D])({word}){gap}*+\z", 1)))
-    two = bound(left, lambda t: _norm(F.regexp_extract(t, rf"(?<![^\x20\x09-\x0D])({word}){gap}++{word}{gap}*+\z", 1)))
-    after = _norm(F.regexp_extract(right, rf"^{gap}*+({word})", 1))
-    return bound(F.struct(one.alias("one"), two.alias("two"), after.alias("after")), lambda w: _forms(w["one"], w["two"], w["after"]))
+    return _in_words(text, lambda words, last: _beside(words, last, start, end))
+
+
+def _in_words(text: Column, use: Callable[[Column, Callable], Column]) -> Column:
+    """``use(words, last)`` with the text's words in order, long runs in pieces."""
+    return bound(matches(text, RUN), lambda words: searched(words, lambda last: use(words, last)))
+
+
+def _beside(words: Column, last: Callable[[Column], Column], start: Column, end: Column) -> Column:
+    def meet(i: Column) -> Column:
+        """Whether pieces ``i`` and ``i + 1`` are of one run."""
+        return F.coalesce(F.get(words, i)["end"] == F.get(words, i + 1)["start"], F.lit(False))
+
+    def whole(i: Column) -> Column:
+        return F.when(~meet(i - 1) & ~meet(i), F.get(words, i)["value"])
+
+    def left(i: Column) -> Column:
+        at = F.get(words, i)["start"]
+        # a span that starts within a run has the run's part before it as its first word
+        return F.when((start > at) | meet(i - 1), F.struct(F.substring(whole(i), F.lit(1), start - at).alias("one"), whole(i - 1).alias("two"))).otherwise(
+            F.struct(whole(i - 1).alias("one"), whole(i - 2).alias("two"))
+        )
+
+    def right(j: Column) -> Column:
+        word = F.get(words, j)
+        return F.when((end < word["end"]) | meet(j), F.substring(whole(j), end - word["start"] + 1, F.lit(LONGEST))).otherwise(whole(j + 1))
+
+    sides = F.struct(bound(last(start), left).alias("left"), bound(last(end - 1), right).alias("after"))
+    return bound(sides, lambda w: _forms(_norm(w["left"]["one"]), _norm(w["left"]["two"]), _norm(w["after"])))
 
 
 def _forms(one: Column, two: Column, after: Column) -> Column:
@@ -176,17 +215,22 @@ def found_in(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text")).withColumn("base", base_spans(F.col("text")))
     body = F.col("text")
     nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    free = F.filter(F.when(body.rlike(MAYBE), matches(body, CANDIDATE)).otherwise(nothing), lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    free = _free(F.when(body.rlike(MAYBE), matches(body, CANDIDATE)).otherwise(nothing), F.col("base"))
     spans = F.concat(
         F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), b["kind"].alias("kind"), b["value"].alias("value"))),
         F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(None).cast("int").alias("kind"), m["value"].alias("value"))),
     )
 
-    def contexts(s: Column) -> Column:
-        value = F.when(F.length(s["value"]) > REACH, F.md5(s["value"].cast("binary"))).otherwise(F.lower(s["value"]))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), value.alias("value"), patterns(body, s["start"], s["end"]).alias("patterns"))
+    def contexts(words: Column, last: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        def of(s: Column) -> Column:
+            value = F.when(F.length(s["value"]) > SHORT, F.md5(s["value"].cast("binary"))).otherwise(F.lower(s["value"]))
+            return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"), value.alias("value"), _beside(words, last, s["start"], s["end"]).alias("patterns"))
+
+        return of
 
-    return rows.select("doc", "tie", "base", F.transform(spans, contexts).alias("seen"))
+    unseen = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>")
+    seen = bound(spans, lambda all_spans: F.when(F.size(all_spans) > 0, _in_words(body, lambda words, last: F.transform(all_spans, contexts(words, last)))).otherwise(unseen))
+    return rows.select("doc", "tie", "base", seen.alias("seen"))
 
 
 # -------------------------------------------------------------- scoring ----

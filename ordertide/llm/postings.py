@@ -201,13 +201,13 @@ def _match(p: Phrases, slop: int):
 
 def search(index: DataFrame, items: DataFrame, key: str = "item_id", text: str = "text", k: int = 10, slop: int = 3, block: int = BLOCK_BYTES) -> DataFrame:
     """``MATCHES``: for each document the word spans of exact matches, their items, and the items with proximity matches only."""
-    texts = items.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).filter(F.col("text").isNotNull())
+    texts = items.select(F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")).filter(F.col("text").isNotNull()).distinct()
     blocks = max(1, -(-(texts.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0) // block))
     found = None
     for i in range(blocks):
-        mine = texts.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == i) if blocks > 1 else texts
+        mine = texts.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == i) if blocks > 1 else texts
         phrases = rarest_first(index, phrases_of([tuple(r) for r in mine.toLocalIterator()], k))
-        part = index.mapInArrow(_match(phrases, min(slop, GAP - k - 1)), MATCHES)
+        part = index.mapInArrow(_match(phrases, max(0, min(slop, GAP - k - 1))), MATCHES)
         found = part if found is None else found.union(part)
     if blocks == 1:
         return found

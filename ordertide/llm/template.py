@@ -8,7 +8,8 @@ when enough of the host's pages have it and it is not a lone token that repeats
 nest by their paths into the host's template. Their tokens bound the slots; any other token is data of
 the slot it stands in, and the words of paths that few pages have count for the nearest path above that more have.
 Slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
-the rest is clean. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
+the rest is clean. A form or other wrapper around
+nearly all of a page's prose is no such container; its controls and their labels are. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
 in the page's order, all text of the main slot and of the clean slots outside it, but for such containers inside them.
 Where that holds too few of a page's clean words, the page's own slots, judged alike, are added.
 
@@ -48,12 +49,17 @@ DEEPEST = 64
 #: Tags of the format by their part in a page.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
 CONTAINERS = frozenset(
-    "html head body div section article main header footer nav aside form table tbody thead tfoot tr td th ul ol dl figure blockquote center details dialog fieldset button select svg menu address hgroup object audio video canvas".split()
+    "html head body div section article main header footer nav aside form table tbody thead tfoot tr td th ul ol dl figure blockquote center details dialog fieldset button select svg menu address hgroup object audio video canvas label".split()
 )
-BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr br option legend caption figcaption summary label".split())
+BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre hr br option legend caption figcaption summary".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-NOT_MAIN = frozenset("head nav footer aside form button select svg menu dialog object audio video canvas fieldset".split())
+NOT_MAIN = frozenset("head nav footer aside form button select svg menu dialog object audio video canvas fieldset label".split())
 ARTICLE = frozenset("article main".split())
+WRAPPERS = frozenset("form fieldset dialog object".split())
+CONTROLS = frozenset("input textarea select button".split())
+#: Words of a wrapper for each of its controls, from which it holds the page's prose, if it has nearly all of that.
+PROSE = 10
+OPEN = "open"
 #: Words in the class or id of containers that are not the article.
 NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner menu nav navbar navigation sidebar footer header masthead breadcrumb breadcrumbs cookie cookies consent "
@@ -62,6 +68,8 @@ NAMES = frozenset(
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)(?:>|\Z))", re.S)
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
+HIDDEN = re.compile(r"\btype\s*=\s*[\"']?hidden\b", re.I)
+
 COUNTS = "host string, path string, mark decimal(38,0), pages long, times long, words long, linked long, named boolean, aside boolean"
 
 
@@ -96,11 +104,11 @@ def _aside(path: str, names: bool) -> bool:
     return False
 
 
-#: What a piece is: text, text of a link, a container's start, or a block's edge.
-TEXT, LINK, START, EDGE = range(4)
+#: What a piece is: text, text of a link, a container's start, a block's edge, or a control that is shown.
+TEXT, LINK, START, EDGE, CONTROL = range(5)
 
 
-def pieces(html: str) -> Iterator[tuple[str, int, str]]:
+def _read(html: str) -> Iterator[tuple[str, int, str]]:
     """(path, what, text) of the page in order; a space stands for each block's edge. Paths start with ``page``."""
     stack: list[tuple[str, str]] = []
     path, links, at = "page", 0, 0
@@ -112,6 +120,8 @@ def pieces(html: str) -> Iterator[tuple[str, int, str]]:
         tag = (m[2] or "").lower()
         if not tag:
             continue
+        if tag in CONTROLS and not m[1] and not HIDDEN.search(m[3]):
+            yield path, CONTROL, ""
         if m[1]:
             if tag == "a":
                 links = max(0, links - 1)
@@ -136,6 +146,40 @@ def pieces(html: str) -> Iterator[tuple[str, int, str]]:
         yield path, LINK if links else TEXT, unescape(html[at:])
 
 
+def pieces(html: str) -> list[tuple[str, int, str]]:
+    """The page's pieces; a form or other wrapper around the page's prose is named as such in their paths, and is no aside then.
+
+    Such a wrapper has nearly all words that are not in other asides, and ``PROSE`` of them at least for each control.
+    """
+    found = list(_read(html))
+    wrappers = {q for path in {p for p, _, _ in found} for q in _prefixes(path) if _tag(q) in WRAPPERS}
+    if not wrappers:
+        return found
+    words: Counter = Counter()
+    controls: Counter = Counter()
+    for path, what, text in found:
+        if what <= LINK or what == CONTROL:
+            bare = _opened(path, wrappers)
+            if not _once(_aside, bare, True):
+                (controls if what == CONTROL else words)[path] += 1 if what == CONTROL else len(text.split())
+    total = sum(words.values())
+    inside = {q: (sum(n for p, n in words.items() if _within(p, q)), sum(n for p, n in controls.items() if _within(p, q))) for q in wrappers}
+    open_ = {q for q, (n, k) in inside.items() if n and n >= NEARLY_ALL * total and n >= PROSE * k}
+    if not open_:
+        return found
+    renamed = {p: _opened(p, open_) for p in {p for p, _, _ in found}}
+    return [(renamed[path], what, text) for path, what, text in found]
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
+def _opened(path: str, wrappers: set[str]) -> str:
+    """``path`` with those of its containers that are among the wrappers named as open ones."""
+    return "/".join(f"{OPEN}{q.rpartition('/')[2]}" if q in wrappers else q.rpartition("/")[2] for q in _prefixes(path))
+
+
 def _words(found: list[tuple[str, int, str]]) -> dict[str, tuple[int, int]]:
     """Words, and those in links, directly in each path."""
     out: dict[str, tuple[int, int]] = {}
@@ -217,7 +261,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
         for host, page, html in zip(batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"]):
-            found = list(pieces(html.as_py() or ""))
+            found = pieces(html.as_py() or "")
             for path, (n, k) in _words(found).items():
                 row = seen[host, path]
                 row[3] += n
@@ -308,7 +352,7 @@ def _told(found: dict) -> dict:
 
 
 def main_text(html: str, host: dict) -> str:
-    found = list(pieces(html))
+    found = pieces(html)
     paths = {p for p, _, _ in found}
     kept = {p for p in paths if _keeps(p, host)}
     weights = _weights(_words(found))

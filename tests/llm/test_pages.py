@@ -118,6 +118,32 @@ def test_siblings_and_second_layouts(spark):
     assert found[10] == f'{words_of(10, "t", 5)} {words_of(10, "s", 80)}'
 
 
+@pytest.mark.parametrize("wrapper", ['form id="aspnetForm" method=post', "fieldset", "dialog open", "object"])
+def test_a_wrapper_around_the_page_is_no_aside(spark, wrapper):
+    tag = wrapper.split()[0]
+    rows = []
+    for i in range(8):
+        controls = '<input type="hidden" name="state" value="x"><input type=hidden>' * 10 + '<label>Find it <input name=q></label><button>Go</button>'
+        rows.append((i, f"http://host/{i}", f'<body><{wrapper}>{controls}<nav>Home About</nav><div class="content"><p>{words_of(i, "w", 60)}</p></div><div class="sidebar">more</div></{tag}><footer>Foot</footer></body>'))
+    found = {r.page_id: r.text for r in template.extracted(frame(spark, rows)).collect()}
+    assert found == {i: words_of(i, "w", 60) for i in range(8)}
+
+
+def test_forms_with_controls_stay_out(spark):
+    sign = '<form><p>Name and password of your account here</p><input name=n><input type=password><button>Enter</button></form>'
+    letter = '<form><p>Our weekly letter</p><input name=mail></form>'
+    rows = [(i, f"http://one/{i}", f"<body><div><p>{words_of(i, 'w', 50)}</p></div>{sign}{letter}</body>") for i in range(5)]
+    rows += [(10 + i, f"http://two/{i}", f"<body><nav>Home</nav>{sign}</body>") for i in range(5)]
+    found = {r.page_id: r.text for r in template.extracted(frame(spark, rows)).collect()}
+    assert found == {**{i: words_of(i, "w", 50) for i in range(5)}, **{10 + i: "" for i in range(5)}}
+
+
+def test_nested_wrappers_and_paths():
+    page = f'<form><div><form class="x"><p>{words_of(1, "w", 40)}</p></form></div><fieldset>a<input></fieldset></form>'
+    found = template.pieces(page)
+    assert {p for p, what, _ in found if what == template.TEXT} == {"page/openform/div/openform.x", "page/openform/fieldset"}
+
+
 def test_empty_table(pages):
     assert template.extracted(pages.limit(0)).count() == 0 and warc.round_trip(pages.limit(0)).count() == 0
 
