@@ -51,7 +51,9 @@ LONGEST = 1 << 14
 RUN = rf"[^\x20\x09-\x0D]{{1,{LONGEST}}}+"
 #: Rounds, least seeds and score of a pattern, least score of an added value.
 ROUNDS, LEAST_SEEDS, LEAST_PATTERN, LEAST_VALUE = 3, 3, 0.6, 0.8
-BLOCK = 128
+#: Elements that a prefix sum adds one by one, and how often blocks are put in blocks.
+BLOCK_BITS, LEVELS = 5, 2
+BLOCK = 1 << BLOCK_BITS
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -63,23 +65,20 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
 
 
-def starts_of(lengths: Column) -> Column:
-    """Sum of all earlier elements, for each element; by blocks, so that long arrays stay cheap."""
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int")), lambda b: _sum(F.slice(lengths, b * BLOCK + 1, BLOCK)))
+def starts_of(lengths: Column, levels: int = LEVELS) -> Column:
+    """Sum of all earlier elements, for each element; by blocks, and blocks of blocks, so that long arrays stay cheap."""
+    if not levels:
+        return F.transform(lengths, lambda _, i: _sum(F.slice(lengths, F.lit(1), i)))
+    blocks = F.transform(F.sequence(F.lit(0), ((F.size(lengths) - 1) / BLOCK).cast("int")), lambda b: _sum(F.slice(lengths, b * BLOCK + 1, BLOCK)))
 
-    def of(sums: Column) -> Column:
-        before = F.transform(sums, lambda _, b: _sum(F.slice(sums, F.lit(1), b)))
+    def each(skip: Column) -> Column:
+        def start(_: Column, i: Column) -> Column:
+            b = F.shiftright(i, BLOCK_BITS)
+            return F.get(skip, b) + _sum(F.slice(lengths, b * BLOCK + 1, i - b * BLOCK))
 
-        def each(skip: Column) -> Column:
-            def start(_: Column, i: Column) -> Column:
-                b = F.floor(i / BLOCK).cast("int")
-                return F.get(skip, b) + _sum(F.slice(lengths, b * BLOCK + 1, F.pmod(i, F.lit(BLOCK))))
+        return F.transform(lengths, start)
 
-            return F.transform(lengths, start)
-
-        return bound(before, each)
-
-    return bound(blocks, of)
+    return bound(bound(blocks, lambda sums: starts_of(sums, levels - 1)), each)
 
 
 def matches(text: Column, expression: str) -> Column:
@@ -170,12 +169,8 @@ def _free(candidates: Column, base: Column) -> Column:
 
 def patterns(text: Column, start: Column, end: Column) -> Column:
     """Lexical patterns of a span: the two words before it, and the words around it; none without a word before."""
-    return _in_words(text, lambda words, last: _beside(words, last, start, end))
-
-
-def _in_words(text: Column, use: Callable[[Column, Callable], Column]) -> Column:
-    """``use(words, last)`` with the text's words in order, long runs in pieces."""
-    return bound(matches(text, RUN), lambda words: searched(words, lambda last: use(words, last)))
+    # long runs are in pieces
+    return bound(matches(text, RUN), lambda words: searched(words, lambda last: _beside(words, last, start, end)))
 
 
 def _beside(words: Column, last: Callable[[Column], Column], start: Column, end: Column) -> Column:
@@ -215,10 +210,11 @@ def found_in(docs: DataFrame, key: str, text: str) -> DataFrame:
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(whole).alias("tie"), whole.alias("text")).withColumn("base", base_spans(F.col("text")))
     body = F.col("text")
     nothing = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    free = _free(F.when(body.rlike(MAYBE), matches(body, CANDIDATE)).otherwise(nothing), F.col("base"))
+    rows = rows.withColumn("maybe", F.when(body.rlike(MAYBE), matches(body, CANDIDATE)).otherwise(nothing)).withColumn("free", _free(F.col("maybe"), F.col("base")))
+    rows = rows.withColumn("words", F.when(F.size("base") + F.size("free") > 0, matches(body, RUN)).otherwise(nothing))
     spans = F.concat(
         F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), b["kind"].alias("kind"), b["value"].alias("value"))),
-        F.transform(free, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(None).cast("int").alias("kind"), m["value"].alias("value"))),
+        F.transform("free", lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lit(None).cast("int").alias("kind"), m["value"].alias("value"))),
     )
 
     def contexts(words: Column, last: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -228,8 +224,7 @@ def found_in(docs: DataFrame, key: str, text: str) -> DataFrame:
 
         return of
 
-    unseen = F.array().cast("array<struct<start:int,end:int,kind:int,value:string,patterns:array<string>>>")
-    seen = bound(spans, lambda all_spans: F.when(F.size(all_spans) > 0, _in_words(body, lambda words, last: F.transform(all_spans, contexts(words, last)))).otherwise(unseen))
+    seen = searched(F.col("words"), lambda last: F.transform(spans, contexts(F.col("words"), last)))
     return rows.select("doc", "tie", "base", seen.alias("seen"))
 
 

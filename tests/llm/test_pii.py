@@ -214,7 +214,7 @@ def test_runs_longer_than_a_word_of_a_context(spark):
         word = "a" * a
         one = a <= n
         rows.append((f"so {word} 1.2.3.4 end", f"{word} _ end" if one else None, 3 + a + 1))
-        rows.append((f"so it {word}", None if not one else f"so it _", 6))
+        rows.append((f"so it {word}", None if not one else "so it _", 6))
         rows.append((f"x y 1.2.3.4 {word}", "x y _", 4))
     df = spark.createDataFrame(rows, "text string, among string, s int")
     for x in df.select("among", "s", "text", pii.patterns(F.col("text"), F.col("s"), F.col("s") + 7).alias("p")).collect():
@@ -222,19 +222,17 @@ def test_runs_longer_than_a_word_of_a_context(spark):
 
 
 @pytest.mark.parametrize("kind", ["words", "one run"])
-def test_a_text_of_ten_megabytes(spark, kind):
-    n = 100_000
+def test_a_text_of_many_spans(spark, kind):
+    """2 MB, with 120,000 spans or 40,000 in one run without white space; quadratic work would take hours."""
+    n = 20_000
     if kind == "words":
         one = "GET /page from 10.20.30.40 by u1@host.org at 12:30 took 7ms with id a1b2c3 and agent some-browser/5.0 ok done\n"
     else:
         one = "u1@host.org," + "x" * 80 + "/10.20.30.40;"
-    text = one * n
     began = time.monotonic()
-    got, _ = found(spark.createDataFrame([(1, text), (2, "a@b.cd")], "doc_id long, text string"))
-    # generous for slow machines; quadratic work would take hours
-    assert time.monotonic() - began < 180
-    per = len(base(one))
-    assert got[0][1:3] == (n, n) and per == 2 and len(text) > 10_000_000
+    got, _ = found(spark.createDataFrame([(1, one * n), (2, "a@b.cd")], "doc_id long, text string"))
+    assert time.monotonic() - began < 120
+    assert got[0][1:3] == (n, n)
 
 
 def test_empty_table(spark):
