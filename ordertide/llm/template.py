@@ -7,13 +7,18 @@ partial aggregation. Tokens with equal vectors form an equivalence class; a clas
 when enough of the host's pages have it and it is not a lone token that repeats within pages, and valid classes
 nest by their paths into the host's template. Their tokens bound the slots; any other token is data of
 the slot it stands in, and the words of paths that few pages have count for the nearest path above that more have.
-Slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
+
+The text directly in a container, a page's in one, is a token too. If its vector is that of its container, which
+is to say that every page that has the container has this text in it, and the container is of a valid class, the text
+belongs to the template as the container does: nothing fills that slot, whatever its name. Slots that pages fill differently
+are data. Of these, slots in containers that are known not to be the article (by tag or name) and slots that are mostly links are left out;
 the rest is clean. A form or other wrapper around
 nearly all of a page's prose is no such container; its controls and their labels are. The main slot is the deepest template container that holds nearly all clean words. A page's main text is,
 in the page's order, all text of the main slot and of the clean slots outside it, but for such containers inside them.
 Where that holds too few of a page's clean words, the page's own slots, judged alike, are added.
 
-Text tokens take no part in the template: articles that a host publishes often would become part of it.
+Texts of the template are told on hosts of ``FEWEST`` pages and more. Where they would be nearly all clean words of a host, it
+publishes one article again and again, and its texts are data.
 
 Defined cases: a null or empty page has an empty text; a null url (or one without host) belongs to the host "";
 repeated pages count as so many pages; unclosed tags end with their parents, a tag cut
@@ -23,6 +28,7 @@ columns are ignored, whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -44,6 +50,8 @@ LINKED = 0.5
 RARE = 50
 #: A lone token that a page has so often on average is data.
 REPEATED = 2
+#: Pages that a container must be on before its text can be the template's.
+FEWEST = 5
 #: Containers nested deeper belong to the path of the one at this depth.
 DEEPEST = 64
 #: Tags of the format by their part in a page.
@@ -70,7 +78,7 @@ NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 
 HIDDEN = re.compile(r"\btype\s*=\s*[\"']?hidden\b", re.I)
 
-COUNTS = "host string, path string, mark decimal(38,0), pages long, times long, words long, linked long, named boolean, aside boolean"
+COUNTS = "host string, path string, mark decimal(38,0), pages long, times long, words long, linked long, low long, high long, named boolean, aside boolean"
 
 
 _known: dict = {}
@@ -191,6 +199,14 @@ def _words(found: list[tuple[str, int, str]]) -> dict[str, tuple[int, int]]:
     return out
 
 
+def _contents(found: list[tuple[str, int, str]]) -> dict[str, int]:
+    """64 bits of the text directly in each path, white space aside; a path without text has those of an empty one."""
+    texts: dict[str, list[str]] = defaultdict(list)
+    for path, what, text in found:
+        texts[path] += text.split() if what <= LINK else ()
+    return {path: int.from_bytes(hashlib.blake2b(" ".join(t).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True) for path, t in texts.items()}
+
+
 def _prefixes(path: str) -> list[str]:
     parts = path.split("/")
     return ["/".join(parts[: i + 1]) for i in range(len(parts))]
@@ -242,6 +258,14 @@ def chosen(weights: dict[str, Weights], template: set[str]) -> dict:
     return {"main": main, "slots": sorted(slots), "bounds": sorted(q for q in apart - slots if _slot(q, slots)), "names": names}
 
 
+def without(weights: dict[str, Weights], fixed: dict[str, Weights]) -> tuple[dict[str, Weights], set[str]]:
+    """Weights without the template's texts, and the paths that hold those; as they are, and none, if those are nearly all clean words."""
+    varied = {p: tuple(a - b for a, b in zip(w, fixed.get(p, (0,) * 5))) for p, w in weights.items()}
+    if sum(w[4] for w in varied.values()) <= (1 - NEARLY_ALL) * sum(w[4] for w in weights.values()):
+        return weights, set()
+    return varied, set(fixed)
+
+
 def _within(path: str, container: str) -> bool:
     return path == container or path.startswith(container + "/")
 
@@ -259,22 +283,26 @@ def _mark(page: int, count: int) -> int:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0])
+        seen: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0, 0, 0, 0, (1 << 63) - 1, -(1 << 63)])
         for host, page, html in zip(batch["host"].to_pylist(), batch["page"].to_pylist(), batch["html"]):
             found = pieces(html.as_py() or "")
             for path, (n, k) in _words(found).items():
                 row = seen[host, path]
                 row[3] += n
                 row[4] += k
+            contents = _contents(found)
             # every page has its root once
             for path, n in [("page", 1), *Counter(path for path, what, _ in found if what == START).items()]:
                 row = seen[host, path]
                 row[0] += _mark(page, n)
                 row[1] += 1
                 row[2] += n
+                # the text's vector is the container's if all pages that have the container have one text in it
+                content = contents.get(path, 0)
+                row[5], row[6] = min(row[5], content), max(row[6], content)
         rows = [(h, p, Decimal(mark), *r, _once(_aside, p, True), _once(_aside, p, False)) for (h, p), (mark, *r) in seen.items()]
-        kinds = [pa.string(), pa.string(), pa.decimal128(38, 0), *[pa.int64()] * 4, pa.bool_(), pa.bool_()]
-        names = ("host", "path", "mark", "pages", "times", "words", "linked", "named", "aside")
+        kinds = [pa.string(), pa.string(), pa.decimal128(38, 0), *[pa.int64()] * 6, pa.bool_(), pa.bool_()]
+        names = ("host", "path", "mark", "pages", "times", "words", "linked", "low", "high", "named", "aside")
         yield pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], pa.schema(list(zip(names, kinds))))
 
 
@@ -282,9 +310,11 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url.cast("string"), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)", 1)), F.lit(""))
 
 
-TEMPLATE = "host string, pages long, main string, slots array<string>, bounds array<string>, names boolean, classes array<struct<parent: int, pages: long, tokens: array<string>>>"
+TEMPLATE = "host string, pages long, main string, slots array<string>, bounds array<string>, names boolean, fixed array<string>, classes array<struct<parent: int, pages: long, tokens: array<string>>>"
 #: ``Weights`` as columns.
 WEIGHTS = ["words", "n_named", "clean_named", "n_plain", "clean_plain"]
+#: The same without what rare paths add.
+OWN = [f"own_{c}" for c in WEIGHTS]
 
 
 def _template(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -299,7 +329,10 @@ def _template(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         above = [of[q] for q in _prefixes(paths[0])[:-1] if q in of and of[q] != of[paths[0]]]
         classes.append({"parent": above[-1] if above else -1, "pages": n, "tokens": paths})
     weights = {p: tuple(map(int, w)) for p, *w in zip(rows["path"], *(rows[c] for c in WEIGHTS))}
-    return pd.DataFrame([{"host": key[0], "pages": total, **chosen(weights, set(of)), "classes": classes}])
+    told = rows[(rows["low"] == rows["high"]) & (rows["pages"] >= FEWEST) & (rows["own_words"] > 0)]
+    own = {p: tuple(map(int, w)) for p, *w in zip(told["path"], *(told[c] for c in OWN)) if p in of}
+    varied, fixed = without(weights, own)
+    return pd.DataFrame([{"host": key[0], "pages": total, **chosen(varied, set(of)), "fixed": sorted(fixed), "classes": classes}])
 
 
 def _hosted(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
@@ -310,11 +343,13 @@ def templates(pages: DataFrame, key: str = "page_id", url: str = "url", html: st
     """A row (``TEMPLATE``) for each host."""
     rows = _hosted(pages, key, url, html).select("host", F.xxhash64("page_id", "html").alias("page"), "html")
     sums = [F.sum(c).alias(c) for c in ("mark", "pages", "times", "words", "linked")]
-    counted = rows.mapInArrow(_counts, COUNTS).groupBy("host", "path").agg(*sums, F.max("named").alias("named"), F.max("aside").alias("aside"))
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
+    counted = rows.mapInArrow(_counts, COUNTS).groupBy("host", "path").agg(*sums, *ends, F.max("named").alias("named"), F.max("aside").alias("aside"))
     clean = F.when(F.col("linked") <= LINKED * F.col("words"), F.col("words") - F.col("linked")).otherwise(0)
     for kind, out in (("named", "named"), ("plain", "aside")):
         counted = counted.withColumn(f"n_{kind}", F.when(F.col(out), 0).otherwise(F.col("words"))).withColumn(f"clean_{kind}", F.when(F.col(out), 0).otherwise(clean))
-    counted = written(counted.select("host", "path", "mark", "pages", "times", *WEIGHTS), "tokens")
+    own = [F.col(c).alias(o) for c, o in zip(WEIGHTS, OWN)]
+    counted = written(counted.select("host", "path", "mark", "pages", "times", "low", "high", *WEIGHTS, *own), "tokens")
     most = counted.groupBy("host").agg(F.max("pages").alias("host_pages"))
     # paths few pages have cannot be of the template; the rest are as many as a page has
     all_paths = counted.join(most, "host")
@@ -341,6 +376,8 @@ def _with_rare(held: DataFrame, rare: DataFrame) -> DataFrame:
 def _keeps(path: str, told: dict) -> bool:
     """Whether text directly in the path is of the main slot or of a clean one."""
     main = told["main"]
+    if path in told["fixed"]:
+        return False
     if main is not None and _within(path, main):
         # names decide inside the slot; the slot itself has been chosen
         return path == main or not _once(_aside, f"article/{path[len(main) + 1 :]}", True)
@@ -348,25 +385,25 @@ def _keeps(path: str, told: dict) -> bool:
 
 
 def _told(found: dict) -> dict:
-    return found | {"slots": set(found["slots"] or ()), "ends": {*(found["slots"] or ()), *(found["bounds"] or ())}}
+    return found | {"slots": set(found["slots"] or ()), "fixed": set(found["fixed"] or ()), "ends": {*(found["slots"] or ()), *(found["bounds"] or ())}}
 
 
 def main_text(html: str, host: dict) -> str:
     found = pieces(html)
     paths = {p for p, _, _ in found}
     kept = {p for p in paths if _keeps(p, host)}
-    weights = _weights(_words(found))
+    weights = {p: (0,) * 5 if p in host["fixed"] else w for p, w in _weights(_words(found)).items()}
     own = chosen(weights, {q for p in paths for q in _prefixes(p)})
     clean = {p: w[2 if own["names"] else 4] for p, w in weights.items()}
     if sum(n for p, n in clean.items() if p in kept) < NEARLY_ALL * sum(clean.values()):
-        own = _told(own)
+        own = _told(own | {"fixed": host["fixed"]})
         kept |= {p for p in paths if _keeps(p, own)}
     return " ".join("".join(text for p, _, text in found if p in kept).split())
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        told = batch.select(["main", "slots", "bounds", "names"]).to_pylist()
+        told = batch.select(["main", "slots", "bounds", "names", "fixed"]).to_pylist()
         texts = [main_text(h.as_py() or "", _told(t)) for h, t in zip(batch["html"], told)]
         yield pa.RecordBatch.from_pydict({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64())})
 
@@ -374,5 +411,5 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def extracted(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) for each row of ``pages``."""
     # as a table, the templates' size is known: small ones are sent to the pages, others are joined
-    known = written(templates(pages, key, url, html).select("host", "main", "slots", "bounds", "names"), "templates")
-    return _hosted(pages, key, url, html).join(known, "host", "left").select("page_id", "url", "html", "main", "slots", "bounds", "names").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")
+    known = written(templates(pages, key, url, html).select("host", "main", "slots", "bounds", "names", "fixed"), "templates")
+    return _hosted(pages, key, url, html).join(known, "host", "left").select("page_id", "url", "html", "main", "slots", "bounds", "names", "fixed").mapInArrow(_extract, "page_id long, url string, text string, n_chars long")

@@ -1,6 +1,8 @@
 import hashlib
 import html
+import random
 import re
+from collections import defaultdict
 
 import duckdb
 import pytest
@@ -82,7 +84,8 @@ def test_vectors_decide():
     def told(mark):
         paths = ["page", "page/div.story", "page/div.story/div.para", "page/div.story/div.by"]
         rows = pd.DataFrame({"path": paths, "mark": [1, 1, 7, mark], "pages": 10, "times": [10, 10, 40, 40], "host_pages": 10})
-        for c in template.WEIGHTS:
+        rows["low"], rows["high"] = 0, 1
+        for c in (*template.WEIGHTS, *template.OWN):
             rows[c] = [0, 5, 400, 4]
         return template._template(("h",), rows).iloc[0]["main"]
 
@@ -90,6 +93,95 @@ def test_vectors_decide():
     assert told(7) == "page/div.story/div.para"
 
 
+def test_texts_of_the_template_are_told_by_vectors(spark):
+    """Names and tags of note and story are alike: only what pages share tells them apart, and four pages are too few for it."""
+    rows = []
+    for i in range(9):
+        note = f'<div class="kc">{words_of(0, "note", 40)}</div>'
+        story = f'<div class="kb"><p>{words_of(i, "w", 30)}</p><div class="kd"><p>{words_of(0, "told", 12)}</p></div><p>{words_of(i, "v", 30)}</p></div>'
+        rows.append((i, f"http://host/{i}", f'<html><body><div class="ka">{words_of(0, "top", 9)}</div>{note}{story}</body></html>'))
+    for n, told in ((9, True), (template.FEWEST - 1, False)):
+        found = {r.page_id: r.text for r in template.extracted(frame(spark, rows[:n])).collect()}
+        for i in range(n):
+            body = [words_of(i, "w", 30), *([] if told else [words_of(0, "told", 12)]), words_of(i, "v", 30)]
+            assert found[i].endswith(" ".join(body)) and (found[i] == " ".join(body)) == told
+
+
+def test_a_host_of_one_article_keeps_it(spark):
+    page = f'<html><body><div class="a">{words_of(0, "w", 80)}</div><div class="b">%s</div></body></html>'
+    rows = [(i, f"http://host/{i}", page % f"n{i}") for i in range(9)]
+    assert {r.text for r in template.extracted(frame(spark, rows)).collect()} == {f'{words_of(0, "w", 80)} n{i}' for i in range(9)}
+
+
+def test_a_text_that_one_page_differs_in_is_data(spark):
+    page = f'<html><body><div class="a">{words_of(0, "w", 9)}%s</div><div class="b">%s</div></body></html>'
+    rows = [(i, f"http://host/{i}", page % (" odd" if i == 5 else "", words_of(i, "v", 50))) for i in range(9)]
+    assert all(r.text.startswith(words_of(0, "w", 9)) for r in template.extracted(frame(spark, rows)).collect())
+
+
+class Node:
+    """A container of a random template: how often it stands on which pages, and what text it starts with on them."""
+
+    def __init__(self, rng, path, depth, names, pages):
+        self.path = f"{path}/div.{next(names)}"
+        self.fixed = rng.random() < 0.5
+        self.words = rng.choice([0, 3, 8])
+        on = {i for i in range(pages) if rng.random() < 0.7} if rng.random() < 0.4 else set(range(pages))
+        repeats = depth > 0 and rng.random() < 0.3
+        self.times = {i: rng.choice([2, 3, 4]) if repeats else 1 for i in sorted(on)}
+        self.children = [] if repeats or depth == 3 else [Node(rng, self.path, depth + 1, names, pages) for _ in range(rng.randrange(4))]
+
+    def text(self, page, nr):
+        return words_of(f"{0 if self.fixed else page}y{nr}", self.path.rpartition(".")[2], self.words)
+
+    def html(self, page):
+        return "".join(f'<div class="{self.path.rpartition(".")[2]}">{self.text(page, k)}{"".join(c.html(page) for c in self.children)}</div>' for k in range(self.times.get(page, 0)))
+
+    def met(self, page):
+        """(path, text) of each container on the page, in order."""
+        for k in range(self.times.get(page, 0)):
+            yield self.path, self.text(page, k)
+            for c in self.children:
+                yield from c.met(page)
+
+
+def deduced(pages):
+    """Paths whose text is the template's, from whole vectors; ``pages`` are lists of (path, text)."""
+    counts, texts = defaultdict(dict), defaultdict(dict)
+    for i, found in enumerate(pages):
+        for path in {p for p, _ in found}:
+            counts[path][i] = sum(p == path for p, _ in found)
+            texts[path][i] = " ".join(t for p, t in found if p == path and t)
+    classes = defaultdict(list)
+    for path, vector in counts.items():
+        classes[tuple(sorted(vector.items()))].append(path)
+    out = set()
+    for vector, paths in classes.items():
+        if 2 * len(vector) >= len(pages) and (len(paths) > 1 or sum(n for _, n in vector) < 2 * len(vector)) and len(vector) >= template.FEWEST:
+            out |= {p for p in paths if len(set(texts[p].values())) == 1}
+    return out
+
+
+def test_random_templates_against_whole_vectors(spark):
+    rows, expected, dropped = [], {}, 0
+    for seed in range(30):
+        rng, n = random.Random(seed), 12
+        names = (f"k{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(26 * 26))
+        tops = [Node(rng, "page/html/body", 0, names, n) for _ in range(4)]
+        story = Node(rng, "page/html/body", 3, names, n)
+        story.fixed, story.words, story.times = False, 60, dict.fromkeys(range(n), 1)
+        tops.insert(2, story)
+        pages = [[("page/html", ""), ("page/html/body", ""), *(x for t in tops for x in t.met(i))] for i in range(n)]
+        fixed = deduced(pages)
+        for i, found in enumerate(pages):
+            key = 100 * seed + i
+            rows.append((key, f"http://host{seed}/{i}", f'<html><body>{"".join(t.html(i) for t in tops)}</body></html>'))
+            expected[key] = " ".join(t for p, t in found if t and p not in fixed)
+            dropped += sum(bool(t) for p, t in found if p in fixed)
+    found = {r.page_id: r.text for r in template.extracted(frame(spark, rows)).collect()}
+    assert dropped > 500 and found == expected
+
+
 def test_rare_paths_keep_their_weight(spark):
     rows = []
     for i in range(120):
